@@ -62,12 +62,16 @@ def scatter(box: tuple[int, ...], dtype: str, fill, pieces) -> tuple[np.ndarray,
     return dense.reshape(box), present
 
 
-def runs(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Row order that brings equal keys together, and where each run starts."""
-    order = np.lexsort(keys[::-1])
-    change = np.zeros(len(order), bool)
-    change[:1] = True
-    for key in keys:
-        sorted_key = key[order]
-        change[1:] |= sorted_key[1:] != sorted_key[:-1]
-    return order, np.flatnonzero(change)
+def runs(owner: np.ndarray, cell: np.ndarray, box_elements: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row order that sorts cells within each owner, and where each box starts."""
+    span = int(cell.max()) + 1
+    if int(owner.max()) * span < 2**62:
+        key = owner * span + cell
+        ordered = (key[1:] >= key[:-1]).all()
+        order = np.arange(len(key)) if ordered else np.argsort(key)
+    else:
+        order = np.lexsort((cell, owner))
+    box, owner = cell[order] // box_elements, owner[order]
+    starts = np.ones(len(order), bool)
+    starts[1:] = (box[1:] != box[:-1]) | (owner[1:] != owner[:-1])
+    return order, np.flatnonzero(starts)

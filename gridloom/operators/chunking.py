@@ -1,7 +1,5 @@
 """Assign cells to chunks and shards, and summarise chunks, in plain SQL."""
 
-from math import prod
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,20 +70,3 @@ def nonempty_chunks(
         .filter(~F.col("_empty"))
         .drop("_empty")
     )
-
-
-def place_in_boxes(cells: DataFrame, grid: Grid, max_elements: int) -> DataFrame:
-    """Add ``o_<dim>``, the origin of the cell's box, and ``_pos``, its row-major
-    position in the unclipped box."""
-    box = grid.box_lens(max_elements)
-    pos = F.lit(0).cast("bigint")
-    added = {}
-    for k, d in enumerate(grid.dims):
-        i = F.col(f"{d}_i").cast("bigint")
-        chunk_origin = i - i % F.lit(grid.chunk_len(d)).cast("bigint")
-        inside = i - chunk_origin
-        in_box = inside % F.lit(box[k]).cast("bigint")
-        added[f"o_{d}"] = i - in_box
-        pos = pos + in_box * F.lit(prod(box[k + 1 :])).cast("bigint")
-    added["_pos"] = pos.cast("int")
-    return cells.withColumns(added)

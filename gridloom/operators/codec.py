@@ -7,7 +7,7 @@ row per cell. A group is one box of a bounded number of elements.
 """
 
 from collections.abc import Iterator
-from math import ceil, prod
+from math import prod
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import blocks
 from gridloom.functions.ordering import broadcast_within
 from gridloom.model import ITEM_SIZES, Grid
-from gridloom.operators.chunking import place_in_boxes
+from gridloom.operators.boxes import Boxes
 
 # A box of the widest contract chunk (7.6 M elements) stays in one piece.
 MAX_BOX_ELEMENTS = 8 * 1024 * 1024
@@ -26,44 +26,48 @@ MAX_BOX_ELEMENTS = 8 * 1024 * 1024
 WRITER_BYTES = 1024 * 1024 * 1024
 # Cells gathered in a map task before its pieces are sent on.
 GATHER_ROWS = 1_000_000
-DECODE_ROWS = 65_536
+# Cells per Arrow batch when boxes are expanded again.
+CELL_ROWS = 65_536
 
 
-def _pieces_schema(by: list[tuple[str, str]], dims, variables) -> str:
-    cols = [f"`{name}` {kind}" for name, kind in by]
-    cols += [f"o_{d} bigint" for d in dims]
-    cols += ["_pos binary"]
+def _pieces_schema(by: list[tuple[str, str]], variables) -> str:
+    cols = [f"`{name}` {kind}" for name, kind in by] + ["_box bigint", "_pos binary"]
     for v in variables:
         cols += [f"`{v}` binary", f"`_n_{v}` bigint"]
     return ", ".join(cols)
 
 
-def _gather(by, dims, variables: dict[str, str], fill, limit):
+def _gather(by, box_elements: int, variables: dict[str, str], fill, limit):
     """mapInArrow body: cells to pieces."""
-    origins = [f"o_{d}" for d in dims]
 
     def flush(batches):
         table = pa.Table.from_batches(batches)
-        keys = []
+        owner = np.zeros(table.num_rows, np.int64)
         for name in by:
             codes = table.column(name).combine_chunks().dictionary_encode()
-            keys.append(codes.indices.to_numpy(zero_copy_only=False))
-        keys += [table.column(o).to_numpy() for o in origins]
-        order, starts = blocks.runs(keys)
+            owner = owner * len(codes.dictionary) + codes.indices.to_numpy()
+        cell = table.column("_cell").to_numpy()
+        order, starts = blocks.runs(owner, cell, box_elements)
         ends = [*starts[1:].tolist(), len(order)]
-        starts = starts.tolist()
-        first = pa.array(order[starts])
-        out = {name: table.column(name).take(first) for name in [*by, *origins]}
-        pos = table.column("_pos").to_numpy()[order].astype("<i4")
-        out["_pos"] = pa.array([pos[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())
+        first, starts = pa.array(order[starts]), starts.tolist()
+        cell = cell[order]
+        number = cell[starts] // box_elements
+        pos = (cell % box_elements).astype("<i4")
+
+        def cut(values):
+            return pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())
+
+        out = {name: table.column(name).take(first) for name in by}
+        out |= {"_box": pa.array(number), "_pos": cut(pos)}
         for v, dtype in variables.items():
             column = table.column(v)
-            present = pc.is_valid(column).to_numpy()[order]
-            filled = column.fill_null(fill) if column.null_count else column
-            values = filled.to_numpy()[order].astype(dtype)
-            out[v] = pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())
-            counts = np.add.reduceat(present.astype(np.int64), starts)
-            out[f"_n_{v}"] = pa.array(counts, pa.int64())
+            present = np.diff([*starts, len(order)])
+            if column.null_count:
+                valid = pc.is_valid(column).to_numpy()[order]
+                present = np.add.reduceat(valid.astype(np.int64), starts)
+                column = column.fill_null(fill)
+            out[v] = cut(column.to_numpy()[order].astype(dtype, copy=False))
+            out[f"_n_{v}"] = pa.array(present, pa.int64())
         yield from pa.table(out).combine_chunks().to_batches(max_chunksize=1024)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,21 +104,29 @@ def chunk_schema(by: list[tuple[str, str]], dims) -> str:
     return ", ".join(cols)
 
 
+def _dense(table: pa.Table, var: str, box, dtype: str, fill) -> tuple[np.ndarray, int]:
+    """One variable of a box from its pieces, unclipped, and its present cells."""
+    positions = (np.frombuffer(p.as_buffer(), "<i4") for p in table.column("_pos"))
+    values = (np.frombuffer(v.as_buffer(), dtype) for v in table.column(var))
+    counts = table.column(f"_n_{var}").to_pylist()
+    return blocks.scatter(box, dtype, fill, zip(positions, values, counts))
+
+
+def _place(table: pa.Table, by, dims) -> dict:
+    names = [*by, *(f"o_{d}" for d in dims), *(f"n_{d}" for d in dims)]
+    return {c: table.column(c)[0].as_py() for c in names}
+
+
 def _pack(by, dims, variables, box, fill, codec, level, shuffle, drop_empty, strict):
     """Grouped-map body: the pieces of one box to one row per variable."""
-    origins = [f"o_{d}" for d in dims]
-    lengths = [f"n_{d}" for d in dims]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        head = {c: table.column(c)[0].as_py() for c in [*by, "shard", *origins, *lengths]}
-        shape = [head[n] for n in lengths]
-        inside = tuple(slice(0, n) for n in shape)
-        positions = [np.frombuffer(p.as_buffer(), "<i4") for p in table.column("_pos")]
+        place = _place(table, by, dims) | {"shard": table.column("shard")[0].as_py()}
+        inside = tuple(slice(0, place[f"n_{d}"]) for d in dims)
         rows = []
         for var, dtype in variables.items():
-            row = {
-                **head,
+            row = place | {
                 "var": var,
                 "dtype": dtype,
                 "codec": codec,
@@ -122,10 +134,8 @@ def _pack(by, dims, variables, box, fill, codec, level, shuffle, drop_empty, str
                 "shuffle": shuffle,
                 "fill": float(fill),
             }
-            values = (np.frombuffer(v.as_buffer(), dtype) for v in table.column(var))
-            counts = table.column(f"_n_{var}").to_pylist()
             try:
-                dense, present = blocks.scatter(box, dtype, fill, zip(positions, values, counts))
+                dense, present = _dense(table, var, box, dtype, fill)
                 dense = dense[inside]
                 if drop_empty and blocks.equals_fill(dense, fill).all():
                     continue
@@ -135,29 +145,56 @@ def _pack(by, dims, variables, box, fill, codec, level, shuffle, drop_empty, str
             except ValueError as exc:
                 if strict:
                     raise
-                row |= {"n_present": sum(counts), "error": str(exc)}
+                row |= {"n_present": 0, "error": str(exc)}
             rows.append(row)
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    kinds = {
-        "n_present": pa.int64(),
-        "raw_bytes": pa.int64(),
-        "stored_bytes": pa.int64(),
-        "payload": pa.binary(),
-        "level": pa.int32(),
-        "shuffle": pa.bool_(),
-        "fill": pa.float64(),
-    }
-    names = [*by, "var", "shard", *origins, *lengths, "dtype", "codec", "level", "shuffle"]
-    names += ["fill", "n_present", "raw_bytes", "stored_bytes", "payload", "error"]
-    whole = {*origins, *lengths}
+    whole = pa.int64()
     schema = pa.schema(
-        [(n, kinds.get(n, pa.int64() if n in whole else pa.string())) for n in names]
+        [(name, pa.string()) for name in [*by, "var", "shard"]]
+        + [(f"o_{d}", whole) for d in dims]
+        + [(f"n_{d}", whole) for d in dims]
+        + [("dtype", pa.string()), ("codec", pa.string()), ("level", pa.int32())]
+        + [("shuffle", pa.bool_()), ("fill", pa.float64())]
+        + [("n_present", whole), ("raw_bytes", whole), ("stored_bytes", whole)]
+        + [("payload", pa.binary()), ("error", pa.string())]
     )
     return pack
 
 
+def _cells_schema(by, dims) -> str:
+    cols = [f"`{name}` string" for name in by] + ["var string"]
+    return ", ".join(cols + [f"{d}_i bigint" for d in dims] + ["v double"])
+
+
+def _cell_batches(by, dims, place: dict, var: str, values: np.ndarray, wanted):
+    """Cells of one box at the flat positions ``wanted``, a slice at a time."""
+    shape = [place[f"n_{d}"] for d in dims]
+    for lo in range(0, len(wanted), CELL_ROWS):
+        flat = wanted[lo : lo + CELL_ROWS]
+        out = {n: pa.repeat(pa.scalar(place[n], pa.string()), len(flat)) for n in by}
+        out["var"] = pa.repeat(pa.scalar(var, pa.string()), len(flat))
+        for d, idx in zip(dims, np.unravel_index(flat, shape)):
+            out[f"{d}_i"] = pa.array(idx + place[f"o_{d}"])
+        out["v"] = pa.array(values[flat].astype(np.float64))
+        yield pa.RecordBatch.from_pydict(out)
+
+
+def _expand(by, dims, variables, box, fill):
+    """Grouped-map body: the pieces of one box to all of its cells."""
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        place = _place(table, by, dims)
+        inside = tuple(slice(0, place[f"n_{d}"]) for d in dims)
+        for var, dtype in variables.items():
+            values = _dense(table, var, box, dtype, fill)[0][inside].reshape(-1)
+            yield from _cell_batches(by, dims, place, var, values, np.arange(values.size))
+
+    return expand
+
+
 def _shard_label(grid: Grid) -> Column:
     return F.concat_ws(
         ".",
@@ -168,26 +205,24 @@ def _shard_label(grid: Grid) -> Column:
     )
 
 
-def _size_of(grid: Grid, dim: str) -> Column:
-    if dim in grid.sizes:
-        return F.lit(grid.sizes[dim]).cast("bigint")
-    return F.col(f"size_{dim}")
-
-
-def _all_boxes(grid: Grid, box, sizes: DataFrame | None, cells: DataFrame) -> DataFrame:
-    """One row per box of the array, with or without cells. Rows are numbered
-    per dim and exploded, so the list is made where it is used."""
-    spark = cells.sparkSession
-    frame = spark.range(1).drop("id") if sizes is None else sizes
-    for k, d in enumerate(grid.dims):
-        step, chunk = box[k], grid.chunk_len(d)
-        starts = F.sequence(F.lit(0).cast("bigint"), _size_of(grid, d) - 1, F.lit(chunk))
-        frame = frame.withColumn(f"_c_{d}", F.explode(starts))
-        end = F.least(F.col(f"_c_{d}") + chunk, _size_of(grid, d)) - 1
-        frame = frame.withColumn(
-            f"o_{d}", F.explode(F.sequence(F.col(f"_c_{d}"), end, F.lit(step).cast("bigint")))
-        ).drop(f"_c_{d}")
-    return frame
+def _gathered(cells, grid, boxes, variables, by, sizes, fill, every_box) -> DataFrame:
+    """Pieces with the bounds of their box, before the shuffle. ``every_box``
+    adds an empty piece for each box, so that boxes without cells appear too."""
+    names = list(variables)
+    placed = cells.select(*by, boxes.cell(lambda d: F.col(f"{d}_i").cast("bigint")).alias("_cell"), *names)
+    pieces = placed.mapInArrow(
+        _gather(by, boxes.elements, variables, fill, GATHER_ROWS),
+        _pieces_schema([(name, "string") for name in by], names),
+    )
+    if every_box:
+        blank = {"_pos": F.lit(b"")}
+        for v in names:
+            blank |= {v: F.lit(b""), f"_n_{v}": F.lit(0).cast("bigint")}
+        empty = boxes.every(sizes, cells.sparkSession).select(*by, "_box")
+        pieces = pieces.unionByName(empty.withColumns(blank))
+    if sizes is not None:
+        pieces = pieces.join(broadcast_within(sizes), list(by))
+    return pieces.withColumns(boxes.bounds("_box"))
 
 
 def encode_chunks(
@@ -216,80 +251,60 @@ def encode_chunks(
     give a row with ``error`` set when ``strict`` is off.
     """
     grid.check()
-    dims, names = grid.dims, list(variables)
-    box = grid.box_lens(max_box_elements)
-    kinds = [(name, "string") for name in by]
-    origins = [f"o_{d}" for d in dims]
-
-    placed = place_in_boxes(
-        cells.select(*by, *(f"{d}_i" for d in dims), *names), grid, max_box_elements
-    ).select(*by, *origins, "_pos", *names)
-    pieces = placed.mapInArrow(
-        _gather(by, dims, variables, fill, GATHER_ROWS), _pieces_schema(kinds, dims, names)
-    )
-    if not drop_empty:
-        empty = _all_boxes(grid, box, sizes, cells).select(*by, *origins)
-        blank = {"_pos": F.lit(b"")}
-        for v in names:
-            blank |= {v: F.lit(b""), f"_n_{v}": F.lit(0).cast("bigint")}
-        pieces = pieces.unionByName(empty.withColumns(blank))
-    if sizes is not None:
-        pieces = pieces.join(broadcast_within(sizes), list(by))
-
-    item = sum(ITEM_SIZES[t] for t in variables.values())
-    unit = F.lit(float(item))
-    clipped = {}
-    for k, d in enumerate(dims):
-        size = _size_of(grid, d)
-        chunk = F.lit(grid.chunk_len(d)).cast("bigint")
-        chunk_end = F.col(f"o_{d}") - F.col(f"o_{d}") % chunk + chunk
-        clipped[f"n_{d}"] = F.least(size, chunk_end, F.col(f"o_{d}") + box[k]) - F.col(f"o_{d}")
-        extent = F.least(size, F.lit(grid.shard[d])) if d in grid.shard else size
-        unit = unit * extent
-    writers = F.greatest(F.ceil(unit / F.lit(writer_bytes)), F.lit(1))
-    pieces = pieces.withColumns(
-        {
-            **clipped,
-            "shard": _shard_label(grid),
-            # one writer per shard of a file, several only past the size target
-            "_writer": F.pmod(F.hash(*origins), writers.cast("int")),
-        }
+    dims, boxes = grid.dims, Boxes(grid, max_box_elements)
+    pieces = _gathered(cells, grid, boxes, variables, by, sizes, fill, not drop_empty)
+    unit = F.lit(float(sum(ITEM_SIZES[t] for t in variables.values())))
+    for d in dims:
+        unit = unit * (F.lit(grid.shard[d]) if d in grid.shard else boxes.size(d))
+    writers = F.greatest(F.ceil(unit / F.lit(writer_bytes)), F.lit(1)).cast("int")
+    # one writer per shard or file, several only past the size target
+    placed = pieces.withColumns(
+        {"shard": _shard_label(grid), "_writer": F.pmod(F.hash("_box"), writers)}
     )
     place = [*by, "shard", "_writer"]
     return (
-        pieces.repartition(*place)
-        .groupBy(*place, *origins)
+        placed.repartition(*place)
+        .groupBy(*place, "_box")
         .applyInArrow(
-            _pack(by, dims, variables, box, fill, codec, level, shuffle, drop_empty, strict),
-            chunk_schema(kinds, dims),
+            _pack(by, dims, variables, boxes.lens, fill, codec, level, shuffle, drop_empty, strict),
+            chunk_schema([(name, "string") for name in by], dims),
         )
     )
 
 
-def _unpack(by, dims, present_only):
-    origins = [f"o_{d}" for d in dims]
-    lengths = [f"n_{d}" for d in dims]
+def dense_cells(
+    cells: DataFrame,
+    grid: Grid,
+    variables: dict[str, str],
+    *,
+    fill: float = float("nan"),
+    by: tuple[str, ...] = (),
+    sizes: DataFrame | None = None,
+    max_box_elements: int = MAX_BOX_ELEMENTS,
+) -> DataFrame:
+    """Every cell of the array, absent ones with ``fill``."""
+    boxes = Boxes(grid, max_box_elements)
+    pieces = _gathered(cells, grid, boxes, variables, by, sizes, fill, True)
+    return pieces.groupBy(*by, "_box").applyInArrow(
+        _expand(by, grid.dims, variables, boxes.lens, fill), _cells_schema(by, grid.dims)
+    )
+
 
+def _unpack(by, dims, present_only):
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = {n: batch.column(n)[at].as_py() for n in batch.schema.names if n != "payload"}
-                shape = [row[n] for n in lengths]
-                count = prod(shape)
-                payload = batch.column("payload")[at].as_buffer()
-                values = blocks.decode(payload, row["dtype"], row["codec"], row["shuffle"], count)
+            payloads = batch.column("payload")
+            facts = batch.drop_columns(["payload"]).to_pylist()
+            for row, payload in zip(facts, payloads):
+                count = prod(row[f"n_{d}"] for d in dims)
+                values = blocks.decode(
+                    payload.as_buffer(), row["dtype"], row["codec"], row["shuffle"], count
+                )
                 if present_only:
                     wanted = np.flatnonzero(~blocks.equals_fill(values, row["fill"]))
                 else:
                     wanted = np.arange(count)
-                for lo in range(0, len(wanted), DECODE_ROWS):
-                    flat = wanted[lo : lo + DECODE_ROWS]
-                    out = {n: pa.repeat(pa.scalar(row[n], pa.string()), len(flat)) for n in by}
-                    out["var"] = pa.repeat(pa.scalar(row["var"], pa.string()), len(flat))
-                    for d, idx in zip(dims, np.unravel_index(flat, shape)):
-                        out[f"{d}_i"] = pa.array(idx.astype(np.int64) + row[f"o_{d}"])
-                    out["v"] = pa.array(values[flat].astype(np.float64))
-                    yield pa.RecordBatch.from_pydict(out)
+                yield from _cell_batches(by, dims, row, row["var"], values, wanted)
 
     return unpack
 
@@ -300,32 +315,4 @@ def decode_chunks(
     """Cells of a chunk table, ``v`` as double; ``present_only`` leaves out fill."""
     need = [*by, "var", *(f"o_{d}" for d in dims), *(f"n_{d}" for d in dims)]
     need += ["dtype", "codec", "shuffle", "fill", "payload"]
-    cols = [f"`{name}` string" for name in by] + ["var string"]
-    cols += [f"{d}_i bigint" for d in dims] + ["v double"]
-    return chunks.select(*need).mapInArrow(_unpack(by, dims, present_only), ", ".join(cols))
-
-
-def dense_cells(
-    cells: DataFrame,
-    grid: Grid,
-    variables: dict[str, str],
-    *,
-    fill: float = float("nan"),
-    by: tuple[str, ...] = (),
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Every cell of the array, absent ones with ``fill``: uncompressed boxes
-    are filled where they are packed and expanded again in the same stage."""
-    boxes = encode_chunks(
-        cells,
-        grid,
-        variables,
-        by=by,
-        sizes=sizes,
-        codec="none",
-        level=0,
-        shuffle=False,
-        fill=fill,
-        drop_empty=False,
-    )
-    return decode_chunks(boxes, grid.dims, by)
+    return chunks.select(*need).mapInArrow(_unpack(by, dims, present_only), _cells_schema(by, dims))

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,8 +12,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Chunk rows carry megabytes of payload: bound Arrow batches by bytes.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
@@ -25,6 +24,22 @@ def build_session(app: str = "gridloom", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+@contextmanager
+def rows_only_batches(spark: SparkSession):
+    """Bound Arrow batches by rows alone while a job packs cells.
+
+    The byte bound is tested after each row, which costs more than sending a
+    cell of a few bytes. Rows that carry payloads need it, so it is put back.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(2**31 - 1) + "b")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame
 
+from gridloom.session import rows_only_batches
+
 # A chunk row can be tens of megabytes: check sizes per row, and do not
 # compress payloads a second time.
 _LAYOUT = {
@@ -12,26 +14,19 @@ _LAYOUT = {
 }
 
 
+def _write(chunks: DataFrame, path: str, scope: str, by: tuple[str, ...]) -> str:
+    writer = chunks.write.mode("overwrite").options(**_LAYOUT)
+    with rows_only_batches(chunks.sparkSession):
+        writer.option("partitionOverwriteMode", scope).partitionBy(*by).parquet(path)
+    return path
+
+
 def write_store(chunks: DataFrame, path: str) -> str:
     """Replace the whole store at ``path``; a shard is one folder per variable."""
-    (
-        chunks.write.mode("overwrite")
-        .options(**_LAYOUT)
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("var", "shard")
-        .parquet(path)
-    )
-    return path
+    return _write(chunks, path, "static", ("var", "shard"))
 
 
 def replace_files(chunks: DataFrame, path: str, by: tuple[str, ...] = ("file",)) -> str:
     """Replace only the files present in ``chunks``, once the job has succeeded;
     a failed job leaves every earlier output as it was."""
-    (
-        chunks.write.mode("overwrite")
-        .options(**_LAYOUT)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-    return path
+    return _write(chunks, path, "dynamic", by)

@@ -32,12 +32,13 @@ def rows_of(names, rows) -> Counter:
     return Counter(tuple(_cell(row[k]) for k in order) for row in rows)
 
 
-def compare(spark, con, sf_dir: str, name: str) -> list[str]:
+def compare(spark, con, sf_dir: str, name: str) -> tuple[int, list[str]]:
+    """Rows of the query, and how it differs from its SQL."""
     frame = entry.queries()[name](spark, sf_dir)
     got = rows_of(frame.columns, frame.collect())
     sql = entry.oracle_sql().get(name)
     if sql is None:
-        return []
+        return sum(got.values()), []
     found = con.execute(sql)
     names = [c[0] for c in found.description]
     want = rows_of(names, found.fetchall())
@@ -53,7 +54,7 @@ def compare(spark, con, sf_dir: str, name: str) -> list[str]:
         problems.append(f"{sum(got.values())} rows, SQL {sum(want.values())}")
         problems.append(f"only here {list((got - want).items())[:3]}")
         problems.append(f"only SQL {list((want - got).items())[:3]}")
-    return problems
+    return sum(got.values()), problems
 
 
 def main() -> None:
@@ -70,11 +71,11 @@ def main() -> None:
     for name in names:
         start = time.time()
         try:
-            problems = compare(spark, con, sf_dir, name)
+            count, problems = compare(spark, con, sf_dir, name)
         except Exception as exc:
-            problems = [f"{type(exc).__name__}: {str(exc)[:600]}"]
+            count, problems = 0, [f"{type(exc).__name__}: {str(exc)[:600]}"]
         bad += bool(problems)
-        print(f"{'BAD ' if problems else 'ok  '} {name} {time.time() - start:.1f}s", flush=True)
+        print(f"{'BAD ' if problems else 'ok  '} {name} {count} rows {time.time() - start:.1f}s", flush=True)
         for p in problems:
             print("     ", p, flush=True)
     print(f"{len(names) - bad} of {len(names)} equal")
