@@ -209,7 +209,8 @@ def _gathered(cells, grid, boxes, variables, by, sizes, fill, every_box) -> Data
     """Pieces with the bounds of their box, before the shuffle. ``every_box``
     adds an empty piece for each box, so that boxes without cells appear too."""
     names = list(variables)
-    placed = cells.select(*by, boxes.cell(lambda d: F.col(f"{d}_i").cast("bigint")).alias("_cell"), *names)
+    cell = boxes.cell(lambda d: F.col(f"{d}_i").cast("bigint"))
+    placed = cells.select(*by, cell.alias("_cell"), *names)
     pieces = placed.mapInArrow(
         _gather(by, boxes.elements, variables, fill, GATHER_ROWS),
         _pieces_schema([(name, "string") for name in by], names),

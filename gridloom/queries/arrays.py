@@ -13,7 +13,7 @@ from gridloom.operators.chunking import (
 from gridloom.operators.codec import dense_cells
 from gridloom.operators.selecting import select_day, select_variable
 from gridloom.queries import inputs as I
-from gridloom.sources.cells import concat, file_extents, file_offsets, label_positions
+from gridloom.sources.cells import concat, file_offsets, label_positions
 
 CELL = "time_i, step_i, latitude_i, longitude_i"
 
@@ -62,13 +62,12 @@ def chunk_stats_grid(spark, sf):
 
 
 def fill_missing(spark, sf):
-    cells = I.grid(spark, sf)
-    return dense_cells(cells, I.grid_layout(cells), {"v": "float64"}).drop("var")
+    layout = I.grid_layout(spark, sf)
+    return dense_cells(I.grid(spark, sf), layout, {"v": "float64"}).drop("var")
 
 
 def drop_empty_chunks(spark, sf):
-    cells = I.grid(spark, sf)
-    dense = dense_cells(cells, I.grid_layout(cells), {"v": "float64"})
+    dense = dense_cells(I.grid(spark, sf), I.grid_layout(spark, sf), {"v": "float64"})
     fine = Grid(I.GRID_DIMS, chunk={"time": 1, "step": 2, "latitude": 2, "longitude": 5})
     return nonempty_chunks(dense, fine, "v")
 

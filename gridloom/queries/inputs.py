@@ -33,9 +33,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def sizes_of(cells: DataFrame, dims) -> dict[str, int]:
-    """Dim lengths, in one pass of partial maxima."""
-    row = cells.agg(*[(F.max(f"{d}_i") + 1).alias(d) for d in dims]).first()
+def sizes_of(rows: DataFrame, dims) -> dict[str, int]:
+    """Dim lengths, where no file header states them: partial maxima of the
+    positions, without grouping the rows to cells first."""
+    row = rows.agg(*[(F.max(f"{d}_i") + 1).alias(d) for d in dims]).first()
     return {d: int(row[d]) for d in dims}
 
 
@@ -64,13 +65,22 @@ def _day_path():
     return F.concat(F.lit("ECMWF/"), F.date_format("ts", "yyyy/MM/dd"), F.lit(".nc"))
 
 
-def grid(spark, sf) -> DataFrame:
-    keys = [
+def grid_rows(spark, sf) -> DataFrame:
+    return table(spark, sf, "events").select(
         F.datediff("ts", F.lit(START)).cast("bigint").alias("time_i"),
         F.hour("ts").cast("bigint").alias("step_i"),
         *_user_cell(),
-    ]
-    return table(spark, sf, "events").groupBy(*keys).agg(F.max("value").alias("v"))
+        F.col("value").alias("v"),
+    )
+
+
+def grid(spark, sf) -> DataFrame:
+    rows = grid_rows(spark, sf)
+    return rows.groupBy(*(f"{d}_i" for d in GRID_DIMS)).agg(F.max("v").alias("v"))
+
+
+def grid_layout(spark, sf) -> Grid:
+    return Grid(GRID_DIMS, sizes_of(grid_rows(spark, sf), GRID_DIMS), GRID_CHUNK, GRID_SHARD)
 
 
 GRID = f"""grid AS (
@@ -80,18 +90,24 @@ GRID = f"""grid AS (
   FROM events GROUP BY ALL)"""
 
 
-def grid_layout(cells: DataFrame, chunk=GRID_CHUNK, shard=GRID_SHARD) -> Grid:
-    return Grid(GRID_DIMS, sizes_of(cells, GRID_DIMS), chunk, shard)
-
-
-def day_files(spark, sf) -> DataFrame:
-    keys = [
+def day_rows(spark, sf) -> DataFrame:
+    return table(spark, sf, "events").select(
         _day_path().alias("file"),
         F.hour("ts").cast("bigint").alias("time_i"),
         F.expr("minute(ts) div 15").cast("bigint").alias("step_i"),
         *_user_cell(),
-    ]
-    return table(spark, sf, "events").groupBy(*keys).agg(F.max("value").alias("v"))
+        F.col("value").alias("v"),
+    )
+
+
+def day_files(spark, sf) -> DataFrame:
+    rows = day_rows(spark, sf)
+    return rows.groupBy("file", *(f"{d}_i" for d in GRID_DIMS)).agg(F.max("v").alias("v"))
+
+
+def day_sizes(spark, sf) -> dict[str, int]:
+    """Lengths of the dims that all day files share."""
+    return sizes_of(day_rows(spark, sf), GRID_DIMS[1:])
 
 
 DAY_FILES = """day_files AS (
@@ -112,21 +128,26 @@ def readings(spark, sf) -> DataFrame:
     )
 
 
-def stations(spark, sf) -> DataFrame:
-    keys = [
+def station_rows(spark, sf) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("station_i"),
         F.datediff("l_shipdate", F.lit(SHIP_START)).cast("bigint").alias("time_i"),
-    ]
-    return (
-        table(spark, sf, "lineitem")
-        .groupBy(*keys)
-        .agg(
-            F.max("l_extendedprice").alias("airTemperature"),
-            F.max("l_quantity").alias("rainfall"),
-        )
+        F.col("l_extendedprice").alias("airTemperature"),
+        F.col("l_quantity").alias("rainfall"),
+    )
+
+
+def stations(spark, sf) -> DataFrame:
+    rows = station_rows(spark, sf)
+    return rows.groupBy("station_i", "time_i").agg(
+        *[F.max(v).alias(v) for v in ("airTemperature", "rainfall")]
     )
 
 
+def station_sizes(spark, sf) -> dict[str, int]:
+    return sizes_of(station_rows(spark, sf), STATION_DIMS)
+
+
 STATIONS = f"""stations AS (
   SELECT l_suppkey AS station_i,
          date_diff('day', DATE '{SHIP_START}', CAST(l_shipdate AS DATE)) AS time_i,
@@ -136,10 +157,6 @@ STATIONS = f"""stations AS (
 STATION_VARS = {"airTemperature": "float64", "rainfall": "float64"}
 
 
-def station_grid(cells: DataFrame) -> Grid:
-    return Grid(STATION_DIMS, sizes_of(cells, STATION_DIMS), STATION_CHUNK, STATION_SHARD)
-
-
 def _catalog_rows(files: DataFrame, dataset: str, var: str, dtype: str, dims) -> DataFrame:
     """A data variable over ``dims`` and one coordinate per dim, per file."""
 

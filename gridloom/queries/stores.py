@@ -10,9 +10,8 @@ from gridloom.plans.rechunk import BY, rechunk
 from gridloom.plans.store import many_files_store, single_source_store
 from gridloom.queries import inputs as I
 from gridloom.session import materialized, scratch_folder
-from gridloom.sinks.chunks import replace_files, write_store
+from gridloom.sinks.chunks import write_store
 from gridloom.sinks.results import RunFailed, run_summary
-from gridloom.sources.cells import file_extents
 from gridloom.sources.store import read_cells, read_chunks
 
 STATION_SPEC = {
@@ -68,7 +67,7 @@ def _station_store(spark, sf) -> str:
     return single_source_store(
         cells,
         I.STATION_DIMS,
-        I.sizes_of(cells, I.STATION_DIMS),
+        I.station_sizes(spark, sf),
         I.STATION_VARS,
         STATION_SPEC,
         scratch_folder(spark, "stations"),
@@ -90,12 +89,11 @@ def chunk_store_scan(spark, sf):
 def joined_store(spark, sf, dry_run=False) -> str:
     cells = I.day_files(spark, sf)
     files = I.day_manifest(spark, sf)
-    rest = I.GRID_DIMS[1:]
     return many_files_store(
         cells,
         files,
         I.GRID_DIMS,
-        I.sizes_of(cells, rest),
+        I.day_sizes(spark, sf),
         {"v": "float64"},
         JOINED_SPEC,
         scratch_folder(spark, "joined"),
@@ -113,9 +111,14 @@ def dry_run_store(spark, sf):
     return read_cells(spark, store, I.GRID_DIMS, present_only=True).drop("var")
 
 
-def _file_grid(cells) -> Grid:
-    rest = I.GRID_DIMS[1:]
-    return Grid(I.GRID_DIMS, I.sizes_of(cells, rest), chunk=I.FILE_CHUNK)
+def _file_grid(spark, sf) -> Grid:
+    return Grid(I.GRID_DIMS, I.day_sizes(spark, sf), chunk=I.FILE_CHUNK)
+
+
+def _day_sizes(spark, sf):
+    """Length of time in each day file, written once."""
+    dataset = F.lit("ecmwf").alias("dataset")
+    return materialized(I.day_manifest(spark, sf).select(dataset, "file", "size_time"))
 
 
 def _work(sizes):
@@ -128,9 +131,9 @@ def _work(sizes):
 
 def rechunk_write(spark, sf):
     cells = I.day_files(spark, sf).withColumn("dataset", F.lit("ecmwf"))
-    sizes = materialized(file_extents(cells, "time", BY))
+    sizes = _day_sizes(spark, sf)
     out = scratch_folder(spark, "rechunked")
-    rechunk(cells, sizes, _work(sizes), _file_grid(cells), {"v": "float64"}, 7, out)
+    rechunk(cells, sizes, _work(sizes), _file_grid(spark, sf), {"v": "float64"}, 7, out)
     read = read_cells(spark, out, I.GRID_DIMS, BY, present_only=True)
     return read.drop("var", "dataset")
 
@@ -139,8 +142,8 @@ def atomic_replace(spark, sf):
     """All files written; those from the 16th on replaced; then a run in which
     every file is broken, which must change nothing."""
     cells = I.day_files(spark, sf).withColumn("dataset", F.lit("ecmwf"))
-    sizes = materialized(file_extents(cells, "time", BY))
-    grid, out = _file_grid(cells), scratch_folder(spark, "replaced")
+    sizes = _day_sizes(spark, sf)
+    grid, out = _file_grid(spark, sf), scratch_folder(spark, "replaced")
     work, variables = _work(sizes), {"v": "float64"}
     rechunk(cells, sizes, work, grid, variables, 7, out)
     later = cells.filter(F.col("file") >= "ECMWF/2024/01/16.nc")
@@ -156,7 +159,7 @@ def atomic_replace(spark, sf):
 def _results(spark, sf):
     """Rechunk the per-minute readings; a file that gives a cell twice fails."""
     cells = I.readings(spark, sf)
-    sizes = materialized(file_extents(cells, "time", BY))
+    sizes = _day_sizes(spark, sf)
     grid = Grid(
         I.GRID_DIMS,
         I.sizes_of(cells, I.GRID_DIMS[1:]),
@@ -179,8 +182,11 @@ def summary(spark, sf):
 def stats(spark, sf):
     """Storage statistics of the uncompressed station store."""
     cells = I.stations(spark, sf)
+    grid = Grid(
+        I.STATION_DIMS, I.station_sizes(spark, sf), I.STATION_CHUNK, I.STATION_SHARD
+    )
     chunks = encode_chunks(
-        cells, I.station_grid(cells), I.STATION_VARS, codec="none", level=0, shuffle=False
+        cells, grid, I.STATION_VARS, codec="none", level=0, shuffle=False
     )
     store = write_store(chunks, scratch_folder(spark, "plain"))
     found = storage_stats(read_chunks(spark, store, I.STATION_DIMS), I.STATION_DIMS)
