@@ -56,5 +56,7 @@ def date_of(path: Column) -> Column:
 
 
 def parts(path: Column) -> Column:
-    """Sort key that orders paths component by component."""
-    return F.split(path, "/")
+    """Sort key that orders paths component by component: the separator is made
+    to sort before every character of a name. A plain string sorts much faster
+    than an array of components."""
+    return F.translate(path, "/", "\x01")

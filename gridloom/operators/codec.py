@@ -7,7 +7,7 @@ row per cell. A group is one box of a bounded number of elements.
 """
 
 from collections.abc import Iterator
-from math import prod
+from math import ceil, prod
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,8 @@ from gridloom.operators.boxes import Boxes
 
 # A box of the widest contract chunk (7.6 M elements) stays in one piece.
 MAX_BOX_ELEMENTS = 8 * 1024 * 1024
-# Dense bytes one task writes; a larger shard or file gets several writers.
-WRITER_BYTES = 1024 * 1024 * 1024
+# Dense bytes one task packs and writes; a larger shard or file gets several writers.
+WRITER_BYTES = 256 * 1024 * 1024
 # Cells gathered in a map task before its pieces are sent on.
 GATHER_ROWS = 1_000_000
 # Cells per Arrow batch when boxes are expanded again.
@@ -254,17 +254,20 @@ def encode_chunks(
     grid.check()
     dims, boxes = grid.dims, Boxes(grid, max_box_elements)
     pieces = _gathered(cells, grid, boxes, variables, by, sizes, fill, not drop_empty)
-    unit = F.lit(float(sum(ITEM_SIZES[t] for t in variables.values())))
+    item = float(sum(ITEM_SIZES[t] for t in variables.values()))
+    unit, whole = F.lit(item), F.lit(item)
     for d in dims:
         unit = unit * (F.lit(grid.shard[d]) if d in grid.shard else boxes.size(d))
+        whole = whole * boxes.size(d)
     writers = F.greatest(F.ceil(unit / F.lit(writer_bytes)), F.lit(1)).cast("int")
     # one writer per shard or file, several only past the size target
     placed = pieces.withColumns(
         {"shard": _shard_label(grid), "_writer": F.pmod(F.hash("_box"), writers)}
     )
     place = [*by, "shard", "_writer"]
+    tasks = _tasks(cells.sparkSession, sizes, whole, writer_bytes)
     return (
-        placed.repartition(*place)
+        placed.repartition(tasks, *place)
         .groupBy(*place, "_box")
         .applyInArrow(
             _pack(by, dims, variables, boxes.lens, fill, codec, level, shuffle, drop_empty, strict),
@@ -273,6 +276,15 @@ def encode_chunks(
     )
 
 
+def _tasks(spark, sizes: DataFrame | None, whole: Column, writer_bytes: int) -> int:
+    """Tasks for packing, by dense bytes. Sparse cells are few bytes in the
+    shuffle but full boxes once packed, so the count must not be left to the
+    size of the shuffle."""
+    frame = spark.range(1) if sizes is None else sizes
+    total = frame.agg(F.sum(whole)).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(total / writer_bytes))
+
+
 def dense_cells(
     cells: DataFrame,
     grid: Grid,
@@ -286,7 +298,11 @@ def dense_cells(
     """Every cell of the array, absent ones with ``fill``."""
     boxes = Boxes(grid, max_box_elements)
     pieces = _gathered(cells, grid, boxes, variables, by, sizes, fill, True)
-    return pieces.groupBy(*by, "_box").applyInArrow(
+    whole = F.lit(float(sum(ITEM_SIZES[t] for t in variables.values())))
+    for d in grid.dims:
+        whole = whole * boxes.size(d)
+    tasks = _tasks(cells.sparkSession, sizes, whole, WRITER_BYTES)
+    return pieces.repartition(tasks, *by, "_box").groupBy(*by, "_box").applyInArrow(
         _expand(by, grid.dims, variables, boxes.lens, fill), _cells_schema(by, grid.dims)
     )
 

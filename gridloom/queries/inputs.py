@@ -61,8 +61,18 @@ def _user_cell() -> list:
     ]
 
 
+def _day():
+    return F.to_date("ts").alias("day")
+
+
 def _day_path():
-    return F.concat(F.lit("ECMWF/"), F.date_format("ts", "yyyy/MM/dd"), F.lit(".nc"))
+    """File of a day; rows are grouped by the day itself, which is the shorter key."""
+    path = F.concat(F.lit("ECMWF/"), F.date_format("day", "yyyy/MM/dd"), F.lit(".nc"))
+    return path.alias("file")
+
+
+def _station_path():
+    return F.concat(F.lit("DPIRD/"), "l_suppkey", F.lit(".nc")).alias("file")
 
 
 def grid_rows(spark, sf) -> DataFrame:
@@ -92,7 +102,7 @@ GRID = f"""grid AS (
 
 def day_rows(spark, sf) -> DataFrame:
     return table(spark, sf, "events").select(
-        _day_path().alias("file"),
+        _day(),
         F.hour("ts").cast("bigint").alias("time_i"),
         F.expr("minute(ts) div 15").cast("bigint").alias("step_i"),
         *_user_cell(),
@@ -101,8 +111,9 @@ def day_rows(spark, sf) -> DataFrame:
 
 
 def day_files(spark, sf) -> DataFrame:
-    rows = day_rows(spark, sf)
-    return rows.groupBy("file", *(f"{d}_i" for d in GRID_DIMS)).agg(F.max("v").alias("v"))
+    keys = [f"{d}_i" for d in GRID_DIMS]
+    cells = day_rows(spark, sf).groupBy("day", *keys).agg(F.max("v").alias("v"))
+    return cells.select(_day_path(), *keys, "v")
 
 
 def day_sizes(spark, sf) -> dict[str, int]:
@@ -118,9 +129,9 @@ DAY_FILES = """day_files AS (
 
 
 def readings(spark, sf) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return table(spark, sf, "events").withColumn("day", _day()).select(
         F.lit("ecmwf").alias("dataset"),
-        _day_path().alias("file"),
+        _day_path(),
         F.hour("ts").cast("bigint").alias("time_i"),
         F.minute("ts").cast("bigint").alias("step_i"),
         *_user_cell(),
@@ -181,21 +192,23 @@ def catalog(spark, sf) -> DataFrame:
     """Dims of every array: one grid file per event day, one station file per supplier."""
     days = (
         table(spark, sf, "events")
-        .groupBy(_day_path().alias("file"))
+        .groupBy(_day())
         .agg(
             (F.max(F.hour("ts")) + 1).cast("bigint").alias("time"),
             (F.max(F.minute("ts")) + 1).cast("bigint").alias("step"),
             F.max(F.expr("user_id div 15 + 1")).alias("latitude"),
             (F.max(F.col("user_id") % 15) + 1).alias("longitude"),
         )
+        .withColumn("file", _day_path())
     )
     suppliers = (
         table(spark, sf, "lineitem")
-        .groupBy(F.concat(F.lit("DPIRD/"), "l_suppkey", F.lit(".nc")).alias("file"))
+        .groupBy("l_suppkey")
         .agg(
             F.max("l_linenumber").cast("bigint").alias("station"),
             (F.max(F.datediff("l_shipdate", F.lit(SHIP_START))) + 1).cast("bigint").alias("time"),
         )
+        .withColumn("file", _station_path())
     )
     return _catalog_rows(days, "ecmwf", "t2m", "float32", GRID_DIMS).unionByName(
         _catalog_rows(suppliers, "dpird", "airTemperature", "float64", STATION_DIMS)
@@ -231,16 +244,15 @@ def attributes(spark, sf) -> DataFrame:
     """Dataset-level and variable-level attributes of every file."""
     days = (
         table(spark, sf, "events")
-        .groupBy(F.lit("ecmwf").alias("dataset"), _day_path().alias("file"))
+        .groupBy(_day())
         .agg(F.min("event_type").alias("source"), F.max("event_type").alias("units"))
+        .select(F.lit("ecmwf").alias("dataset"), _day_path(), "source", "units")
     )
     suppliers = (
         table(spark, sf, "lineitem")
-        .groupBy(
-            F.lit("dpird").alias("dataset"),
-            F.concat(F.lit("DPIRD/"), "l_suppkey", F.lit(".nc")).alias("file"),
-        )
+        .groupBy("l_suppkey")
         .agg(F.min("l_returnflag").alias("source"), F.max("l_linestatus").alias("units"))
+        .select(F.lit("dpird").alias("dataset"), _station_path(), "source", "units")
     )
     rows = days.unionByName(suppliers)
     return rows.selectExpr(
@@ -266,7 +278,7 @@ def old_stats(spark, sf) -> DataFrame:
     lengths = F.array(F.max("l_linenumber").cast("bigint"))
     return (
         table(spark, sf, "lineitem")
-        .groupBy(F.concat(F.lit("part_"), "l_partkey").alias("name"))
+        .groupBy("l_partkey")
         .agg(
             F.when(F.max("l_discount") < 0.1, 0)
             .otherwise(F.sum("l_quantity"))
@@ -276,6 +288,13 @@ def old_stats(spark, sf) -> DataFrame:
             F.array(F.count(F.lit(1)), F.max("l_linenumber").cast("bigint")).alias("shape"),
             F.when(F.max("l_tax") > 0.07, "float64").otherwise("float32").alias("dtype"),
         )
+        .select(
+            F.concat(F.lit("part_"), "l_partkey").alias("name"),
+            "storage",
+            "chunks",
+            "shape",
+            "dtype",
+        )
     )
 
 
@@ -344,11 +363,12 @@ def day_manifest(spark, sf) -> DataFrame:
     """One row per event day file: its rows and its hours."""
     return (
         table(spark, sf, "events")
-        .groupBy(_day_path().alias("file"))
+        .groupBy(_day())
         .agg(
             F.count(F.lit(1)).alias("length"),
             (F.max(F.hour("ts")) + 1).cast("bigint").alias("size_time"),
         )
+        .select(_day_path(), "length", "size_time")
     )
 
 

@@ -55,8 +55,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(_shared_root(spark))
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and go on from the written table,
+    whose size the optimizer then knows."""
+    folder = scratch_folder(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
