@@ -25,9 +25,12 @@ def with_running_total(
     """
     counting = size is None
     size = F.lit(1).cast("bigint") if counting else size.cast("bigint")
+    # sort by columns: a sort expression would be evaluated at every comparison
+    keys = {f"_key{k}": expr for k, expr in enumerate(order)}
     placed = materialized(
-        df.withColumn("_size", size)
-        .orderBy(*order)
+        df.withColumns({**keys, "_size": size})
+        .orderBy(*keys)
+        .drop(*keys)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_seq", F.monotonically_increasing_id())
     )
