@@ -8,10 +8,14 @@ from gridloom.session import materialized
 BROADCAST_ROWS = 100_000
 
 
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_within(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None
+) -> DataFrame:
     """Mark ``df`` for broadcast when it is counted to be small; otherwise leave
-    the join to the optimizer. For narrow, already materialized tables."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    the join to the optimizer. For narrow tables; ``rows`` if already counted."""
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def with_running_total(

@@ -22,8 +22,9 @@ from gridloom.operators.boxes import Boxes
 
 # A box of the widest contract chunk (7.6 M elements) stays in one piece.
 MAX_BOX_ELEMENTS = 8 * 1024 * 1024
-# Dense bytes one task packs and writes; a larger shard or file gets several writers.
-WRITER_BYTES = 256 * 1024 * 1024
+# Dense bytes one task packs and writes: a larger shard or file gets several
+# writers. Less data is spread over the shuffle partitions, down to the smaller.
+WRITER_BYTES = (32 * 1024 * 1024, 256 * 1024 * 1024)
 # Cells gathered in a map task before its pieces are sent on.
 GATHER_ROWS = 1_000_000
 # Cells per Arrow batch when boxes are expanded again.
@@ -205,7 +206,7 @@ def _shard_label(grid: Grid) -> Column:
     )
 
 
-def _gathered(cells, grid, boxes, variables, by, sizes, fill, every_box) -> DataFrame:
+def _gathered(cells, boxes, variables, by, sizes, files, fill, every_box) -> DataFrame:
     """Pieces with the bounds of their box, before the shuffle. ``every_box``
     adds an empty piece for each box, so that boxes without cells appear too."""
     names = list(variables)
@@ -222,7 +223,7 @@ def _gathered(cells, grid, boxes, variables, by, sizes, fill, every_box) -> Data
         empty = boxes.every(sizes, cells.sparkSession).select(*by, "_box")
         pieces = pieces.unionByName(empty.withColumns(blank))
     if sizes is not None:
-        pieces = pieces.join(broadcast_within(sizes), list(by))
+        pieces = pieces.join(broadcast_within(sizes, rows=files), list(by))
     return pieces.withColumns(boxes.bounds("_box"))
 
 
@@ -240,7 +241,7 @@ def encode_chunks(
     drop_empty: bool = True,
     strict: bool = True,
     max_box_elements: int = MAX_BOX_ELEMENTS,
-    writer_bytes: int = WRITER_BYTES,
+    writer_bytes: tuple[int, int] = WRITER_BYTES,
 ) -> DataFrame:
     """Chunk table of ``cells``: one compressed row per chunk and variable.
 
@@ -253,19 +254,14 @@ def encode_chunks(
     """
     grid.check()
     dims, boxes = grid.dims, Boxes(grid, max_box_elements)
-    pieces = _gathered(cells, grid, boxes, variables, by, sizes, fill, not drop_empty)
-    item = float(sum(ITEM_SIZES[t] for t in variables.values()))
-    unit, whole = F.lit(item), F.lit(item)
-    for d in dims:
-        unit = unit * (F.lit(grid.shard[d]) if d in grid.shard else boxes.size(d))
-        whole = whole * boxes.size(d)
-    writers = F.greatest(F.ceil(unit / F.lit(writer_bytes)), F.lit(1)).cast("int")
-    # one writer per shard or file, several only past the size target
+    files, tasks, share = _spread(cells.sparkSession, boxes, variables, sizes, writer_bytes)
+    pieces = _gathered(cells, boxes, variables, by, sizes, files, fill, not drop_empty)
+    unit = _dense_bytes(boxes, variables, grid.shard)
+    writers = F.greatest(F.ceil(unit / F.lit(share)), F.lit(1)).cast("int")
     placed = pieces.withColumns(
         {"shard": _shard_label(grid), "_writer": F.pmod(F.hash("_box"), writers)}
     )
     place = [*by, "shard", "_writer"]
-    tasks = _tasks(cells.sparkSession, sizes, whole, writer_bytes)
     return (
         placed.repartition(tasks, *place)
         .groupBy(*place, "_box")
@@ -276,13 +272,25 @@ def encode_chunks(
     )
 
 
-def _tasks(spark, sizes: DataFrame | None, whole: Column, writer_bytes: int) -> int:
-    """Tasks for packing, by dense bytes. Sparse cells are few bytes in the
-    shuffle but full boxes once packed, so the count must not be left to the
-    size of the shuffle."""
+def _dense_bytes(boxes: Boxes, variables: dict[str, str], extent: dict[str, int]) -> Column:
+    """Bytes of all variables over ``extent``, whole dims where it names none."""
+    total = F.lit(float(sum(ITEM_SIZES[t] for t in variables.values())))
+    for d in boxes.grid.dims:
+        total = total * (F.lit(extent[d]) if d in extent else boxes.size(d))
+    return total
+
+
+def _spread(spark, boxes, variables, sizes: DataFrame | None, bounds) -> tuple[int, int, float]:
+    """Files, tasks for packing, and the dense bytes of each task. Sparse cells
+    are few bytes in the shuffle but full boxes once packed, so the number of
+    tasks must not be left to the size of the shuffle."""
     frame = spark.range(1) if sizes is None else sizes
-    total = frame.agg(F.sum(whole)).first()[0] or 0
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(total / writer_bytes))
+    dense = F.sum(_dense_bytes(boxes, variables, {}))
+    files, total = frame.agg(F.count(F.lit(1)), F.coalesce(dense, F.lit(0.0))).first()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least, most = bounds
+    share = float(min(most, max(least, total / partitions)))
+    return files, max(partitions, ceil(total / share)), share
 
 
 def dense_cells(
@@ -297,11 +305,8 @@ def dense_cells(
 ) -> DataFrame:
     """Every cell of the array, absent ones with ``fill``."""
     boxes = Boxes(grid, max_box_elements)
-    pieces = _gathered(cells, grid, boxes, variables, by, sizes, fill, True)
-    whole = F.lit(float(sum(ITEM_SIZES[t] for t in variables.values())))
-    for d in grid.dims:
-        whole = whole * boxes.size(d)
-    tasks = _tasks(cells.sparkSession, sizes, whole, WRITER_BYTES)
+    files, tasks, _ = _spread(cells.sparkSession, boxes, variables, sizes, WRITER_BYTES)
+    pieces = _gathered(cells, boxes, variables, by, sizes, files, fill, True)
     return pieces.repartition(tasks, *by, "_box").groupBy(*by, "_box").applyInArrow(
         _expand(by, grid.dims, variables, boxes.lens, fill), _cells_schema(by, grid.dims)
     )

@@ -4,13 +4,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.contract import STORE_CODEC
-from gridloom.functions.ordering import broadcast_within
 from gridloom.functions.values import resolve_fill
 from gridloom.model import Grid
 from gridloom.operators.codec import encode_chunks
 from gridloom.sinks.chunks import write_store
-from gridloom.sources.cells import concat, file_offsets, total_size
-from gridloom.sources.manifest import require_files, sample_file
+from gridloom.sources.cells import concat, file_offsets
+from gridloom.sources.manifest import in_order, sample_file
 
 
 def _grid(dims, sizes, spec) -> Grid:
@@ -54,16 +53,17 @@ def many_files_store(
     ``files`` has one row per file: ``file`` and ``size_<along>``. A dry run
     takes the tenth file only.
     """
-    require_files(files, 2, "a store of many files needs at least two")
-    placed = file_offsets(files, along).withColumnRenamed("offset", "start")
+    placed = file_offsets(files, along)
+    found = placed.agg(F.count(F.lit(1)), F.sum(f"size_{along}")).first()
+    n_files, length = found[0], found[1]
+    if n_files < 2:
+        raise FileNotFoundError("a store of many files needs at least two")
     if dry_run:
-        ordered = file_offsets(files.withColumn(f"size_{along}", F.lit(1)), along)
-        chosen = sample_file(ordered.withColumn("ord", F.col("offset") + 1)).select("file")
-        placed = placed.join(chosen, "file", "left_semi").withColumn(
-            "start", F.lit(0).cast("bigint")
+        # the tenth file on its own, from the start of the array
+        placed = sample_file(in_order(placed, "file")).withColumn(
+            "offset", F.lit(0).cast("bigint")
         )
-        cells = cells.join(broadcast_within(chosen), "file", "left_semi")
-    length = total_size(placed, along)
-    joined = concat(cells, placed.withColumnRenamed("start", "offset"), along)
+        n_files, length = 1, placed.first()[f"size_{along}"]
+    joined = concat(cells, placed, along, files=n_files)
     grid = _grid(dims, {**sizes, along: length}, spec)
     return write_store(_encoded(joined, grid, variables, spec), out)

@@ -30,11 +30,12 @@ def file_offsets(
 
 
 def concat(
-    cells: DataFrame, offsets: DataFrame, dim: str, file: str = "file"
+    cells: DataFrame, offsets: DataFrame, dim: str, file: str = "file", files: int | None = None
 ) -> DataFrame:
     """Join files end to end along ``dim``: positions move by the file's offset.
-    Nothing is sorted by label or dropped as a repeat."""
-    start = broadcast_within(offsets.select(file, "offset"))
+    Nothing is sorted by label or dropped as a repeat. ``files`` is the number
+    of files, if known."""
+    start = broadcast_within(offsets.select(file, "offset"), rows=files)
     return (
         cells.join(start, file)
         .withColumn(f"{dim}_i", F.col("offset") + F.col(f"{dim}_i"))
@@ -47,7 +48,3 @@ def label_positions(cells: DataFrame, label: str, dim: str) -> DataFrame:
     so files with differing labels line up and gaps stay absent."""
     index = with_running_total(cells.select(label).distinct(), [F.col(label)], f"{dim}_i")
     return cells.drop(f"{dim}_i").join(broadcast_within(index), label)
-
-
-def total_size(files: DataFrame, dim: str) -> int:
-    return files.agg(F.sum(f"size_{dim}")).first()[0] or 0

@@ -134,7 +134,9 @@ def test_writers_split_a_large_shard(spark):
     array = np.arange(64.0).reshape(16, 2, 2)
     grid = Grid(DIMS, sizes(array), {"time": 2}, {"time": 8})
     cells = cells_of(spark, array)
-    got = decode_chunks(encode_chunks(cells, grid, {"v": "float64"}, writer_bytes=64), DIMS)
+    chunks = encode_chunks(cells, grid, {"v": "float64"}, writer_bytes=(64, 64))
+    assert chunks.rdd.getNumPartitions() == 8
+    got = decode_chunks(chunks, DIMS)
     assert np.array_equal(as_array(got, array.shape), array)
 
 
