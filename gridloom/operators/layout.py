@@ -26,11 +26,16 @@ def _with_contract(catalog: DataFrame, contract: DataFrame, stage: str) -> DataF
 def plan_rechunk(
     catalog: DataFrame, contract: DataFrame, level: int, stage: str = "rechunk"
 ) -> DataFrame:
-    """Chunk shape and zlib settings of every data variable."""
-    length = F.coalesce("chunk", "dim_size")
+    """Shape, chunk shape and zlib settings of every data variable."""
     plan = _with_contract(catalog, contract, stage).groupBy(*_KEYS)
-    return plan.agg(_in_dim_order(length).alias("chunksizes")).select(
+    return plan.agg(
+        F.max("dtype").alias("dtype"),
+        _in_dim_order(F.col("dim_size")).alias("shape"),
+        _in_dim_order(F.coalesce("chunk", "dim_size")).alias("chunksizes"),
+    ).select(
         *_KEYS,
+        "dtype",
+        "shape",
         "chunksizes",
         F.lit(True).alias("zlib"),
         F.lit(level).alias("complevel"),

@@ -91,28 +91,29 @@ def decoded(spark, sf):
     )
 
 
-def _hourly(spark, sf):
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+def _timed(spark, sf):
+    """Events labelled by time; a position is an hour."""
     position = F.datediff("ts", F.lit(I.START)) * 24 + F.hour("ts")
-    return (
-        I.table(spark, sf, "events")
-        .groupBy(position.cast("bigint").alias("time_i"), hour.alias("time"), "user_id")
-        .agg(F.max("value").alias("v"))
+    return I.table(spark, sf, "events").select(
+        "event_id",
+        position.cast("bigint").alias("time_i"),
+        F.col("ts").alias("time"),
+        F.col("value").alias("v"),
     )
 
 
 def day_hit(spark, sf):
-    cells, fell_back = select_day(_hourly(spark, sf), "2024-01-06")
+    cells, fell_back = select_day(_timed(spark, sf), "2024-01-06")
     return cells.drop("time").withColumn("fell_back", F.lit(fell_back))
 
 
 def day_outside(spark, sf):
-    cells, fell_back = select_day(_hourly(spark, sf), "2024-03-01")
+    cells, fell_back = select_day(_timed(spark, sf), "2024-03-01")
     return cells.drop("time").withColumn("fell_back", F.lit(fell_back))
 
 
 def day_gap(spark, sf):
-    with_gap = _hourly(spark, sf).filter(F.to_date("time") != F.lit("2024-01-06").cast("date"))
+    with_gap = _timed(spark, sf).filter(F.to_date("time") != F.lit("2024-01-06").cast("date"))
     cells, fell_back = select_day(with_gap, "2024-01-06")
     return cells.agg(F.count(F.lit(1)).alias("n_cells")).withColumn("fell_back", F.lit(fell_back))
 
@@ -131,10 +132,10 @@ def fills(spark, sf):
     )
 
 
-_HOURLY = f"""hourly AS (
-  SELECT date_diff('day', DATE '{I.START}', CAST(ts AS DATE)) * 24 + hour(ts) AS time_i,
-         date_trunc('hour', ts) AS time, user_id, max(value) AS v
-  FROM events GROUP BY ALL)"""
+_TIMED = f"""timed AS (
+  SELECT event_id, date_diff('day', DATE '{I.START}', CAST(ts AS DATE)) * 24 + hour(ts) AS time_i,
+         ts AS time, value AS v
+  FROM events)"""
 
 QUERIES = {
     "array_scan": (
@@ -222,16 +223,16 @@ QUERIES = {
     ),
     "select_day": (
         day_hit,
-        f"""WITH {_HOURLY} SELECT time_i, user_id, v, false AS fell_back FROM hourly
+        f"""WITH {_TIMED} SELECT event_id, time_i, v, false AS fell_back FROM timed
         WHERE time >= TIMESTAMP '2024-01-06' AND time < TIMESTAMP '2024-01-07'""",
     ),
     "select_day_outside": (
         day_outside,
-        f"WITH {_HOURLY} SELECT time_i, user_id, v, true AS fell_back FROM hourly",
+        f"WITH {_TIMED} SELECT event_id, time_i, v, true AS fell_back FROM timed",
     ),
     "select_day_gap": (
         day_gap,
-        f"""WITH {_HOURLY} SELECT count(*) AS n_cells, false AS fell_back FROM hourly
+        f"""WITH {_TIMED} SELECT count(*) AS n_cells, false AS fell_back FROM timed
         WHERE CAST(time AS DATE) <> DATE '2024-01-06'
           AND time >= TIMESTAMP '2024-01-06' AND time < TIMESTAMP '2024-01-07'""",
     ),

@@ -26,9 +26,8 @@ def contract(spark, sf):
 
 def rechunk_plan(spark, sf):
     plan = plan_rechunk(I.catalog(spark, sf), contract_table(spark), level=7)
-    return plan.withColumns(
-        {"chunksizes": _text(F.col("chunksizes")), "complevel": F.col("complevel").cast("bigint")}
-    )
+    texts = {c: _text(F.col(c)) for c in ("shape", "chunksizes")}
+    return plan.withColumns({**texts, "complevel": F.col("complevel").cast("bigint")})
 
 
 def _store_plan(spark, sf, datasets=DATASETS):
@@ -129,25 +128,22 @@ def chunk_size_mb(spark, sf):
 
 def before_after(spark, sf):
     """Chunk size of every array before rechunking (whole array) and after (planned)."""
-    catalog = I.catalog(spark, sf)
-    ordered = F.sort_array(F.collect_list(F.struct("dim_pos", "dim_size")))
-    arrays = (
-        data_vars_only(catalog)
-        .groupBy("dataset", "file", "var", "dtype")
-        .agg(F.transform(ordered, lambda x: x["dim_size"]).alias("shape"))
-    )
-    plan = plan_rechunk(catalog, contract_table(spark), level=7)
-    planned = arrays.join(plan.select("dataset", "file", "var", "chunksizes"), ["dataset", "file", "var"])
-    no_chunks = F.lit(None).cast("array<bigint>")
-    none = F.lit(None).cast("array<array<bigint>>")
+    plan = plan_rechunk(I.catalog(spark, sf), contract_table(spark), level=7)
 
-    def sized(frame, encoded):
+    def sized(encoded):
         out = reports.chunk_size_mb(
-            frame, encoded, none, F.col("shape"), F.lit(None).cast("string"), F.col("dtype")
+            plan,
+            encoded,
+            F.lit(None).cast("array<array<bigint>>"),
+            F.col("shape"),
+            F.lit(None).cast("string"),
+            F.col("dtype"),
         )
         return out.select("file", "var", _text(F.col("chunk_shape")).alias("chunk_shape"), "mb")
 
-    return reports.before_after(sized(arrays, no_chunks), sized(planned, F.col("chunksizes")))
+    return reports.before_after(
+        sized(F.lit(None).cast("array<bigint>")), sized(F.col("chunksizes"))
+    )
 
 
 def _contract_values(datasets=DATASETS) -> str:
@@ -191,7 +187,8 @@ QUERIES = {
     "layout_plan_netcdf": (
         rechunk_plan,
         f"""WITH {I.CATALOG}, {_contract_values()}
-        SELECT dataset, file, var,
+        SELECT dataset, file, var, max(dtype) AS dtype,
+            string_agg(dim_size, ',' ORDER BY dim_pos) AS shape,
             string_agg(coalesce(chunk, dim_size), ',' ORDER BY dim_pos) AS chunksizes,
             true AS zlib, CAST(7 AS BIGINT) AS complevel, true AS shuffle
         {_PLANNED.format(stage="rechunk")}""",
