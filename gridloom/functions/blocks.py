@@ -46,20 +46,34 @@ def equals_fill(block: np.ndarray, fill) -> np.ndarray:
     return np.isnan(block) if fill != fill else block == np.asarray(fill, block.dtype)
 
 
-def scatter(box: tuple[int, ...], dtype: str, fill, pieces) -> tuple[np.ndarray, int]:
-    """Dense box from ``(positions, values, present)`` pieces; a position given
-    twice is an error. Returns the box and the number of present cells."""
+def convert(values: np.ndarray, dtype: str) -> np.ndarray:
+    """Values as ``dtype``; a number an integer dtype cannot hold is an error."""
+    target = np.dtype(dtype)
+    if target.kind in "iu" and values.dtype != target and values.size:
+        limits = np.iinfo(target)
+        low, high = values.min(), values.max()
+        if not (low >= limits.min and high <= limits.max):
+            raise ValueError(f"value out of range for {dtype}")
+    return values.astype(target, copy=False)
+
+
+def scatter(box, inside, dtype: str, fill, pieces) -> tuple[np.ndarray, int]:
+    """Dense array of a box, clipped to ``inside``, from pieces of ``(positions,
+    values, present)``, and its number of present cells. A position given twice
+    or beyond the clip is an error."""
     dense = np.full(int(np.prod(box)), fill, dtype)
     seen = np.zeros(dense.size, bool)
     cells = present = 0
     for pos, values, n_present in pieces:
-        dense[pos] = values
+        dense[pos] = convert(values, dtype)
         seen[pos] = True
         cells += len(pos)
         present += n_present
     if np.count_nonzero(seen) != cells:
         raise ValueError("duplicate cells")
-    return dense.reshape(box), present
+    if np.count_nonzero(seen.reshape(box)[inside]) != cells:
+        raise ValueError("cells beyond the size of the array")
+    return dense.reshape(box)[inside], present
 
 
 def runs(owner: np.ndarray, cell: np.ndarray, box_elements: int) -> tuple[np.ndarray, np.ndarray]:

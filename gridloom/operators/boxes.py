@@ -61,9 +61,18 @@ class Boxes:
             number = number * _big(self._radix(d)) + index
         return number
 
+    def _checked(self, at, dim: str) -> Column:
+        """Position along ``dim``; one outside a known size fails the job, since
+        its number would be that of another box."""
+        if dim not in self.grid.sizes:
+            return at(dim)
+        wrong = F.concat(F.lit("position "), at(dim).cast("string"), F.lit(f" is outside {dim}"))
+        inside = (at(dim) >= 0) & (at(dim) < _big(self.grid.sizes[dim]))
+        return F.when(inside, at(dim)).otherwise(F.raise_error(wrong).cast("bigint"))
+
     def cell(self, at) -> Column:
         """Box number and position in one bigint."""
-        cell = self.number(at)
+        cell = self.number(lambda d: self._checked(at, d))
         for d, n in zip(self.grid.dims, self.lens):
             inside, chunk = at(d), self.grid.chunk_len(d)
             if chunk < self.grid.sizes.get(d, chunk + 1):
@@ -87,6 +96,15 @@ class Boxes:
             out |= {f"o_{d}": origin, f"n_{d}": end - origin}
         return out
 
+    def positions(self) -> dict[str, Column]:
+        """``<dim>_i`` of the cell at row-major position ``_at`` of a box row."""
+        rest, out = F.col("_at"), {}
+        for d in reversed(self.grid.dims):
+            n = F.col(f"n_{d}")
+            out[f"{d}_i"] = F.col(f"o_{d}") + rest % n
+            rest = F.call_function("div", rest, n)
+        return out
+
     def every(self, sizes: DataFrame | None, spark) -> DataFrame:
         """One row per box of the array, with or without cells, made in parallel
         over the files, or over the dim with most chunks."""

@@ -34,11 +34,28 @@ CELL_ROWS = 65_536
 def _pieces_schema(by: list[tuple[str, str]], variables) -> str:
     cols = [f"`{name}` {kind}" for name, kind in by] + ["_box bigint", "_pos binary"]
     for v in variables:
-        cols += [f"`{v}` binary", f"`_n_{v}` bigint"]
+        # values, how many are not null, and which (empty: all of them)
+        cols += [f"`{v}` binary", f"`_n_{v}` bigint", f"`_ok_{v}` binary"]
     return ", ".join(cols)
 
 
-def _gather(by, box_elements: int, variables: dict[str, str], fill, limit):
+# NumPy names of the Spark types a value column can have.
+_VALUE_TYPES = {
+    "tinyint": "int8",
+    "smallint": "int16",
+    "int": "int32",
+    "bigint": "int64",
+    "float": "float32",
+    "double": "float64",
+}
+
+
+def _value_types(cells: DataFrame, variables: dict[str, str]) -> dict[str, str]:
+    kinds = dict(cells.dtypes)
+    return {v: _VALUE_TYPES[kinds[v]] for v in variables}
+
+
+def _gather(by, box_elements: int, variables, limit):
     """mapInArrow body: cells to pieces."""
 
     def flush(batches):
@@ -60,15 +77,17 @@ def _gather(by, box_elements: int, variables: dict[str, str], fill, limit):
 
         out = {name: table.column(name).take(first) for name in by}
         out |= {"_box": pa.array(number), "_pos": cut(pos)}
-        for v, dtype in variables.items():
+        for v in variables:
             column = table.column(v)
             present = np.diff([*starts, len(order)])
+            valid = np.ones(0, bool)
             if column.null_count:
                 valid = pc.is_valid(column).to_numpy()[order]
                 present = np.add.reduceat(valid.astype(np.int64), starts)
-                column = column.fill_null(fill)
-            out[v] = cut(column.to_numpy()[order].astype(dtype, copy=False))
+                column = column.fill_null(0)
+            out[v] = cut(column.to_numpy()[order])
             out[f"_n_{v}"] = pa.array(present, pa.int64())
+            out[f"_ok_{v}"] = cut(valid) if valid.size else pa.array([b""] * len(starts))
         yield from pa.table(out).combine_chunks().to_batches(max_chunksize=1024)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,12 +124,19 @@ def chunk_schema(by: list[tuple[str, str]], dims) -> str:
     return ", ".join(cols)
 
 
-def _dense(table: pa.Table, var: str, box, dtype: str, fill) -> tuple[np.ndarray, int]:
-    """One variable of a box from its pieces, unclipped, and its present cells."""
-    positions = (np.frombuffer(p.as_buffer(), "<i4") for p in table.column("_pos"))
-    values = (np.frombuffer(v.as_buffer(), dtype) for v in table.column(var))
-    counts = table.column(f"_n_{var}").to_pylist()
-    return blocks.scatter(box, dtype, fill, zip(positions, values, counts))
+def _dense(table, var: str, held: str, dtype: str, box, inside, fill) -> tuple[np.ndarray, int]:
+    """One variable of a box from its pieces, and its number of present cells.
+    Where it is null the fill stays."""
+    pieces = []
+    columns = (table.column(c) for c in ("_pos", var, f"_n_{var}", f"_ok_{var}"))
+    for pos, values, count, valid in zip(*columns):
+        pos = np.frombuffer(pos.as_buffer(), "<i4")
+        values = np.frombuffer(values.as_buffer(), held)
+        valid = np.frombuffer(valid.as_buffer(), bool)
+        if valid.size:
+            pos, values = pos[valid], values[valid]
+        pieces.append((pos, values, count.as_py()))
+    return blocks.scatter(box, inside, dtype, fill, pieces)
 
 
 def _place(table: pa.Table, by, dims) -> dict:
@@ -118,7 +144,7 @@ def _place(table: pa.Table, by, dims) -> dict:
     return {c: table.column(c)[0].as_py() for c in names}
 
 
-def _pack(by, dims, variables, box, fill, codec, level, shuffle, drop_empty, strict):
+def _pack(by, dims, variables, held, box, fill, codec, level, shuffle, drop_empty, strict):
     """Grouped-map body: the pieces of one box to one row per variable."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +162,7 @@ def _pack(by, dims, variables, box, fill, codec, level, shuffle, drop_empty, str
                 "fill": float(fill),
             }
             try:
-                dense, present = _dense(table, var, box, dtype, fill)
-                dense = dense[inside]
+                dense, present = _dense(table, var, held[var], dtype, box, inside, fill)
                 if drop_empty and blocks.equals_fill(dense, fill).all():
                     continue
                 payload = blocks.encode(dense, codec, level, shuffle)
@@ -182,7 +207,7 @@ def _cell_batches(by, dims, place: dict, var: str, values: np.ndarray, wanted):
         yield pa.RecordBatch.from_pydict(out)
 
 
-def _expand(by, dims, variables, box, fill):
+def _expand(by, dims, variables, held, box, fill):
     """Grouped-map body: the pieces of one box to all of its cells."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +215,8 @@ def _expand(by, dims, variables, box, fill):
         place = _place(table, by, dims)
         inside = tuple(slice(0, place[f"n_{d}"]) for d in dims)
         for var, dtype in variables.items():
-            values = _dense(table, var, box, dtype, fill)[0][inside].reshape(-1)
+            dense, _ = _dense(table, var, held[var], dtype, box, inside, fill)
+            values = dense.reshape(-1)
             yield from _cell_batches(by, dims, place, var, values, np.arange(values.size))
 
     return expand
@@ -206,20 +232,21 @@ def _shard_label(grid: Grid) -> Column:
     )
 
 
-def _gathered(cells, boxes, variables, by, sizes, files, fill, every_box) -> DataFrame:
+def _gathered(cells, boxes, variables, by, sizes, files, every_box) -> DataFrame:
     """Pieces with the bounds of their box, before the shuffle. ``every_box``
     adds an empty piece for each box, so that boxes without cells appear too."""
     names = list(variables)
     cell = boxes.cell(lambda d: F.col(f"{d}_i").cast("bigint"))
     placed = cells.select(*by, cell.alias("_cell"), *names)
     pieces = placed.mapInArrow(
-        _gather(by, boxes.elements, variables, fill, GATHER_ROWS),
+        _gather(by, boxes.elements, names, GATHER_ROWS),
         _pieces_schema([(name, "string") for name in by], names),
     )
     if every_box:
         blank = {"_pos": F.lit(b"")}
         for v in names:
-            blank |= {v: F.lit(b""), f"_n_{v}": F.lit(0).cast("bigint")}
+            blank |= {v: F.lit(b""), f"_ok_{v}": F.lit(b"")}
+            blank[f"_n_{v}"] = F.lit(0).cast("bigint")
         empty = boxes.every(sizes, cells.sparkSession).select(*by, "_box")
         pieces = pieces.unionByName(empty.withColumns(blank))
     if sizes is not None:
@@ -255,9 +282,11 @@ def encode_chunks(
     grid.check()
     dims, boxes = grid.dims, Boxes(grid, max_box_elements)
     files, tasks, share = _spread(cells.sparkSession, boxes, variables, sizes, writer_bytes)
-    pieces = _gathered(cells, boxes, variables, by, sizes, files, fill, not drop_empty)
+    pieces = _gathered(cells, boxes, variables, by, sizes, files, not drop_empty)
     unit = _dense_bytes(boxes, variables, grid.shard)
     writers = F.greatest(F.ceil(unit / F.lit(share)), F.lit(1)).cast("int")
+    held = _value_types(cells, variables)
+    packing = (boxes.lens, fill, codec, level, shuffle, drop_empty, strict)
     placed = pieces.withColumns(
         {"shard": _shard_label(grid), "_writer": F.pmod(F.hash("_box"), writers)}
     )
@@ -266,7 +295,7 @@ def encode_chunks(
         placed.repartition(tasks, *place)
         .groupBy(*place, "_box")
         .applyInArrow(
-            _pack(by, dims, variables, boxes.lens, fill, codec, level, shuffle, drop_empty, strict),
+            _pack(by, dims, variables, held, *packing),
             chunk_schema([(name, "string") for name in by], dims),
         )
     )
@@ -306,9 +335,10 @@ def dense_cells(
     """Every cell of the array, absent ones with ``fill``."""
     boxes = Boxes(grid, max_box_elements)
     files, tasks, _ = _spread(cells.sparkSession, boxes, variables, sizes, WRITER_BYTES)
-    pieces = _gathered(cells, boxes, variables, by, sizes, files, fill, True)
+    pieces = _gathered(cells, boxes, variables, by, sizes, files, True)
     return pieces.repartition(tasks, *by, "_box").groupBy(*by, "_box").applyInArrow(
-        _expand(by, grid.dims, variables, boxes.lens, fill), _cells_schema(by, grid.dims)
+        _expand(by, grid.dims, variables, _value_types(cells, variables), boxes.lens, fill),
+        _cells_schema(by, grid.dims),
     )
 
 

@@ -28,6 +28,9 @@ def rechunk(
 ) -> DataFrame:
     """Write chunk rows of each file below ``out`` and return the result rows.
 
+    ``sizes`` names the files of this run: each gets all of its chunks, empty
+    ones too, so that it always replaces its earlier output.
+
     With ``stop_on_error`` the first bad file fails the job before anything is
     replaced. Otherwise chunks are written to the scratch folder first, and
     only files without errors replace their earlier output.
@@ -39,6 +42,7 @@ def rechunk(
         by=BY,
         sizes=sizes,
         level=level,
+        drop_empty=False,
         strict=stop_on_error,
         **RECHUNK_CODEC,
     )

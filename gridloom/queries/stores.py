@@ -12,7 +12,7 @@ from gridloom.queries import inputs as I
 from gridloom.session import materialized, scratch_folder
 from gridloom.sinks.chunks import write_store
 from gridloom.sinks.results import RunFailed, run_summary
-from gridloom.sources.store import read_cells, read_chunks
+from gridloom.sources.store import read_array, read_cells, read_chunks
 
 STATION_SPEC = {
     "chunk_map": I.STATION_CHUNK,
@@ -82,8 +82,14 @@ def shard_write_2d(spark, sf):
 def chunk_store_scan(spark, sf):
     """One variable of the station store, every cell, absent ones as NaN."""
     store = _station_store(spark, sf)
-    cells = read_cells(spark, store, I.STATION_DIMS, variables=["rainfall"])
-    return cells.select("station_i", "time_i", F.isnan("v").alias("absent"), F.nanvl("v", F.lit(0.0)).alias("v"))
+    grid = Grid(I.STATION_DIMS, I.station_sizes(spark, sf), I.STATION_CHUNK, I.STATION_SHARD)
+    cells = read_array(spark, store, grid, {"rainfall": float("nan")})
+    return cells.select(
+        "station_i",
+        "time_i",
+        F.isnan("v").alias("absent"),
+        F.nanvl("v", F.lit(0.0)).alias("v"),
+    )
 
 
 def joined_store(spark, sf, dry_run=False) -> str:
@@ -146,8 +152,9 @@ def atomic_replace(spark, sf):
     grid, out = _file_grid(spark, sf), scratch_folder(spark, "replaced")
     work, variables = _work(sizes), {"v": "float64"}
     rechunk(cells, sizes, work, grid, variables, 7, out)
-    later = cells.filter(F.col("file") >= "ECMWF/2024/01/16.nc")
-    rechunk(later.withColumn("v", F.col("v") + 1000), sizes, work, grid, variables, 7, out)
+    late = F.col("file") >= "ECMWF/2024/01/16.nc"
+    later = cells.filter(late).withColumn("v", F.col("v") + 1000)
+    rechunk(later, sizes.filter(late), work.filter(late), grid, variables, 7, out)
     try:
         rechunk(cells.unionByName(cells), sizes, work, grid, variables, 7, out)
     except RunFailed:
@@ -224,13 +231,11 @@ QUERIES = {
         chunk_store_scan,
         f"""WITH {I.STATIONS},
         n AS (SELECT max(station_i) + 1 AS s, max(time_i) + 1 AS t FROM stations),
-        kept AS (SELECT DISTINCT station_i // 48 AS sc, time_i // 625 AS tc FROM stations),
         cells AS (SELECT station_i, time_i FROM n,
             LATERAL (SELECT unnest(range(s)) AS station_i),
             LATERAL (SELECT unnest(range(t)) AS time_i))
         SELECT station_i, time_i, rainfall IS NULL AS absent, coalesce(rainfall, 0) AS v
-        FROM cells JOIN kept ON sc = station_i // 48 AND tc = time_i // 625
-        LEFT JOIN stations USING (station_i, time_i)""",
+        FROM cells LEFT JOIN stations USING (station_i, time_i)""",
     ),
     "shard_write_4d": (
         shard_write_4d,

@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.operators.codec import chunk_schema, decode_chunks
+from gridloom.model import Grid
+from gridloom.operators.boxes import Boxes
+from gridloom.operators.codec import MAX_BOX_ELEMENTS, chunk_schema, decode_chunks
 
 
 def read_chunks(
@@ -38,3 +40,31 @@ def read_cells(
     for dim, (lo, hi) in (window or {}).items():
         cells = cells.filter((F.col(f"{dim}_i") >= lo) & (F.col(f"{dim}_i") < hi))
     return cells
+
+
+def read_array(
+    spark: SparkSession,
+    path: str,
+    grid: Grid,
+    variables: dict[str, float],
+    max_box_elements: int = MAX_BOX_ELEMENTS,
+) -> DataFrame:
+    """Every cell of the named variables, given with their fill: chunks left out
+    as empty are made again. ``grid`` is the one the store was written with."""
+    boxes = Boxes(grid, max_box_elements)
+    chunks = read_chunks(spark, path, grid.dims).filter(F.col("var").isin(list(variables)))
+    stored = chunks.select("var", boxes.number(lambda d: F.col(f"o_{d}")).alias("_box"))
+    fills = F.create_map(*[F.lit(x) for kv in variables.items() for x in kv])
+    absent = (
+        boxes.every(None, spark)
+        .select("_box", F.explode(fills).alias("var", "v"))
+        .join(stored, ["var", "_box"], "left_anti")
+        .withColumns(boxes.bounds("_box"))
+    )
+    count = F.lit(1).cast("bigint")
+    for d in grid.dims:
+        count = count * F.col(f"n_{d}")
+    filled = absent.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+    rows = filled.withColumns(boxes.positions())
+    cells = decode_chunks(chunks, grid.dims)
+    return cells.unionByName(rows.select(*cells.columns))

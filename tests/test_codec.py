@@ -9,7 +9,7 @@ from gridloom.functions import blocks
 from gridloom.model import Grid
 from gridloom.operators.codec import decode_chunks, dense_cells, encode_chunks
 from gridloom.sinks.chunks import write_store
-from gridloom.sources.store import read_cells, read_chunks
+from gridloom.sources.store import read_array, read_cells, read_chunks
 
 DIMS = ("time", "latitude", "longitude")
 
@@ -130,6 +130,45 @@ def test_duplicate_cells(spark):
     assert {r["o_time"]: r["error"] for r in rows} == {0: "duplicate cells", 2: None}
 
 
+def test_cells_outside_the_array_are_refused(spark):
+    cells = spark.createDataFrame([("a", 0, 1.0), ("a", 5, 2.0)], "file string, time_i bigint, v double")
+    with pytest.raises(Exception, match="position 5 is outside time"):
+        encode_chunks(cells, Grid(("time",), {"time": 4}, {"time": 2}), {"v": "float64"}).collect()
+    lengths = spark.createDataFrame([("a", 5)], "file string, size_time bigint")
+    with pytest.raises(Exception, match="beyond the size"):
+        encode_chunks(
+            cells, Grid(("time",), chunk={"time": 3}), {"v": "float64"}, by=("file",), sizes=lengths
+        ).collect()
+
+
+def test_values_an_integer_dtype_cannot_hold_are_refused(spark):
+    cells = spark.createDataFrame([(0, 300.0), (1, 1.9)], "time_i bigint, v double")
+    grid = Grid(("time",), {"time": 2}, {"time": 1})
+    rows = encode_chunks(cells, grid, {"v": "int8"}, fill=-1, strict=False)
+    assert {r["o_time"]: r["error"] for r in rows.collect()} == {
+        0: "value out of range for int8",
+        1: None,
+    }
+    kept = decode_chunks(rows.filter("error IS NULL"), ("time",)).collect()
+    assert [r["v"] for r in kept] == [1.0]
+
+
+def test_left_out_chunks_are_made_again(spark, folder):
+    array = np.arange(5 * 3 * 4, dtype=float).reshape(5, 3, 4)
+    keep = np.zeros(array.shape, bool)
+    keep[2, 1, 3] = True
+    for limit in (4, 1000):
+        grid = Grid(DIMS, sizes(array), {"time": 2, "longitude": 3}, {"time": 4})
+        chunks = encode_chunks(
+            cells_of(spark, array, keep), grid, {"v": "float64"}, max_box_elements=limit
+        )
+        out = write_store(chunks, folder(f"s{limit}"))
+        got = read_array(spark, out, grid, {"v": np.nan}, max_box_elements=limit)
+        assert got.count() == array.size
+        want = np.where(keep, array, np.nan)
+        assert np.array_equal(as_array(got, array.shape), want, equal_nan=True)
+
+
 def test_writers_split_a_large_shard(spark):
     array = np.arange(64.0).reshape(16, 2, 2)
     grid = Grid(DIMS, sizes(array), {"time": 2}, {"time": 8})
