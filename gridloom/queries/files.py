@@ -15,7 +15,6 @@ from gridloom.sinks.publish import (
     upload_targets,
     verify_copy,
 )
-from gridloom.sinks.results import RunFailed, fail_fast, run_summary
 from gridloom.sources.manifest import (
     in_order,
     include,
@@ -191,29 +190,6 @@ def missing_source_guard(spark, sf):
     return kept.select("rel_path", F.lit(refused).alias("other_refused"))
 
 
-def _order_results(spark, sf):
-    """One result per order file: orders of status P could not be prepared."""
-    ok = F.col("o_orderstatus") != "P"
-    return I.order_files(spark, sf).select(
-        F.lit("ecmwf").alias("dataset"),
-        ok.alias("ok"),
-        F.when(ok, F.concat(F.lit("Completed: "), "path"))
-        .otherwise(F.concat(F.lit("Error preparing: "), "path"))
-        .alias("message"),
-    )
-
-
-def gate(spark, sf):
-    """Whether the run was stopped before publishing, and what it had done."""
-    results = _order_results(spark, sf)
-    try:
-        fail_fast(results)
-        stopped = False
-    except RunFailed:
-        stopped = True
-    return run_summary(results).withColumn("stopped", F.lit(stopped))
-
-
 def empty_input(spark, sf):
     """A pattern that matches none of the files: an empty work list, no error."""
     none = include(I.order_files(spark, sf), ["SILO/**/*.nc"])
@@ -332,13 +308,6 @@ QUERIES = {
         f"""WITH {I.ORDER_FILES} SELECT rel_path, true AS other_refused FROM order_files
         WHERE starts_with(rel_path, 'DPIRD/')""",
     ),
-    "fail_fast": (
-        gate,
-        f"""WITH {I.ORDER_FILES} SELECT 'ecmwf' AS dataset, count(*) AS submitted,
-            count(*) FILTER (o_orderstatus <> 'P') AS succeeded,
-            count(*) FILTER (o_orderstatus = 'P') AS failed,
-            count(*) FILTER (o_orderstatus = 'P') > 0 AS stopped FROM order_files""",
-    ),
     "empty_input": (
         empty_input,
         f"""WITH {I.ORDER_FILES} SELECT count(*) AS submitted FROM order_files

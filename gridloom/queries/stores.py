@@ -11,7 +11,7 @@ from gridloom.plans.store import many_files_store, single_source_store
 from gridloom.queries import inputs as I
 from gridloom.session import materialized, scratch_folder
 from gridloom.sinks.chunks import write_store
-from gridloom.sinks.results import RunFailed, run_summary
+from gridloom.sinks.results import RunFailed, fail_fast, run_summary
 from gridloom.sources.store import read_array, read_cells, read_chunks
 
 STATION_SPEC = {
@@ -186,6 +186,17 @@ def summary(spark, sf):
     return run_summary(_results(spark, sf))
 
 
+def gate(spark, sf):
+    """Whether the run is stopped before publishing, and what it had done."""
+    results = materialized(_results(spark, sf))
+    try:
+        fail_fast(results)
+        stopped = False
+    except RunFailed:
+        stopped = True
+    return run_summary(results).withColumn("stopped", F.lit(stopped))
+
+
 def stats(spark, sf):
     """Storage statistics of the uncompressed station store."""
     cells = I.stations(spark, sf)
@@ -283,6 +294,15 @@ QUERIES = {
         SELECT 'ecmwf' AS dataset, count(*) AS submitted,
             count(*) FILTER (NOT bad) AS succeeded, count(*) FILTER (bad) AS failed FROM files""",
     ),
+    "fail_fast": (
+        gate,
+        """WITH cells AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n
+            FROM events GROUP BY 1, date_trunc('minute', ts), user_id),
+        files AS (SELECT day, max(n) > 1 AS bad FROM cells GROUP BY 1)
+        SELECT 'ecmwf' AS dataset, count(*) AS submitted,
+            count(*) FILTER (NOT bad) AS succeeded, count(*) FILTER (bad) AS failed,
+            count(*) FILTER (bad) > 0 AS stopped FROM files""",
+    ),
     "storage_stats": (
         stats,
         f"""WITH {I.STATIONS},

@@ -11,6 +11,7 @@ _LAYOUT = {
     "parquet.block.size.row.check.min": "1",
     "parquet.block.size.row.check.max": "8",
     "parquet.page.size.row.check.min": "1",
+    "parquet.enable.dictionary#payload": "false",
 }
 
 

@@ -21,6 +21,14 @@ def overlapping(chunks: DataFrame, dim: str, lo: int, hi: int) -> DataFrame:
     return chunks.filter((F.col(f"o_{dim}") < hi) & (F.col(f"o_{dim}") + F.col(f"n_{dim}") > lo))
 
 
+def in_shards(
+    chunks: DataFrame, dims: tuple[str, ...], dim: str, shard_len: int, lo: int, hi: int
+) -> DataFrame:
+    """Chunks in the shards that reach into ``[lo, hi)``: only their folders are listed."""
+    index = F.split("shard", "[.]")[dims.index(dim)].cast("bigint")
+    return chunks.filter(index.between(lo // shard_len, (hi - 1) // shard_len))
+
+
 def read_cells(
     spark: SparkSession,
     path: str,
@@ -28,14 +36,18 @@ def read_cells(
     by: tuple[str, ...] = (),
     variables: list[str] | None = None,
     window: dict[str, tuple[int, int]] | None = None,
+    shard: dict[str, int] | None = None,
     present_only: bool = False,
 ) -> DataFrame:
-    """Cells of a store; variables and position windows cut down the chunks read."""
+    """Cells of a store; variables and position windows cut down the chunks read.
+    ``shard``, the shard map of a store, lets windows cut down the folders too."""
     chunks = read_chunks(spark, path, dims, by)
     if variables is not None:
         chunks = chunks.filter(F.col("var").isin(variables))
     for dim, (lo, hi) in (window or {}).items():
         chunks = overlapping(chunks, dim, lo, hi)
+        if dim in (shard or {}):
+            chunks = in_shards(chunks, dims, dim, shard[dim], lo, hi)
     cells = decode_chunks(chunks, dims, by, present_only)
     for dim, (lo, hi) in (window or {}).items():
         cells = cells.filter((F.col(f"{dim}_i") >= lo) & (F.col(f"{dim}_i") < hi))

@@ -186,11 +186,16 @@ def test_store_reads_only_what_is_asked(spark, folder):
     out = write_store(encode_chunks(cells, grid, {"v": "float64", "w": "float64"}), folder("s"))
     chunks = read_chunks(spark, out, DIMS)
     assert sorted(r["shard"] for r in chunks.select("shard").distinct().collect()) == ["0.0.0", "1.0.0"]
-    part = read_cells(spark, out, DIMS, variables=["w"], window={"time": (3, 5)})
-    plan = part._jdf.queryExecution().toString()
-    assert "PartitionFilters" in plan and "LessThan(o_time,5)" in plan
-    assert {(r["var"], r["time_i"]) for r in part.collect()} == {("w", 3), ("w", 4)}
-    assert part.count() == 2 * 2 * 3
+    for lo, hi in ((3, 5), (5, 8), (0, 4)):
+        part = read_cells(
+            spark, out, DIMS, variables=["w"], window={"time": (lo, hi)}, shard=grid.shard
+        )
+        plan = part._jdf.queryExecution().toString()
+        pruned = [line for line in plan.splitlines() if "PartitionFilters" in line]
+        assert all("split(shard" in line and f"LessThan(o_time,{hi})" in line for line in pruned)
+        assert pruned
+        assert {(r["var"], r["time_i"]) for r in part.collect()} == {("w", t) for t in range(lo, hi)}
+        assert part.count() == (hi - lo) * 2 * 3
 
 
 def test_store_is_replaced_as_a_whole(spark, folder):
