@@ -2,12 +2,12 @@
 
 A box is a chunk, or a slab of a chunk too large for one task. Its number and
 the row-major position in it make one bigint per cell, which is all that has to
-travel with the values.
+travel with the values. Expressions are SQL text over bigint columns.
 """
 
 from math import ceil, prod
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.model import Grid
@@ -17,16 +17,8 @@ from gridloom.model import Grid
 OPEN_DIM_BOXES = 1 << 20
 
 
-def _big(value) -> Column:
-    return F.lit(int(value)).cast("bigint")
-
-
-def _div(col: Column, n: int) -> Column:
-    return F.call_function("div", col, _big(n))
-
-
 class Boxes:
-    """Box arithmetic of one grid as column expressions."""
+    """Box arithmetic of one grid."""
 
     def __init__(self, grid: Grid, max_elements: int):
         self.grid = grid
@@ -43,67 +35,67 @@ class Boxes:
             return OPEN_DIM_BOXES
         return ceil(self.grid.sizes[dim] / self.grid.chunk_len(dim)) * self._slabs[dim]
 
-    def size(self, dim: str) -> Column:
+    def _one_chunk(self, dim: str) -> bool:
+        return dim in self.grid.sizes and self.grid.chunk_len(dim) >= self.grid.sizes[dim]
+
+    def size(self, dim: str) -> str:
         sizes = self.grid.sizes
-        return _big(sizes[dim]) if dim in sizes else F.col(f"size_{dim}")
+        return f"{sizes[dim]}L" if dim in sizes else f"size_{dim}"
 
-    def number(self, at) -> Column:
-        """Box number of the cell at ``at(dim)``."""
-        number = _big(0)
+    def number(self, prefix: str = "", suffix: str = "_i") -> str:
+        """Box number of the cell whose positions are ``<prefix><dim><suffix>``."""
+        number = "0L"
         for d in self._order:
-            i, chunk, slabs = at(d), self.grid.chunk_len(d), self._slabs[d]
-            if chunk >= self.grid.sizes.get(d, chunk + 1):
-                index = _big(0)
-            else:
-                index = _div(i, chunk) * _big(slabs)
+            i, chunk, slabs = f"{prefix}{d}{suffix}", self.grid.chunk_len(d), self._slabs[d]
+            index = "0L" if self._one_chunk(d) else f"({i} div {chunk}L) * {slabs}L"
             if slabs > 1:
-                index = index + _div(i % _big(chunk), self._len[d])
-            number = number * _big(self._radix(d)) + index
+                index += f" + ({i} % {chunk}L) div {self._len[d]}L"
+            number = f"({number}) * {self._radix(d)}L + {index}"
         return number
 
-    def _checked(self, at, dim: str) -> Column:
-        """Position along ``dim``; one outside a known size fails the job, since
-        its number would be that of another box."""
-        if dim not in self.grid.sizes:
-            return at(dim)
-        wrong = F.concat(F.lit("position "), at(dim).cast("string"), F.lit(f" is outside {dim}"))
-        inside = (at(dim) >= 0) & (at(dim) < _big(self.grid.sizes[dim]))
-        return F.when(inside, at(dim)).otherwise(F.raise_error(wrong).cast("bigint"))
-
-    def cell(self, at) -> Column:
+    def _inside(self, dim: str) -> str:
+        """Position in the box. One outside a known size fails the job, since its
+        number would be that of another box."""
+        i, chunk = f"{dim}_i", self.grid.chunk_len(dim)
+        if dim in self.grid.sizes:
+            wrong = f"raise_error(concat('position ', {i}, ' is outside {dim}'))"
+            fits = f"{i} >= 0 AND {i} < {self.grid.sizes[dim]}L"
+            i = f"CASE WHEN {fits} THEN {i} ELSE CAST({wrong} AS BIGINT) END"
+        if not self._one_chunk(dim):
+            i = f"({i}) % {chunk}L"
+        return f"({i}) % {self._len[dim]}L" if self._slabs[dim] > 1 else i
+
+    def cell(self) -> str:
         """Box number and position in one bigint."""
-        cell = self.number(lambda d: self._checked(at, d))
-        for d, n in zip(self.grid.dims, self.lens):
-            inside, chunk = at(d), self.grid.chunk_len(d)
-            if chunk < self.grid.sizes.get(d, chunk + 1):
-                inside = inside % _big(chunk)
-            if self._slabs[d] > 1:
-                inside = inside % _big(n)
-            cell = cell * _big(n) + inside
+        cell = self.number()
+        for d in self.grid.dims:
+            cell = f"({cell}) * {self._len[d]}L + ({self._inside(d)})"
         return cell
 
-    def bounds(self, number: str) -> dict[str, Column]:
-        """``o_<dim>`` and ``n_<dim>``: origin and clipped lengths of a box."""
-        rest, out = F.col(number), {}
+    def bounds(self) -> dict[str, str]:
+        """``o_<dim>`` and ``n_<dim>``: origin and clipped lengths of ``_box``."""
+        rest, out = "_box", {}
         for k, d in enumerate(reversed(self._order)):
             lead = k == len(self._order) - 1
-            index = rest if lead else rest % _big(self._radix(d))
-            rest = _div(rest, self._radix(d))
+            index = rest if lead else f"({rest}) % {self._radix(d)}L"
+            rest = f"({rest}) div {self._radix(d)}L"
             chunk, slabs, n = self.grid.chunk_len(d), self._slabs[d], self._len[d]
-            start = _div(index, slabs) * _big(chunk)
-            origin = start + index % _big(slabs) * _big(n)
-            end = F.least(self.size(d), start + _big(chunk), origin + _big(n))
-            out |= {f"o_{d}": origin, f"n_{d}": end - origin}
+            start = f"(({index}) div {slabs}L) * {chunk}L"
+            origin = f"{start} + (({index}) % {slabs}L) * {n}L"
+            end = f"least({self.size(d)}, {start} + {chunk}L, {origin} + {n}L)"
+            out |= {f"o_{d}": origin, f"n_{d}": f"{end} - ({origin})"}
         return out
 
-    def positions(self) -> dict[str, Column]:
-        """``<dim>_i`` of the cell at row-major position ``_at`` of a box row."""
-        rest, out = F.col("_at"), {}
+    def with_bounds(self, boxes: DataFrame) -> DataFrame:
+        return boxes.selectExpr("*", *(f"{sql} AS {name}" for name, sql in self.bounds().items()))
+
+    def with_positions(self, cells: DataFrame) -> DataFrame:
+        """Add ``<dim>_i`` of the row-major position ``_at`` of a box row."""
+        rest, out = "_at", []
         for d in reversed(self.grid.dims):
-            n = F.col(f"n_{d}")
-            out[f"{d}_i"] = F.col(f"o_{d}") + rest % n
-            rest = F.call_function("div", rest, n)
-        return out
+            out.append(f"o_{d} + ({rest}) % n_{d} AS {d}_i")
+            rest = f"({rest}) div n_{d}"
+        return cells.selectExpr("*", *out)
 
     def every(self, sizes: DataFrame | None, spark) -> DataFrame:
         """One row per box of the array, with or without cells, made in parallel
@@ -115,10 +107,10 @@ class Boxes:
             starts = spark.range(0, of[lead], self.grid.chunk_len(lead))
             frame = starts.withColumnRenamed("id", f"_c_{lead}")
         for d in self.grid.dims:
-            size, chunk = self.size(d), _big(self.grid.chunk_len(d))
+            size, chunk = self.size(d), self.grid.chunk_len(d)
             if d != lead:
-                frame = frame.withColumn(f"_c_{d}", F.explode(F.sequence(_big(0), size - 1, chunk)))
-            last = F.least(F.col(f"_c_{d}") + chunk, size) - 1
-            slabs = F.sequence(F.col(f"_c_{d}"), last, _big(self._len[d]))
-            frame = frame.withColumn(f"_at_{d}", F.explode(slabs)).drop(f"_c_{d}")
-        return frame.withColumn("_box", self.number(lambda d: F.col(f"_at_{d}")))
+                frame = frame.selectExpr("*", f"explode(sequence(0L, {size} - 1, {chunk}L)) AS _c_{d}")
+            last = f"least(_c_{d} + {chunk}L, {size}) - 1"
+            slabs = f"explode(sequence(_c_{d}, {last}, {self._len[d]}L)) AS _at_{d}"
+            frame = frame.selectExpr("*", slabs)
+        return frame.withColumn("_box", F.expr(self.number("_at_", "")))

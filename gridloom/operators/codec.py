@@ -12,7 +12,7 @@ from math import ceil, prod
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import blocks
@@ -222,36 +222,29 @@ def _expand(by, dims, variables, held, box, fill):
     return expand
 
 
-def _shard_label(grid: Grid) -> Column:
-    return F.concat_ws(
-        ".",
-        *[
-            F.expr(f"o_{d} div {grid.shard[d]}") if d in grid.shard else F.lit("0")
-            for d in grid.dims
-        ],
-    )
+def _shard_label(grid: Grid) -> str:
+    parts = [f"o_{d} div {grid.shard[d]}" if d in grid.shard else "'0'" for d in grid.dims]
+    return f"concat_ws('.', {', '.join(parts)})"
 
 
 def _gathered(cells, boxes, variables, by, sizes, files, every_box) -> DataFrame:
     """Pieces with the bounds of their box, before the shuffle. ``every_box``
     adds an empty piece for each box, so that boxes without cells appear too."""
     names = list(variables)
-    cell = boxes.cell(lambda d: F.col(f"{d}_i").cast("bigint"))
-    placed = cells.select(*by, cell.alias("_cell"), *names)
+    placed = cells.select(*by, F.expr(boxes.cell()).alias("_cell"), *names)
     pieces = placed.mapInArrow(
         _gather(by, boxes.elements, names, GATHER_ROWS),
         _pieces_schema([(name, "string") for name in by], names),
     )
     if every_box:
-        blank = {"_pos": F.lit(b"")}
+        blank = ["X'' AS _pos"]
         for v in names:
-            blank |= {v: F.lit(b""), f"_ok_{v}": F.lit(b"")}
-            blank[f"_n_{v}"] = F.lit(0).cast("bigint")
-        empty = boxes.every(sizes, cells.sparkSession).select(*by, "_box")
-        pieces = pieces.unionByName(empty.withColumns(blank))
+            blank += [f"X'' AS `{v}`", f"0L AS `_n_{v}`", f"X'' AS `_ok_{v}`"]
+        every = boxes.every(sizes, cells.sparkSession)
+        pieces = pieces.unionByName(every.selectExpr(*by, "_box", *blank))
     if sizes is not None:
         pieces = pieces.join(broadcast_within(sizes, rows=files), list(by))
-    return pieces.withColumns(boxes.bounds("_box"))
+    return boxes.with_bounds(pieces)
 
 
 def encode_chunks(
@@ -284,11 +277,11 @@ def encode_chunks(
     files, tasks, share = _spread(cells.sparkSession, boxes, variables, sizes, writer_bytes)
     pieces = _gathered(cells, boxes, variables, by, sizes, files, not drop_empty)
     unit = _dense_bytes(boxes, variables, grid.shard)
-    writers = F.greatest(F.ceil(unit / F.lit(share)), F.lit(1)).cast("int")
+    writers = f"CAST(greatest(ceil(({unit}) / {share}D), 1) AS INT)"
     held = _value_types(cells, variables)
     packing = (boxes.lens, fill, codec, level, shuffle, drop_empty, strict)
-    placed = pieces.withColumns(
-        {"shard": _shard_label(grid), "_writer": F.pmod(F.hash("_box"), writers)}
+    placed = pieces.selectExpr("*", f"{_shard_label(grid)} AS shard").selectExpr(
+        "*", f"pmod(hash(_box), {writers}) AS _writer"
     )
     place = [*by, "shard", "_writer"]
     return (
@@ -301,12 +294,11 @@ def encode_chunks(
     )
 
 
-def _dense_bytes(boxes: Boxes, variables: dict[str, str], extent: dict[str, int]) -> Column:
+def _dense_bytes(boxes: Boxes, variables: dict[str, str], extent: dict[str, int]) -> str:
     """Bytes of all variables over ``extent``, whole dims where it names none."""
-    total = F.lit(float(sum(ITEM_SIZES[t] for t in variables.values())))
-    for d in boxes.grid.dims:
-        total = total * (F.lit(extent[d]) if d in extent else boxes.size(d))
-    return total
+    lengths = (f"{extent[d]}" if d in extent else boxes.size(d) for d in boxes.grid.dims)
+    item = sum(ITEM_SIZES[t] for t in variables.values())
+    return " * ".join([f"{item}D", *lengths])
 
 
 def _spread(spark, boxes, variables, sizes: DataFrame | None, bounds) -> tuple[int, int, float]:
@@ -314,8 +306,8 @@ def _spread(spark, boxes, variables, sizes: DataFrame | None, bounds) -> tuple[i
     are few bytes in the shuffle but full boxes once packed, so the number of
     tasks must not be left to the size of the shuffle."""
     frame = spark.range(1) if sizes is None else sizes
-    dense = F.sum(_dense_bytes(boxes, variables, {}))
-    files, total = frame.agg(F.count(F.lit(1)), F.coalesce(dense, F.lit(0.0))).first()
+    dense = _dense_bytes(boxes, variables, {})
+    files, total = frame.selectExpr("count(1)", f"coalesce(sum({dense}), 0D)").first()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least, most = bounds
     share = float(min(most, max(least, total / partitions)))

@@ -65,18 +65,14 @@ def read_array(
     as empty are made again. ``grid`` is the one the store was written with."""
     boxes = Boxes(grid, max_box_elements)
     chunks = read_chunks(spark, path, grid.dims).filter(F.col("var").isin(list(variables)))
-    stored = chunks.select("var", boxes.number(lambda d: F.col(f"o_{d}")).alias("_box"))
+    stored = chunks.select("var", F.expr(boxes.number("o_", "")).alias("_box"))
     fills = F.create_map(*[F.lit(x) for kv in variables.items() for x in kv])
-    absent = (
+    absent = boxes.with_bounds(
         boxes.every(None, spark)
         .select("_box", F.explode(fills).alias("var", "v"))
         .join(stored, ["var", "_box"], "left_anti")
-        .withColumns(boxes.bounds("_box"))
     )
-    count = F.lit(1).cast("bigint")
-    for d in grid.dims:
-        count = count * F.col(f"n_{d}")
-    filled = absent.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
-    rows = filled.withColumns(boxes.positions())
+    count = " * ".join(f"n_{d}" for d in grid.dims)
+    filled = absent.selectExpr("*", f"explode(sequence(0L, {count} - 1)) AS _at")
     cells = decode_chunks(chunks, grid.dims)
-    return cells.unionByName(rows.select(*cells.columns))
+    return cells.unionByName(boxes.with_positions(filled).select(*cells.columns))

@@ -134,6 +134,8 @@ def test_cells_outside_the_array_are_refused(spark):
     cells = spark.createDataFrame([("a", 0, 1.0), ("a", 5, 2.0)], "file string, time_i bigint, v double")
     with pytest.raises(Exception, match="position 5 is outside time"):
         encode_chunks(cells, Grid(("time",), {"time": 4}, {"time": 2}), {"v": "float64"}).collect()
+    with pytest.raises(Exception, match="position 5 is outside time"):
+        encode_chunks(cells, Grid(("time",), {"time": 4}, {}), {"v": "float64"}).collect()
     lengths = spark.createDataFrame([("a", 5)], "file string, size_time bigint")
     with pytest.raises(Exception, match="beyond the size"):
         encode_chunks(
