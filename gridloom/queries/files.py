@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gridloom.contract import DATASETS, PUBLISH, STAGE_IN_DAYS, STAGE_OUT_TREES, publish_root
+from gridloom.contract import DATASETS, PUBLISH, STAGE_IN_DAYS, publish_root
 from gridloom.functions import paths
 from gridloom.queries import inputs as I
 from gridloom.session import scratch_folder
