@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from gridloom import queries as registry
 from tests.check_oracles import compare, database
 from tests.conftest import SF
 
@@ -12,9 +13,9 @@ def con():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_sql(spark, con, name):
-    assert name in entry.oracle_sql()
+    assert name in registry.oracle_sql()
     rows, problems = compare(spark, con, SF, name)
     assert not problems
     assert rows > 0
