@@ -146,7 +146,7 @@ class Packer:
         self.sequence += 1
 
     def rows(self) -> pa.RecordBatch:
-        columns = zip(*self.out) if self.out else [[]] * len(schema=_ARROW)
+        columns = zip(*self.out) if self.out else [[]] * len(_ARROW)
         batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_ARROW)
         self.out = []
         return batch
