@@ -3,7 +3,7 @@ SQL can express it."""
 
 from __future__ import annotations
 
-from gridloom.llm import contamination, licenses, packing, urls
+from gridloom.llm import contamination, langid, licenses, packing, toxicity, urls
 from gridloom.llm.common import table
 
 # The rules of the URL query.
@@ -15,6 +15,10 @@ URL_RULES = [
 ]
 
 
+def op1_language(spark, sf_dir):
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,12 @@ def op9_urls(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
 
 
+def op10_toxicity(spark, sf_dir):
+    return toxicity.toxicity_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -155,10 +165,12 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row)
 
 # name: (query, SQL or None)
 QUERIES = {
+    "op1_language": (op1_language, None),
     "op2_packing": (op2_packing, None),
     "op6_contamination": (op6_contamination, CONTAMINATION_SQL),
     "op8_licenses": (op8_licenses, LICENSE_SQL),
     "op9_urls": (op9_urls, URL_SQL),
+    "op10_toxicity": (op10_toxicity, None),
 }
 
 
