@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,35 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+ID_BITS = 1 << 25  # places of the filter on wanted ids: 4 MB
+
+
+def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the rows whose doc_id may be among ``ids`` (column
+    doc_id): all that are, and few others. Meant before a join that shuffles
+    texts. The ids go into a bitmap of fixed size; when it fills up, it only
+    drops fewer rows."""
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS))
+    bits = (
+        ids.select(spot.alias("spot"))
+        .groupBy(F.expr("spot div 32768").alias("bucket"))
+        .agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("bits"))
+    )
+    held = np.zeros((ID_BITS // 32768, 4096), np.uint8)
+    for row in bits.toLocalIterator():
+        held[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(held.ravel())
+
+    def maybe(batches):
+        held = shared.value
+        for batch in batches:
+            spots = batch.column(2).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array((held[spots >> 3] >> (spots & 7)) & 1 == 1))
+
+    rows = docs.where("doc_id is not null").select("doc_id", "text", spot.alias("spot"))
+    return rows.mapInArrow(maybe, "doc_id long, text string")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node of every node that has an edge.
 
