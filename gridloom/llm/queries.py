@@ -3,7 +3,16 @@ SQL can express it."""
 
 from __future__ import annotations
 
-from gridloom.llm import contamination, langid, licenses, packing, toxicity, urls
+from gridloom.llm import (
+    contamination,
+    jaccard,
+    langid,
+    licenses,
+    packing,
+    recompression,
+    toxicity,
+    urls,
+)
 from gridloom.llm.common import table
 
 # The rules of the URL query.
@@ -23,6 +32,14 @@ def op2_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op4_repeats(spark, sf_dir):
+    return recompression.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op6_contamination(spark, sf_dir):
     return contamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -167,6 +184,8 @@ FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row)
 QUERIES = {
     "op1_language": (op1_language, None),
     "op2_packing": (op2_packing, None),
+    "op3_jaccard": (op3_jaccard, None),
+    "op4_repeats": (op4_repeats, None),
     "op6_contamination": (op6_contamination, CONTAMINATION_SQL),
     "op8_licenses": (op8_licenses, LICENSE_SQL),
     "op9_urls": (op9_urls, URL_SQL),
