@@ -19,7 +19,14 @@ WINDOW = 15  # words compared around a seed
 SHARE = 0.8  # of these must be equal
 BROADCAST_SEEDS = 200_000
 
-_equal = "coalesce(cast(get(w, cast(start + {k} as int)) = get(own, {k}) as int), 0)"
+_equal = "if(get(w, start + {k}) <=> get(own, {k}), 1, 0)"
+
+
+def _hashed_words(df: DataFrame, key: str) -> DataFrame:
+    """``key`` and w, the 64-bit hashes of the words. Numbers keep the generated
+    code of a position small enough to be compiled."""
+    named = F.transform(words(fold(F.col("text"))), lambda x: F.xxhash64(x))
+    return df.select(key, named.alias("w")).where("size(w) > 0")
 
 
 def _seeded(df: DataFrame, masks: tuple[str, ...]) -> DataFrame:
@@ -31,7 +38,7 @@ def _seeded(df: DataFrame, masks: tuple[str, ...]) -> DataFrame:
         seen = ", ".join(f"get(w, at + {k})" for k, bit in enumerate(mask) if bit == "1")
         keys.append(f"{m}, case when at + {len(mask)} <= size(w) then xxhash64({m}, {seen}) end")
     short = min(map(len, masks))
-    whole = f"case when size(w) < {short} and at = 0 then xxhash64(-1, array_join(w, ' ')) end"
+    whole = f"case when size(w) < {short} and at = 0 then xxhash64(-1, w) end"
     rows = df.selectExpr("*", "explode(sequence(0, size(w) - 1)) as at").where("size(w) > 0")
     stacked = f"stack({len(masks) + 1}, {', '.join(keys)}, -1, {whole}) as (mask, key)"
     return rows.selectExpr("*", stacked).where("key is not null")
@@ -56,14 +63,16 @@ def contaminated(
     only in a text of the same words. Rows with the same doc_id are one document,
     a null doc_id as well; equal items are reported each.
     """
-    text = docs.select("doc_id", words(fold(F.col("text"))).alias("w")).where("size(w) > 0")
-    items = benchmark.select("item_id", words(fold(F.col("text"))).alias("w")).where("size(w) > 0")
+    text = _hashed_words(docs, "doc_id")
+    items = _hashed_words(benchmark, "item_id")
     # the window is cut out here, once per seed, instead of at every meeting
     seeds = (
         _seeded(items.distinct(), masks)
         .withColumn("len", F.expr(f"least({window}, size(w))"))
         .withColumn("lo", F.expr("greatest(0, least(at - (len - 4) div 2, size(w) - len))"))
-        .selectExpr("key", "item_id", "at - lo as lead", "slice(w, lo + 1, len) as own")
+        .selectExpr(
+            "key", "item_id", "cast(at - lo as int) as lead", "slice(w, cast(lo as int) + 1, len) as own"
+        )
     )
     hits = (
         _seeded(text, masks)

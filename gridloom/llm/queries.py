@@ -8,6 +8,7 @@ from gridloom.llm import (
     jaccard,
     langid,
     licenses,
+    neighbours,
     packing,
     recompression,
     toxicity,
@@ -46,6 +47,10 @@ def op6_contamination(spark, sf_dir):
     )
 
 
+def op7_embeddings(spark, sf_dir):
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_licenses(spark, sf_dir):
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -187,6 +192,7 @@ QUERIES = {
     "op3_jaccard": (op3_jaccard, None),
     "op4_repeats": (op4_repeats, None),
     "op6_contamination": (op6_contamination, CONTAMINATION_SQL),
+    "op7_embeddings": (op7_embeddings, None),
     "op8_licenses": (op8_licenses, LICENSE_SQL),
     "op9_urls": (op9_urls, URL_SQL),
     "op10_toxicity": (op10_toxicity, None),
