@@ -11,6 +11,7 @@ from gridloom.llm import (
     neighbours,
     packing,
     recompression,
+    surrogates,
     toxicity,
     urls,
 )
@@ -41,6 +42,15 @@ def op4_repeats(spark, sf_dir):
     return recompression.repeat_report(table(spark, sf_dir, "documents"))
 
 
+def surrogate_key(spark) -> bytes:
+    """The secret of the deployment; the fallback serves tests only."""
+    return spark.conf.get("spark.gridloom.surrogate.key", "not a secret").encode()
+
+
+def op5_surrogates(spark, sf_dir):
+    return surrogates.private_report(table(spark, sf_dir, "documents"), surrogate_key(spark))
+
+
 def op6_contamination(spark, sf_dir):
     return contamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -191,6 +201,7 @@ QUERIES = {
     "op2_packing": (op2_packing, None),
     "op3_jaccard": (op3_jaccard, None),
     "op4_repeats": (op4_repeats, None),
+    "op5_surrogates": (op5_surrogates, None),
     "op6_contamination": (op6_contamination, CONTAMINATION_SQL),
     "op7_embeddings": (op7_embeddings, None),
     "op8_licenses": (op8_licenses, LICENSE_SQL),
