@@ -92,7 +92,6 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
                 if kind == "ip" and max(map(int, m[0].split("."))) > 255:
                     continue
                 if kind == "card" and not luhn(re.sub(r"\D", "", m[0])):
-                    found.append((m.start(), m.end(), "account"))
                     continue
                 found.append((m.start(), m.end(), kind))
     if has_digit:
@@ -125,7 +124,7 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
 def canonical(kind: str, value: str) -> str:
     """What makes two mentions the same entity: letter case and punctuation do not
     count where a format does not mind them."""
-    if kind in ("phone", "card", "account", "ssn"):
+    if kind in ("phone", "card", "ssn"):
         return re.sub(r"[^\d]", "", value)
     if kind == "iban":
         return value.replace(" ", "")
@@ -217,7 +216,7 @@ def _script(c: str) -> str | None:
 
 def in_form_of(kind: str, drawn: str, mention: str) -> str:
     """The canonical surrogate written as the mention is written."""
-    if kind in ("phone", "card", "account", "ssn", "iban"):
+    if kind in ("phone", "card", "ssn", "iban"):
         rest = iter(drawn)
         return "".join(next(rest) if c.isalnum() else c for c in mention)
     if kind == "email" and mention.isupper() or ":" in kind and mention.isupper() and len(mention) > 1:
