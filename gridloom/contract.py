@@ -61,7 +61,6 @@ RECHUNK_CODEC = {"codec": "zlib", "shuffle": True}
 
 # What staging in and staging out select.
 STAGE_IN_DAYS = "[0-9][0-9][0-9][0-9]/[0-9][0-9]/[0-9][0-9].nc"
-STAGE_OUT_TREES = ["DPIRD/", "ECMWF/2024/"]
 
 
 def load_contracts(path: str) -> dict:

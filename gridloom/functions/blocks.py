@@ -43,7 +43,9 @@ def decode(payload: bytes, dtype: str, codec: str, shuffle: bool, count: int) ->
 
 
 def equals_fill(block: np.ndarray, fill) -> np.ndarray:
-    return np.isnan(block) if fill != fill else block == np.asarray(fill, block.dtype)
+    if fill != fill:
+        return np.isnan(block) if block.dtype.kind == "f" else np.zeros(block.shape, bool)
+    return block == np.asarray(fill, block.dtype)
 
 
 def convert(values: np.ndarray, dtype: str) -> np.ndarray:

@@ -30,14 +30,34 @@ def cf_decode(raw: Column, fill, scale: float, offset: float, decode: bool = Tru
     return F.when(raw == F.lit(fill), nan()).otherwise(raw * F.lit(scale) + F.lit(offset))
 
 
+def _whole(value, target: np.dtype):
+    number, limits = int(value), np.iinfo(target)
+    if number != float(value):
+        raise ValueError(f"{value} is no whole number")
+    if not limits.min <= number <= limits.max:
+        raise OverflowError(f"{value} does not fit {target}")
+    return target.type(number)
+
+
+def _real(value, target: np.dtype):
+    return target.type(float(value))
+
+
+def _text(value, target: np.dtype):
+    if not isinstance(value, str):
+        raise TypeError(f"only text can fill a text variable, not {value!r}")
+    return value
+
+
+# What a fill becomes, by NumPy's letter for the family of the dtype.
+_FILLS = {"f": _real, "i": _whole, "u": _whole, "U": _text, "S": _text, "O": _text}
+
+
 def resolve_fill(value, dtype: str):
-    """Fill value of a contract as a scalar of ``dtype``."""
-    kind = np.dtype(dtype)
-    if value == "nan" or (isinstance(value, float) and value != value):
-        return kind.type("nan")
-    if kind.kind in "USO" and not isinstance(value, str):
-        raise TypeError(f"fill for {dtype} must be text, got {type(value).__name__}")
-    return kind.type(value)
+    """Fill value of a contract in its dtype. A fill the dtype cannot hold, such
+    as NaN or a fraction for whole numbers, is an error."""
+    target = np.dtype(dtype)
+    return _FILLS[target.kind](value, target)
 
 
 def resolve_fill_column(text: Column, dtype: str, is_text: Column | None = None) -> Column:

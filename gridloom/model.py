@@ -17,9 +17,6 @@ ITEM_SIZES = {
     "float64": 8,
 }
 
-MANIFEST = "path string, length bigint"
-RESULT = "ok boolean, in_path string, out_path string, message string"
-
 
 @dataclass(frozen=True)
 class Grid:

@@ -12,17 +12,21 @@ from pyspark.sql import functions as F
 
 from gridloom.model import Grid
 
-# Numbers set aside for a dim whose length differs from file to file; the first
-# such dim leads the numbering and needs no limit.
-OPEN_DIM_BOXES = 1 << 20
-
 
 class Boxes:
-    """Box arithmetic of one grid."""
-
-    def __init__(self, grid: Grid, max_elements: int):
-        self.grid = grid
-        self.lens = grid.box_lens(max_elements)
+    """Box arithmetic of one grid. ``longest``: the greatest length of each dim
+    that differs from file to file. ``lens``: lengths of a box, where a store
+    states them."""
+
+    def __init__(
+        self,
+        grid: Grid,
+        max_elements: int,
+        longest: dict[str, int] | None = None,
+        lens: tuple[int, ...] | None = None,
+    ):
+        self.grid, self.longest = grid, longest or {}
+        self.lens = lens or grid.box_lens(max_elements)
         self.elements = prod(self.lens)
         self._len = dict(zip(grid.dims, self.lens))
         whole = {d: min(grid.chunk_len(d), grid.sizes.get(d, grid.chunk_len(d))) for d in grid.dims}
@@ -31,9 +35,10 @@ class Boxes:
         self._order = open_dims + [d for d in grid.dims if d in grid.sizes]
 
     def _radix(self, dim: str) -> int:
-        if dim not in self.grid.sizes:
-            return OPEN_DIM_BOXES
-        return ceil(self.grid.sizes[dim] / self.grid.chunk_len(dim)) * self._slabs[dim]
+        return ceil(self._most(dim) / self.grid.chunk_len(dim)) * self._slabs[dim]
+
+    def _most(self, dim: str) -> int:
+        return self.grid.sizes[dim] if dim in self.grid.sizes else self.longest[dim]
 
     def _one_chunk(self, dim: str) -> bool:
         return dim in self.grid.sizes and self.grid.chunk_len(dim) >= self.grid.sizes[dim]
@@ -53,14 +58,19 @@ class Boxes:
             number = f"({number}) * {self._radix(d)}L + {index}"
         return number
 
+    def outside(self) -> str:
+        """Whether a cell lies in no box of any file, a missing position included."""
+        fits = (f"{d}_i >= 0 AND {d}_i < {self._most(d)}L" for d in self.grid.dims)
+        return f"NOT coalesce({' AND '.join(fits)}, false)"
+
     def _inside(self, dim: str) -> str:
-        """Position in the box. One outside a known size fails the job, since its
-        number would be that of another box."""
+        """Position in the box. One outside the array fails the job, since its
+        number would be that of another box. A file shorter than the longest one
+        is looked at again when its boxes are packed."""
         i, chunk = f"{dim}_i", self.grid.chunk_len(dim)
-        if dim in self.grid.sizes:
-            wrong = f"raise_error(concat('position ', {i}, ' is outside {dim}'))"
-            fits = f"{i} >= 0 AND {i} < {self.grid.sizes[dim]}L"
-            i = f"CASE WHEN {fits} THEN {i} ELSE CAST({wrong} AS BIGINT) END"
+        wrong = f"raise_error(concat('position ', coalesce(CAST({i} AS STRING), 'NULL'), ' is outside {dim}'))"
+        fits = f"{i} >= 0 AND {i} < {self._most(dim)}L"
+        i = f"CASE WHEN {fits} THEN {i} ELSE CAST({wrong} AS BIGINT) END"
         if not self._one_chunk(dim):
             i = f"({i}) % {chunk}L"
         return f"({i}) % {self._len[dim]}L" if self._slabs[dim] > 1 else i
@@ -83,6 +93,8 @@ class Boxes:
             start = f"(({index}) div {slabs}L) * {chunk}L"
             origin = f"{start} + (({index}) % {slabs}L) * {n}L"
             end = f"least({self.size(d)}, {start} + {chunk}L, {origin} + {n}L)"
+            if d not in self.grid.sizes:  # least() would pass over a missing size
+                end = f"if({self.size(d)} IS NULL, NULL, {end})"
             out |= {f"o_{d}": origin, f"n_{d}": f"{end} - ({origin})"}
         return out
 

@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import blocks
 from gridloom.functions.ordering import broadcast_within
+from gridloom.functions.values import resolve_fill
 from gridloom.model import ITEM_SIZES, Grid
 from gridloom.operators.boxes import Boxes
 
-# A box of the widest contract chunk (7.6 M elements) stays in one piece.
+# What a task packs at once. A larger chunk is stored in slabs; its rows state
+# the declared chunk shape beside their own.
 MAX_BOX_ELEMENTS = 8 * 1024 * 1024
 # Dense bytes one task packs and writes: a larger shard or file gets several
 # writers. Less data is spread over the shuffle partitions, down to the smaller.
@@ -32,7 +34,8 @@ CELL_ROWS = 65_536
 
 
 def _pieces_schema(by: list[tuple[str, str]], variables) -> str:
-    cols = [f"`{name}` {kind}" for name, kind in by] + ["_box bigint", "_pos binary"]
+    cols = [f"`{name}` {kind}" for name, kind in by]
+    cols += ["_box bigint", "_pos binary", "_twice boolean"]
     for v in variables:
         # values, how many are not null, and which (empty: all of them)
         cols += [f"`{v}` binary", f"`_n_{v}` bigint", f"`_ok_{v}` binary"]
@@ -66,6 +69,13 @@ def _gather(by, box_elements: int, variables, limit):
             owner = owner * len(codes.dictionary) + codes.indices.to_numpy()
         cell = table.column("_cell").to_numpy()
         order, starts = blocks.runs(owner, cell, box_elements)
+        # a position given again is told apart here and not sent on, so a box
+        # never receives more values from a flush than it has positions
+        again = np.zeros(len(order), bool)
+        again[1:] = cell[order][1:] == cell[order][:-1]
+        again[starts] = False
+        twice = np.logical_or.reduceat(again, starts)
+        starts, order = starts - np.cumsum(again)[starts], order[~again]
         ends = [*starts[1:].tolist(), len(order)]
         first, starts = pa.array(order[starts]), starts.tolist()
         cell = cell[order]
@@ -76,7 +86,7 @@ def _gather(by, box_elements: int, variables, limit):
             return pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())
 
         out = {name: table.column(name).take(first) for name in by}
-        out |= {"_box": pa.array(number), "_pos": cut(pos)}
+        out |= {"_box": pa.array(number), "_pos": cut(pos), "_twice": pa.array(twice)}
         for v in variables:
             column = table.column(v)
             present = np.diff([*starts, len(order)])
@@ -114,7 +124,10 @@ def chunk_schema(by: list[tuple[str, str]], dims) -> str:
         "codec string",
         "level int",
         "shuffle boolean",
-        "fill double",
+        "fill string",
+        "shape array<bigint>",
+        "chunk array<bigint>",
+        "slab array<bigint>",
         "n_present bigint",
         "raw_bytes bigint",
         "stored_bytes bigint",
@@ -127,6 +140,8 @@ def chunk_schema(by: list[tuple[str, str]], dims) -> str:
 def _dense(table, var: str, held: str, dtype: str, box, inside, fill) -> tuple[np.ndarray, int]:
     """One variable of a box from its pieces, and its number of present cells.
     Where it is null the fill stays."""
+    if pc.any(table.column("_twice")).as_py():
+        raise ValueError("duplicate cells")
     pieces = []
     columns = (table.column(c) for c in ("_pos", var, f"_n_{var}", f"_ok_{var}"))
     for pos, values, count, valid in zip(*columns):
@@ -144,13 +159,27 @@ def _place(table: pa.Table, by, dims) -> dict:
     return {c: table.column(c)[0].as_py() for c in names}
 
 
-def _pack(by, dims, variables, held, box, fill, codec, level, shuffle, drop_empty, strict):
+def _inside(place: dict, dims) -> tuple[slice, ...]:
+    """The part of a box that lies in its array."""
+    lengths = [place[f"n_{d}"] for d in dims]
+    if None in lengths:
+        raise ValueError("no size is stated for this file")
+    if min(lengths) <= 0:
+        raise ValueError("cells beyond the size of the array")
+    return tuple(slice(0, n) for n in lengths)
+
+
+def _pack(by, grid, variables, held, box, fills, codec, level, shuffle, drop_empty, strict):
     """Grouped-map body: the pieces of one box to one row per variable."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
         place = _place(table, by, dims) | {"shard": table.column("shard")[0].as_py()}
-        inside = tuple(slice(0, place[f"n_{d}"]) for d in dims)
+        shape = [
+            grid.sizes[d] if d in grid.sizes else table.column(f"size_{d}")[0].as_py()
+            for d in dims
+        ]
+        place |= {"shape": shape, "chunk": list(grid.chunk_lens()), "slab": list(box)}
         rows = []
         for var, dtype in variables.items():
             row = place | {
@@ -159,9 +188,10 @@ def _pack(by, dims, variables, held, box, fill, codec, level, shuffle, drop_empt
                 "codec": codec,
                 "level": level,
                 "shuffle": shuffle,
-                "fill": float(fill),
+                "fill": str(fills[var]),
             }
             try:
+                inside, fill = _inside(place, dims), fills[var]
                 dense, present = _dense(table, var, held[var], dtype, box, inside, fill)
                 if drop_empty and blocks.equals_fill(dense, fill).all():
                     continue
@@ -176,25 +206,26 @@ def _pack(by, dims, variables, held, box, fill, codec, level, shuffle, drop_empt
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    whole = pa.int64()
+    dims, whole = grid.dims, pa.int64()
     schema = pa.schema(
         [(name, pa.string()) for name in [*by, "var", "shard"]]
         + [(f"o_{d}", whole) for d in dims]
         + [(f"n_{d}", whole) for d in dims]
         + [("dtype", pa.string()), ("codec", pa.string()), ("level", pa.int32())]
-        + [("shuffle", pa.bool_()), ("fill", pa.float64())]
+        + [("shuffle", pa.bool_()), ("fill", pa.string())]
+        + [(name, pa.list_(whole)) for name in ("shape", "chunk", "slab")]
         + [("n_present", whole), ("raw_bytes", whole), ("stored_bytes", whole)]
         + [("payload", pa.binary()), ("error", pa.string())]
     )
     return pack
 
 
-def _cells_schema(by, dims) -> str:
+def _cells_schema(by, dims, kind: str = "double") -> str:
     cols = [f"`{name}` string" for name in by] + ["var string"]
-    return ", ".join(cols + [f"{d}_i bigint" for d in dims] + ["v double"])
+    return ", ".join(cols + [f"{d}_i bigint" for d in dims] + [f"v {kind}"])
 
 
-def _cell_batches(by, dims, place: dict, var: str, values: np.ndarray, wanted):
+def _cell_batches(by, dims, place: dict, var: str, values: np.ndarray, wanted, kind="double"):
     """Cells of one box at the flat positions ``wanted``, a slice at a time."""
     shape = [place[f"n_{d}"] for d in dims]
     for lo in range(0, len(wanted), CELL_ROWS):
@@ -203,19 +234,19 @@ def _cell_batches(by, dims, place: dict, var: str, values: np.ndarray, wanted):
         out["var"] = pa.repeat(pa.scalar(var, pa.string()), len(flat))
         for d, idx in zip(dims, np.unravel_index(flat, shape)):
             out[f"{d}_i"] = pa.array(idx + place[f"o_{d}"])
-        out["v"] = pa.array(values[flat].astype(np.float64))
+        out["v"] = pa.array(blocks.convert(values[flat], _VALUE_TYPES[kind]))
         yield pa.RecordBatch.from_pydict(out)
 
 
-def _expand(by, dims, variables, held, box, fill):
+def _expand(by, dims, variables, held, box, fills):
     """Grouped-map body: the pieces of one box to all of its cells."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
         place = _place(table, by, dims)
-        inside = tuple(slice(0, place[f"n_{d}"]) for d in dims)
+        inside = _inside(place, dims)
         for var, dtype in variables.items():
-            dense, _ = _dense(table, var, held[var], dtype, box, inside, fill)
+            dense, _ = _dense(table, var, held[var], dtype, box, inside, fills[var])
             values = dense.reshape(-1)
             yield from _cell_batches(by, dims, place, var, values, np.arange(values.size))
 
@@ -237,16 +268,24 @@ def _gathered(cells, boxes, variables, by, sizes, files, every_box) -> DataFrame
         _pieces_schema([(name, "string") for name in by], names),
     )
     if every_box:
-        blank = ["X'' AS _pos"]
+        blank = ["X'' AS _pos", "false AS _twice"]
         for v in names:
             blank += [f"X'' AS `{v}`", f"0L AS `_n_{v}`", f"X'' AS `_ok_{v}`"]
         every = boxes.every(sizes, cells.sparkSession)
         pieces = pieces.unionByName(every.selectExpr(*by, "_box", *blank))
     if sizes is not None:
-        pieces = pieces.join(broadcast_within(sizes, rows=files), list(by))
+        # a file without a size keeps its pieces, and packing them is an error
+        pieces = pieces.join(broadcast_within(sizes, rows=files), list(by), "left")
     return boxes.with_bounds(pieces)
 
 
+def fills_of(variables: dict[str, str], fill) -> dict:
+    """The fill of each variable in its dtype. ``fill`` is one for all or a map;
+    a variable it does not name takes NaN if that fits, and is an error if not."""
+    given = fill if isinstance(fill, dict) else dict.fromkeys(variables, fill)
+    return {v: resolve_fill(given.get(v, "nan"), dtype) for v, dtype in variables.items()}
+
+
 def encode_chunks(
     cells: DataFrame,
     grid: Grid,
@@ -257,7 +296,7 @@ def encode_chunks(
     codec: str = "zlib",
     level: int = 7,
     shuffle: bool = True,
-    fill: float = float("nan"),
+    fill=float("nan"),
     drop_empty: bool = True,
     strict: bool = True,
     max_box_elements: int = MAX_BOX_ELEMENTS,
@@ -268,30 +307,41 @@ def encode_chunks(
     ``variables`` maps value columns to stored dtypes. ``by`` names string
     columns that separate arrays (a file, a dataset); ``sizes`` is a table of
     ``by`` and ``size_<dim>`` for dims that ``grid.sizes`` leaves open. Absent
-    cells take ``fill``; boxes holding nothing else are left out unless
-    ``drop_empty`` is off. Cells that name a position twice fail the job, or
-    give a row with ``error`` set when ``strict`` is off.
+    cells take ``fill``, one for all variables or one by name, in the dtype of
+    the variable; boxes holding nothing else are left out unless ``drop_empty``
+    is off. Cells that name a position twice or one outside the array, and files
+    without a size, fail the job, or give a row with ``error`` set when
+    ``strict`` is off.
     """
     grid.check()
     dims, boxes = grid.dims, Boxes(grid, max_box_elements)
+    fills = fills_of(variables, fill)
     files, tasks, share = _spread(cells.sparkSession, boxes, variables, sizes, writer_bytes)
+    wrong = None
+    if not strict:
+        wrong = cells.where(boxes.outside()).select(*by).distinct()
+        cells = cells.where(f"NOT ({boxes.outside()})")
     pieces = _gathered(cells, boxes, variables, by, sizes, files, not drop_empty)
     unit = _dense_bytes(boxes, variables, grid.shard)
     writers = f"CAST(greatest(ceil(({unit}) / {share}D), 1) AS INT)"
     held = _value_types(cells, variables)
-    packing = (boxes.lens, fill, codec, level, shuffle, drop_empty, strict)
+    packing = (boxes.lens, fills, codec, level, shuffle, drop_empty, strict)
     placed = pieces.selectExpr("*", f"{_shard_label(grid)} AS shard").selectExpr(
         "*", f"pmod(hash(_box), {writers}) AS _writer"
     )
     place = [*by, "shard", "_writer"]
-    return (
+    packed = (
         placed.repartition(tasks, *place)
         .groupBy(*place, "_box")
         .applyInArrow(
-            _pack(by, dims, variables, held, *packing),
+            _pack(by, grid, variables, held, *packing),
             chunk_schema([(name, "string") for name in by], dims),
         )
     )
+    if wrong is None:
+        return packed
+    message = F.lit("cells outside the array").alias("error")
+    return packed.unionByName(wrong.select(*by, message), allowMissingColumns=True)
 
 
 def _dense_bytes(boxes: Boxes, variables: dict[str, str], extent: dict[str, int]) -> str:
@@ -307,7 +357,12 @@ def _spread(spark, boxes, variables, sizes: DataFrame | None, bounds) -> tuple[i
     tasks must not be left to the size of the shuffle."""
     frame = spark.range(1) if sizes is None else sizes
     dense = _dense_bytes(boxes, variables, {})
-    files, total = frame.selectExpr("count(1)", f"coalesce(sum({dense}), 0D)").first()
+    open_dims = [d for d in boxes.grid.dims if d not in boxes.grid.sizes]
+    longest = [f"coalesce(max({boxes.size(d)}), 0L)" for d in open_dims]
+    files, total, *longest = frame.selectExpr(
+        "count(1)", f"coalesce(sum({dense}), 0D)", *longest
+    ).first()
+    boxes.longest = dict(zip(open_dims, longest))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least, most = bounds
     share = float(min(most, max(least, total / partitions)))
@@ -319,7 +374,7 @@ def dense_cells(
     grid: Grid,
     variables: dict[str, str],
     *,
-    fill: float = float("nan"),
+    fill=float("nan"),
     by: tuple[str, ...] = (),
     sizes: DataFrame | None = None,
     max_box_elements: int = MAX_BOX_ELEMENTS,
@@ -329,12 +384,13 @@ def dense_cells(
     files, tasks, _ = _spread(cells.sparkSession, boxes, variables, sizes, WRITER_BYTES)
     pieces = _gathered(cells, boxes, variables, by, sizes, files, True)
     return pieces.repartition(tasks, *by, "_box").groupBy(*by, "_box").applyInArrow(
-        _expand(by, grid.dims, variables, _value_types(cells, variables), boxes.lens, fill),
+        _expand(by, grid.dims, variables, _value_types(cells, variables), boxes.lens,
+                fills_of(variables, fill)),
         _cells_schema(by, grid.dims),
     )
 
 
-def _unpack(by, dims, present_only):
+def _unpack(by, dims, without_fill, kind):
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             payloads = batch.column("payload")
@@ -344,19 +400,29 @@ def _unpack(by, dims, present_only):
                 values = blocks.decode(
                     payload.as_buffer(), row["dtype"], row["codec"], row["shuffle"], count
                 )
-                if present_only:
-                    wanted = np.flatnonzero(~blocks.equals_fill(values, row["fill"]))
+                if without_fill:
+                    fill = resolve_fill(row["fill"], row["dtype"])
+                    wanted = np.flatnonzero(~blocks.equals_fill(values, fill))
                 else:
                     wanted = np.arange(count)
-                yield from _cell_batches(by, dims, row, row["var"], values, wanted)
+                yield from _cell_batches(by, dims, row, row["var"], values, wanted, kind)
 
     return unpack
 
 
 def decode_chunks(
-    chunks: DataFrame, dims: tuple[str, ...], by: tuple[str, ...] = (), present_only: bool = False
+    chunks: DataFrame,
+    dims: tuple[str, ...],
+    by: tuple[str, ...] = (),
+    without_fill: bool = False,
+    kind: str = "double",
 ) -> DataFrame:
-    """Cells of a chunk table, ``v`` as double; ``present_only`` leaves out fill."""
+    """Cells of a chunk table; ``without_fill`` leaves out all that equal the fill,
+    whether they were absent or had that value. ``v`` is of the Spark type
+    ``kind``: double holds any mix of variables but whole numbers past 2^53, for
+    which ``bigint`` is exact."""
     need = [*by, "var", *(f"o_{d}" for d in dims), *(f"n_{d}" for d in dims)]
     need += ["dtype", "codec", "shuffle", "fill", "payload"]
-    return chunks.select(*need).mapInArrow(_unpack(by, dims, present_only), _cells_schema(by, dims))
+    return chunks.select(*need).mapInArrow(
+        _unpack(by, dims, without_fill, kind), _cells_schema(by, dims, kind)
+    )

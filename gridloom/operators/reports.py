@@ -12,19 +12,19 @@ SHOWN = 3
 
 def storage_stats(chunks: DataFrame, dims: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
     """Per stored array: shape, dtype, chunk shape, codec and bytes, from the
-    chunk rows alone (payloads are not read)."""
-    shape = [F.max(F.col(f"o_{d}") + F.col(f"n_{d}")) for d in dims]
-    chunk = [F.max(f"n_{d}") for d in dims]
+    chunk rows alone (payloads are not read). Shape and chunk shape are the
+    declared ones, whatever was left out as empty or stored in slabs."""
+    number = F.array(*[F.expr(f"o_{d} div chunk[{k}]") for k, d in enumerate(dims)])
     return (
         chunks.groupBy(*by, "var")
         .agg(
-            F.array(*shape).alias("shape"),
-            F.array(*chunk).alias("chunks"),
+            F.max("shape").alias("shape"),
+            F.max("chunk").alias("chunks"),
             F.max("dtype").alias("dtype"),
             F.max("codec").alias("compression"),
             F.max("level").alias("level"),
             F.bool_and("shuffle").alias("shuffle"),
-            F.count(F.lit(1)).alias("n_chunks"),
+            F.countDistinct(number).alias("n_chunks"),
             F.sum("raw_bytes").alias("raw_bytes"),
             F.sum("stored_bytes").alias("storage"),
         )

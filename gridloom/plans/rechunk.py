@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from gridloom.contract import RECHUNK_CODEC
 from gridloom.functions.ordering import broadcast_within
 from gridloom.model import Grid
-from gridloom.operators.codec import encode_chunks
+from gridloom.operators.boxes import Boxes
+from gridloom.operators.codec import MAX_BOX_ELEMENTS, encode_chunks
 from gridloom.session import scratch_folder
 from gridloom.sinks.chunks import replace_files
 from gridloom.sinks.results import RunFailed, file_results
@@ -25,6 +26,7 @@ def rechunk(
     level: int,
     out: str,
     stop_on_error: bool = True,
+    fill=float("nan"),
 ) -> DataFrame:
     """Write chunk rows of each file below ``out`` and return the result rows.
 
@@ -35,6 +37,12 @@ def rechunk(
     replaced. Otherwise chunks are written to the scratch folder first, and
     only files without errors replace their earlier output.
     """
+    spark = cells.sparkSession
+    longest = {
+        d: sizes.agg(F.max(f"size_{d}")).first()[0] or 0 for d in grid.dims if d not in grid.sizes
+    }
+    boxes = Boxes(grid, MAX_BOX_ELEMENTS, longest).every(sizes, spark)
+    expected = boxes.groupBy(*BY).agg((F.count("*") * len(variables)).alias("chunks"))
     encoded = encode_chunks(
         cells,
         grid,
@@ -42,6 +50,7 @@ def rechunk(
         by=BY,
         sizes=sizes,
         level=level,
+        fill=fill,
         drop_empty=False,
         strict=stop_on_error,
         **RECHUNK_CODEC,
@@ -51,11 +60,11 @@ def rechunk(
             replace_files(encoded, out, BY)
         except PySparkException as exc:
             raise RunFailed(str(exc)) from exc
-        return file_results(work, encoded.limit(0))
+        written = read_chunks(spark, out, grid.dims, BY).join(sizes.select(*BY), list(BY), "semi")
+        return file_results(work, written, expected)
 
-    spark = cells.sparkSession
     staged = replace_files(encoded, scratch_folder(spark, "staged"), BY)
     chunks = read_chunks(spark, staged, grid.dims, BY)
     bad = broadcast_within(chunks.filter(F.col("error").isNotNull()).select(*BY).distinct())
     replace_files(chunks.join(bad, list(BY), "left_anti"), out, BY)
-    return file_results(work, chunks)
+    return file_results(work, chunks, expected)

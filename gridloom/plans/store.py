@@ -17,7 +17,7 @@ def _grid(dims, sizes, spec) -> Grid:
 
 
 def _encoded(cells, grid, variables, spec):
-    fill = float(resolve_fill(spec["fill_value"], spec["fill_value_dtype"]))
+    fill = resolve_fill(spec["fill_value"], spec["fill_value_dtype"])
     return encode_chunks(cells, grid, variables, fill=fill, **STORE_CODEC)
 
 
@@ -51,7 +51,8 @@ def many_files_store(
     """Join all files along ``along`` and store the result as one array.
 
     ``files`` has one row per file: ``file`` and ``size_<along>``. A dry run
-    takes the tenth file only.
+    takes the tenth file only and never touches the store itself: it writes
+    beside it, under a name of its own. Returns where the store is.
     """
     placed = file_offsets(files, along)
     found = placed.agg(F.count(F.lit(1)), F.sum(f"size_{along}")).first()
@@ -64,6 +65,8 @@ def many_files_store(
             "offset", F.lit(0).cast("bigint")
         )
         n_files, length = 1, placed.first()[f"size_{along}"]
+        cells = cells.join(F.broadcast(placed.select("file")), "file", "semi")
     joined = concat(cells, placed, along, files=n_files)
     grid = _grid(dims, {**sizes, along: length}, spec)
+    out = store_name(out.rstrip("/"), dry_run)
     return write_store(_encoded(joined, grid, variables, spec), out)

@@ -76,7 +76,7 @@ def _station_store(spark, sf) -> str:
 
 def shard_write_2d(spark, sf):
     store = _station_store(spark, sf)
-    return read_cells(spark, store, I.STATION_DIMS, present_only=True)
+    return read_cells(spark, store, I.STATION_DIMS, without_fill=True)
 
 
 def chunk_store_scan(spark, sf):
@@ -109,12 +109,12 @@ def joined_store(spark, sf, dry_run=False) -> str:
 
 def shard_write_4d(spark, sf):
     store = joined_store(spark, sf)
-    return read_cells(spark, store, I.GRID_DIMS, present_only=True).drop("var")
+    return read_cells(spark, store, I.GRID_DIMS, without_fill=True).drop("var")
 
 
 def dry_run_store(spark, sf):
     store = joined_store(spark, sf, dry_run=True)
-    return read_cells(spark, store, I.GRID_DIMS, present_only=True).drop("var")
+    return read_cells(spark, store, I.GRID_DIMS, without_fill=True).drop("var")
 
 
 def _file_grid(spark, sf) -> Grid:
@@ -140,7 +140,7 @@ def rechunk_write(spark, sf):
     sizes = _day_sizes(spark, sf)
     out = scratch_folder(spark, "rechunked")
     rechunk(cells, sizes, _work(sizes), _file_grid(spark, sf), {"v": "float64"}, 7, out)
-    read = read_cells(spark, out, I.GRID_DIMS, BY, present_only=True)
+    read = read_cells(spark, out, I.GRID_DIMS, BY, without_fill=True)
     return read.drop("var", "dataset")
 
 
@@ -159,7 +159,7 @@ def atomic_replace(spark, sf):
         rechunk(cells.unionByName(cells), sizes, work, grid, variables, 7, out)
     except RunFailed:
         pass
-    read = read_cells(spark, out, I.GRID_DIMS, BY, present_only=True)
+    read = read_cells(spark, out, I.GRID_DIMS, BY, without_fill=True)
     return read.drop("var", "dataset")
 
 
@@ -282,8 +282,8 @@ QUERIES = {
         files AS (SELECT file, max(n) > 1 AS bad FROM cells GROUP BY 1)
         SELECT 'ecmwf' AS dataset, NOT bad AS ok, 'raw/' || file AS in_path,
             'rechunked/' || file AS out_path,
-            CASE WHEN bad THEN 'Error preparing: raw/' || file || ': duplicate cells'
-              ELSE 'Completed: raw/' || file || ' -> rechunked/' || file END AS message
+            CASE WHEN bad THEN 'raw/' || file || ' failed, duplicate cells'
+              ELSE 'raw/' || file || ' is at rechunked/' || file END AS message
         FROM files""",
     ),
     "run_summary": (
@@ -310,8 +310,7 @@ QUERIES = {
         kept AS (SELECT DISTINCT station_i // 48 * 48 AS os, time_i // 625 * 625 AS ot FROM stations),
         boxes AS (SELECT os, ot, least(s, os + 48) - os AS ns, least(t, ot + 625) - ot AS nt
             FROM kept, n)
-        SELECT name, max(os + ns) || ',' || max(ot + nt) AS shape,
-            max(ns) || ',' || max(nt) AS chunks, 'float64' AS dtype, 'none' AS compression,
+        SELECT name, (SELECT s || ',' || t FROM n) AS shape, '48,625' AS chunks, 'float64' AS dtype, 'none' AS compression,
             CAST(0 AS BIGINT) AS level, false AS shuffle, count(*) AS n_chunks,
             CAST(sum(ns * nt * 8) AS BIGINT) AS raw_bytes,
             CAST(sum(ns * nt * 8) AS BIGINT) AS storage

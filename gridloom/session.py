@@ -40,6 +40,19 @@ def rows_only_batches(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and host that Spark would read it from."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(root).toString()
+
+
+def default_root(spark: SparkSession) -> str:
+    """What stands before an absolute path without a scheme: ``file:``, or the
+    scheme and host of the cluster's file system."""
+    return qualified(spark, "/").rstrip("/")
+
+
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:

@@ -1,9 +1,11 @@
 """Write chunk tables."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.session import rows_only_batches
 
+_VERSION = "version-"
+
 # A chunk row can be tens of megabytes: check sizes per row, and do not
 # compress payloads a second time.
 _LAYOUT = {
@@ -22,9 +24,40 @@ def _write(chunks: DataFrame, path: str, scope: str, by: tuple[str, ...]) -> str
     return path
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of complete versions of a store, oldest first."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    found = [s.getPath() for s in files.listStatus(root)]
+    done = [p for p in found if p.getName().startswith(_VERSION)
+            and files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(f"{path.rstrip('/')}/{p.getName()}" for p in done)
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Where the newest complete version of a store is; other tables are as they are."""
+    return (_versions(spark, path) or [path])[-1]
+
+
 def write_store(chunks: DataFrame, path: str) -> str:
-    """Replace the whole store at ``path``; a shard is one folder per variable."""
-    return _write(chunks, path, "static", ("var", "shard"))
+    """A new version of the store at ``path``; a shard is one folder per variable.
+
+    Readers see it once its job has ended well, and then all of it. Until then,
+    and after a failure, they read the version before, which is kept until the
+    next good write. One writer at a time.
+    """
+    spark = chunks.sparkSession
+    before = _versions(spark, path)
+    number = int(before[-1].rsplit("-", 1)[1]) + 1 if before else 1
+    _write(chunks, f"{path.rstrip('/')}/{_VERSION}{number:08d}", "static", ("var", "shard"))
+    jvm = spark.sparkContext._jvm
+    for old in before[:-1]:
+        gone = jvm.org.apache.hadoop.fs.Path(old)
+        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    return path
 
 
 def replace_files(chunks: DataFrame, path: str, by: tuple[str, ...] = ("file",)) -> str:

@@ -8,22 +8,27 @@ class RunFailed(RuntimeError):
     """At least one file could not be prepared."""
 
 
-def file_results(work: DataFrame, chunks: DataFrame, file: str = "file") -> DataFrame:
-    """One row per work item: failed when any of its chunks carries an error."""
-    errors = (
-        chunks.filter(F.col("error").isNotNull())
-        .groupBy("dataset", file)
-        .agg(F.min("error").alias("error"))
+def file_results(
+    work: DataFrame, chunks: DataFrame, expected: DataFrame, file: str = "file"
+) -> DataFrame:
+    """One row per work item. It succeeded when it has as many chunk rows as
+    ``expected`` (dataset, file, chunks) and none carries an error; a file that
+    was never read or has no stated size is a failure."""
+    found = chunks.groupBy("dataset", file).agg(
+        F.min("error").alias("bad"), F.count_if(F.col("error").isNull()).alias("written")
     )
-    joined = work.join(errors, ["dataset", file], "left")
+    joined = work.join(found, ["dataset", file], "left").join(expected, ["dataset", file], "left")
+    lacking = F.coalesce(F.col("written") != F.col("chunks"), F.lit(True))
+    error = F.coalesce("bad", F.when(lacking, F.lit("not all of its chunks were written")))
+    joined = joined.withColumn("error", error)
     failed = F.col("error").isNotNull()
     return joined.select(
         "dataset",
         (~failed).alias("ok"),
         "in_path",
         "out_path",
-        F.when(failed, F.concat_ws("", F.lit("Error preparing: "), "in_path", F.lit(": "), "error"))
-        .otherwise(F.concat_ws("", F.lit("Completed: "), "in_path", F.lit(" -> "), "out_path"))
+        F.when(failed, F.concat_ws("", "in_path", F.lit(" failed, "), "error"))
+        .otherwise(F.concat_ws("", "in_path", F.lit(" is at "), "out_path"))
         .alias("message"),
     )
 

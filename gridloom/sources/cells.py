@@ -33,18 +33,20 @@ def concat(
     cells: DataFrame, offsets: DataFrame, dim: str, file: str = "file", files: int | None = None
 ) -> DataFrame:
     """Join files end to end along ``dim``: positions move by the file's offset.
-    Nothing is sorted by label or dropped as a repeat. ``files`` is the number
-    of files, if known."""
+    Nothing is sorted by label or dropped as a repeat; cells of a file without an
+    offset are an error. ``files`` is the number of files, if known."""
     start = broadcast_within(offsets.select(file, "offset"), rows=files)
-    return (
-        cells.join(start, file)
-        .withColumn(f"{dim}_i", F.col("offset") + F.col(f"{dim}_i"))
-        .drop("offset")
-    )
+    unknown = F.raise_error(F.concat(F.lit("no offset for "), F.coalesce(F.col(file), F.lit("a file without a name"))))
+    moved = F.coalesce("offset", unknown.cast("bigint")) + F.col(f"{dim}_i")
+    return cells.join(start, file, "left").withColumn(f"{dim}_i", moved).drop("offset")
 
 
 def label_positions(cells: DataFrame, label: str, dim: str) -> DataFrame:
     """Give ``dim`` positions over the sorted union of the labels of all files,
-    so files with differing labels line up and gaps stay absent."""
-    index = with_running_total(cells.select(label).distinct(), [F.col(label)], f"{dim}_i")
-    return cells.drop(f"{dim}_i").join(broadcast_within(index), label)
+    so files with differing labels line up and gaps stay absent. A NULL label has
+    no place in that order and is an error."""
+    known = cells.select(label).where(F.col(label).isNotNull()).distinct()
+    index = with_running_total(known, [F.col(label)], "_place")
+    missing = F.raise_error(F.lit(f"a cell has no {label}")).cast("bigint")
+    placed = cells.drop(f"{dim}_i").join(broadcast_within(index), label, "left")
+    return placed.withColumn(f"{dim}_i", F.coalesce("_place", missing)).drop("_place")

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import paths
 from gridloom.functions.ordering import with_running_total
+from gridloom.session import qualified
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
+# scheme and host: what is left starts with /
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)"
 
 
 def scan_files(spark: SparkSession, root: str, pattern: str = "**/*") -> DataFrame:
@@ -19,7 +21,8 @@ def scan_files(spark: SparkSession, root: str, pattern: str = "**/*") -> DataFra
     listed, as with every Spark file source.
     """
     name = pattern.rsplit("/", 1)[-1]
-    base = re.sub(_SCHEME, "/", root.rstrip("/"))
+    root = qualified(spark, root)
+    base = re.sub(_SCHEME, "", root.rstrip("/"))
     try:
         files = (
             spark.read.format("binaryFile")
@@ -33,7 +36,7 @@ def scan_files(spark: SparkSession, root: str, pattern: str = "**/*") -> DataFra
         return spark.createDataFrame(
             [], "path string, rel_path string, length bigint, modified timestamp"
         )
-    plain = F.regexp_replace("path", _SCHEME, "/")
+    plain = F.regexp_replace("path", _SCHEME, "")
     return files.select(
         "path",
         paths.relative_to(plain, base).alias("rel_path"),

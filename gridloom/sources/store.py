@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 from gridloom.model import Grid
 from gridloom.operators.boxes import Boxes
 from gridloom.operators.codec import MAX_BOX_ELEMENTS, chunk_schema, decode_chunks
+from gridloom.sinks.chunks import current_version
 
 
 def read_chunks(
     spark: SparkSession, path: str, dims: tuple[str, ...], by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Chunk table at ``path``. The schema is stated, so folder names such as
-    shard labels keep their type and no file is opened to infer it."""
+    """Chunk table at ``path``, of a store its current version. The schema is
+    stated, so folder names such as shard labels keep their type and no file is
+    opened to infer it."""
+    path = current_version(spark, path)
     return spark.read.schema(chunk_schema([(n, "string") for n in by], dims)).parquet(path)
 
 
@@ -37,7 +40,8 @@ def read_cells(
     variables: list[str] | None = None,
     window: dict[str, tuple[int, int]] | None = None,
     shard: dict[str, int] | None = None,
-    present_only: bool = False,
+    without_fill: bool = False,
+    kind: str = "double",
 ) -> DataFrame:
     """Cells of a store; variables and position windows cut down the chunks read.
     ``shard``, the shard map of a store, lets windows cut down the folders too."""
@@ -48,7 +52,7 @@ def read_cells(
         chunks = overlapping(chunks, dim, lo, hi)
         if dim in (shard or {}):
             chunks = in_shards(chunks, dims, dim, shard[dim], lo, hi)
-    cells = decode_chunks(chunks, dims, by, present_only)
+    cells = decode_chunks(chunks, dims, by, without_fill, kind)
     for dim, (lo, hi) in (window or {}).items():
         cells = cells.filter((F.col(f"{dim}_i") >= lo) & (F.col(f"{dim}_i") < hi))
     return cells
@@ -59,12 +63,16 @@ def read_array(
     path: str,
     grid: Grid,
     variables: dict[str, float],
-    max_box_elements: int = MAX_BOX_ELEMENTS,
 ) -> DataFrame:
     """Every cell of the named variables, given with their fill: chunks left out
-    as empty are made again. ``grid`` is the one the store was written with."""
-    boxes = Boxes(grid, max_box_elements)
+    as empty are made again. ``grid`` is checked against what the store states,
+    and chunks may be stored in slabs of any size."""
     chunks = read_chunks(spark, path, grid.dims).filter(F.col("var").isin(list(variables)))
+    one = chunks.select("shape", "chunk", "slab").first()
+    stated = one and (tuple(one["shape"]), tuple(one["chunk"]))
+    if stated and stated != (tuple(grid.sizes[d] for d in grid.dims), grid.chunk_lens()):
+        raise ValueError(f"the store holds shape and chunks {stated}")
+    boxes = Boxes(grid, MAX_BOX_ELEMENTS, lens=tuple(one["slab"]) if one else None)
     stored = chunks.select("var", F.expr(boxes.number("o_", "")).alias("_box"))
     fills = F.create_map(*[F.lit(x) for kv in variables.items() for x in kv])
     absent = boxes.with_bounds(

@@ -1,13 +1,18 @@
 """Packing and unpacking: exact round trips against NumPy."""
 
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 
 from gridloom.functions import blocks
 from gridloom.model import Grid
-from gridloom.operators.codec import decode_chunks, dense_cells, encode_chunks
+from gridloom.operators.codec import _gather, decode_chunks, dense_cells, encode_chunks
+from gridloom.operators.reports import storage_stats
 from gridloom.sinks.chunks import write_store
 from gridloom.sources.store import read_array, read_cells, read_chunks
 
@@ -60,7 +65,7 @@ def test_any_chunking_is_exact(spark, shape, chunk, limit, seed):
     chunks = encode_chunks(
         cells_of(spark, array, keep), grid, {"v": "float64"}, max_box_elements=limit
     )
-    got = decode_chunks(chunks, DIMS, present_only=True)
+    got = decode_chunks(chunks, DIMS, without_fill=True)
     assert got.count() == keep.sum()
     assert np.array_equal(as_array(got, shape), np.where(keep, array, np.nan), equal_nan=True)
 
@@ -117,7 +122,7 @@ def test_ragged_sizes_per_file(spark):
         )
         shapes = {(r["file"], r["o_time"]): (r["n_time"], r["n_lon"]) for r in chunks.collect()}
         assert shapes == {("a", 0): (3, 2), ("a", 3): (2, 2), ("b", 0): (2, 2)}
-        back = decode_chunks(chunks, dims, ("file",), present_only=True)
+        back = decode_chunks(chunks, dims, ("file",), without_fill=True)
         assert {tuple(r[c] for c in ("file", "time_i", "lon_i", "v")) for r in back.collect()} == set(rows)
 
 
@@ -137,7 +142,7 @@ def test_cells_outside_the_array_are_refused(spark):
     with pytest.raises(Exception, match="position 5 is outside time"):
         encode_chunks(cells, Grid(("time",), {"time": 4}, {}), {"v": "float64"}).collect()
     lengths = spark.createDataFrame([("a", 5)], "file string, size_time bigint")
-    with pytest.raises(Exception, match="beyond the size"):
+    with pytest.raises(Exception, match="outside time|beyond the size"):
         encode_chunks(
             cells, Grid(("time",), chunk={"time": 3}), {"v": "float64"}, by=("file",), sizes=lengths
         ).collect()
@@ -165,7 +170,7 @@ def test_left_out_chunks_are_made_again(spark, folder):
             cells_of(spark, array, keep), grid, {"v": "float64"}, max_box_elements=limit
         )
         out = write_store(chunks, folder(f"s{limit}"))
-        got = read_array(spark, out, grid, {"v": np.nan}, max_box_elements=limit)
+        got = read_array(spark, out, grid, {"v": np.nan})
         assert got.count() == array.size
         want = np.where(keep, array, np.nan)
         assert np.array_equal(as_array(got, array.shape), want, equal_nan=True)
@@ -206,10 +211,85 @@ def test_store_is_replaced_as_a_whole(spark, folder):
     out = write_store(encode_chunks(many, grid, {"v": "float64"}), folder("s"))
     few = many.filter("time_i < 2")
     write_store(encode_chunks(few, grid, {"v": "float64"}), out)
-    assert read_cells(spark, out, ("time",), present_only=True).count() == 2
+    assert read_cells(spark, out, ("time",), without_fill=True).count() == 2
 
 
 def test_packing_has_one_exchange(spark):
     grid = Grid(("time",), {"time": 8}, {"time": 2}, {"time": 4})
     chunks = encode_chunks(cells_of(spark, np.arange(8.0), names=("time",)), grid, {"v": "float64"})
     assert chunks._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_positions_outside_the_array_are_refused(spark):
+    open_time = Grid(("time",), {}, {"time": 7})
+    sizes_ = spark.createDataFrame([("a", 5), ("b", 9)], "file string, size_time bigint")
+    for file, at in (("a", 7), ("a", 5), ("a", -1), ("b", 9), ("c", 0), ("a", None)):
+        cells = spark.createDataFrame([("a", 1, 1.0), (file, at, 2.0)], "file string, time_i bigint, v double")
+        packed = lambda strict: encode_chunks(
+            cells, open_time, {"v": "float64"}, by=("file",), sizes=sizes_, strict=strict
+        )
+        with pytest.raises(PySparkException):
+            packed(True).collect()
+        rows = packed(False).collect()
+        assert {r["file"] for r in rows if r["error"]} == {file}
+
+
+def test_boxes_of_two_open_dims_do_not_run_together(spark):
+    grid = Grid(("x", "y"), {}, {"x": 1, "y": 1})
+    sizes_ = spark.createDataFrame([("a", 2, 1 << 21)], "file string, size_x bigint, size_y bigint")
+    cells = spark.createDataFrame(
+        [("a", 0, 1 << 20, 1.0), ("a", 1, 0, 2.0)], "file string, x_i bigint, y_i bigint, v double"
+    )
+    chunks = encode_chunks(cells, grid, {"v": "float64"}, by=("file",), sizes=sizes_)
+    got = {(r["x_i"], r["y_i"], r["v"]) for r in decode_chunks(chunks, ("x", "y"), ("file",)).collect()}
+    assert got == {(0, 1 << 20, 1.0), (1, 0, 2.0)}
+
+
+def test_slabs_keep_the_declared_chunk(spark, folder):
+    grid = Grid(("time",), {"time": 16}, {"time": 8})
+    cells = cells_of(spark, np.arange(8.0), names=("time",))
+    out = write_store(encode_chunks(cells, grid, {"v": "float64"}, max_box_elements=3), folder("s"))
+    stats = storage_stats(read_chunks(spark, out, ("time",)), ("time",)).first()
+    assert (stats["shape"], stats["chunks"], stats["n_chunks"]) == ([16], [8], 1)
+    assert read_array(spark, out, grid, {"v": np.nan}).count() == 16
+    with pytest.raises(ValueError):
+        read_array(spark, out, Grid(("time",), {"time": 16}, {"time": 4}), {"v": np.nan})
+
+
+def test_whole_numbers_need_a_fill_and_stay_exact(spark):
+    grid = Grid(("time",), {"time": 3}, {"time": 3})
+    cells = spark.createDataFrame([(0, 2**53 + 1)], "time_i bigint, v bigint")
+    with pytest.raises(ValueError):
+        encode_chunks(cells, grid, {"v": "int64"})
+    chunks = encode_chunks(cells, grid, {"v": "int64"}, fill={"v": -9})
+    got = decode_chunks(chunks, ("time",), kind="bigint").orderBy("time_i").collect()
+    assert [r["v"] for r in got] == [2**53 + 1, -9, -9]
+
+
+def test_repeats_are_not_sent_on(spark):
+    grid = Grid(("time",), {"time": 4}, {"time": 4})
+    cells = spark.range(200_000).selectExpr("id % 2 AS time_i", "1D AS v")
+    rows = encode_chunks(cells, grid, {"v": "float64"}, strict=False)
+    assert [r["error"] for r in rows.collect()] == ["duplicate cells"]
+    gather = _gather((), 4, ["v"], 1_000_000)
+    batch = pa.record_batch({"_cell": pa.array([1, 0, 1, 1]), "v": pa.array([1.0, 2, 3, 4])})
+    pieces = list(gather(iter([batch])))[0].to_pylist()
+    assert len(pieces) == 1 and len(pieces[0]["_pos"]) == 2 * 4 and pieces[0]["_twice"]
+
+
+def test_payload_is_plain_zlib_of_shuffled_bytes():
+    block = np.arange(6, dtype="<i2").reshape(2, 3)
+    payload = blocks.encode(block, "zlib", 9, True)
+    assert zlib.decompress(payload) == bytes([0, 1, 2, 3, 4, 5] + [0] * 6)
+    assert payload[:2] == b"\x78\xda"  # the mark of level 9
+
+
+def test_failed_write_keeps_the_store(spark, folder):
+    grid = Grid(("time",), {"time": 4}, {"time": 2})
+    good = cells_of(spark, np.arange(4.0), names=("time",))
+    out = write_store(encode_chunks(good, grid, {"v": "float64"}), folder("s"))
+    with pytest.raises(PySparkException):
+        write_store(encode_chunks(good.union(good), grid, {"v": "float64"}), out)
+    assert read_cells(spark, out, ("time",)).count() == 4
+    write_store(encode_chunks(good.filter("time_i = 0"), grid, {"v": "float64"}), out)
+    assert read_cells(spark, out, ("time",)).count() == 2

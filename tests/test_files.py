@@ -201,7 +201,7 @@ def prepared(spark, rows):
 
 
 def contents(spark, out):
-    read = read_cells(spark, out, GRID.dims, BY, present_only=True)
+    read = read_cells(spark, out, GRID.dims, BY, without_fill=True)
     return {(r["file"], r["time_i"], r["lon_i"], r["v"]) for r in read.collect()}
 
 
@@ -221,7 +221,7 @@ def test_rechunk_replaces_only_its_files_and_survives_failures(spark, folder):
         *prepared(spark, broken), GRID, {"v": "float64"}, 7, out, stop_on_error=False
     )
     told = {r["in_path"]: (r["ok"], r["out_path"], r["message"]) for r in results.collect()}
-    assert told["raw/a/1.nc"] == (True, "out/a/1.nc", "Completed: raw/a/1.nc -> out/a/1.nc")
+    assert told["raw/a/1.nc"] == (True, "out/a/1.nc", "raw/a/1.nc is at out/a/1.nc")
     assert told["raw/a/2.nc"][:2] == (False, "out/a/2.nc")
     assert "duplicate cells" in told["raw/a/2.nc"][2]
     assert contents(spark, out) == {broken[0], again[0]}
@@ -244,7 +244,7 @@ def test_store_of_many_files(spark, folder):
         out = many_files_store(
             cells, files, ("time", "lon"), {"lon": 2}, {"v": "float64"}, spec, folder(name), **kw
         )
-        read = read_cells(spark, out, ("time", "lon"), present_only=True).orderBy("time_i")
+        read = read_cells(spark, out, ("time", "lon"), without_fill=True).orderBy("time_i")
         return [(r["time_i"], r["v"]) for r in read.collect()]
 
     assert store("all") == [(d * 3 + t, d * 10.0 + t) for d in range(12) for t in range(3)]
@@ -297,3 +297,57 @@ def test_staging_sends_what_the_target_lacks(spark, folder):
     assert stage(spark, listed, target).filter("ok").count() == 2
     counts = verify_copy(listed, scan_files(spark, target)).first().asDict()
     assert counts == {"matched": 3, "missing": 0, "size_differs": 0, "extra": 0}
+
+
+def test_odd_names_and_relative_roots(spark, folder, monkeypatch, tmp_path):
+    names_ = ["a b.nc", "c%20d.nc", "e#f.nc", "g?h.nc"]
+    for name in names_:
+        put(folder("odd"), name, name.encode())
+    pairs = spark.createDataFrame(
+        [(f"{folder('odd')}/{n}", f"{folder('sent')}/{n}") for n in names_]
+        + [("nowhere://x/y", f"{folder('sent')}/z")],
+        "source string, target string",
+    )
+    status = copy_files(pairs)
+    assert {r["ok"] for r in status.filter("source LIKE '/%'").collect()} == {True}
+    assert [r["ok"] for r in status.filter("source LIKE 'nowhere%'").collect()] == [False]
+    for name in names_:
+        with open(f"{folder('sent')}/{name}", "rb") as f:
+            assert f.read() == name.encode()
+        os.remove(f"{folder('sent')}/{name}")
+    assert status.count() == 5 and os.listdir(folder("sent")) == []  # copied once
+    relative = os.path.relpath(folder("odd"), os.getcwd())
+    assert scan_files(spark, relative).count() == 4
+
+
+def test_files_that_were_never_read_fail(spark, folder):
+    cells, sizes, work = prepared(spark, [("a/1.nc", 0, 0, 1.0), ("a/2.nc", 5, 0, 1.0)])
+    lost = spark.createDataFrame(
+        [("ecmwf", "a/3.nc", "raw/a/3.nc", "out/a/3.nc")], work.schema
+    )
+    unsized = [("a/4.nc", 0, 0, 1.0)]
+    cells = cells.union(prepared(spark, unsized)[0])
+    work = work.union(lost).union(prepared(spark, unsized)[2])
+    results = rechunk(
+        cells, sizes, work, GRID, {"v": "float64"}, 7, folder("r"), stop_on_error=False
+    )
+    assert {r["in_path"]: r["ok"] for r in results.collect()} == {
+        "raw/a/1.nc": True, "raw/a/2.nc": False, "raw/a/3.nc": False, "raw/a/4.nc": False,
+    }
+    assert contents(spark, folder("r")) == {("a/1.nc", 0, 0, 1.0)}
+
+
+def test_a_run_on_nothing_ends_well(spark, folder):
+    nothing = [frame.limit(0) for frame in prepared(spark, [("a/1.nc", 0, 0, 1.0)])]
+    for strict in (True, False):
+        out = folder(f"n{strict}")
+        assert rechunk(*nothing, GRID, {"v": "float64"}, 7, out, stop_on_error=strict).count() == 0
+
+
+def test_nothing_is_lost_on_the_way(spark):
+    cells = spark.createDataFrame([("a", 0, "x"), ("b", 0, None)], "file string, time_i bigint, label string")
+    offsets = spark.createDataFrame([("a", 0)], "file string, offset bigint")
+    with pytest.raises(Exception, match="no offset for b"):
+        concat(cells, offsets, "time").collect()
+    with pytest.raises(Exception, match="no label"):
+        label_positions(cells, "label", "time").collect()
