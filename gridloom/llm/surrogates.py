@@ -74,7 +74,7 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, type) of all entities, in order and without overlaps; of two
     that overlap the one that starts first stays, and of those the longest. A
     name's words are entities of their own, of type given:g or family:g, where g
-    is the gender."""
+    is the gender, if known and of account."""
     found = []
     at = text.find("@")
     while at >= 0:
@@ -112,7 +112,9 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
         if words and words[0] == 2:
             for k in words:
                 part = "family" if k == words[-1] else "given"
-                found.append((m.start(k), m.end(k), f"{part}:{gender}"))
+                # one family name may belong to both; where it changes with gender, it tells
+                own = gender if part == "given" or _script(m[k][0]) == "cyrillic" else ""
+                found.append((m.start(k), m.end(k), f"{part}:{own}"))
     kept, last = [], -1
     for a, b, kind in sorted(found, key=lambda s: (s[0], -s[1], s[2])):
         if a >= last:
