@@ -56,17 +56,21 @@ def chunk_stats(cells: DataFrame, grid: Grid, value: str, by: tuple[str, ...] =
 
 
 def nonempty_chunks(
-    cells: DataFrame, grid: Grid, value: str, by: tuple[str, ...] = ()
+    cells: DataFrame,
+    grid: Grid,
+    value: str,
+    by: tuple[str, ...] = (),
+    fill: float = float("nan"),
 ) -> DataFrame:
-    """Chunks with at least one cell that is not NaN."""
+    """Chunks with at least one cell that is present and differs from ``fill``, and
+    how many positions they have. Only present cells are needed: absent ones are
+    the fill."""
+    present = F.col(value).isNotNull()
+    present &= ~F.isnan(value) if fill != fill else (F.col(value) != F.lit(fill))
     keys = [*by, *(f"{d}_c" for d in grid.dims)]
-    return (
-        assign_chunks(cells, grid)
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n_cells"),
-            F.bool_and(F.isnan(value)).alias("_empty"),
-        )
-        .filter(~F.col("_empty"))
-        .drop("_empty")
+    chunks = assign_chunks(cells.where(present), grid).select(*keys).distinct()
+    lengths = (
+        f"(least({grid.sizes[d]}L, ({d}_c + 1) * {grid.chunk_len(d)}L) - {d}_c * {grid.chunk_len(d)}L)"
+        for d in grid.dims
     )
+    return chunks.withColumn("n_cells", F.expr(" * ".join(lengths)))

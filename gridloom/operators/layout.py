@@ -7,6 +7,7 @@ table of ``contract_table``; a stage has a handful of dims.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.ordering import broadcast_within
 from gridloom.operators.selecting import data_vars_only
 
 _KEYS = ["dataset", "file", "var"]
@@ -19,8 +20,7 @@ def _in_dim_order(length: Column) -> Column:
 
 def _with_contract(catalog: DataFrame, contract: DataFrame, stage: str) -> DataFrame:
     wanted = contract.filter(F.col("stage") == stage).drop("stage")
-    # the contract is stated in code or one small file: some rows per dataset
-    return data_vars_only(catalog).join(F.broadcast(wanted), ["dataset", "dim"], "left")
+    return data_vars_only(catalog).join(broadcast_within(wanted), ["dataset", "dim"], "left")
 
 
 def plan_rechunk(

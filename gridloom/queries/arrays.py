@@ -66,10 +66,18 @@ def fill_missing(spark, sf):
     return dense_cells(I.grid(spark, sf), layout, {"v": "float64"}).drop("var")
 
 
+def fill_missing_int(spark, sf):
+    """Whole numbers, absent ones as -9."""
+    layout = I.grid_layout(spark, sf)
+    cells = I.grid(spark, sf).withColumn("v", F.floor("v").cast("int"))
+    filled = dense_cells(cells, layout, {"v": "int32"}, fill={"v": -9}).drop("var")
+    return filled.withColumn("v", F.col("v").cast("bigint"))
+
+
 def drop_empty_chunks(spark, sf):
-    dense = dense_cells(I.grid(spark, sf), I.grid_layout(spark, sf), {"v": "float64"})
-    fine = Grid(I.GRID_DIMS, chunk={"time": 1, "step": 2, "latitude": 2, "longitude": 5})
-    return nonempty_chunks(dense, fine, "v")
+    sizes = I.grid_layout(spark, sf).sizes
+    fine = Grid(I.GRID_DIMS, sizes, {"time": 1, "step": 2, "latitude": 2, "longitude": 5})
+    return nonempty_chunks(I.grid(spark, sf), fine, "v")
 
 
 def variable(spark, sf):
@@ -197,6 +205,19 @@ QUERIES = {
         SELECT {CELL}, coalesce(v, CAST('nan' AS DOUBLE)) AS v
         FROM index LEFT JOIN grid USING ({CELL})""",
     ),
+    "fill_missing_int": (
+        fill_missing_int,
+        f"""WITH {I.GRID},
+        n AS (SELECT max(time_i) + 1 AS t, max(step_i) + 1 AS s, max(latitude_i) + 1 AS a,
+            max(longitude_i) + 1 AS o FROM grid),
+        index AS (SELECT time_i, step_i, latitude_i, longitude_i FROM n,
+            LATERAL (SELECT unnest(range(t)) AS time_i),
+            LATERAL (SELECT unnest(range(s)) AS step_i),
+            LATERAL (SELECT unnest(range(a)) AS latitude_i),
+            LATERAL (SELECT unnest(range(o)) AS longitude_i))
+        SELECT {CELL}, coalesce(CAST(floor(v) AS BIGINT), -9) AS v
+        FROM index LEFT JOIN grid USING ({CELL})""",
+    ),
     "drop_empty_chunks": (
         drop_empty_chunks,
         f"""WITH {I.GRID},

@@ -1,5 +1,6 @@
 """Queries that pack, write and read back chunk tables."""
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gridloom.contract import STORE_CODEC
@@ -212,7 +213,69 @@ def stats(spark, sf):
     return found.withColumns({**text, "level": F.col("level").cast("bigint")})
 
 
+def chunk_slabs(spark, sf):
+    """Chunks larger than what a task packs: stored in slabs, reported as declared."""
+    grid = Grid(
+        I.STATION_DIMS, I.station_sizes(spark, sf), I.STATION_CHUNK, I.STATION_SHARD
+    )
+    chunks = encode_chunks(
+        I.stations(spark, sf), grid, I.STATION_VARS, max_box_elements=4000, **STORE_CODEC
+    )
+    store = write_store(chunks, scratch_folder(spark, "slabs"))
+    found = storage_stats(read_chunks(spark, store, I.STATION_DIMS), I.STATION_DIMS)
+    cells = read_array(spark, store, grid, dict.fromkeys(I.STATION_VARS, float("nan")))
+    counted = cells.groupBy(F.col("var").alias("name")).agg(
+        F.count("*").alias("n_cells"), F.round(F.sum(F.nanvl("v", F.lit(0.0))), 1).alias("total")
+    )
+    text = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("shape", "chunks")}
+    described = found.withColumns(text).select("name", "shape", "chunks", "n_chunks")
+    return described.join(counted, "name")
+
+
+def store_replace(spark, sf):
+    """A good write, then one that fails: readers keep the good one."""
+    store = _station_store(spark, sf)
+    cells = I.stations(spark, sf)
+    try:
+        single_source_store(
+            cells.unionByName(cells), I.STATION_DIMS, I.station_sizes(spark, sf),
+            I.STATION_VARS, STATION_SPEC, store,
+        )
+    except PySparkException:
+        pass
+    return read_cells(spark, store, I.STATION_DIMS, without_fill=True)
+
+
+def round_trip_int64(spark, sf):
+    """Whole numbers that a double cannot hold."""
+    cells = I.vectors(spark, sf).withColumn("v", F.expr("9007199254740993 + vec_i * 64 + d_i"))
+    grid = I.vector_grid(cells)
+    chunks = encode_chunks(cells, grid, {"v": "int64"}, fill=-1, **STORE_CODEC)
+    return decode_chunks(chunks, grid.dims, kind="bigint").drop("var")
+
+
 QUERIES = {
+    "chunk_slabs": (
+        chunk_slabs,
+        f"""WITH {I.STATIONS},
+        n AS (SELECT max(station_i) + 1 AS s, max(time_i) + 1 AS t FROM stations)
+        SELECT name, any_value(s || ',' || t) AS shape, '48,625' AS chunks,
+            count(DISTINCT (station_i // 48, time_i // 625)) AS n_chunks,
+            CAST(any_value(s * t) AS BIGINT) AS n_cells,
+            round(sum(CASE name WHEN 'rainfall' THEN rainfall ELSE airTemperature END), 1) AS total
+        FROM stations, n, (VALUES ('airTemperature'), ('rainfall')) AS v(name) GROUP BY name""",
+    ),
+    "store_replace": (
+        store_replace,
+        f"""WITH {I.STATIONS}
+        SELECT 'airTemperature' AS var, station_i, time_i, airTemperature AS v FROM stations
+        UNION ALL SELECT 'rainfall', station_i, time_i, rainfall FROM stations""",
+    ),
+    "round_trip_int64": (
+        round_trip_int64,
+        f"""WITH {I.VECTORS} SELECT vec_i, d_i, 9007199254740993 + vec_i * 64 + d_i AS v
+        FROM vectors""",
+    ),
     "chunk_pack": (
         chunk_pack,
         f"""WITH {I.VECTORS}, n AS (SELECT max(vec_i) + 1 AS vec, max(d_i) + 1 AS d FROM vectors)
