@@ -46,10 +46,13 @@ def common_arrays(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.select("name").intersect(new.select("name"))
 
 
-def compare_storage(old: DataFrame, new: DataFrame) -> DataFrame:
+def compare_storage(
+    old: DataFrame, new: DataFrame, also: tuple[str, ...] = ()
+) -> DataFrame:
     """Arrays of both sides with their ratio, and whether to flag them. Arrays
-    that stored nothing before are left out."""
-    cols = ["name", "storage", "chunks", "dtype"]
+    that stored nothing before are left out. ``also``: further columns of the
+    statistics to show for both sides, such as codec, level and shuffle."""
+    cols = ["name", "storage", "chunks", "dtype", *also]
     o = old.filter(F.col("storage") != 0).select(
         "name", *[F.col(c).alias(f"old_{c}") for c in cols[1:]]
     )

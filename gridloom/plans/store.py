@@ -32,9 +32,11 @@ def single_source_store(
     variables: dict[str, str],
     spec: dict,
     out: str,
+    tables: dict[str, DataFrame] | None = None,
 ) -> str:
-    """Store of one array given as one table; replaces what is at ``out``."""
-    return write_store(_encoded(cells, _grid(dims, sizes, spec), variables, spec), out)
+    """Store of one array given as one table, with its coordinates and attributes;
+    replaces what is at ``out``."""
+    return write_store(_encoded(cells, _grid(dims, sizes, spec), variables, spec), out, tables)
 
 
 def many_files_store(

@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 from gridloom.contract import STORE_CODEC
 from gridloom.model import Grid
 from gridloom.operators.codec import decode_chunks, encode_chunks
-from gridloom.operators.reports import storage_stats
+from gridloom.operators.reports import compare_storage, storage_stats
+from gridloom.operators.selecting import strip_global_attrs
 from gridloom.plans.rechunk import BY, rechunk
 from gridloom.plans.store import many_files_store, single_source_store
 from gridloom.queries import inputs as I
 from gridloom.session import materialized, scratch_folder
-from gridloom.sinks.chunks import write_store
+from gridloom.sinks.chunks import store_table, write_store
 from gridloom.sinks.results import RunFailed, fail_fast, run_summary
-from gridloom.sources.store import read_array, read_cells, read_chunks
+from gridloom.sources.store import read_array, read_cells, read_chunks, read_labelled
 
 STATION_SPEC = {
     "chunk_map": I.STATION_CHUNK,
@@ -246,6 +247,62 @@ def store_replace(spark, sf):
     return read_cells(spark, store, I.STATION_DIMS, without_fill=True)
 
 
+def store_compare(spark, sf):
+    """The same stations written plainly and compressed, compared as stored."""
+    grid = Grid(
+        I.STATION_DIMS, I.station_sizes(spark, sf), I.STATION_CHUNK, I.STATION_SHARD
+    )
+    sides = []
+    for codec in ({"codec": "none", "level": 0, "shuffle": False}, {"codec": "zlib", "level": 7}):
+        chunks = encode_chunks(I.stations(spark, sf), grid, I.STATION_VARS, **codec)
+        store = write_store(chunks, scratch_folder(spark, "compared"))
+        sides.append(storage_stats(read_chunks(spark, store, I.STATION_DIMS), I.STATION_DIMS))
+    compared = compare_storage(*sides, also=("compression", "level", "shuffle"))
+    return compared.select(
+        "name",
+        F.array_join(F.col("old_chunks").cast("array<string>"), ",").alias("chunks"),
+        "old_compression",
+        "new_compression",
+        F.col("old_level").cast("bigint").alias("old_level"),
+        F.col("new_level").cast("bigint").alias("new_level"),
+        "old_shuffle",
+        "new_shuffle",
+        (F.col("ratio") < 1).alias("smaller"),
+        "flagged",
+    )
+
+
+_DAYS = ("1995-03-10", "1995-03-12")
+
+
+def store_select_day(spark, sf):
+    """Three days of a store, chosen by the date label of its time coordinate."""
+    sizes = I.station_sizes(spark, sf)
+    times = spark.range(sizes["time"]).select(
+        F.col("id").alias("time_i"),
+        F.date_add(F.lit(I.SHIP_START).cast("date"), F.col("id").cast("int")).alias("day"),
+    )
+    store = single_source_store(
+        I.stations(spark, sf), I.STATION_DIMS, sizes, I.STATION_VARS, STATION_SPEC,
+        scratch_folder(spark, "labelled"), {"coordinate_time": times},
+    )
+    first, last = (F.to_date(F.lit(d)) for d in _DAYS)
+    cells = read_labelled(
+        spark, store, I.STATION_DIMS, "time", first, last, ["rainfall"], I.STATION_SHARD
+    )
+    return cells.select("station_i", F.col("day").cast("string").alias("day"), "v")
+
+
+def rechunk_attrs(spark, sf):
+    """Attributes as they are after rechunking, kept with a written store."""
+    kept = strip_global_attrs(I.attributes(spark, sf))
+    store = single_source_store(
+        I.stations(spark, sf), I.STATION_DIMS, I.station_sizes(spark, sf), I.STATION_VARS,
+        STATION_SPEC, scratch_folder(spark, "described"), {"attributes": kept},
+    )
+    return store_table(spark, store, "attributes")
+
+
 def round_trip_int64(spark, sf):
     """Whole numbers that a double cannot hold."""
     cells = I.vectors(spark, sf).withColumn("v", F.expr("9007199254740993 + vec_i * 64 + d_i"))
@@ -271,6 +328,27 @@ QUERIES = {
         SELECT 'airTemperature' AS var, station_i, time_i, airTemperature AS v FROM stations
         UNION ALL SELECT 'rainfall', station_i, time_i, rainfall FROM stations""",
     ),
+    "store_compare": (
+        store_compare,
+        """SELECT name, '48,625' AS chunks, 'none' AS old_compression, 'zlib' AS new_compression,
+            CAST(0 AS BIGINT) AS old_level, CAST(7 AS BIGINT) AS new_level,
+            false AS old_shuffle, true AS new_shuffle, true AS smaller, false AS flagged
+        FROM (VALUES ('airTemperature'), ('rainfall')) AS v(name)
+        WHERE EXISTS (SELECT 1 FROM lineitem)""",
+    ),
+    "store_select_day": (
+        store_select_day,
+        f"""SELECT l_suppkey AS station_i, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day,
+            max(l_quantity) AS v
+        FROM lineitem
+        WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '{_DAYS[0]}' AND DATE '{_DAYS[1]}'
+        GROUP BY ALL""",
+    ),
+    "rechunk_attrs": (
+        rechunk_attrs,
+        f"""WITH {I.ATTRIBUTES} SELECT * FROM attrs
+        WHERE NOT (dataset = 'dpird' AND scope = 'global')""",
+    ),
     "round_trip_int64": (
         round_trip_int64,
         f"""WITH {I.VECTORS} SELECT vec_i, d_i, 9007199254740993 + vec_i * 64 + d_i AS v

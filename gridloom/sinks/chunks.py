@@ -42,24 +42,41 @@ def current_version(spark: SparkSession, path: str) -> str:
     return (_versions(spark, path) or [path])[-1]
 
 
-def write_store(chunks: DataFrame, path: str) -> str:
+def write_store(
+    chunks: DataFrame, path: str, tables: dict[str, DataFrame] | None = None
+) -> str:
     """A new version of the store at ``path``; a shard is one folder per variable.
 
     Readers see it once its job has ended well, and then all of it. Until then,
     and after a failure, they read the version before, which is kept until the
-    next good write. One writer at a time.
+    next good write. One writer at a time. ``tables`` go with the version: a
+    coordinate (``coordinate_<dim>``: ``<dim>_i`` and label) or ``attributes``.
     """
     spark = chunks.sparkSession
     before = _versions(spark, path)
     number = int(before[-1].rsplit("-", 1)[1]) + 1 if before else 1
-    _write(chunks, f"{path.rstrip('/')}/{_VERSION}{number:08d}", "static", ("var", "shard"))
+    new = f"{path.rstrip('/')}/{_VERSION}{number:08d}"
+    for name, table in (tables or {}).items():  # before the version counts as complete
+        table.write.mode("overwrite").parquet(_beside(new, name))
+    _write(chunks, new, "static", ("var", "shard"))
     jvm = spark.sparkContext._jvm
     for old in before[:-1]:
-        gone = jvm.org.apache.hadoop.fs.Path(old)
-        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+        for folder in (old, _beside(old, "")):
+            gone = jvm.org.apache.hadoop.fs.Path(folder)
+            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
     return path
 
 
+def _beside(version: str, name: str) -> str:
+    root, number = version.rsplit("/" + _VERSION, 1)
+    return f"{root}/tables-{number}/{name}"
+
+
+def store_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table that was written with the current version of a store."""
+    return spark.read.parquet(_beside(current_version(spark, path), name))
+
+
 def replace_files(chunks: DataFrame, path: str, by: tuple[str, ...] = ("file",)) -> str:
     """Replace only the files present in ``chunks``, once the job has succeeded;
     a failed job leaves every earlier output as it was."""

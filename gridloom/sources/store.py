@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gridloom.model import Grid
 from gridloom.operators.boxes import Boxes
 from gridloom.operators.codec import MAX_BOX_ELEMENTS, chunk_schema, decode_chunks
-from gridloom.sinks.chunks import current_version
+from gridloom.sinks.chunks import current_version, store_table
 
 
 def read_chunks(
@@ -58,6 +58,32 @@ def read_cells(
     return cells
 
 
+def read_labelled(
+    spark: SparkSession,
+    path: str,
+    dims: tuple[str, ...],
+    dim: str,
+    first,
+    last,
+    variables: list[str] | None = None,
+    shard: dict[str, int] | None = None,
+) -> DataFrame:
+    """Cells whose label along ``dim`` lies in ``[first, last]``, with the label.
+
+    The store's coordinate table gives the span of positions, so only the chunks
+    of that span are read; labels need not ascend. Without a match, no rows.
+    """
+    labels = store_table(spark, path, f"coordinate_{dim}")
+    label = next(c for c in labels.columns if c != f"{dim}_i")
+    wanted = labels.where(F.col(label).between(F.lit(first), F.lit(last)))
+    lo, hi = wanted.agg(F.min(f"{dim}_i"), F.max(f"{dim}_i")).first()
+    window = {dim: (lo, hi + 1) if lo is not None else (0, 0)}
+    cells = read_cells(
+        spark, path, dims, variables=variables, window=window, shard=shard, without_fill=True
+    )
+    return cells.join(wanted, f"{dim}_i")
+
+
 def read_array(
     spark: SparkSession,
     path: str,
