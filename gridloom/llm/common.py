@@ -36,29 +36,40 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
 ID_BITS = 1 << 25  # places of the filter on wanted ids: 4 MB
 
 
-def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id and text of the rows whose doc_id may be among ``ids`` (column
-    doc_id): all that are, and few others. Meant before a join that shuffles
-    texts. The ids go into a bitmap of fixed size; when it fills up, it only
-    drops fewer rows."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS))
+def id_bitmap(keys: DataFrame, *columns: str) -> np.ndarray:
+    """A bitmap of fixed size of the hashes of ``columns``: a filter that lets all
+    wanted keys through and few others. When it fills up, it only drops fewer."""
     bits = (
-        ids.select(spot.alias("spot"))
+        keys.select(id_spot(*columns).alias("spot"))
         .groupBy(F.expr("spot div 32768").alias("bucket"))
         .agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("bits"))
     )
     held = np.zeros((ID_BITS // 32768, 4096), np.uint8)
     for row in bits.toLocalIterator():
         held[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(held.ravel())
+    return held.ravel()
+
+
+def id_spot(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(ID_BITS))
+
+
+def in_bitmap(held: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    return (held[spots >> 3] >> (spots & 7)) & 1 == 1
+
+
+def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the rows whose doc_id may be among ``ids`` (column
+    doc_id): all that are, and few others. Meant before a join that shuffles
+    texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, "doc_id"))
 
     def maybe(batches):
-        held = shared.value
         for batch in batches:
-            spots = batch.column(2).to_numpy()
-            yield batch.select([0, 1]).filter(pa.array((held[spots >> 3] >> (spots & 7)) & 1 == 1))
+            good = in_bitmap(shared.value, batch.column(2).to_numpy())
+            yield batch.select([0, 1]).filter(pa.array(good))
 
-    rows = docs.where("doc_id is not null").select("doc_id", "text", spot.alias("spot"))
+    rows = docs.where("doc_id is not null").select("doc_id", "text", id_spot("doc_id"))
     return rows.mapInArrow(maybe, "doc_id long, text string")
 
 

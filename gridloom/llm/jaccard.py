@@ -3,8 +3,8 @@
 Texts of one shingle set are one node. All shingles share one order, rarest
 first, by counts over all documents; nodes that reach the threshold must meet in
 the first fifth of their ordered shingles, their prefixes. Prefix shingles are
-joined by a sorted window: each node is compared with the first node and the one
-before it in every list it is in. Length, positional and suffix filters drop
+joined by a sorted window: each node is compared with the first nodes of the
+lists it is in and the nodes before it, those it shares most lists with. Length, positional and suffix filters drop
 candidates, and each pair is verified once on its full texts. Links found so far
 are closed to components; only where a list still holds several components are
 the pairs between them enumerated, so a group of near copies costs a few
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import components, likely_rows
+from gridloom.llm.common import components, id_bitmap, id_spot, in_bitmap
 from gridloom.llm.texts import WordHashes, mixed, windows
 from gridloom.session import materialized
 
@@ -29,6 +29,7 @@ COUNTERS = 1 << 20  # shingles are counted in so many places; ties only change t
 SLICES = 64  # the counters travel in so many parts
 FAN_IN = 64  # tasks whose counters are added at once
 LIST_ROWS = 50_000  # lists expected to be longer are split into parts of about this size
+LEADERS = 4  # nodes of its lists that a node is compared with at once
 PROFILE = 16  # regions of the suffix filter
 _NODE_SEED = np.uint64(0xA0761D6478BD642F)
 
@@ -167,23 +168,32 @@ def _may_link(x: str, y: str, percent: int) -> str:
 
 def _lists(prefixes: DataFrame) -> DataFrame:
     """Prefix rows that share their shingle with another node, with the first row
-    of the list (f_) and the one before (b_)."""
+    of the list, its leader (f_), and the row before (b_)."""
     near = Window.partitionBy("shingle", "part").orderBy("size", "node")
     whole = near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    columns = {}
-    for c in ("node", "size", "pos"):
-        columns[f"f_{c}"] = F.first(c).over(whole)
-        columns[f"b_{c}"] = F.lag(c).over(near)
-    columns["l_node"] = F.last("node").over(whole)
+    columns = {f"f_{c}": F.first(c).over(whole) for c in ("node", "size", "pos")}
+    columns |= {f"b_{c}": F.lag(c).over(near) for c in ("node", "size", "pos")}
+    columns |= {"l_node": F.last("node").over(whole), "parts": F.max("part").over(whole)}
     # a list in several parts is kept whole: its other parts are elsewhere
-    return (
-        prefixes.withColumns(columns)
-        .withColumn("parts", F.max("part").over(whole))
-        .where("f_node <> l_node or parts > 0")
-        .drop("l_node", "parts")
+    return prefixes.withColumns(columns).where("f_node <> l_node or parts > 0").drop(
+        "l_node", "parts"
     )
 
 
+def _first_pairs(rows: DataFrame, percent: int, sides: tuple[str, ...]) -> DataFrame:
+    """a and b: each node b is compared with those of its leaders (f_) or of the
+    nodes before it (b_) that it shares most lists with, ``LEADERS`` of them."""
+    met = None
+    for x in sides:
+        own = rows.where(f"{x}node <> node and {_may_link('', x, percent)}").select(
+            F.col(f"{x}node").alias("a"), F.col("node").alias("b")
+        )
+        met = own if met is None else met.union(own)
+    shared = met.groupBy("a", "b").agg(F.count("*").alias("times"))
+    rank = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("times"), "a"))
+    return shared.withColumn("rank", rank).where(f"rank <= {LEADERS}").select("a", "b")
+
+
 def _verified(
     pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
 ) -> DataFrame:
@@ -200,14 +210,12 @@ def _verified(
         .where(f"{100 + percent} * ({shared}) >= {percent} * (an + bn)")
         .select("a", "b")
     )
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = materialized(wanted.join(nodes.select("node", "doc_id"), "node"))
-    texts = _texts_of(docs, wanted)
-    whole = (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("bt")), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("at")), "a")
-        .select("a", "b", "at", "bt")
-    )
+    if not pairs.limit(1).count():
+        return pairs
+    texts = _texts_of(docs, pairs, nodes)
+    one = texts.where("leads").select(F.col("node").alias("a"), F.col("text").alias("at"))
+    two = texts.where("follows").select(F.col("node").alias("b"), F.col("text").alias("bt"))
+    whole = pairs.join(two, "b").join(one, "a").select("a", "b", "at", "bt")
 
     def verify(batches):
         hashes, last, kept = WordHashes(lower=True), None, None
@@ -222,21 +230,47 @@ def _verified(
     return materialized(whole.mapInArrow(verify, "a long, b long"))
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and text of the wanted documents."""
-    met = likely_rows(docs, wanted).join(wanted, "doc_id")
+def _texts_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and text of one document of each node in ``pairs``, and on which sides
+    it stands there (leads: a, follows: b). Tasks drop the others by bitmaps, so
+    that only texts to be compared are shuffled; a stray one meets no pair."""
+    places = nodes.select("node", "doc_id")
+    held = [
+        id_bitmap(places.join(pairs.select(F.col(c).alias("node")).distinct(), "node"), "doc_id")
+        for c in ("a", "b")
+    ]
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
-    def own(batches):  # of rows that share an id, the one with the wanted set
+    def wanted(batches):
         hashes = WordHashes(lower=True)
         for batch in batches:
-            same = [
-                n.as_py() == node_of(s) if len(s := shingle_set(hashes(t.as_py()))) else False
-                for n, t in zip(batch.column(0), batch.column(1))
-            ]
-            yield batch.filter(pa.array(same, pa.bool_()))
+            spots = batch.column(1).to_numpy()
+            sides = [in_bitmap(h, spots) for h in shared.value]
+            at = np.flatnonzero(sides[0] | sides[1])
+            texts = batch.column(0).take(pa.array(at))
+            sets = [shingle_set(hashes(t.as_py())) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), texts,
+                 *(pa.array(side[at]) for side in sides)],
+                names=["node", "text", "leads", "follows"],
+            )
 
-    rows = met.select("node", "text").mapInArrow(own, "node long, text string")
-    return materialized(rows.dropDuplicates(["node"]))
+    rows = docs.where("doc_id is not null").select("text", id_spot("doc_id"))
+    found = rows.mapInArrow(wanted, "node long, text string, leads boolean, follows boolean")
+    return materialized(found)
+
+
+def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the lists that still hold several components, with their roots."""
+    named = lists.select("shingle", "part", "node", "size", "pos").join(roots, "node", "left")
+    named = materialized(named.withColumn("root", F.coalesce("root", "node")))
+    several = (
+        named.groupBy("shingle")
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        .where("lo <> hi")
+        .select("shingle")
+    )
+    return named.join(several, "shingle")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -258,28 +292,26 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     lists = materialized(_lists(_prefixes(docs, _counters(first), percent)))
 
-    near = [
-        lists.where(f"{p}node <> node and {_may_link('', p, percent)}").selectExpr(
-            f"least(node, {p}node) as a", f"greatest(node, {p}node) as b"
-        )
-        for p in ("f_", "b_")
-    ]
-    pairs = materialized(near[0].union(near[1]).distinct())
+    pairs = materialized(_first_pairs(lists, percent, ("f_", "b_")))
     links = _verified(pairs, nodes, docs, percent)
     roots = components(links)
+    # once more, with the largest of each list that is still open
+    lists = materialized(_open_lists(lists, roots))
+    last = F.max(F.struct("size", "node", "pos", "root"))
+    leaders = lists.groupBy("shingle", "part").agg(last.alias("f")).selectExpr(
+        "shingle", "part", "f.size as f_size", "f.node as f_node", "f.pos as f_pos", "f.root as f_root"
+    )
+    again = lists.join(leaders, ["shingle", "part"]).where("root <> f_root")
+    tried = pairs.union(pairs.select("b", "a"))
+    again = materialized(_first_pairs(again, percent, ("f_",)).join(tried, ["a", "b"], "left_anti"))
+    more = _verified(again, nodes, docs, percent)
+    if more.limit(1).count():
+        links = links.union(more)
+        roots = components(links)
+    tried = tried.union(again).union(again.select("b", "a"))
 
     # what those comparisons did not settle: lists with more than one component
-    named = lists.join(roots, "node", "left").select(
-        "shingle", "node", "size", "pos", F.coalesce("root", "node").alias("root")
-    )
-    named = materialized(named)
-    mixed_lists = (
-        named.groupBy("shingle")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        .where("lo <> hi")
-        .select("shingle")
-    )
-    open_rows = materialized(named.join(mixed_lists, "shingle"))
+    open_rows = materialized(_open_lists(lists, roots))
     x = open_rows.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "size", "pos", "root")])
     y = open_rows.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("node", "size", "pos", "root")])
     rest = (
@@ -287,24 +319,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .where(f"x_root < y_root and {_may_link('x_', 'y_', percent)}")
         .selectExpr("least(x_node, y_node) as a", "greatest(x_node, y_node) as b")
         .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+        .join(tried, ["a", "b"], "left_anti")
     )
     rest = materialized(rest)
-    if rest.limit(1).count():
-        more = _verified(rest, nodes, docs, percent)
-        if more.limit(1).count():
-            # components of components: few edges, between roots
-            joined = components(
-                more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-                .join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-                .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-            )
-            base = nodes.select("node").join(roots, "node", "left").select(
-                "node", F.coalesce("root", "node").alias("at")
-            )
-            roots = base.join(
-                joined.select(F.col("node").alias("at"), "root"), "at", "left"
-            ).select("node", F.coalesce("root", "at").alias("root"))
+    more = _verified(rest, nodes, docs, percent)
+    if more.limit(1).count():
+        roots = components(links.union(more))
 
     member = nodes.join(roots, "node", "left").select(
         "node", "doc_id", "copies", F.coalesce("root", "node").alias("root")

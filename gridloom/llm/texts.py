@@ -26,16 +26,16 @@ class Remembered(dict):
     the younger one is full, it becomes the older, whose words are forgotten
     unless they were met again meanwhile."""
 
-    def __init__(self, work: Callable[[object], bytes]):
+    def __init__(self, work: Callable[[object], bytes], kept: int = KEPT_WORDS):
         super().__init__()
-        self.work, self.older = work, {}
+        self.work, self.kept, self.older = work, kept, {}
 
     def __missing__(self, word):
         value = self.older.get(word)
         if value is None:
             value = self.work(word)
         if len(word) <= LONG_WORD:
-            if len(self) >= KEPT_WORDS:
+            if len(self) >= self.kept:
                 self.older = dict(self)
                 self.clear()
             self[word] = value
@@ -70,7 +70,7 @@ class WordHashes:
 
     def __init__(self, lower: bool):
         self.lower = lower
-        self.known = Remembered(_hash_bytes)
+        self.known = Remembered(_hash_bytes, KEPT_WORDS // 2)  # quickly worked out again
 
     def __call__(self, text: str | None) -> np.ndarray:
         # bytes.split() parts at exactly these six bytes and bytes.lower() folds A-Z
