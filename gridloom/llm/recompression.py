@@ -28,7 +28,7 @@ WINDOW = 20
 ROUNDS = 2  # pair rounds: symbols of up to 2 ** ROUNDS words
 MARGIN = 4  # words at either end of a passage whose symbols its surroundings can change
 CONTEXT = WINDOW - 2 * MARGIN  # words that every window around an anchor has
-CHUNK_WORDS = 1 << 20  # words parsed at once in a task
+CHUNK_WORDS = 1 << 19  # words parsed at once in a task
 _RUN, _SIDE, _PAIR = (np.uint64(x) for x in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F))
 _NONE = np.uint64(2**64 - 1)
 
