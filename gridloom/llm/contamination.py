@@ -19,14 +19,15 @@ WINDOW = 15  # words compared around a seed
 SHARE = 0.8  # of these must be equal
 BROADCAST_SEEDS = 200_000
 
-_equal = "if(get(w, start + {k}) <=> get(own, {k}), 1, 0)"
+_equal = "if(get(w, start + {k}) = get(own, {k}), 1, 0)"
 
 
 def _hashed_words(df: DataFrame, key: str) -> DataFrame:
     """``key`` and w, the 64-bit hashes of the words. Numbers keep the generated
     code of a position small enough to be compiled."""
     named = F.transform(words(fold(F.col("text"))), lambda x: F.xxhash64(x))
-    return df.select(key, named.alias("w")).where("size(w) > 0")
+    # not filtered by size: the filter would work all words out a second time
+    return df.select(key, named.alias("w"))
 
 
 def _seeded(df: DataFrame, masks: tuple[str, ...]) -> DataFrame:
@@ -38,8 +39,9 @@ def _seeded(df: DataFrame, masks: tuple[str, ...]) -> DataFrame:
         seen = ", ".join(f"get(w, at + {k})" for k, bit in enumerate(mask) if bit == "1")
         keys.append(f"{m}, case when at + {len(mask)} <= size(w) then xxhash64({m}, {seen}) end")
     short = min(map(len, masks))
-    whole = f"case when size(w) < {short} and at = 0 then xxhash64(-1, w) end"
-    rows = df.selectExpr("*", "explode(sequence(0, size(w) - 1)) as at").where("size(w) > 0")
+    whole = f"case when size(w) between 1 and {short - 1} and at = 0 then xxhash64(-1, w) end"
+    # a text without words has positions 0 and -1 here, and a key at neither
+    rows = df.selectExpr("*", "explode(sequence(0, size(w) - 1)) as at")
     stacked = f"stack({len(masks) + 1}, {', '.join(keys)}, -1, {whole}) as (mask, key)"
     return rows.selectExpr("*", stacked).where("key is not null")
 
