@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 import struct
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,12 +25,16 @@ from gridloom.llm.common import small_side
 from gridloom.llm.langid import fold_of
 from gridloom.llm.texts import Remembered
 
-FEATURES = 1 << 18
+BEGINNINGS = (4, 5, 6)  # letters of a longer word that are features of their own
+ABSENT = 0xFFFFFFFF
 SAMPLE_PER_CLASS = 4_000  # labelled documents of each class a model is fitted on, about
-SEED_RATIO, SEED_DOCS = 15.0, 4  # a word that labels tokens: odds ratio, toxic documents
+# a word that labels tokens: odds ratio, how many toxic documents have it, and the
+# least share of them
+SEED_RATIO, SEED_DOCS, SEED_SHARE = 15.0, 4, 0.01
 CONTEXT = 6  # tokens on both sides of a labelled one that are learned with it
 CLEAN_TOKENS = 40  # tokens learned from each clean document, evenly over the whole text
 EPOCHS, RATE, DECAY = 10, 0.3, 1e-6
+TOKENS = 1 << 16  # of whole texts whose messages are held at once
 BLOCK = 64  # tokens whose transfer matrices are multiplied side by side
 TOXIC_TOKEN = 0.5
 
@@ -40,7 +43,8 @@ _TOKEN = re.compile(r"\w+")
 
 @dataclass
 class Model:
-    emission: np.ndarray  # toxic minus clean, by hashed feature
+    features: np.ndarray  # 32-bit hashes, sorted
+    emission: np.ndarray  # toxic minus clean, of each feature
     transition: np.ndarray  # 2 x 2 positive potentials
     start: np.ndarray  # of the first token
     document: np.ndarray  # logistic weights: bias, strongest marginal, expected tokens
@@ -50,16 +54,13 @@ def token_words(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
 
-def names_of(word: str) -> list[str]:
-    """The word itself and, for longer words, its beginnings."""
-    names = ["w" + word]
-    if len(word) > 4:
-        names += [f"p{word[:n]}" for n in (4, 5, 6) if n < len(word)]
-    return names
-
-
-def _features(word: str) -> list[int]:
-    return [xxhash.xxh32_intdigest(x.encode("utf-8", "replace")) % FEATURES for x in names_of(word)]
+def _hashes(word: str) -> bytes:
+    """32-bit hashes of the word and, for longer words, of its beginnings."""
+    names = ["w" + word] + [f"p{word[:n]}" if n < len(word) else "" for n in BEGINNINGS]
+    return struct.pack(
+        f"<{len(names)}I",
+        *(xxhash.xxh32_intdigest(x.encode("utf-8", "replace")) if x else ABSENT for x in names),
+    )
 
 
 def _messages(emission: np.ndarray, first: np.ndarray, transition, start):
@@ -121,14 +122,24 @@ class Tagger:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known = Remembered(
-            lambda w: struct.pack("<f", float(model.emission[_features(w)].sum()))
-        )
+        self.known = Remembered(self._emission)
+
+    def _emission(self, word: str) -> bytes:
+        own, features = np.frombuffer(_hashes(word), "<u4"), self.model.features
+        at = np.minimum(np.searchsorted(features, own), len(features) - 1)
+        return struct.pack("<f", self.model.emission[at][features[at] == own].sum())
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        emissions = [
-            np.frombuffer(self.known.joined(token_words(t)) if t else b"", "<f4") for t in texts
-        ]
+        found, held, size = [], [], 0
+        for text in texts:
+            held.append(np.frombuffer(self.known.joined(token_words(text)) if text else b"", "<f4"))
+            size += len(held[-1])
+            if size >= TOKENS:
+                found += self._marginals(held)
+                held, size = [], 0
+        return found + self._marginals(held)
+
+    def _marginals(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
         ends = np.cumsum([len(e) for e in emissions])
         flat = np.concatenate(emissions) if emissions else np.empty(0)
         first = np.zeros(len(flat), bool)
@@ -149,54 +160,66 @@ def _sigmoid(x):
 
 
 def _fit(texts: list[str], toxic: np.ndarray) -> Model:
-    docs = [token_words(t) for t in texts]
-    names = {w: names_of(w) for w in set().union(*docs)}
-    seen = [Counter(), Counter()]
-    for tokens, label in zip(docs, toxic):
-        seen[label].update({x for w in set(tokens) for x in names[w]})
-    n1, n0 = max(1, toxic.sum()), max(1, (1 - toxic).sum())
-    seeds = {
-        x for x, k in seen[1].items()
-        if k >= SEED_DOCS and (k / n1) / ((seen[0][x] + 0.5) / n0) >= SEED_RATIO
-    }
-    marking = {w for w, own in names.items() if not seeds.isdisjoint(own)}
-    del names, seen
-
-    words_, labels, first = [], [], []
-    for tokens, label in zip(docs, toxic):
-        marks = np.fromiter((w in marking for w in tokens), bool, len(tokens))
-        # words that label elsewhere are the hard ones of a clean document
-        near = CONTEXT if label else 0
+    known, width = Remembered(_hashes), 1 + len(BEGINNINGS)
+    # all that is kept of a document's tokens: their hashes
+    docs = [np.frombuffer(known.joined(token_words(t)), "<u4").reshape(-1, width) for t in texts]
+    counted = []
+    for label in (0, 1):
+        own = [np.unique(h) for h, t in zip(docs, toxic) if t == label]
+        counted.append(np.unique(np.concatenate(own), return_counts=True))
+    (clean, n_clean), (names, n_toxic) = counted
+    at = np.minimum(np.searchsorted(clean, names), len(clean) - 1)
+    other = np.where(clean[at] == names, n_clean[at], 0)
+    n1, n0 = toxic.sum(), (1 - toxic).sum()
+    least = max(SEED_DOCS, SEED_SHARE * n1)
+    telling = (n_toxic >= least) & (n_toxic / n1 >= SEED_RATIO * (other + 0.5) / n0)
+    seeds = names[telling & (names != ABSENT)]
+    # copies of one document make its rare words look telling: as many different
+    # pairs of neighbours are asked as documents
+    around = []
+    for hashes, label in zip(docs, toxic):
+        if label and len(hashes):
+            word = hashes[:, 0].astype(np.uint64)
+            pair = np.roll(word, 1) << np.uint64(32) | np.roll(word, -1)
+            row, column = np.nonzero(np.isin(hashes, seeds))
+            around.append(np.stack([hashes[row, column].astype(np.uint64), pair[row]], axis=1))
+    found = np.unique(np.concatenate(around), axis=0)[:, 0] if around else np.empty(0)
+    at, times = np.unique(found, return_counts=True)
+    seeds = at[times >= least].astype(np.uint32)
+
+    feats, labels, first = [], [], []
+    for hashes, label in zip(docs, toxic):
+        marks = np.isin(hashes, seeds).any(axis=1)
+        near = CONTEXT if label else 0  # words that label elsewhere are the hard ones
         keep = marks.copy()
         for at in np.flatnonzero(marks):
             keep[max(0, at - near) : at + near + 1] = True
         if not label:
-            step = max(1, len(tokens) // CLEAN_TOKENS)
-            for at in range(0, len(tokens), step * 8):
+            step = max(1, len(hashes) // CLEAN_TOKENS)
+            for at in range(0, len(hashes), step * 8):
                 keep[at : at + 8] = True
-        for k in np.flatnonzero(keep):
-            words_.append(tokens[k])
-            labels.append(int(label and marks[k]))
-            first.append(k == 0 or not keep[k - 1])
-    return _learn(words_, np.array(labels), np.array(first), texts, toxic)
+        begins = keep.copy()
+        begins[1:] &= ~keep[:-1]
+        feats.append(hashes[keep])
+        labels.append(marks[keep].astype(np.int64) * label)
+        first.append(begins[keep])
+    return _learn(*(np.concatenate(x) for x in (feats, labels, first)), texts, toxic)
 
 
-def _learn(words_, y, first, texts, toxic) -> Model:
+def _learn(feats, y, first, texts, toxic) -> Model:
     """Adagrad steps on the chain's log likelihood, on batches of whole sequences."""
-    width = 1 + 3
-    feats = np.full((len(words_), width), FEATURES)
-    known: dict[str, list[int]] = {}
-    for k, w in enumerate(words_):
-        own = known.get(w) or known.setdefault(w, _features(w))
-        feats[k, : len(own)] = own
+    width = feats.shape[1]
+    names, feats = np.unique(feats, return_inverse=True)
+    feats, size = feats.reshape(-1, width), len(names)
+    none = names == ABSENT
     begins = np.flatnonzero(first)
-    starts = np.append(begins, len(words_))
-    emission, grown = np.zeros(FEATURES + 1), np.full(FEATURES + 1, 1e-8)
+    starts = np.append(begins, len(y))
+    emission, grown = np.zeros(size), np.full(size, 1e-8)
     # base, transitions, start: logs, learned alike
     small, small_grown = np.array([-2.0, 0, 0, 0, 0, 0, 0]), np.full(7, 1e-8)
     order = np.random.default_rng(0)
     for _ in range(EPOCHS):
-        for part in np.array_split(order.permutation(len(begins)), max(1, len(begins) // 512)):
+        for part in np.array_split(order.permutation(len(begins)), max(1, len(begins) // 1536)):
             if not len(part):
                 continue
             rows = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in part])
@@ -206,9 +229,9 @@ def _learn(words_, y, first, texts, toxic) -> Model:
             gamma = alpha * beta
             gamma /= gamma.sum(axis=1, keepdims=True)
             miss = gamma[:, 1] - t
-            g = np.bincount(f.ravel(), np.repeat(miss, width), FEATURES + 1)
+            g = np.bincount(f.ravel(), np.repeat(miss, width), size)
             g += DECAY * len(rows) * emission
-            g[FEATURES] = 0
+            g[none] = 0
             grown += g * g
             emission -= RATE * g / np.sqrt(grown)
             inner = np.flatnonzero(~head)
@@ -222,7 +245,7 @@ def _learn(words_, y, first, texts, toxic) -> Model:
     # the common part of every emission goes into the potentials of the toxic state
     into = np.exp(np.array([0.0, small[0]]))
     trans, start = np.exp(small[1:5]).reshape(2, 2) * into, np.exp(small[5:]) * into
-    model = Model(emission[:FEATURES], trans, start, np.zeros(3))
+    model = Model(names, emission.astype(np.float32), trans, start, np.zeros(3))
     tag = Tagger(model)
     x = [document_inputs(p) for k in range(0, len(texts), 256) for p in tag(texts[k : k + 256])]
     x = np.array(x).reshape(-1, 3)
@@ -266,16 +289,17 @@ def train(
         pdf = pdf[pdf["text"].notna()].sort_values(["doc_id", "text"])
         toxic = pdf["_toxic"].to_numpy().astype(int)
         if not 0 < toxic.sum() < len(toxic):
-            return pd.DataFrame({"e": [], "t": [], "s": [], "d": []})
+            return pd.DataFrame({k: [] for k in "fetsd"})
         m = _fit(list(pdf["text"]), toxic)
-        parts = (m.emission.astype("<f4"), m.transition, m.start, m.document)
-        return pd.DataFrame({k: [x.tobytes()] for k, x in zip("etsd", parts)})
+        parts = (m.features, m.emission, m.transition, m.start, m.document)
+        return pd.DataFrame({k: [x.tobytes()] for k, x in zip("fetsd", parts)})
 
-    fitted = sample.groupBy(F.lit("all").alias("_group")).applyInPandas(fit, "e binary, t binary, s binary, d binary")
+    fitted = sample.groupBy(F.lit("all").alias("_group")).applyInPandas(fit, "f binary, e binary, t binary, s binary, d binary")
     row = fitted.first()
     if row is None:
         return None
     return Model(
+        np.frombuffer(row["f"], "<u4"),
         np.frombuffer(row["e"], "<f4"),
         np.frombuffer(row["t"], "<f8").reshape(2, 2),
         np.frombuffer(row["s"], "<f8"),
