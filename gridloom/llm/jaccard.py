@@ -146,7 +146,8 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                 parts = 1 + count[first].astype(np.int64) // LIST_ROWS
                 rows.append((
                     s[first].astype(np.int64),
-                    (abs(node) % parts).astype(np.int32),
+                    # 0 is a whole list; the parts of a split one count from 1
+                    np.where(parts > 1, 1 + abs(node) % parts, 0).astype(np.int32),
                     np.full(length, node, np.int64),
                     np.full(length, len(s), np.int32),
                     np.arange(length, dtype=np.int32),
@@ -173,11 +174,9 @@ def _lists(prefixes: DataFrame) -> DataFrame:
     whole = near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     columns = {f"f_{c}": F.first(c).over(whole) for c in ("node", "size", "pos")}
     columns |= {f"b_{c}": F.lag(c).over(near) for c in ("node", "size", "pos")}
-    columns |= {"l_node": F.last("node").over(whole), "parts": F.max("part").over(whole)}
+    columns |= {"l_node": F.last("node").over(whole)}
     # a list in several parts is kept whole: its other parts are elsewhere
-    return prefixes.withColumns(columns).where("f_node <> l_node or parts > 0").drop(
-        "l_node", "parts"
-    )
+    return prefixes.withColumns(columns).where("f_node <> l_node or part > 0").drop("l_node")
 
 
 def _first_pairs(rows: DataFrame, percent: int, sides: tuple[str, ...]) -> DataFrame:

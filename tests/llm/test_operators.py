@@ -131,6 +131,19 @@ def test_jaccard_without_the_first_comparisons(spark, monkeypatch):
     assert got == sorted(brute_jaccard(rows))
 
 
+def test_jaccard_links_nodes_alone_in_their_parts(spark, monkeypatch):
+    """Every list holds two nodes and has two parts; half of the pairs are split."""
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 2)
+    rng = random.Random(8)
+    rows = []
+    for k in range(20):
+        own = sentence(rng, 50)
+        rows += [(2 * k, own), (2 * k + 1, own + f" q{k}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard.jaccard_components(docs).collect())
+    assert got == sorted(brute_jaccard(rows))
+
+
 def brute_repeats(rows):
     first = {}
     for i, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
