@@ -27,7 +27,7 @@ TREES, LEAF, LEAF_ROWS = 4, 64, 256  # leaves hold about LEAF rows and are split
 ROUNDS = 2
 BLOCK = 256  # rows of a block of a component or of the audit
 AUDIT_EVERY, RECALL, ATTEMPTS = 50, 0.95, 4
-_EDGE = "src long, dst long, sim double"
+_EDGE = "src long, dst long, sim double, joined boolean"
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -68,22 +68,45 @@ def _node():
     return F.xxhash64("label", "embedding").alias("node")
 
 
-def _nearest(pdf: pd.DataFrame, keep: int) -> pd.DataFrame:
-    """The nearest rows of every row of a small group."""
+def _roots(near: np.ndarray) -> np.ndarray:
+    """The first row of every row's component of a small group."""
+    root = np.arange(len(near))
+    while True:
+        low = np.minimum(root, np.where(near, root[None, :], len(near)).min(axis=1))
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _meet(pdf: pd.DataFrame, keep: int, threshold: float) -> pd.DataFrame:
+    """The nearest rows of every row of a small group, and the nearest outside its
+    own component there; then (joined) what holds the group's components
+    together, at most one row for each of its rows."""
     x = np.stack(pdf["vec"].to_numpy())
     sims = x @ x.T
     np.fill_diagonal(sims, -2)
     k = min(keep, len(x) - 1)
     if k < 1:
-        return pd.DataFrame({"src": [], "dst": [], "sim": []})
-    at = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    ids = pdf["node"].to_numpy()
-    rows = np.repeat(np.arange(len(x)), k)
-    return pd.DataFrame({"src": ids[rows], "dst": ids[at.ravel()], "sim": sims[rows, at.ravel()]})
-
-
-def _from_trees(vectors: DataFrame, seed: int) -> DataFrame:
-    """Edges inside the leaves of TREES trees."""
+        return pd.DataFrame({"src": [], "dst": [], "sim": [], "joined": []})
+    ids, root = pdf["node"].to_numpy(), _roots(sims >= threshold)
+    own = np.flatnonzero(np.bincount(root, minlength=len(x))[root] > 1)
+    outside = np.where(root[own, None] == root[None, :], -2, sims[own])
+    found = []
+    for rows, some in ((np.arange(len(x)), sims), (own, outside)):
+        at = np.argpartition(-some, k - 1, axis=1)[:, :k]
+        sim = np.take_along_axis(some, at, axis=1).ravel()
+        pairs = pd.DataFrame({"src": ids[np.repeat(rows, k)], "dst": ids[at.ravel()], "sim": sim})
+        found.append(pairs[sim > -2].assign(joined=False))
+    tied = np.flatnonzero(root != np.arange(len(x)))
+    found.append(pd.DataFrame(
+        {"src": ids[root[tied]], "dst": ids[tied], "sim": threshold, "joined": True}
+    ))
+    return pd.concat([f for f in found if len(f)])
+
+
+def _from_trees(vectors: DataFrame, seed: int, threshold: float) -> DataFrame:
+    """What meets inside the leaves of TREES trees."""
     sizes = vectors.groupBy("label", "dim").agg(F.count("*").alias("rows"))
     depth = F.greatest(F.lit(0), F.ceil(F.log2(F.col("rows") / LEAF))).cast("int")
     sized = vectors.join(sizes, ["label", "dim"]).withColumn("depth", depth)
@@ -118,35 +141,66 @@ def _from_trees(vectors: DataFrame, seed: int) -> DataFrame:
     part = F.expr(f"pmod(xxhash64(node, tree, {seed}), cast(ceil(rows / {LEAF_ROWS}) as bigint))")
     parted = placed.join(counted, leaves).withColumn("part", part)
     return parted.groupBy(*leaves, "part").applyInPandas(
-        lambda pdf: _nearest(pdf, NEIGHBOURS), _EDGE
+        lambda pdf: _meet(pdf, NEIGHBOURS, threshold), _EDGE
     )
 
 
-def _top(edges: DataFrame) -> DataFrame:
+def _top(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The nearest of every vector, and the nearest outside its component (out): a
+    list full of its own component still leads elsewhere."""
     best = edges.groupBy("src", "dst").agg(F.max("sim").alias("sim"))
-    rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))
-    return best.withColumn("rank", rank).where(f"rank <= {NEIGHBOURS}").drop("rank")
+    for end in ("src", "dst"):
+        best = best.join(roots.selectExpr(f"node as {end}", f"root as {end}_root"), end, "left")
+    best = best.selectExpr(
+        "src", "dst", "sim", "coalesce(src_root, src) <> coalesce(dst_root, dst) as out"
+    )
+    return _best_of(best, "src", "dst")
 
 
-def _refined(graph: DataFrame, vectors: DataFrame) -> DataFrame:
-    """One round: members of every vector's neighbourhood meet each other."""
-    back = F.row_number().over(Window.partitionBy("dst").orderBy(F.desc("sim"), "src"))
-    reverse = graph.withColumn("rank", back).where(f"rank <= {NEIGHBOURS}")
+def _best_of(edges: DataFrame, own: str, other: str) -> DataFrame:
+    order = [F.desc("sim"), other]
+    rank = F.row_number().over(Window.partitionBy(own).orderBy(*order))
+    far = F.row_number().over(Window.partitionBy(own, "out").orderBy(*order))
+    ranked = edges.withColumns({"rank": rank, "far": far})
+    kept = f"rank <= {NEIGHBOURS} or out and far <= {NEIGHBOURS}"
+    return ranked.where(kept).drop("rank", "far")
+
+
+def _refined(graph: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """One round: what the members of every vector's neighbourhood are to each
+    other, as far as it can enter a list, and what joins them."""
+    reverse = _best_of(graph, "dst", "src")
     members = (
         graph.selectExpr("src as pivot", "dst as node")
         .union(reverse.selectExpr("dst as pivot", "src as node"))
         .union(graph.selectExpr("src as pivot", "src as node"))
         .distinct()
     )
-    worst = graph.groupBy(F.col("src").alias("node")).agg(F.min("sim").alias("worst"))
+    worst = graph.groupBy(F.col("src").alias("node")).agg(
+        F.expr(f"if(count_if(out) < {NEIGHBOURS}, -2D, min(sim))").alias("worst")
+    )
     met = members.join(vectors.select("node", "vec").join(worst, "node"), "node")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _nearest(pdf, NEIGHBOURS)
+        found = _meet(pdf, NEIGHBOURS, threshold)
         worst = dict(zip(pdf["node"], pdf["worst"]))
-        return found[found["sim"] > found["src"].map(worst)]
+        return found[found["joined"].astype(bool) | (found["sim"] > found["src"].map(worst))]
+
+    return met.groupBy("pivot").applyInPandas(meet, _EDGE)
+
 
-    return _top(graph.union(met.groupBy("pivot").applyInPandas(meet, _EDGE)))
+def _grown(roots: DataFrame | None, met: DataFrame) -> tuple[DataFrame, bool]:
+    """The components after the joins of ``met``, and whether any of them is new."""
+    joins = met.where("joined").selectExpr("src as a", "dst as b").distinct()
+    if roots is not None:
+        for end in "ab":
+            held = roots.selectExpr(f"node as {end}", "root")
+            joins = joins.join(held, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+        joins = materialized(joins.where("a <> b").select("a", "b").distinct())
+        if not joins.limit(1).count():
+            return roots, False
+        joins = joins.union(roots.select("node", "root"))
+    return components(joins), True
 
 
 def _links_in_components(
@@ -224,14 +278,16 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = rows.select(F.col("vec_id").cast("long"), "label", "embedding")
     vectors = materialized(_vectors(rows))
     truth = materialized(_true_links(vectors, threshold))
-    graph = None
+    graph = roots = None
     for attempt in range(ATTEMPTS):
-        edges = _from_trees(vectors, attempt)
-        graph = materialized(_top(graph.union(edges) if graph is not None else edges))
+        met = materialized(_from_trees(vectors, attempt, threshold))
+        roots, _ = _grown(roots, met)
         for _ in range(ROUNDS):
-            graph = materialized(_refined(graph, vectors))
-        near = graph.where(F.col("sim") >= threshold).selectExpr("src as a", "dst as b")
-        roots = components(near)
+            edges = met.where("not joined").select("src", "dst", "sim")
+            edges = edges.union(graph.select(edges.columns)) if graph is not None else edges
+            graph = materialized(_top(edges, roots))
+            met = materialized(_refined(graph, vectors, threshold))
+            roots, _ = _grown(roots, met)
         links = materialized(_links_in_components(vectors, roots, threshold))
         found = truth.join(links, "node", "left").agg(
             F.sum("true_links"), F.sum(F.coalesce("linked", F.lit(0)))

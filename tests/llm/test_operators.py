@@ -316,6 +316,19 @@ def test_near_vectors_equal_brute_force(spark):
     assert neighbours.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_near_vectors_of_full_lists_join(spark):
+    """Two groups of twenty, 0.999 inside and about 0.985 to each other."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(40):
+        v = np.zeros(24)
+        v[0], v[1] = np.cos(0.17 * (k % 2)), np.sin(0.17 * (k % 2))
+        rows.append((k, [float(x) for x in v + rng.normal(size=24) * 0.002], 1))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = neighbours.near_duplicates(frame).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(39, 0)}
+
+
 def test_licenses_on_odd_texts(spark, odd, empty):
     rows = [
         (1, "x CC-BY y\nGeneral  Public\nLicense\ncc by"), (2, None), (3, ""),
