@@ -6,8 +6,9 @@ compared with each other, and each keeps the nearest it has met. Edges at the
 threshold join components. A list that is full of such edges is saturated: it is
 enlarged to its whole component, which is read block by block, so links are
 counted without being written out. An audit compares a fixed share of the
-vectors with all others by brute force and measures recall; while it is too low,
-further trees and rounds follow.
+vectors with all others by brute force and measures recall, vector by vector;
+while it is too low, further trees and rounds follow. If it stays too low, all
+vectors of a label are compared with each other in blocks.
 """
 
 from __future__ import annotations
@@ -79,6 +80,17 @@ def _roots(near: np.ndarray) -> np.ndarray:
         root = low
 
 
+def _joins(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """What holds the components of a group together."""
+    x, ids = np.stack(pdf["vec"].to_numpy()), pdf["node"].to_numpy()
+    return _ties(ids, _roots(x @ x.T >= threshold), threshold)
+
+
+def _ties(ids: np.ndarray, root: np.ndarray, threshold: float) -> pd.DataFrame:
+    tied = np.flatnonzero(root != np.arange(len(root)))
+    return pd.DataFrame({"src": ids[root[tied]], "dst": ids[tied], "sim": threshold, "joined": True})
+
+
 def _meet(pdf: pd.DataFrame, keep: int, threshold: float) -> pd.DataFrame:
     """The nearest rows of every row of a small group, and the nearest outside its
     own component there; then (joined) what holds the group's components
@@ -98,10 +110,7 @@ def _meet(pdf: pd.DataFrame, keep: int, threshold: float) -> pd.DataFrame:
         sim = np.take_along_axis(some, at, axis=1).ravel()
         pairs = pd.DataFrame({"src": ids[np.repeat(rows, k)], "dst": ids[at.ravel()], "sim": sim})
         found.append(pairs[sim > -2].assign(joined=False))
-    tied = np.flatnonzero(root != np.arange(len(x)))
-    found.append(pd.DataFrame(
-        {"src": ids[root[tied]], "dst": ids[tied], "sim": threshold, "joined": True}
-    ))
+    found.append(_ties(ids, root, threshold))
     return pd.concat([f for f in found if len(f)])
 
 
@@ -233,17 +242,29 @@ def _links_in_components(
     return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
-def _true_links(vectors: DataFrame, threshold: float) -> DataFrame:
-    """node and true_links of the asked vectors against all rows of their label,
-    in blocks."""
+def _blocked(vectors: DataFrame, rows: int) -> DataFrame:
+    """The vectors with block and blocks: blocks of about ``rows`` rows of a label."""
     sizes = vectors.groupBy("label", "dim").agg(
-        F.expr(f"cast(ceil(count(*) / {8 * BLOCK}) as int)").alias("blocks")
+        F.expr(f"cast(ceil(count(*) / {rows}) as int)").alias("blocks")
     )
-    sized = vectors.join(sizes, ["label", "dim"])
     block = F.expr("cast(pmod(xxhash64(node), blocks) as int)")
-    keys = ["label", "dim", "block"]
-    rows = sized.withColumn("block", block).select(*keys, "node", "vec", "copies")
-    asked = sized.where("asked").withColumn(
+    return vectors.join(sizes, ["label", "dim"]).withColumn("block", block)
+
+
+def _true_links(vectors: DataFrame, threshold: float) -> DataFrame:
+    """node and true_links of the asked vectors against all rows of their label;
+    blocks of asked vectors meet blocks of rows."""
+    keys = ["label", "dim", "block", "part"]
+    asked = _blocked(vectors.where("asked"), 8 * BLOCK).withColumnsRenamed(
+        {"block": "part", "blocks": "parts"}
+    )
+    parts = asked.groupBy("label", "dim").agg(F.max("parts").alias("parts"))
+    sized = _blocked(vectors, 8 * BLOCK)
+    rows = sized.join(parts, ["label", "dim"]).withColumn(
+        "part", F.explode(F.expr("sequence(0, parts - 1)"))
+    ).select(*keys, "node", "vec", "copies")
+    blocks = sized.groupBy("label", "dim").agg(F.max("blocks").alias("blocks"))
+    asked = asked.join(blocks, ["label", "dim"]).withColumn(
         "block", F.explode(F.expr("sequence(0, blocks - 1)"))
     ).selectExpr(*[f"{c} as q_{c}" for c in keys], "node as q_node", "vec as q_vec")
 
@@ -265,6 +286,30 @@ def _true_links(vectors: DataFrame, threshold: float) -> DataFrame:
     return counted.groupBy("node").agg(F.sum("true_links").alias("true_links"))
 
 
+def _recall(truth: DataFrame, links: DataFrame) -> float:
+    """The share of asked vectors with links whose links are all found: of all of
+    them, or of those with at most NEIGHBOURS links, whichever is less. One vector
+    counts as much as another, whatever its group; 1 without any."""
+    whole = F.expr("coalesce(linked, 0) = true_links").cast("double")
+    few = F.when(F.col("true_links") <= NEIGHBOURS, whole)
+    shares = truth.where("true_links > 0").join(links, "node", "left").agg(F.avg(whole), F.avg(few))
+    return min((x for x in shares.first() if x is not None), default=1.0)
+
+
+def _all_joins(vectors: DataFrame, threshold: float) -> DataFrame:
+    """What holds the components together, from comparing all vectors of a label
+    with each other in blocks. Exact; its work grows with the square of a label."""
+    pairs = (
+        _blocked(vectors, 4 * BLOCK)
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .selectExpr("label", "dim", "least(block, other) as i", "greatest(block, other) as j",
+                    "node", "vec")
+    )
+    return pairs.groupBy("label", "dim", "i", "j").applyInPandas(
+        lambda pdf: _joins(pdf, threshold), _EDGE
+    )
+
+
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept, audit_recall of every row.
 
@@ -272,8 +317,9 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     vectors with null or non-finite components and rows without a label link with
     nothing: n_links 0 and a component of their own. Equal vectors are links of
     each other, repeated rows too. A null vec_id is never a component's name;
-    its row is kept only if nothing else is in the component. audit_recall is the
-    share of links of every fiftieth vec_id that were found (1 without any).
+    its row is kept only if nothing else is in the component. audit_recall is,
+    over every fiftieth vec_id, the share of vectors whose links were all found (1
+    without any), or that share among those with few links, if it is less.
     """
     rows = rows.select(F.col("vec_id").cast("long"), "label", "embedding")
     vectors = materialized(_vectors(rows))
@@ -282,19 +328,22 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     for attempt in range(ATTEMPTS):
         met = materialized(_from_trees(vectors, attempt, threshold))
         roots, _ = _grown(roots, met)
-        for _ in range(ROUNDS):
+        rounds, grown = 0, True
+        while rounds < ROUNDS or grown:  # on until a round joins nothing more
+            rounds += 1
             edges = met.where("not joined").select("src", "dst", "sim")
             edges = edges.union(graph.select(edges.columns)) if graph is not None else edges
             graph = materialized(_top(edges, roots))
             met = materialized(_refined(graph, vectors, threshold))
-            roots, _ = _grown(roots, met)
+            roots, grown = _grown(roots, met)
         links = materialized(_links_in_components(vectors, roots, threshold))
-        found = truth.join(links, "node", "left").agg(
-            F.sum("true_links"), F.sum(F.coalesce("linked", F.lit(0)))
-        ).first()
-        recall = (found[1] or 0) / found[0] if found[0] else 1.0
+        recall = _recall(truth, links)
         if recall >= RECALL:
             break
+    else:  # nothing else will do
+        roots, _ = _grown(roots, materialized(_all_joins(vectors, threshold)))
+        links = materialized(_links_in_components(vectors, roots, threshold))
+        recall = _recall(truth, links)
 
     keyed = rows.withColumn("node", _node())
     member = (

@@ -329,6 +329,32 @@ def test_near_vectors_of_full_lists_join(spark):
     assert {(r["n_links"], r["component_id"]) for r in got} == {(39, 0)}
 
 
+def test_pairs_lost_beside_a_large_group_are_found(spark, monkeypatch):
+    """Searches that never meet a pair: the large group does not make up for it."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(120):  # even: one group, odd: pairs
+        v = np.zeros(64) if k % 2 == 0 else rng.normal(size=64)
+        v[0] += k % 2 == 0
+        if k % 4 == 3:
+            v = np.array(rows[-2][1])
+        rows.append((k * 50, [float(x) for x in v + rng.normal(size=64) * 1e-3], k % 2))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, kind int")
+    frame = frame.withColumn("label", F.lit(1))
+    odd = neighbours._vectors(frame.where("kind = 1")).select("node")
+    for name in ("_from_trees", "_refined"):
+        def some(*args, real=getattr(neighbours, name)):
+            found = real(*args)
+            for end in ("src", "dst"):
+                found = found.join(odd.withColumnRenamed("node", end), end, "left_anti")
+            return found.select("src", "dst", "sim", *found.columns[3:])
+        monkeypatch.setattr(neighbours, name, some)
+    got = {r["vec_id"]: r for r in neighbours.near_duplicates(frame).collect()}
+    assert all(got[k * 50]["n_links"] == (1 if k % 2 else 59) for k in range(120))
+    assert all(got[k * 50]["component_id"] == (k - 2 * (k % 4 == 3)) * 50 for k in range(1, 120, 2))
+    assert {r["audit_recall"] for r in got.values()} == {1.0}
+
+
 def test_licenses_on_odd_texts(spark, odd, empty):
     rows = [
         (1, "x CC-BY y\nGeneral  Public\nLicense\ncc by"), (2, None), (3, ""),
