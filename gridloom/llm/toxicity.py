@@ -51,11 +51,14 @@ class Model:
 
 
 def token_words(text: str) -> list[str]:
-    return _TOKEN.findall(text.lower())
+    """Tokens as they stand: a text in lower case can have more of them."""
+    return _TOKEN.findall(text)
 
 
 def _hashes(word: str) -> bytes:
-    """32-bit hashes of the word and, for longer words, of its beginnings."""
+    """32-bit hashes of the word in lower case and, for longer words, of its
+    beginnings."""
+    word = word.lower()
     names = ["w" + word] + [f"p{word[:n]}" if n < len(word) else "" for n in BEGINNINGS]
     return struct.pack(
         f"<{len(names)}I",
@@ -348,10 +351,8 @@ def _spans(text: str | None, p: np.ndarray) -> list[dict]:
     toxic = p >= TOXIC_TOKEN
     if not toxic.any():
         return []
-    # only now are offsets needed; lower() can change lengths, so the text itself is read
+    # only now are offsets needed
     found = [m.span() for m in _TOKEN.finditer(text)]
-    if len(found) != len(p):  # a character whose lower case is not one word character
-        return []
     out: list[dict] = []
     for k in np.flatnonzero(toxic):
         if out and out[-1]["last"] == k - 1:

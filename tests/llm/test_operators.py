@@ -515,6 +515,15 @@ def test_toxic_spans_and_scores(spark, odd, empty):
     assert unlearned == 0
 
 
+def test_spans_beside_letters_whose_lower_case_is_longer():
+    grumble = np.unique(np.frombuffer(toxicity._hashes("grumble"), "<u4")[:1])
+    model = toxicity.Model(grumble, np.array([9.0], "f4"), np.array([[1, 0.01]] * 2), np.array([1, 0.01]), np.zeros(3))
+    text = "İstanbul İİ GRUMBLE, a grumbleİ grumble"
+    (p,) = toxicity.Tagger(model)([text])
+    spans = toxicity._spans(text, p)
+    assert [text[s["start"] : s["end"]] for s in spans] == ["GRUMBLE", "grumble"]
+
+
 def test_chain_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     model = toxicity.Model(
