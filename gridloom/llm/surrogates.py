@@ -14,6 +14,7 @@ import hashlib
 import hmac
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -28,6 +29,13 @@ _EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2
 _NUMBERS = re.compile(r"[+(]?\d[\d .()+-]{5,}\d")  # where numbers are looked for
 _IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)")
 _PHONE = re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)")
+# without a country: three, three and four digits, or a trunk 0; not inside longer runs
+_NATIONAL = re.compile(
+    r"(?<![\d+])(?<!\d[.-])(?:1[ .-])?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d|[.-]\d)"
+    r"|(?<![\d+])(?<!\d[ .-])(?:1 )?\d{3} \d{3}[ -]\d{4}(?!\d|[ .-]\d)"
+    r"|(?<![\d+])(?<!\d[ .-])(?:\(0\d{1,4}\) ?|0\d{1,4}[ .-])\d{2,8}(?:[ .-]\d{2,8}){0,4}(?!\d|[ .-]\d)"
+)
+_DATE = re.compile(r"\d{2}([ .-])\d{2}\1(?:\d{2}|\d{4})$")
 _CARD = re.compile(r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)")
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _IBAN = re.compile(r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])")
@@ -46,6 +54,7 @@ _NAME = re.compile(
     r"\b(" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\b\.? "
     r"([^\W\d_]+(?:[-'][^\W\d_]+)?)(?: ([^\W\d_]+(?:[-'][^\W\d_]+)?))?"
 )
+_WORD = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)?")
 # Syllables of invented names, and endings by gender (f, m, unknown).
 _SYLLABLES = {
     "latin": ("ba be bi bo da de di do fa fe ga go ha ka ke ki la le li lo ma me mi mo na ne ni "
@@ -74,7 +83,8 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, type) of all entities, in order and without overlaps; of two
     that overlap the one that starts first stays, and of those the longest. A
     name's words are entities of their own, of type given:g or family:g, where g
-    is the gender, if known and of account."""
+    is the gender, if known and of account. A name that stands behind a title
+    somewhere is one wherever it stands in the text."""
     found = []
     at = text.find("@")
     while at >= 0:
@@ -86,11 +96,14 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     for region in _NUMBERS.finditer(text):
         has_digit = True
         a, b = max(0, region.start() - 1), min(len(text), region.end() + 1)
-        for kind, pattern in (("ip", _IP), ("phone", _PHONE), ("card", _CARD), ("ssn", _SSN)):
+        for kind, pattern in (("ip", _IP), ("phone", _PHONE), ("phone", _NATIONAL), ("card", _CARD), ("ssn", _SSN)):
             for m in pattern.finditer(text, a, b):
                 # a bounded search does not see what stands outside
                 if kind == "ip" and max(map(int, m[0].split("."))) > 255:
                     continue
+                if pattern is _NATIONAL:
+                    if not 7 <= sum(map(str.isdigit, m[0])) <= 13 or _DATE.match(m[0]):
+                        continue
                 if kind == "card" and not luhn(re.sub(r"\D", "", m[0])):
                     continue
                 found.append((m.start(), m.end(), kind))
@@ -106,6 +119,7 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
             value = _SECRET.match(text, m.end())
             if value and re.search(r"[\d]", value[1]):
                 found.append((value.start(1), value.end(1), "secret"))
+    names: dict = {}
     for m in _NAME.finditer(text):
         gender = _TITLES[m[1]]
         words = [k for k in (2, 3) if m[k] and m[k][0].isupper()]
@@ -114,7 +128,15 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
                 part = "family" if k == words[-1] else "given"
                 # one family name may belong to both; where it changes with gender, it tells
                 own = gender if part == "given" or _script(m[k][0]) == "cyrillic" else ""
-                found.append((m.start(k), m.end(k), f"{part}:{own}"))
+                name = m[k].lower().removesuffix("'s")
+                # a word that is a given name somewhere is one everywhere, whatever the title
+                names[name] = max(names.get(name, ""), f"{part}:{own}", key=_telling)
+    for m in _WORD.finditer(text) if names else ():
+        if m[0][0].isupper():
+            for name in (m[0], *re.split("[-']", m[0])[:1]):
+                if name.lower() in names:
+                    found.append((m.start(), m.start() + len(name), names[name.lower()]))
+                    break
     kept, last = [], -1
     for a, b, kind in sorted(found, key=lambda s: (s[0], -s[1], s[2])):
         if a >= last:
@@ -123,11 +145,18 @@ def find_entities(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
+def _telling(kind: str) -> tuple:
+    return kind.startswith("given"), kind
+
+
 def canonical(kind: str, value: str) -> str:
     """What makes two mentions the same entity: letter case and punctuation do not
     count where a format does not mind them."""
     if kind in ("phone", "card", "ssn"):
-        return re.sub(r"[^\d]", "", value)
+        digits = re.sub(r"[^\d]", "", value)
+        # a number of three, three and four digits is the one with country code 1
+        national = kind == "phone" and len(digits) == 10 and value[0] not in "+0" and value[:2] != "(0"
+        return "1" + digits if national else digits
     if kind == "iban":
         return value.replace(" ", "")
     if kind == "ip":
@@ -153,6 +182,21 @@ class _Draws:
         return letters[self.below(len(letters))]
 
 
+# Letters drawn for letters of these scripts.
+_ALPHABETS = {"cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+
+
+@lru_cache(4096)
+def _like(c: str) -> str:
+    """Letters of the script and case of ``c``, a letter beyond ASCII."""
+    if _script(c):
+        own = _ALPHABETS[_script(c)]
+        return own.upper() if c.isupper() else own
+    start = ord(c) & ~0xFF
+    near = (chr(k) for k in range(max(start, 0x80), start + 0x100))
+    return "".join(x for x in near if x.isalpha() and (x.isupper(), x.islower()) == (c.isupper(), c.islower()))
+
+
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
@@ -167,6 +211,8 @@ def _shaped(draws: _Draws, value: str) -> str:
         elif c.isascii() and c.isalpha():
             x = draws.of(lower)
             out.append(x.upper() if c.isupper() else x)
+        elif c.isalpha():
+            out.append(draws.of(_like(c)))
         else:
             out.append(c)
     return "".join(out)
@@ -219,7 +265,8 @@ def _script(c: str) -> str | None:
 def in_form_of(kind: str, drawn: str, mention: str) -> str:
     """The canonical surrogate written as the mention is written."""
     if kind in ("phone", "card", "ssn", "iban"):
-        rest = iter(drawn)
+        # a phone number without its country shows the end of the whole one
+        rest = iter(drawn[-sum(c.isalnum() for c in mention):])
         return "".join(next(rest) if c.isalnum() else c for c in mention)
     if kind == "email" and mention.isupper() or ":" in kind and mention.isupper() and len(mention) > 1:
         return drawn.upper()
@@ -251,6 +298,23 @@ def mentions(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(find, "doc_id long, text_key long, kind string, value string")
 
 
+def resolved(entities: DataFrame) -> DataFrame:
+    """kind, value and real_kind: a name has one gender, whatever its titles: the
+    one they tell, or none if they tell two."""
+    part = F.split_part("kind", F.lit(":"), F.lit(1))
+    gender = F.expr("nullif(split_part(kind, ':', 2), '')")
+    name = F.col("kind").contains(":")
+    told = (
+        entities.where(name).groupBy(part.alias("part"), F.col("value").alias("_value"))
+        .agg(F.min(gender).alias("lo"), F.max(gender).alias("hi"))
+        .selectExpr("_value", "part", "concat(part, ':', if(lo = hi, lo, '')) as told")
+    )
+    same = (F.col("value") == F.col("_value")) & (part == F.col("part"))
+    return entities.join(told, same, "left").select(
+        "kind", "value", F.when(name, F.coalesce("told", F.concat("part", F.lit(":")))).otherwise(F.col("kind")).alias("real_kind")
+    )
+
+
 def redrawn(entities: DataFrame, key: bytes) -> DataFrame:
     """kind, value and attempt of the entities whose first surrogate will not do.
 
@@ -289,7 +353,14 @@ def pseudonymized(docs: DataFrame, key: bytes, keep: list[str] | None = None) ->
     keep = docs.columns if keep is None else keep
     found = materialized(mentions(docs))
     entities = found.select("kind", "value").distinct()
-    odd = materialized(redrawn(materialized(entities), key))
+    names = materialized(resolved(entities))
+    one = materialized(names.select(F.col("real_kind").alias("kind"), "value").distinct())
+    odd = redrawn(one, key).withColumnRenamed("kind", "real_kind")
+    odd = names.join(odd, ["real_kind", "value"], "left")
+    odd = odd.where("attempt is not null or kind <> real_kind")
+    # as: the kind that is drawn, where titles tell another
+    odd = odd.selectExpr("kind", "value", "coalesce(attempt, 0) as attempt", "real_kind as as")
+    odd = materialized(odd)
     hidden = [f"c{k}" for k in range(len(keep))]
     rows = docs.select(
         *[docs[c].alias(h) for c, h in zip(keep, hidden)],
@@ -299,12 +370,12 @@ def pseudonymized(docs: DataFrame, key: bytes, keep: list[str] | None = None) ->
     few = odd.limit(SMALL_OVERRIDES + 1).count()
     shared: dict = {}
     if few <= SMALL_OVERRIDES:
-        shared = {(r["kind"], r["value"]): r["attempt"] for r in odd.collect()}
+        shared = {(r["kind"], r["value"]): (r["attempt"], r["as"]) for r in odd.collect()}
         rows = rows.select(*hidden, F.lit(None).cast("array<string>").alias("odd"), "text")
     else:
         own = (
             found.join(odd, ["kind", "value"]).groupBy("doc_id", "text_key")
-            .agg(F.collect_set(F.concat_ws("\n", "kind", "value", "attempt")).alias("odd"))
+            .agg(F.collect_set(F.concat_ws("\n", "kind", "value", "attempt", "as")).alias("odd"))
             .select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "odd")
         )
         same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key"))
@@ -317,7 +388,7 @@ def pseudonymized(docs: DataFrame, key: bytes, keep: list[str] | None = None) ->
                 text, own = text.as_py(), shared
                 if odd_here.is_valid:
                     parts = (x.split("\n") for x in odd_here.as_py())
-                    own = {(kind, value): int(n) for kind, value, n in parts}
+                    own = {(kind, value): (int(n), real) for kind, value, n, real in parts}
                 spans = find_entities(text) if text else []
                 texts.append(_replaced(text, spans, key, own) if spans else text)
                 counts.append(len(spans))
@@ -344,7 +415,8 @@ def _replaced(text: str, spans: list, key: bytes, attempts: dict) -> str:
     out, last = [], 0
     for a, b, kind in spans:
         value = canonical(kind, text[a:b])
-        drawn = surrogate(key, kind, value, attempts.get((kind, value), 0))
+        attempt, drawn_as = attempts.get((kind, value), (0, kind))
+        drawn = surrogate(key, drawn_as, value, attempt)
         out += [text[last:a], in_form_of(kind, drawn, text[a:b])]
         last = b
     return "".join([*out, text[last:]])

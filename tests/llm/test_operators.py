@@ -434,6 +434,22 @@ def test_surrogates_keep_type_form_and_identity(spark, odd, empty):
     assert surrogates.pseudonymized(empty, key_).count() == 0
 
 
+def test_surrogates_of_all_forms_and_mentions(spark):
+    a = "call (743) 555-3824 or 743-555-3824, 743.555.3824, +1 743 555 3824; 030 1234567 on 01-02-2024."
+    b = "Mr. John Smith came. Smith said JOHN was late; Smith's dog. Dr. John Smith left."
+    c = "password=секрет1 token: ñandúÉ77"
+    docs = spark.createDataFrame(list(enumerate([a, b, c])), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in surrogates.pseudonymized(docs, b"k").collect()}
+    phones = re.findall(r"\(\d{3}\) \d{3}-\d{4}|\d{3}[- .]\d{3}[- .]\d{4}", got[0])
+    assert len(phones) == 4 and len({re.sub(r"\D", "", p) for p in phones}) == 1
+    assert "555" not in got[0] and "1234567" not in got[0] and got[0].endswith(" on 01-02-2024.")
+    given, family = re.match(r"Mr\. (\w+) (\w+) came", got[1]).groups()
+    assert got[1] == b.replace("John", given).replace("JOHN", given.upper()).replace("Smith", family)
+    assert given != "John" and family != "Smith"
+    secret, token = re.fullmatch(r"password=([а-я]{6}\d) token: ([a-zà-ÿ]{5}[À-Þ]\d\d)", got[2]).groups()
+    assert not any(x in got[2] for x in ("секр", "крет", "ñ77", "É"))
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """A tiny range of surrogates, so that most of them collide at first."""
     real = surrogates.surrogate
