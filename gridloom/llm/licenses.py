@@ -1,7 +1,8 @@
 """License notices: exact phrases, and an exact set-similarity join with templates.
 
-A text block is a line. A block meets a template when it holds at least
-``threshold`` of the template's distinct words. Template words are ordered by
+A text block is a line, or a run of as many words as the template has, across
+line ends. A block meets a template when it holds at least ``threshold`` of the
+template's distinct words. Template words are ordered by
 how many documents hold them, rarest first, counted over all documents. Only
 blocks with a word of a template's prefix are compared, after length and
 positional filters, each pair of block and template once.
@@ -83,8 +84,9 @@ def template_matches(
     templates: list[tuple[str, str]] = TEMPLATES,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """doc_id, text_key, block (line number), label, containment of every block
-    and template that meet the threshold. Null or empty text has no block; the
+    """doc_id, text_key, block (line number), label, containment of every line
+    and template that meet the threshold; a null block is the best run of words of
+    a text with line ends. Null or empty text has no block; the
     templates are code, so their join side is bounded by it."""
     spark = docs.sparkSession
     sets = [sorted(set(text.split(" "))) for _, text in templates]
@@ -124,7 +126,7 @@ def template_matches(
         .where("size(all) - at >= need")  # position: what can still be shared
         .where("not arrays_overlap(tokens, before)")  # one meeting for each pair
     )
-    return hits.select(
+    in_lines = hits.select(
         "doc_id",
         "text_key",
         "block",
@@ -133,6 +135,37 @@ def template_matches(
         "need",
         F.size(F.array_intersect("tokens", "all")).alias("shared"),
     ).where("shared >= need").drop("need", "shared")
+    fixed = [
+        F.struct(
+            F.lit(label).alias("label"), F.array(*map(F.lit, words_)).alias("all"),
+            F.array(*map(F.lit, words_[: len(words_) - n + 1])).alias("first"),
+            F.lit(len(text.split(" "))).alias("length"), F.lit(n).alias("need"),
+        )
+        for (label, text), words_, n in zip(templates, ordered, need)
+    ]
+    return in_lines.unionByName(_runs(docs, F.array(*fixed), known))
+
+
+def _runs(docs: DataFrame, templates: Column, known: Column) -> DataFrame:
+    """The best run of words of every text with line ends and template that meet.
+    Only runs around a word of the template's prefix, in texts that hold enough of
+    its words, are compared."""
+    enough = "filter(_templates, x -> size(array_intersect(_known, x.all)) >= x.need)"
+    starts = "sequence(greatest(p - t.length + 1, 0), p)"
+    shared = f"transform({starts}, s -> size(array_intersect(slice(_w, s + 1, t.length), t.all)))"
+    at = "filter(sequence(0, size(_w) - 1), i -> array_contains(t.first, get(_w, i)))"
+    return (
+        docs.where(F.col("text").contains("\n"))
+        .select("doc_id", _text_key(), words(fold(F.col("text")), SEPARATORS).alias("_w"))
+        .select("*", F.array_intersect("_w", known).alias("_known"), templates.alias("_templates"))
+        .select("doc_id", "text_key", "_w", F.explode(F.expr(enough)).alias("t"))
+        .withColumn("shared", F.expr(f"array_max(transform({at}, p -> array_max({shared})))"))
+        .where("shared >= t.need")
+        .select(
+            "doc_id", "text_key", F.lit(None).cast("int").alias("block"), "t.label",
+            F.expr("shared / size(t.all)").alias("containment"),
+        )
+    )
 
 
 def license_scan(docs: DataFrame) -> DataFrame:

@@ -374,6 +374,18 @@ def test_licenses_on_odd_texts(spark, odd, empty):
     assert licenses.license_scan(odd).count() == odd.count()
 
 
+def test_licenses_wrapped_over_lines(spark):
+    mit = "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this " \
+        "software and associated documentation files (the \"Software\"), to deal"
+    bsd = "x\nRedistribution and use in source and binary forms, with or without\nmodification, are " \
+        "permitted provided that the following conditions\nare met:\n"
+    far = mit.replace("\n", "\n" + "x " * 30)
+    rows = [(1, mit), (2, bsd), (3, mit + "\n" + bsd), (4, far), (5, "\n\n")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.license_scan(frame).collect()}
+    assert got == {1: ("mit", 1.0), 2: ("bsd", 1.0), 3: ("bsd,mit", 1.0), 4: ("", 0.0), 5: ("", 0.0)}
+
+
 def test_urls_on_odd_rows(spark):
     rules = urls.rule_table(spark, [("net/", "block"), ("example.net/en/", "allow"), ("org/fr/", "allow")])
     cases = {
