@@ -138,13 +138,15 @@ def _temperature(logits: np.ndarray, langs: np.ndarray) -> float:
 
 
 def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit a model on rows with text and lang, both not null; None without rows.
+    """Fit a model on rows with doc_id, text and lang, the latter two not null; None
+    without rows.
 
-    The sample is drawn by a hash of the text, in proportion to the rows of each
+    The sample is drawn by a hash of id and text, so copies under ids of their own
+    are drawn like other rows, and rows that repeat both are one, in proportion to the rows of each
     language but with at least ``sample_rows / languages / 4`` of each if there
     are so many. One task fits it; its size does not grow with the input.
     """
-    rows = rows.select("text", "lang")
+    rows = rows.select("doc_id", "text", "lang")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
@@ -156,8 +158,8 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
         lang: min(1.0, max(sample_rows * n / total, least) / n) for lang, n in counts.items()
     }
     shares = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
-    draw = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
-    sample = rows.where(draw < shares[F.col("lang")])
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1_000_000)) / 1_000_000
+    sample = rows.where(draw < shares[F.col("lang")]).distinct().select("text", "lang")
 
     def features(batches):
         for batch in batches:

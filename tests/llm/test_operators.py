@@ -504,6 +504,16 @@ def test_language_of_held_out_texts(spark, odd, empty):
     assert langid.language_report(odd).count() == odd.count()
 
 
+def test_copies_of_one_text_are_sampled_like_other_rows(spark):
+    """A language whose rows all hold one text, with ids of their own."""
+    rng = random.Random(9)
+    rows = [(k, "uvwxyz zyx wvu", "zz") for k in range(1500)]
+    rows += [(k, sentence(rng, 8, "abcdef"), "aa") for k in range(1500, 4500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs, langid.train(docs, 200), ["doc_id"]).where("doc_id < 1500")
+    assert {r["lang_pred"] for r in got.collect()} == {"zz"}
+
+
 def test_blocks_of_a_long_text_count_every_gram(monkeypatch):
     text = sentence(random.Random(2), 300)
     whole = np.sort(np.concatenate(list(langid.gram_blocks(text))))
