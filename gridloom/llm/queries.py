@@ -4,6 +4,7 @@ SQL can express it."""
 from __future__ import annotations
 
 from gridloom.llm import (
+    alignment,
     contamination,
     jaccard,
     langid,
@@ -12,8 +13,10 @@ from gridloom.llm import (
     packing,
     recompression,
     surrogates,
+    topk,
     toxicity,
     urls,
+    whitening,
 )
 from gridloom.llm.common import table
 
@@ -75,6 +78,18 @@ def op10_toxicity(spark, sf_dir):
     )
 
 
+def op11_topk(spark, sf_dir):
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+def op12_alignment(spark, sf_dir):
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -195,6 +210,28 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (row)
 """
 
+TOPK_SQL = f"""
+WITH x AS (
+    SELECT row_number() OVER () AS row, vec_id,
+        list_transform(embedding, lambda c: floor({topk.SCALE} * c::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scored AS (
+    SELECT q.row, q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(
+        range(1, least(len(q.x), len(c.x)) + 1), lambda k: q.x[k] * c.x[k])), 0)::BIGINT AS score
+    FROM x q JOIN x c ON q.row <> c.row
+    WHERE q.vec_id % {topk.EVERY} = 0
+),
+placed AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= {topk.K}
+"""
+
 # name: (query, SQL or None)
 QUERIES = {
     "op1_language": (op1_language, None),
@@ -207,6 +244,9 @@ QUERIES = {
     "op8_licenses": (op8_licenses, LICENSE_SQL),
     "op9_urls": (op9_urls, URL_SQL),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_topk": (op11_topk, TOPK_SQL),
+    "op12_alignment": (op12_alignment, None),
+    "op13_whitening": (op13_whitening, None),
 }
 
 

@@ -13,7 +13,7 @@ from tests.conftest import SF
 @pytest.mark.parametrize("name", list(llm.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     frame = llm.queries()[name](spark, SF)
     found = con.execute(llm.oracle_sql()[name])
