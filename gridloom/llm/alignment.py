@@ -14,10 +14,10 @@ join and one grouping; a pair met everywhere is one row of each block.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.texts import Remembered
 from gridloom.session import materialized
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
-BATCH_TOKENS = 1 << 20  # tokens aligned at once; a longer text is taken alone
+BATCH_CHARS = 1 << 20  # characters aligned at once; a longer text is taken alone
 BLOCK_TOKENS = 1 << 23  # tokens of the documents that are scored together
-KEPT_PARTS = 1 << 18  # parts of texts remembered by a worker before it starts anew
+DIGEST_TOKENS = 1 << 19  # tokens written out at once
 
 ALIGNED = (
     "block long, doc_id long, a_ids array<int>, b_ids array<int>, a_groups array<int>, "
@@ -51,12 +50,8 @@ _SCORED = (
     "count_sum long, groups_sha256 string"
 )
 
-# A part is white space and what follows it up to the next white space.
-_PART = re.compile("[ \t\n]+[^ \t\n]*")
-# Other white space, which pieces may hold, or what a piece writes for a space: such texts go in whole.
-_ODD = re.compile(
-    "[\x0b-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u2581\u3000]"
-)
+# Texts of these characters only are split alike by all versions of Unicode.
+_LATIN = re.compile("[\x00-\u024f]*")
 
 
 def byte_tokens(tokenizer) -> list[bytes]:
@@ -86,6 +81,24 @@ def piece_tokens(pieces) -> list[bytes]:
     return [of(k) for k in range(pieces.vocab_size())]
 
 
+def _ranks(path: str, tokens: list[bytes]):
+    """A faster encoder with the vocabulary at ``path``, where its ranks lie beside
+    it and are the same; it gives the same ids."""
+    beside = path.removesuffix(".json") + ".tiktoken"
+    if not os.path.exists(beside):
+        return None
+    import tiktoken
+
+    with open(beside, "rb") as lines:
+        pairs = [line.split() for line in lines]
+    ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+    if any(tokens[rank] != token for token, rank in ranks.items()):
+        return None
+    return tiktoken.Encoding(
+        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+
+
 class Tokenizers:
     """Both tokenizers: ids and byte lengths. A is given a space and the text, B
     the text, before which it puts a space itself."""
@@ -101,48 +114,27 @@ class Tokenizers:
         self.a_bytes, self.b_bytes = byte_tokens(self.a), piece_tokens(self.b)
         self.a_len = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_len = np.array([len(t) for t in self.b_bytes], np.int64)
-        # white space that pieces keep to their start, or do not hold at all, ends
-        # a part; else texts go in whole
-        self.in_parts = not any(
-            re.search(" ", t.decode().lstrip(" ")) or re.search("[\t\n]", t.decode())
-            for k, t in enumerate(self.b_bytes)
-            if not self.b.is_byte(k)
-        )
-        self.blank = self.b.piece_to_id("\u2581")
-        self.known_a = Remembered(self._a_ids, KEPT_PARTS)
-        self.known_b = Remembered(self._b_ids, KEPT_PARTS)
-
-    def _a_ids(self, part: str) -> bytes:
-        return array("i", self.a.encode(part, add_special_tokens=False).ids).tobytes()
-
-    def _b_ids(self, part: str) -> bytes:
-        if part == " ":  # nothing is put before an empty text
-            return array("i", [self.blank]).tobytes()
-        if part[0] == " ":  # the space that is put before a text
-            return array("i", self.b.encode(part[1:])).tobytes()
-        ids = self.b.encode(part)
-        if ids[0] != self.blank:
-            raise ValueError("a piece joins a space to a line end or tab")
-        return array("i", ids[1:]).tobytes()
-
-    def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of A and of B; none of either where the joined bytes of one of them
-        are not those of a space and the text."""
-        nothing = np.empty(0, np.int32), np.empty(0, np.int32)
-        if not text:
-            return nothing
-        spaced = " " + text
-        if self.in_parts and not _ODD.search(text):
-            parts = _PART.findall(spaced)
-            a, b = self.known_a.joined(parts), self.known_b.joined(parts)
-        else:
-            a, b = self._a_ids(spaced), self._b_ids(spaced)
-        a, b = np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
-        raw = spaced.encode("utf-8", "surrogatepass")
-        for ids, tokens in ((a, self.a_bytes), (b, self.b_bytes)):
-            if b"".join(map(tokens.__getitem__, ids.tolist())) != raw:
-                return nothing
-        return a, b
+        self.fast = _ranks(byte_path, self.a_bytes)
+
+    def _a_ids(self, text: str) -> list[int]:
+        if self.fast and _LATIN.fullmatch(text):
+            return self.fast.encode_ordinary(" " + text)
+        return self.a.encode(" " + text, add_special_tokens=False).ids
+
+    def ids(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B for each text; none of either where the joined bytes of
+        one of them are not those of a space and the text."""
+        out = []
+        for text, b in zip(texts, self.b.encode([t or "" for t in texts], num_threads=1)):
+            a = self._a_ids(text) if text else []
+            raw = (" " + (text or "")).encode("utf-8", "surrogatepass")
+            if any(
+                b"".join(map(table.__getitem__, ids)) != raw
+                for ids, table in ((a, self.a_bytes), (b, self.b_bytes))
+            ):
+                a, b = [], []
+            out.append((np.array(a, np.int32), np.array(b, np.int32)))
+        return out
 
 
 def coalesce(a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -229,24 +221,27 @@ def align_tokens(
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = Tokenizers(*paths)
         block, in_block = TaskContext.get().partitionId() << 33, 0
-        ids, texts, tokens = [], [], 0
+        ids, texts, chars = [], [], 0
+
+        def flush():
+            nonlocal block, in_block
+            if in_block >= BLOCK_TOKENS:
+                block, in_block = block + 1, 0
+            rows = _aligned(block, ids, models.ids(texts), models)
+            in_block += len(rows.column(2).flatten()) + len(rows.column(3).flatten())
+            return rows
+
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                pair = models.ids(text.as_py())
+                text = text.as_py()
                 ids.append(doc_id)
-                texts.append(pair)
-                tokens += len(pair[0]) + len(pair[1])
-                if tokens >= BATCH_TOKENS:
-                    yield _aligned(block, ids, texts, models)
-                    in_block += tokens
-                    if in_block >= BLOCK_TOKENS:
-                        block, in_block = block + 1, 0
-                    ids, texts, tokens = [], [], 0
-            if len(ids) >= 1 << 16:  # texts without tokens
-                yield _aligned(block, ids, texts, models)
-                ids, texts, in_block, tokens = [], [], in_block + tokens, 0
+                texts.append(text)
+                chars += 16 + len(text or "")
+                if chars >= BATCH_CHARS:
+                    yield flush()
+                    ids, texts, chars = [], [], 0
         if ids:
-            yield _aligned(block, ids, texts, models)
+            yield flush()
 
     columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return columns.mapInArrow(align, ALIGNED)
@@ -320,6 +315,24 @@ def _group_texts(a, b, a_groups, b_groups, words):
     return out
 
 
+def _digested(batch: pa.RecordBatch, sides) -> pa.RecordBatch:
+    lists = [batch.column(batch.schema.get_field_index(c)) for c in _LISTS]
+    out = _group_texts(*lists[:4], sides)
+    n_a, n_b, n_groups = (np.diff(c.offsets.to_numpy()) for c in lists[:3])
+    ends = np.cumsum(n_a + n_b)
+    digests = []
+    for lo, hi in zip((ends - n_a - n_b).tolist(), ends.tolist()):
+        text = b"".join(out[lo:hi].tolist())[:-1]  # no mark behind the last group
+        digests.append(hashlib.sha256(text).hexdigest() if hi > lo else "")
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), batch.column(1)]
+        + [pa.array(n.astype(np.int64)) for n in (n_a, n_b, n_groups)]
+        + [batch.column(batch.schema.get_field_index("n_links")), pa.array(digests, pa.string())]
+        + lists[4:],
+        names=[c.split()[0] for c in _DIGEST.split(", ")],
+    )
+
+
 def group_digests(aligned: DataFrame) -> DataFrame:
     """The counts of each aligned document and the SHA-256 of its groups, written
     as ``a1,a2|b1;a3|b2,b3``; without tokens an empty string."""
@@ -339,22 +352,11 @@ def group_digests(aligned: DataFrame) -> DataFrame:
             return of
 
         sides = side(",", "|"), side(",", ";")
-        for batch in batches:
-            lists = [batch.column(batch.schema.get_field_index(c)) for c in _LISTS]
-            out = _group_texts(*lists[:4], sides)
-            n_a, n_b, n_groups = (np.diff(c.offsets.to_numpy()) for c in lists[:3])
-            ends = np.cumsum(n_a + n_b)
-            digests = []
-            for lo, hi in zip((ends - n_a - n_b).tolist(), ends.tolist()):
-                text = b"".join(out[lo:hi])[:-1]  # no mark behind the last group
-                digests.append(hashlib.sha256(text).hexdigest() if hi > lo else "")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1)]
-                + [pa.array(n.astype(np.int64)) for n in (n_a, n_b, n_groups)]
-                + [batch.column(batch.schema.get_field_index("n_links")), pa.array(digests)]
-                + lists[4:],
-                names=[c.split()[0] for c in _DIGEST.split(", ")],
-            )
+        for rows in batches:
+            tokens = np.cumsum(sum(np.diff(rows.column(c).offsets.to_numpy()) for c in (2, 3)))
+            cuts = np.flatnonzero(np.diff(tokens // DIGEST_TOKENS)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), rows.num_rows]):
+                yield _digested(rows.slice(lo, hi - lo), sides)
 
     return aligned.mapInArrow(digest, _DIGEST)
 

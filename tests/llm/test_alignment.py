@@ -102,8 +102,8 @@ def test_alignment_equals_all_pairs_of_tokens(spark, odd_rows, monkeypatch):
     frame = frame.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
     want = plain_report(odd_rows)
     assert report(frame) == want
-    monkeypatch.setattr(alignment, "BATCH_TOKENS", 50)  # several batches and blocks in a task
-    monkeypatch.setattr(alignment, "BLOCK_TOKENS", 120)
+    for name in ("BATCH_CHARS", "BLOCK_TOKENS", "DIGEST_TOKENS"):  # several in a task
+        monkeypatch.setattr(alignment, name, 100)
     assert report(frame) == want
 
 
@@ -114,17 +114,16 @@ def test_given_documents_equal_whole_tokenization(spark):
     assert report(docs) == plain_report(rows)
 
 
-def test_parts_give_the_ids_of_whole_texts(spark):
+def test_ranks_give_the_ids_of_the_vocabulary(spark):
     models = alignment.Tokenizers(
         *(public_tokenizers.path(v) for v in (alignment.BYTE_VOCABULARY, alignment.PIECE_VOCABULARY))
     )
-    assert models.in_parts
-    for row in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect():
-        if row["text"]:
-            a, b = models.ids(row["text"])
-            sides = tokens(row["text"])
-            assert sides is None and not len(a) or a.tolist() == [t[0] for t in sides[0]]
-            assert sides is None or b.tolist() == [t[0] for t in sides[1]]
+    assert models.fast
+    texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    for text, (a, b) in zip(texts, models.ids(texts)):
+        sides = tokens(text)
+        assert sides is None and not len(a) or a.tolist() == [t[0] for t in sides[0]]
+        assert sides is None or b.tolist() == [t[0] for t in sides[1]]
 
 
 def test_aligned_rows_hold_the_groups(spark):
