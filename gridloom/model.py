@@ -3,6 +3,8 @@
 from dataclasses import dataclass, field
 from math import prod
 
+from pyspark.sql import DataFrame
+
 ITEM_SIZES = {
     # Bytes per element of each storable dtype.
     "int8": 1,
@@ -15,7 +17,16 @@ ITEM_SIZES = {
     "uint64": 8,
     "float32": 4,
     "float64": 8,
+    "bool": 1,
+    "datetime64[us]": 8,
+    "datetime64[D]": 8,
 }
+# Text has no fixed size; plans take this many bytes for a value.
+TEXT_SIZE = 16
+
+
+def item_bytes(dtype: str) -> int:
+    return TEXT_SIZE if dtype == "str" else ITEM_SIZES[dtype]
 
 
 @dataclass(frozen=True)
@@ -61,3 +72,14 @@ class Grid:
             if prod(lens) <= max_elements:
                 break
         return tuple(lens)
+
+
+@dataclass(frozen=True)
+class Arrays:
+    """Variables over the same dims: their cells, grid and stored dtypes. A
+    coordinate is a variable over the one dim it is named after."""
+
+    cells: DataFrame
+    grid: Grid
+    variables: dict[str, str]
+    coordinate: bool = False

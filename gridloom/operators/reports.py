@@ -10,11 +10,16 @@ GROWTH_LIMIT = 1.05
 SHOWN = 3
 
 
-def storage_stats(chunks: DataFrame, dims: tuple[str, ...], by: tuple[str, ...] = ()) -> DataFrame:
-    """Per stored array: shape, dtype, chunk shape, codec and bytes, from the
-    chunk rows alone (payloads are not read). Shape and chunk shape are the
-    declared ones, whatever was left out as empty or stored in slabs."""
-    number = F.array(*[F.expr(f"o_{d} div chunk[{k}]") for k, d in enumerate(dims)])
+def storage_stats(
+    chunks: DataFrame, dims: tuple[str, ...], by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Per stored array, coordinates too: shape, dtype, chunk shape, codec, filters
+    and bytes, from the chunk rows alone (payloads are not read). Shape and chunk
+    shape are the declared ones, whatever was left out as empty or stored in slabs;
+    a chunk without a payload is not counted. ``dims`` are those of all arrays."""
+    place = F.array(
+        *(F.expr(f"o_{d} div get(chunk, cast(array_position(dims, '{d}') - 1 as int))") for d in dims)
+    )
     return (
         chunks.groupBy(*by, "var")
         .agg(
@@ -24,14 +29,22 @@ def storage_stats(chunks: DataFrame, dims: tuple[str, ...], by: tuple[str, ...]
             F.max("codec").alias("compression"),
             F.max("level").alias("level"),
             F.bool_and("shuffle").alias("shuffle"),
-            F.countDistinct(number).alias("n_chunks"),
+            F.countDistinct(F.when(F.col("stored_bytes") > 0, place)).alias("n_chunks"),
             F.sum("raw_bytes").alias("raw_bytes"),
             F.sum("stored_bytes").alias("storage"),
         )
         .withColumnRenamed("var", "name")
+        .withColumn("filters", applied_filters())
     )
 
 
+def applied_filters() -> Column:
+    """What is done to the bytes of a chunk, in order: ``shuffle`` over the items,
+    then the compressor with its level."""
+    packed = F.when(F.col("compression") != "none", F.concat_ws(":", "compression", "level"))
+    return F.array_compact(F.array(F.when(F.col("shuffle"), F.lit("shuffle")), packed))
+
+
 def storage_totals(old: DataFrame, new: DataFrame) -> DataFrame:
     """Bytes over all arrays of each side, matched or not, and their ratio."""
     sides = old.select(F.col("storage").alias("o"), F.lit(0).cast("bigint").alias("n")).unionByName(

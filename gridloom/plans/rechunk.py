@@ -6,15 +6,35 @@ from pyspark.sql import functions as F
 
 from gridloom.contract import RECHUNK_CODEC
 from gridloom.functions.ordering import broadcast_within
-from gridloom.model import Grid
+from gridloom.model import Arrays, Grid
 from gridloom.operators.boxes import Boxes
-from gridloom.operators.codec import MAX_BOX_ELEMENTS, encode_chunks
-from gridloom.session import scratch_folder
+from gridloom.operators.codec import MAX_BOX_ELEMENTS, encode_arrays, every_dim, fills_of
+from gridloom.operators.selecting import strip_global_attrs
+from gridloom.plans.store import coordinate
+from gridloom.session import materialized, scratch_folder
 from gridloom.sinks.chunks import replace_files
+from gridloom.sinks.commits import describe, put_set_record
 from gridloom.sinks.results import RunFailed, file_results
+from gridloom.sources.ledger import counted
 from gridloom.sources.store import read_chunks
 
 BY = ("dataset", "file")
+_ATTRIBUTES = "_attributes"
+
+
+def _expected(arrays, sizes: DataFrame) -> DataFrame:
+    """Chunk rows each file must have, and its data variables."""
+    spark, total = sizes.sparkSession, None
+    for given in arrays:
+        grid = given.grid
+        longest = {
+            d: sizes.agg(F.max(f"size_{d}")).first()[0] or 0 for d in grid.dims if d not in grid.sizes
+        }
+        some = Boxes(grid, MAX_BOX_ELEMENTS, longest).every(sizes, spark)
+        some = some.select(*BY, F.lit(len(given.variables)).alias("rows"))
+        total = some if total is None else total.unionByName(some)
+    data = sum(len(a.variables) for a in arrays if not a.coordinate)
+    return total.groupBy(*BY).agg(F.sum("rows").alias("chunks")).withColumn("variables", F.lit(data))
 
 
 def rechunk(
@@ -27,26 +47,37 @@ def rechunk(
     out: str,
     stop_on_error: bool = True,
     fill=float("nan"),
+    ledger: DataFrame | None = None,
+    coordinates: dict[str, DataFrame] | None = None,
+    attributes: DataFrame | None = None,
 ) -> DataFrame:
     """Write chunk rows of each file below ``out`` and return the result rows.
 
-    ``sizes`` names the files of this run: each gets all of its chunks, empty
-    ones too, so that it always replaces its earlier output.
+    ``sizes`` names the files of this run: each that was read gets all of its
+    chunks, empty ones too, so that it always replaces its earlier output. What was
+    read is told by ``ledger``; without one, a file that gave no cells was not. A
+    file that was not read is a failure and its earlier output stays.
+
+    ``coordinates`` by dim (dataset, file, ``<dim>_i``, label) go into the files as
+    1-D variables, and ``attributes`` beside them, without the global ones of the
+    datasets that drop those.
 
     With ``stop_on_error`` the first bad file fails the job before anything is
     replaced. Otherwise chunks are written to the scratch folder first, and
     only files without errors replace their earlier output.
     """
     spark = cells.sparkSession
-    longest = {
-        d: sizes.agg(F.max(f"size_{d}")).first()[0] or 0 for d in grid.dims if d not in grid.sizes
-    }
-    boxes = Boxes(grid, MAX_BOX_ELEMENTS, longest).every(sizes, spark)
-    expected = boxes.groupBy(*BY).agg((F.count("*") * len(variables)).alias("chunks"))
-    encoded = encode_chunks(
-        cells,
-        grid,
-        variables,
+    if ledger is None:
+        ledger = counted(cells, sizes)
+    ledger = materialized(ledger)
+    arrays = [Arrays(cells, grid, variables)]
+    arrays += [coordinate(t, d, grid.sizes, {"chunk_map": grid.chunk | _whole(sizes, grid)})
+               for d, t in (coordinates or {}).items()]
+    expected = _expected(arrays, sizes)
+    dims = every_dim(arrays)
+    fill = fill if isinstance(fill, dict) else dict.fromkeys(variables, fill)
+    encoded = encode_arrays(
+        arrays,
         by=BY,
         sizes=sizes,
         level=level,
@@ -55,16 +86,55 @@ def rechunk(
         strict=stop_on_error,
         **RECHUNK_CODEC,
     )
+    unread = sizes.select(*BY).join(ledger.where("status = 'read'"), list(BY), "left_anti")
     if stop_on_error:
+        lost = unread.join(ledger, list(BY), "left").select("file", "error").first()
+        if lost is not None:
+            raise RunFailed(f"{lost['file']} was not read: {lost['error'] or 'no such input'}")
         try:
             replace_files(encoded, out, BY)
         except PySparkException as exc:
             raise RunFailed(str(exc)) from exc
-        written = read_chunks(spark, out, grid.dims, BY).join(sizes.select(*BY), list(BY), "semi")
-        return file_results(work, written, expected)
-
-    staged = replace_files(encoded, scratch_folder(spark, "staged"), BY)
-    chunks = read_chunks(spark, staged, grid.dims, BY)
-    bad = broadcast_within(chunks.filter(F.col("error").isNotNull()).select(*BY).distinct())
-    replace_files(chunks.join(bad, list(BY), "left_anti"), out, BY)
-    return file_results(work, chunks, expected)
+        good = sizes.select(*BY)
+        written = read_chunks(spark, out, dims, BY).join(good, list(BY), "semi")
+        results = file_results(work, _data_only(written, arrays), expected, ledger)
+    else:
+        staged = replace_files(encoded, scratch_folder(spark, "staged"), BY)
+        chunks = read_chunks(spark, staged, dims, BY)
+        bad = chunks.filter(F.col("error").isNotNull()).select(*BY).union(unread).distinct()
+        bad = broadcast_within(materialized(bad))
+        replace_files(chunks.join(bad, list(BY), "left_anti"), out, BY)
+        good = sizes.select(*BY).join(bad, list(BY), "left_anti")
+        results = file_results(work, _data_only(chunks, arrays), expected, ledger)
+    if attributes is not None:
+        kept = strip_global_attrs(attributes).join(good, list(BY), "semi")
+        replace_files(kept, f"{out.rstrip('/')}/{_ATTRIBUTES}", BY)
+    fills = {}
+    for given in arrays:
+        fills |= fills_of(given.variables, fill if not given.coordinate else
+                          {v: "0" for v, d in given.variables.items() if d[0] in "iub"})
+    entries = describe(arrays, fills, level=level, max_box_elements=MAX_BOX_ELEMENTS, **RECHUNK_CODEC)
+    put_set_record(spark, out, {"by": list(BY), "variables": entries})
+    return results
+
+
+def _whole(sizes: DataFrame, grid: Grid) -> dict[str, int]:
+    """A coordinate of a dim that is not chunked is one chunk; a dim of open size
+    always is chunked."""
+    return {d: grid.sizes[d] for d in grid.dims if d not in grid.chunk and d in grid.sizes}
+
+
+def _data_only(chunks: DataFrame, arrays) -> DataFrame:
+    """Chunk rows with the cells of coordinates counted as none: the ledger counts
+    cells of the data."""
+    labels = [v for a in arrays if a.coordinate for v in a.variables]
+    if not labels:
+        return chunks
+    cells = F.when(F.col("var").isin(labels), F.lit(0)).otherwise(F.col("n_cells"))
+    return chunks.withColumn("n_cells", cells.cast("bigint"))
+
+
+def file_attributes(spark, out: str) -> DataFrame:
+    """Attributes of the files below ``out`` as rechunking left them."""
+    schema = "scope string, key string, value string, dataset string, file string"
+    return spark.read.schema(schema).parquet(f"{out.rstrip('/')}/{_ATTRIBUTES}")

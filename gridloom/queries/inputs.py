@@ -155,6 +155,19 @@ def stations(spark, sf) -> DataFrame:
     )
 
 
+def station_files(spark, sf) -> DataFrame:
+    """Line items as one line x day array per supplier."""
+    keys = ["dataset", "file", "station_i", "time_i"]
+    rows = table(spark, sf, "lineitem").select(
+        F.lit("dpird").alias("dataset"),
+        _station_path(),
+        (F.col("l_linenumber") - 1).cast("bigint").alias("station_i"),
+        F.datediff("l_shipdate", F.lit(SHIP_START)).cast("bigint").alias("time_i"),
+        F.col("l_quantity").alias("v"),
+    )
+    return rows.groupBy(*keys).agg(F.max("v").alias("v"))
+
+
 def station_sizes(spark, sf) -> dict[str, int]:
     return sizes_of(station_rows(spark, sf), STATION_DIMS)
 

@@ -1,10 +1,10 @@
 """Write chunk tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.session import rows_only_batches
-
-_VERSION = "version-"
+from gridloom.sinks import commits
 
 # A chunk row can be tens of megabytes: check sizes per row, and do not
 # compress payloads a second time.
@@ -15,6 +15,7 @@ _LAYOUT = {
     "parquet.page.size.row.check.min": "1",
     "parquet.enable.dictionary#payload": "false",
 }
+KEPT = 2  # versions of a store that stay: the current one and the one before
 
 
 def _write(chunks: DataFrame, path: str, scope: str, by: tuple[str, ...]) -> str:
@@ -24,57 +25,75 @@ def _write(chunks: DataFrame, path: str, scope: str, by: tuple[str, ...]) -> str
     return path
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Folders of complete versions of a store, oldest first."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return []
-    found = [s.getPath() for s in files.listStatus(root)]
-    done = [p for p in found if p.getName().startswith(_VERSION)
-            and files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(f"{path.rstrip('/')}/{p.getName()}" for p in done)
+def _folder(path: str, prefix: str, number: int) -> str:
+    return f"{path.rstrip('/')}/{prefix}{number:08d}"
 
 
 def current_version(spark: SparkSession, path: str) -> str:
-    """Where the newest complete version of a store is; other tables are as they are."""
-    return (_versions(spark, path) or [path])[-1]
+    """Where the newest committed version of a store is; other tables are as they
+    are."""
+    record = commits.record_of(spark, path)
+    return _folder(path, commits.VERSION, record["number"]) if record else path
 
 
 def write_store(
-    chunks: DataFrame, path: str, tables: dict[str, DataFrame] | None = None
+    chunks: DataFrame,
+    path: str,
+    tables: dict[str, DataFrame] | None = None,
+    variables: list[dict] | None = None,
 ) -> str:
     """A new version of the store at ``path``; a shard is one folder per variable.
 
-    Readers see it once its job has ended well, and then all of it. Until then,
-    and after a failure, they read the version before, which is kept until the
-    next good write. One writer at a time. ``tables`` go with the version: a
-    coordinate (``coordinate_<dim>``: ``<dim>_i`` and label) or ``attributes``.
+    Readers see it once its commit record is written, which is the last step, and
+    then all of it. Until then, and after a failure, they read the version before,
+    which is kept until the next good write. ``tables`` go with the version, such
+    as ``attributes``. ``variables`` describe what is stored (see
+    ``commits.describe``); without them they are taken from the rows, which know no
+    shard lengths and no variable without chunks. One writer at a time.
     """
     spark = chunks.sparkSession
-    before = _versions(spark, path)
-    number = int(before[-1].rsplit("-", 1)[1]) + 1 if before else 1
-    new = f"{path.rstrip('/')}/{_VERSION}{number:08d}"
-    for name, table in (tables or {}).items():  # before the version counts as complete
-        table.write.mode("overwrite").parquet(_beside(new, name))
-    _write(chunks, new, "static", ("var", "shard"))
-    jvm = spark.sparkContext._jvm
-    for old in before[:-1]:
-        for folder in (old, _beside(old, "")):
-            gone = jvm.org.apache.hadoop.fs.Path(folder)
-            gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+    number = commits.next_number(spark, path)
+    for name, table in (tables or {}).items():
+        table.write.mode("overwrite").parquet(f"{_folder(path, commits.TABLES, number)}/{name}")
+    folder = _write(chunks, _folder(path, commits.VERSION, number), "static", ("var", "shard"))
+    if variables is None:
+        variables = _found(spark.read.schema(chunks.schema).parquet(folder))
+    commits.commit(
+        spark, path, number, {"variables": variables, "tables": sorted(tables or {})}
+    )
+    _forget(spark, path)
     return path
 
 
-def _beside(version: str, name: str) -> str:
-    root, number = version.rsplit("/" + _VERSION, 1)
-    return f"{root}/tables-{number}/{name}"
+def _found(chunks: DataFrame) -> list[dict]:
+    """Variables as their chunk rows state them."""
+    facts = ("dims", "shape", "chunk", "slab", "dtype", "fill", "codec", "level", "shuffle")
+    rows = chunks.groupBy("var").agg(*(F.first(c).alias(c) for c in facts)).collect()
+    return [
+        {"name": r["var"], "sizes": r["shape"], "shard": None, "coordinate": False}
+        | {c: r[c] for c in facts if c != "shape"}
+        for r in rows
+    ]
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Drop versions older than the last ``KEPT`` committed ones, record first, and
+    folders of writes that never were committed."""
+    known = commits.numbers(spark, path)
+    files, make = commits.file_system(spark, path)
+    for number in known[:-KEPT]:
+        files.delete(make(f"{path.rstrip('/')}/commits/{number:08d}.json"), False)
+    for number, name in commits.numbered(spark, path):
+        if number < known[-1] and number not in known[-KEPT:]:
+            files.delete(make(f"{path.rstrip('/')}/{name}"), True)
 
 
 def store_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A table that was written with the current version of a store."""
-    return spark.read.parquet(_beside(current_version(spark, path), name))
+    record = commits.record_of(spark, path)
+    if not record or name not in record["tables"]:
+        raise FileNotFoundError(f"{path} has no table {name}")
+    return spark.read.parquet(f"{_folder(path, commits.TABLES, record['number'])}/{name}")
 
 
 def replace_files(chunks: DataFrame, path: str, by: tuple[str, ...] = ("file",)) -> str:

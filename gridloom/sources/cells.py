@@ -50,3 +50,42 @@ def label_positions(cells: DataFrame, label: str, dim: str) -> DataFrame:
     missing = F.raise_error(F.lit(f"a cell has no {label}")).cast("bigint")
     placed = cells.drop(f"{dim}_i").join(broadcast_within(index), label, "left")
     return placed.withColumn(f"{dim}_i", F.coalesce("_place", missing)).drop("_place")
+
+
+def label_dictionary(cells: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """``dim``, ``position`` and ``label_<dim>``: the sorted union of the labels of
+    all files, for several dims in one pass over the cells. ``labels`` maps each dim
+    to its label column; a cell without a label is an error."""
+    kinds = dict(cells.dtypes)
+
+    def entry(dim: str):
+        missing = F.raise_error(F.lit(f"a cell has no {labels[dim]}"))
+        own = F.coalesce(F.col(labels[dim]), missing.cast(kinds[labels[dim]]))
+        held = [
+            (own if d == dim else F.lit(None).cast(kinds[label])).alias(f"label_{d}")
+            for d, label in labels.items()
+        ]
+        return F.struct(F.lit(dim).alias("dim"), *held)
+
+    known = cells.select(F.explode(F.array(*map(entry, labels))).alias("r")).select("r.*").distinct()
+    # one sort of all dims; each starts at its own first place
+    order = [F.col("dim"), *(F.col(f"label_{d}") for d in labels)]
+    placed = with_running_total(known, order, "_place")
+    first = placed.groupBy("dim").agg(F.min("_place").alias("_first"))
+    return placed.join(F.broadcast(first), "dim").select(
+        "dim", (F.col("_place") - F.col("_first")).alias("position"), *(f"label_{d}" for d in labels)
+    )
+
+
+def place_by_labels(
+    cells: DataFrame, labels: dict[str, str], dictionary: DataFrame
+) -> DataFrame:
+    """Cells at the positions their labels have in ``dictionary``, in every dim of
+    ``labels``: an outer join of all files, gaps stay absent."""
+    for dim, label in labels.items():
+        own = dictionary.where(F.col("dim") == dim).select(
+            F.col(f"label_{dim}").alias(label), F.col("position").alias("_place")
+        )
+        cells = cells.drop(f"{dim}_i").join(broadcast_within(own), label)
+        cells = cells.withColumnRenamed("_place", f"{dim}_i")
+    return cells

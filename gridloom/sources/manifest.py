@@ -14,11 +14,14 @@ from gridloom.session import qualified
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)"
 
 
-def scan_files(spark: SparkSession, root: str, pattern: str = "**/*") -> DataFrame:
-    """Files under ``root`` whose relative path matches ``pattern``.
+def scan_files(
+    spark: SparkSession, root: str, pattern: str = "**/*", content: bool = False
+) -> DataFrame:
+    """Files under ``root`` whose relative path matches ``pattern``; their content
+    is read only with ``content``.
 
-    A missing root gives no rows. Names starting with ``.`` or ``_`` are not
-    listed, as with every Spark file source.
+    A missing root gives no rows. Names starting with ``.`` or ``_`` and files
+    without a byte are not listed, as with every Spark file source.
     """
     name = pattern.rsplit("/", 1)[-1]
     root = qualified(spark, root)
@@ -33,15 +36,15 @@ def scan_files(spark: SparkSession, root: str, pattern: str = "**/*") -> DataFra
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame(
-            [], "path string, rel_path string, length bigint, modified timestamp"
-        )
+        schema = "path string, rel_path string, length bigint, modified timestamp"
+        return spark.createDataFrame([], schema + ", content binary" * content)
     plain = F.regexp_replace("path", _SCHEME, "")
     return files.select(
         "path",
         paths.relative_to(plain, base).alias("rel_path"),
         "length",
         F.col("modificationTime").alias("modified"),
+        *["content"] * content,
     ).filter(paths.matches(F.col("rel_path"), pattern))
 
 
