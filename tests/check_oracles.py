@@ -46,7 +46,7 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[int, list[str]]:
     if sorted(names) != sorted(frame.columns):
         problems.append(f"columns {sorted(frame.columns)} but SQL {sorted(names)}")
     kinds = {c[0]: str(c[1]).lower() for c in found.description}
-    same = {"bigint": "bigint", "double": "double", "string": "varchar", "boolean": "boolean"}
+    same = {"bigint": "bigint", "int": "integer", "double": "double", "string": "varchar", "boolean": "boolean"}
     for column, kind in frame.dtypes:
         if same.get(kind, kind) != kinds.get(column):
             problems.append(f"{column} is {kind} but SQL {kinds.get(column)}")
