@@ -5,6 +5,10 @@ others, so a replaced word between two kept ones does not hide a passage. Masked
 words of every position of a text and of every benchmark item are hashed; where
 hashes meet, the words of both sides around the seed are compared in place, and
 the passage counts when enough of them are equal.
+
+Positions are first held against the bare keys of the seeds, eight bytes each, and
+only those that meet one keep the few words around them. These are what is joined
+with the seeds and shuffled; the words of a text never are.
 """
 
 from __future__ import annotations
@@ -12,14 +16,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import fold, small_side, words
+from gridloom.llm.common import fold, words
+from gridloom.session import materialized
 
 MASKS = ("1111", "1101011", "110010101")
 WINDOW = 15  # words compared around a seed
 SHARE = 0.8  # of these must be equal
-BROADCAST_SEEDS = 200_000
-
-_equal = "if(get(w, start + {k}) = get(own, {k}), 1, 0)"
+BROADCAST_KEYS = 2_000_000  # bare keys a pass holds in memory; more take more passes
+BROADCAST_SEEDS = 100_000  # seeds with their words; more are joined by a shuffle
+_MOST = 63  # words a window can have: matched takes 6 bits of a rank
 
 
 def _hashed_words(df: DataFrame, key: str) -> DataFrame:
@@ -60,15 +65,18 @@ def contaminated(
     ``window`` words of the item (all, if it has fewer) are laid on the text with
     the seed as near the middle as the item allows; at least ``share`` of them
     must be equal. ``matched`` of ``compared`` is the best such place and
-    ``first_word`` its first word in the text (the smallest, at ties). Null and
+    ``first_word`` its first word in the text (the smallest, at ties; 0 where the
+    place begins before the text). Null and
     empty texts and items share nothing; an item shorter than every mask counts
     only in a text of the same words. Rows with the same doc_id are one document,
     a null doc_id as well; equal items are reported each.
     """
+    if not 1 <= window <= _MOST:
+        raise ValueError(f"a window has 1 to {_MOST} words")
     text = _hashed_words(docs, "doc_id")
     items = _hashed_words(benchmark, "item_id")
     # the window is cut out here, once per seed, instead of at every meeting
-    seeds = (
+    seeds = materialized(
         _seeded(items.distinct(), masks)
         .withColumn("len", F.expr(f"least({window}, size(w))"))
         .withColumn("lo", F.expr("greatest(0, least(at - (len - 4) div 2, size(w) - len))"))
@@ -76,32 +84,55 @@ def contaminated(
             "key", "item_id", "cast(at - lo as int) as lead", "slice(w, cast(lo as int) + 1, len) as own"
         )
     )
-    hits = (
-        _seeded(text, masks)
-        .join(small_side(seeds, BROADCAST_SEEDS), "key")
-        .withColumn("start", F.expr("at - lead"))
-        # written out word by word: a lambda would take the join out of generated
-        # code, and every position would then be copied with all words of its text
-        .withColumn("matched", F.expr(" + ".join(_equal.format(k=k) for k in range(window))))
-        .withColumn("compared", F.size("own"))
-        .where(F.expr(f"100 * matched >= {round(share * 100)} * compared"))
+    hits = _met(_seeded(text, masks), seeds, window)
+    few = seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS
+    equal = " + ".join(f"if(get(there, skip + {k}) = get(own, {k}), 1, 0)" for k in range(window))
+    # how much is equal in 17 bits, the start (smallest first) in 40, matched in 6
+    rank = "(matched * 65536 div size(own)) << 46 | (549755813888 - start) << 6 | matched"
+    best = (
+        hits.join(F.broadcast(seeds) if few else seeds, "key")
         .selectExpr(
-            "doc_id",
-            "item_id",
-            "struct(matched / compared as part, -start as back, matched, compared) as best",
+            "doc_id", "item_id", "at - lead as start", "first - lead as skip", "there", "own"
         )
+        .withColumn("matched", F.expr(f"cast({equal} as bigint)"))
+        .where(F.expr(f"100 * matched >= {round(share * 100)} * size(own)"))
+        .selectExpr("doc_id", "item_id", f"{rank} as rank", "size(own) as compared")
+        .groupBy("doc_id", "item_id")
+        .agg(F.max("rank").alias("rank"), F.max_by("compared", "rank").alias("compared"))
     )
-    return (
-        hits.groupBy("doc_id", "item_id")
-        .agg(F.max("best").alias("best"))
-        .selectExpr(
+    return best.selectExpr(
+        "doc_id",
+        "item_id",
+        "rank & 63 as matched",
+        "cast(compared as bigint) as compared",
+        "greatest(0, 549755813888 - (rank >> 6 & 1099511627775)) as first_word",
+    )
+
+
+def _met(positions: DataFrame, seeds: DataFrame, window: int) -> DataFrame:
+    """doc_id, key, at, and ``there``, the words around each position whose key is
+    one of a seed, the position itself being number ``first``.
+
+    Bare keys are broadcast, at most ``BROADCAST_KEYS`` at once: a larger benchmark
+    takes several passes over the texts, each for its own share of the keys.
+    """
+    keys = materialized(seeds.select("key").distinct())
+    passes = -(-keys.count() // BROADCAST_KEYS) or 1
+    found = None
+    for k in range(passes):
+        share, some = keys, positions
+        if passes > 1:
+            mine = F.expr(f"pmod(key, {passes}) = {k}")
+            share, some = keys.where(mine), positions.where(mine)
+        part = some.join(F.broadcast(share), "key", "left_semi").selectExpr(
             "doc_id",
-            "item_id",
-            "cast(best.matched as bigint) as matched",
-            "cast(best.compared as bigint) as compared",
-            "cast(-best.back as bigint) as first_word",
+            "key",
+            "at",
+            f"cast(least(at, {window - 1}) as int) as first",
+            f"slice(w, cast(greatest(at - {window - 1}, 0) as int) + 1, {2 * window}) as there",
         )
-    )
+        found = part if found is None else found.unionByName(part)
+    return materialized(found)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ best AS (
     ) AS place
     FROM met WHERE 100 * matched >= {round(contamination.SHARE * 100)} * compared
 )
-SELECT doc_id, item_id, matched, compared, start AS first_word FROM best WHERE place = 1
+SELECT doc_id, item_id, matched, compared, greatest(0, start) AS first_word FROM best WHERE place = 1
 """
 
 _PHRASES = list(licenses.PHRASES.items())

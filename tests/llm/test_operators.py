@@ -112,8 +112,24 @@ def test_jaccard_equals_all_pairs(spark, odd, empty):
     assert sorted(got, key=key) == sorted(brute_jaccard(rows), key=key)
     kept = jaccard.one_of_each(odd)
     assert kept.columns == odd.columns
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 1, 3, 4, 5, 6, 7, 9, 10]
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 9, 10]
     assert jaccard.jaccard_components(empty).count() == 0
+    assert jaccard.one_of_each(empty).count() == 0
+
+
+def test_no_text_is_lost_and_no_copy_stays(spark):
+    rng = random.Random(7)
+    a, b, c = (sentence(rng, 40) for _ in range(3))
+    near = a + " end"
+    rows = [(0, a), (1, a), (1, b), (5, c), (5, c), (6, None), (6, None), (6, ""), (None, a), (7, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_place", F.lit(1))
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.one_of_each(docs).collect()]
+    want = [(0, a), (1, b), (5, c), (6, None), (6, None), (6, ""), (None, a)]
+    assert sorted(kept, key=key) == sorted(want, key=key)
+    # of one id with two near texts one stays
+    two = [(3, a), (3, near), (3, b)]
+    kept = jaccard.one_of_each(spark.createDataFrame(two, "doc_id long, text string")).collect()
+    assert len(kept) == 2 and b in {r["text"] for r in kept}
 
 
 def test_jaccard_without_the_first_comparisons(spark, monkeypatch):
@@ -270,11 +286,21 @@ def test_contamination_tolerates_substitutions(spark, odd, empty):
 
 
 def test_contamination_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(contamination, "BROADCAST_SEEDS", 3)
     text = sentence(random.Random(9), 30)
     docs = spark.createDataFrame([(1, "a " + text)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, text)], "item_id long, text string")
-    assert contamination.contaminated(docs, bench).first()["first_word"] >= 1
+    want = contamination.contaminated(docs, bench).collect()
+    assert want[0]["first_word"] >= 1
+    for name in ("BROADCAST_SEEDS", "BROADCAST_KEYS"):  # several passes, a shuffled join
+        monkeypatch.setattr(contamination, name, 40)
+    assert contamination.contaminated(docs, bench).collect() == want
+
+
+def test_contamination_before_the_text_begins(spark):
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(["x", "y", *words[6:18]]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert contamination.contaminated(docs, bench).first()["first_word"] == 0
 
 
 def test_near_vectors_equal_brute_force(spark):
