@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import components, id_bitmap, id_spot, in_bitmap
@@ -57,10 +57,11 @@ def _profile(s: np.ndarray) -> np.ndarray:
 
 
 def _first_pass(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node, profile of every row; and parts of the counters of all
-    shingles (task, slice, counts)."""
+    """doc_id, copy (a hash of the text), n, node, profile of every row; and parts of
+    the counters of all shingles (task, slice, counts)."""
     schema = (
-        "doc_id long, n long, node long, profile array<int>, task int, slice int, counts binary"
+        "doc_id long, copy long, n long, node long, profile array<int>, task int, slice int, "
+        "counts binary"
     )
 
     def describe(batches):
@@ -76,13 +77,15 @@ def _first_pass(docs: DataFrame) -> DataFrame:
                 nodes.append(node_of(s) if len(s) else None)
                 profiles.append(_profile(s).astype(np.int32) if len(s) else None)
             size = batch.num_rows
-            yield _batch(schema, [batch.column(0), ns, nodes, profiles] + [[None] * size] * 3)
+            own = [batch.column(0), batch.column(2), ns, nodes, profiles]
+            yield _batch(schema, own + [[None] * size] * 3)
         parts = np.split(np.minimum(counts, 2**31 - 1).astype("<i4"), SLICES)
-        none = [[None] * SLICES] * 4
+        none = [[None] * SLICES] * 5
         task = [TaskContext.get().partitionId()] * SLICES
         yield _batch(schema, [*none, task, range(SLICES), [p.tobytes() for p in parts]])
 
-    return docs.select("doc_id", "text").mapInArrow(describe, schema)
+    return docs.select("doc_id", "text", _copy_of(docs).alias("copy")).mapInArrow(describe, schema)
+
 
 
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
@@ -272,17 +275,12 @@ def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(several, "shingle")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row.
-
-    Null and empty texts, and texts of white space alone, have no shingles and
-    link with nothing; a row with a null doc_id links with nothing and has a null
-    component. Equal rows are in one component. An empty table gives no rows.
-    """
-    spark: SparkSession = docs.sparkSession
+def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Every row (doc_id, copy, n, node), and for each node in a component with
+    several rows: node, root, component_id (its smallest doc_id)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     first = materialized(_first_pass(docs))
-    rows = first.where("slice is null").select("doc_id", "n", "node", "profile")
+    rows = first.where("slice is null").select("doc_id", "copy", "n", "node", "profile")
     nodes = materialized(
         rows.where("node is not null and doc_id is not null")
         .groupBy("node")
@@ -333,10 +331,21 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     # only rows that share a component need to look theirs up
     shared = materialized(
-        member.join(least.where("rows > 1"), "root").select(
-            F.col("node").alias("_node"), "component_id"
-        )
+        member.join(least.where("rows > 1"), "root").select("node", "root", "component_id")
     )
+    return rows.drop("profile"), shared
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row.
+
+    Null and empty texts, and texts of white space alone, have no shingles and
+    link with nothing; a row with a null doc_id links with nothing and has a null
+    component. Equal rows are in one component. A very long text is held whole in
+    one task. An empty table gives no rows; other columns are not read.
+    """
+    rows, shared = _membership(docs, percent)
+    shared = shared.select(F.col("node").alias("_node"), "component_id")
     return rows.join(
         shared, (F.col("node") == F.col("_node")) & F.col("doc_id").isNotNull(), "left"
     ).select(
@@ -347,9 +356,46 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs``, all columns, that are the first of their component: the
-    one with the smallest doc_id; of rows that repeat this id, all with the same
-    text are one document and stay together."""
-    found = jaccard_components(docs, percent)
-    drop = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(drop, docs["doc_id"] == drop["_gone"], "left_anti")
+    """One row, with all its columns, of each component of ``docs``: that of the
+    smallest doc_id, of several texts of this id the one with the smallest hash.
+
+    Rows are dropped by doc_id and text, so a text that links with nothing stays
+    whatever else its doc_id stands for. Of equal rows one stays, of rows with one
+    id and text that differ in other columns any one. Rows without words, which are
+    in no component, and rows with a null doc_id all stay.
+    """
+    rows, shared = _membership(docs, percent)
+    inside = materialized(
+        rows.where("doc_id is not null").join(shared, "node").select("root", "doc_id", "copy")
+    )
+    # the smallest id of each component, then the smallest hash of its texts
+    first = inside.groupBy("root").agg(F.min("doc_id").alias("first_id"))
+    best = inside.join(first, "root").where("doc_id = first_id")
+    best = best.groupBy("root", "first_id").agg(F.min("copy").alias("first_copy"))
+    judged = inside.join(best, "root")
+    gone = materialized(
+        judged.where("doc_id <> first_id or copy <> first_copy")
+        .select(F.col("doc_id").alias("_gone"), F.col("copy").alias("_copy"))
+        .distinct()
+    )
+    same = (docs["doc_id"] == gone["_gone"]) & (_copy_of(docs) == gone["_copy"])
+    kept = docs.join(gone, same, "left_anti")
+    twice = materialized(
+        judged.where("doc_id = first_id and copy = first_copy")
+        .groupBy(F.col("doc_id").alias("_twice"), F.col("copy").alias("_copy"))
+        .count()
+        .where("count > 1")
+    )
+    if not twice.limit(1).count():
+        return kept
+    same = (kept["doc_id"] == twice["_twice"]) & (_copy_of(kept) == twice["_copy"])
+    number = F.row_number().over(Window.partitionBy("doc_id", _copy_of(kept)).orderBy("doc_id"))
+    place = next(n for n in ("_place", "_place_") if n not in docs.columns)
+    one = kept.join(twice, same, "left_semi").withColumn(place, number)
+    one = one.where(F.col(place) == 1).drop(place)
+    return kept.join(twice, same, "left_anti").unionByName(one)
+
+
+def _copy_of(docs: DataFrame):
+    """Rows of one doc_id are told apart by this hash of their text."""
+    return F.xxhash64(docs["text"].cast("string"))
