@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +33,8 @@ from gridloom.session import materialized
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
-BATCH_CHARS = 1 << 20  # characters aligned at once; a longer text is taken alone
+BATCH_CHARS = 1 << 18  # characters aligned at once; a longer text is taken alone
 BLOCK_TOKENS = 1 << 23  # tokens of the documents that are scored together
-DIGEST_TOKENS = 1 << 19  # tokens written out at once
 
 ALIGNED = (
     "block long, doc_id long, a_ids array<int>, b_ids array<int>, a_groups array<int>, "
@@ -50,20 +51,36 @@ _SCORED = (
     "count_sum long, groups_sha256 string"
 )
 
-# Texts of these characters only are split alike by all versions of Unicode.
+# Characters that all versions of Unicode put into the same class.
 _LATIN = re.compile("[\x00-\u024f]*")
 
 
-def byte_tokens(tokenizer) -> list[bytes]:
-    """The bytes of each id of a byte-level vocabulary. It writes a byte as the
-    character of its number or, where that one cannot be seen, as the next
-    character from 256 on."""
+class _Stable(dict):
+    """Whether a character is a letter, a number, a space or none of them since
+    Unicode 3.2, so that every splitter takes it alike."""
+
+    def __missing__(self, char: str) -> bool:
+        old = unicodedata.ucd_3_2_0.category(char)
+        new = unicodedata.category(char)
+        kinds = [c[0] if c[0] in "LN" else c if c == "Cn" else c[0] == "Z" for c in (old, new)]
+        self[char] = kinds[0] == kinds[1] and old != "Cn"
+        return self[char]
+
+
+def byte_tokens(path: str) -> list[bytes]:
+    """The bytes of each id of the byte-level vocabulary at ``path``. It writes a
+    byte as the character of its number or, where that one cannot be seen, as the
+    next character from 256 on."""
+    with open(path, encoding="utf-8") as file:
+        given = json.load(file)
     seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in set(seen)]
     value = {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(hidden)}
-    out = [b""] * tokenizer.get_vocab_size()
-    for token, number in tokenizer.get_vocab().items():
-        # a special token may hold other characters and never stands in a text
+    vocabulary = given["model"]["vocab"]
+    # special tokens never stand in a text
+    size = 1 + max([*vocabulary.values(), *(t["id"] for t in given["added_tokens"])])
+    out = [b""] * size
+    for token, number in vocabulary.items():
         if all(c in value for c in token):
             out[number] = bytes(value[c] for c in token)
     return out
@@ -104,20 +121,28 @@ class Tokenizers:
     the text, before which it puts a space itself."""
 
     def __init__(self, byte_path: str, piece_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_path)
-        self.a.encode_special_tokens = True
+        self.path, self.loaded = byte_path, None
         self.b = SentencePieceProcessor(model_file=piece_path)
-        self.a_bytes, self.b_bytes = byte_tokens(self.a), piece_tokens(self.b)
+        self.a_bytes, self.b_bytes = byte_tokens(byte_path), piece_tokens(self.b)
         self.a_len = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_len = np.array([len(t) for t in self.b_bytes], np.int64)
-        self.fast = _ranks(byte_path, self.a_bytes)
+        self.fast, self.stable = _ranks(byte_path, self.a_bytes), _Stable()
+
+    @property
+    def a(self):
+        """The first tokenizer itself, loaded when a text needs it."""
+        if self.loaded is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.loaded = Tokenizer.from_file(self.path)
+            self.loaded.encode_special_tokens = True
+        return self.loaded
 
     def _a_ids(self, text: str) -> list[int]:
-        if self.fast and _LATIN.fullmatch(text):
+        if self.fast and (_LATIN.fullmatch(text) or all(map(self.stable.__getitem__, set(text)))):
             return self.fast.encode_ordinary(" " + text)
         return self.a.encode(" " + text, add_special_tokens=False).ids
 
@@ -203,19 +228,8 @@ def _aligned(block: int, doc_ids: list, texts: list, models: Tokenizers) -> pa.R
     )
 
 
-def align_tokens(
-    docs: DataFrame, byte_vocabulary: str = BYTE_VOCABULARY, piece_vocabulary: str = PIECE_VOCABULARY
-) -> DataFrame:
-    """block, doc_id, a_ids, b_ids, a_groups, b_groups (how many tokens of either
-    side each group has, in order), n_links, and pair_a, pair_b, pair_links: the
-    distinct linked id pairs and how often each is linked.
-
-    One row for each row of ``docs``, repeated ones and null ids too. Null and
-    empty texts, and texts that one of the tokenizers does not give back byte by
-    byte, have empty lists. A text is held whole, with its tokens, in one task;
-    an empty table gives no rows; other columns are not read. ``block`` numbers
-    documents that one task read one after the other.
-    """
+def _aligner(byte_vocabulary: str, piece_vocabulary: str):
+    """mapInArrow body: documents to their alignments."""
     paths = [public_tokenizers.path(v) for v in (byte_vocabulary, piece_vocabulary)]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,8 +257,27 @@ def align_tokens(
         if ids:
             yield flush()
 
-    columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return columns.mapInArrow(align, ALIGNED)
+    return align
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def align_tokens(
+    docs: DataFrame, byte_vocabulary: str = BYTE_VOCABULARY, piece_vocabulary: str = PIECE_VOCABULARY
+) -> DataFrame:
+    """block, doc_id, a_ids, b_ids, a_groups, b_groups (how many tokens of either
+    side each group has, in order), n_links, and pair_a, pair_b, pair_links: the
+    distinct linked id pairs and how often each is linked.
+
+    One row for each row of ``docs``, repeated ones and null ids too. Null and
+    empty texts, and texts that one of the tokenizers does not give back byte by
+    byte, have empty lists. A text is held whole, with its tokens, in one task;
+    an empty table gives no rows; other columns are not read. ``block`` numbers
+    documents that one task read one after the other.
+    """
+    return _texts(docs).mapInArrow(_aligner(byte_vocabulary, piece_vocabulary), ALIGNED)
 
 
 def _distinct_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,32 +366,26 @@ def _digested(batch: pa.RecordBatch, sides) -> pa.RecordBatch:
     )
 
 
-def group_digests(aligned: DataFrame) -> DataFrame:
-    """The counts of each aligned document and the SHA-256 of its groups, written
-    as ``a1,a2|b1;a3|b2,b3``; without tokens an empty string."""
+def group_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow body: alignments to their counts, and the SHA-256 of their groups
+    written as ``a1,a2|b1;a3|b2,b3``; without tokens an empty string."""
+    words: dict[str, np.ndarray] = {}
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, np.ndarray] = {}
+    def side(inner, end):
+        def of(ids, last):
+            most = int(ids.max(initial=0)) + 1
+            if len(words.get(inner + end, ())) < 2 * most:  # for all ids up to that
+                most = 1 << max(16, most.bit_length())
+                words[inner + end] = np.array(
+                    [f"{k}{s}".encode() for k in range(most) for s in (inner, end)], object
+                )
+            return words[inner + end][ids.astype(np.int64) * 2 + last]
 
-        def side(inner, end):
-            def of(ids, last):
-                most = int(ids.max(initial=0)) + 1
-                if len(words.get(inner + end, ())) < 2 * most:  # for all ids met so far
-                    words[inner + end] = np.array(
-                        [f"{k}{s}".encode() for k in range(most) for s in (inner, end)], object
-                    )
-                return words[inner + end][ids.astype(np.int64) * 2 + last]
+        return of
 
-            return of
-
-        sides = side(",", "|"), side(",", ";")
-        for rows in batches:
-            tokens = np.cumsum(sum(np.diff(rows.column(c).offsets.to_numpy()) for c in (2, 3)))
-            cuts = np.flatnonzero(np.diff(tokens // DIGEST_TOKENS)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), rows.num_rows]):
-                yield _digested(rows.slice(lo, hi - lo), sides)
-
-    return aligned.mapInArrow(digest, _DIGEST)
+    sides = side(",", "|"), side(",", ";")
+    for rows in batches:
+        yield _digested(rows, sides)
 
 
 def _score(docs: pa.Table, counts: pa.Table) -> pa.Table:
@@ -395,12 +422,11 @@ def alignment_report(
     an empty digest. ``n_best`` counts links whose id pair is linked in as many
     documents as any pair of the same A id, ties included; ``count_sum`` adds up
     these numbers of documents over all links."""
-    aligned = materialized(align_tokens(docs, byte_vocabulary, piece_vocabulary))
-    counts, blocks = link_counts(aligned)
-    here = blocks.join(counts, ["a", "b"]).select("block", "a", "b", "docs", "best")
-    return (
-        group_digests(aligned)
-        .groupBy("block")
-        .cogroup(here.groupBy("block"))
-        .applyInArrow(_score, _SCORED)
+    align = _aligner(byte_vocabulary, piece_vocabulary)
+    # tokens themselves need not be kept: their digest is made where they are
+    digested = materialized(
+        _texts(docs).mapInArrow(lambda batches: group_digests(align(batches)), _DIGEST)
     )
+    counts, blocks = link_counts(digested)
+    here = blocks.join(counts, ["a", "b"]).select("block", "a", "b", "docs", "best")
+    return digested.groupBy("block").cogroup(here.groupBy("block")).applyInArrow(_score, _SCORED)
