@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +37,24 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def giving_back(body: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A mapInArrow body whose worker hands freed memory back to the system when its
+    task ends: workers live on and wait, and several stages of a job would otherwise
+    hold the greatest need of each of them."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from body(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where there is one
+            if trim:
+                trim(0)
+
+    return run
+
+
 ID_BITS = 1 << 25  # places of the filter on wanted ids: 4 MB
 
 
@@ -70,7 +92,7 @@ def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(good))
 
     rows = docs.where("doc_id is not null").select("doc_id", "text", id_spot("doc_id"))
-    return rows.mapInArrow(maybe, "doc_id long, text string")
+    return rows.mapInArrow(giving_back(maybe), "doc_id long, text string")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ first, by counts over all documents; nodes that reach the threshold must meet in
 the first fifth of their ordered shingles, their prefixes. Prefix shingles are
 joined by a sorted window: each node is compared with the first nodes of the
 lists it is in and the nodes before it, those it shares most lists with. Length, positional and suffix filters drop
-candidates, and each pair is verified once on its full texts. Links found so far
+candidates, and each pair is verified once on its full sets. Links found so far
 are closed to components; only where a list still holds several components are
 the pairs between them enumerated, so a group of near copies costs a few
 comparisons a node, and no link between components is missed.
@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import components, id_bitmap, id_spot, in_bitmap
-from gridloom.llm.texts import WordHashes, mixed, windows
+from gridloom.llm.common import components, giving_back, id_bitmap, id_spot, in_bitmap
+from gridloom.llm.texts import WordHashes, mixed
 from gridloom.session import materialized
 
 SHINGLE = 5
@@ -31,14 +31,27 @@ FAN_IN = 64  # tasks whose counters are added at once
 LIST_ROWS = 50_000  # lists expected to be longer are split into parts of about this size
 LEADERS = 4  # nodes of its lists that a node is compared with at once
 PROFILE = 16  # regions of the suffix filter
+EARLIER = 16  # earlier shingles a row knows, so that a pair meets in few of its lists
 _NODE_SEED = np.uint64(0xA0761D6478BD642F)
 
 
+# Odd factors that keep the places of a shingle's words apart.
+_PLACES = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 2**64 - 1 for k in range(SHINGLE)], np.uint64)
+
+
 def shingle_set(h: np.ndarray) -> np.ndarray:
     """Sorted distinct shingles of hashed words; fewer words are one shingle."""
     if not len(h):
         return h
-    return np.unique(windows(h, min(SHINGLE, len(h))))
+    n = min(SHINGLE, len(h))
+    total = h[: len(h) - n + 1] * _PLACES[0]
+    for k in range(1, n):
+        total += h[k : len(h) - n + 1 + k] * _PLACES[k]
+    total = mixed(total + np.uint64(n))
+    total.sort()
+    new = np.ones(len(total), bool)
+    new[1:] = total[1:] != total[:-1]
+    return total[new]
 
 
 def node_of(s: np.ndarray) -> int:
@@ -48,7 +61,10 @@ def node_of(s: np.ndarray) -> int:
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    """Whether two sorted sets reach the threshold."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")  # two runs are merged
+    both = np.count_nonzero(both[1:] == both[:-1])
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
@@ -84,7 +100,7 @@ def _first_pass(docs: DataFrame) -> DataFrame:
         task = [TaskContext.get().partitionId()] * SLICES
         yield _batch(schema, [*none, task, range(SLICES), [p.tobytes() for p in parts]])
 
-    return docs.select("doc_id", "text", _copy_of(docs).alias("copy")).mapInArrow(describe, schema)
+    return docs.select("doc_id", "text", _copy_of(docs).alias("copy")).mapInArrow(giving_back(describe), schema)
 
 
 
@@ -158,7 +174,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
             if rows:
                 yield _batch(schema, [pa.array(np.concatenate(c)) for c in zip(*rows)])
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(prefix, schema)
+    return docs.where("doc_id is not null").select("text").mapInArrow(giving_back(prefix), schema)
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
@@ -214,28 +230,27 @@ def _verified(
     )
     if not pairs.limit(1).count():
         return pairs
-    texts = _texts_of(docs, pairs, nodes)
-    one = texts.where("leads").select(F.col("node").alias("a"), F.col("text").alias("at"))
-    two = texts.where("follows").select(F.col("node").alias("b"), F.col("text").alias("bt"))
-    whole = pairs.join(two, "b").join(one, "a").select("a", "b", "at", "bt")
+    sets = _sets_of(docs, pairs, nodes)
+    one = sets.where("leads").select(F.col("node").alias("a"), F.col("shingles").alias("av"))
+    two = sets.where("follows").select(F.col("node").alias("b"), F.col("shingles").alias("bv"))
+    whole = pairs.join(two, "b").join(one, "a").select("a", "b", "av", "bv")
 
     def verify(batches):
-        hashes, last, kept = WordHashes(lower=True), None, None
         for batch in batches:
             good = []
-            for a, at, bt in zip(batch.column(0), batch.column(2), batch.column(3)):
-                if a != last:
-                    last, kept = a, shingle_set(hashes(at.as_py()))
-                good.append(linked(kept, shingle_set(hashes(bt.as_py())), percent))
+            for av, bv in zip(batch.column(2), batch.column(3)):
+                sides = (np.frombuffer(v.as_buffer(), "<u8") for v in (av, bv))
+                good.append(linked(*sides, percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return materialized(whole.mapInArrow(verify, "a long, b long"))
+    return materialized(whole.mapInArrow(giving_back(verify), "a long, b long"))
 
 
-def _texts_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and text of one document of each node in ``pairs``, and on which sides
-    it stands there (leads: a, follows: b). Tasks drop the others by bitmaps, so
-    that only texts to be compared are shuffled; a stray one meets no pair."""
+def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The shingles of each node in ``pairs``, worked out again from one document of
+    the node, and on which sides it stands there (leads: a, follows: b). Tasks drop
+    other documents by bitmaps, so that only sets to be compared are shuffled; a
+    stray one meets no pair."""
     places = nodes.select("node", "doc_id")
     held = [
         id_bitmap(places.join(pairs.select(F.col(c).alias("node")).distinct(), "node"), "doc_id")
@@ -249,17 +264,17 @@ def _texts_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             spots = batch.column(1).to_numpy()
             sides = [in_bitmap(h, spots) for h in shared.value]
             at = np.flatnonzero(sides[0] | sides[1])
-            texts = batch.column(0).take(pa.array(at))
-            sets = [shingle_set(hashes(t.as_py())) for t in texts]
+            sets = [shingle_set(hashes(t.as_py())) for t in batch.column(0).take(pa.array(at))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), texts,
+                [pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary()),
                  *(pa.array(side[at]) for side in sides)],
-                names=["node", "text", "leads", "follows"],
+                names=["node", "shingles", "leads", "follows"],
             )
 
     rows = docs.where("doc_id is not null").select("text", id_spot("doc_id"))
-    found = rows.mapInArrow(wanted, "node long, text string, leads boolean, follows boolean")
-    return materialized(found)
+    schema = "node long, shingles binary, leads boolean, follows boolean"
+    return materialized(rows.mapInArrow(giving_back(wanted), schema))
 
 
 def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -275,6 +290,14 @@ def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(several, "shingle")
 
 
+def _with_earlier(rows: DataFrame) -> DataFrame:
+    """Rows of open lists with ``earlier``: the shingles that come last before this
+    one in the node's order. Two nodes of different components share a shingle only
+    in an open list, so one that stands in both is a list where they meet as well."""
+    before = Window.partitionBy("node").orderBy("pos").rowsBetween(-EARLIER, -1)
+    return rows.withColumn("earlier", F.collect_list("shingle").over(before))
+
+
 def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Every row (doc_id, copy, n, node), and for each node in a component with
     several rows: node, root, component_id (its smallest doc_id)."""
@@ -308,12 +331,19 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     tried = tried.union(again).union(again.select("b", "a"))
 
     # what those comparisons did not settle: lists with more than one component
-    open_rows = materialized(_open_lists(lists, roots))
-    x = open_rows.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("node", "size", "pos", "root")])
-    y = open_rows.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("node", "size", "pos", "root")])
+    open_rows = materialized(_with_earlier(_open_lists(lists, roots)))
+    columns = ("node", "size", "pos", "root", "earlier")
+    x, y = (
+        open_rows.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in columns])
+        for side in ("x", "y")
+    )
     rest = (
         x.join(y, "shingle")
-        .where(f"x_root < y_root and {_may_link('x_', 'y_', percent)}")
+        # nodes that share an earlier shingle have met there, or failed a filter there
+        .where(
+            f"x_root < y_root and {_may_link('x_', 'y_', percent)} "
+            "and not arrays_overlap(x_earlier, y_earlier)"
+        )
         .selectExpr("least(x_node, y_node) as a", "greatest(x_node, y_node) as b")
         .distinct()
         .join(tried, ["a", "b"], "left_anti")

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import giving_back
 from gridloom.llm.texts import Remembered, blocks, space_words
 
 CAPACITY = 4096
@@ -218,4 +219,4 @@ def pack_documents(
         yield packer.rows()
 
     columns = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return columns.mapInArrow(pack, SCHEMA)
+    return columns.mapInArrow(giving_back(pack), SCHEMA)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import giving_back
 from gridloom.session import materialized
 
 SMALL_OVERRIDES = 50_000  # redrawn entities held by every task; more are joined
@@ -295,7 +296,7 @@ def mentions(docs: DataFrame) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").cast("string"))
-    return rows.mapInArrow(find, "doc_id long, text_key long, kind string, value string")
+    return rows.mapInArrow(giving_back(find), "doc_id long, text_key long, kind string, value string")
 
 
 def resolved(entities: DataFrame) -> DataFrame:
@@ -398,7 +399,7 @@ def pseudonymized(docs: DataFrame, key: bytes, keep: list[str] | None = None) ->
             )
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
-    out = rows.mapInArrow(replace, f"{kinds}, new_text string, n_entities long")
+    out = rows.mapInArrow(giving_back(replace), f"{kinds}, new_text string, n_entities long")
     named = [
         F.col("new_text" if c == "text" else h).alias(c) for c, h in zip(keep, hidden)
     ]

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import small_side
+from gridloom.llm.common import giving_back, small_side
 from gridloom.llm.langid import fold_of
 from gridloom.llm.texts import Remembered
 
@@ -344,7 +344,7 @@ def tag_documents(docs: DataFrame, model: Model | None, keep: list[str]) -> Data
 
     rows = docs.select(*keep, F.col("text").cast("string"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(tag, f"{kinds}, score double, predicted int, spans array<{span}>")
+    return rows.mapInArrow(giving_back(tag), f"{kinds}, score double, predicted int, spans array<{span}>")
 
 
 def _spans(text: str | None, p: np.ndarray) -> list[dict]:
