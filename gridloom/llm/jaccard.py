@@ -73,30 +73,38 @@ def _profile(s: np.ndarray) -> np.ndarray:
 
 
 def _first_pass(docs: DataFrame) -> DataFrame:
-    """doc_id, copy (a hash of the text), n, node, profile of every row; and parts of
-    the counters of all shingles (task, slice, counts)."""
+    """doc_id, copy (a hash of the text), n, node, profile of every row, and its
+    shingles, which a task writes once for all its copies of a node; and parts of the
+    counters of all shingles (task, slice, counts)."""
     schema = (
-        "doc_id long, copy long, n long, node long, profile array<int>, task int, slice int, "
-        "counts binary"
+        "doc_id long, copy long, n long, node long, profile array<int>, shingles binary, "
+        "task int, slice int, counts binary"
     )
 
     def describe(batches):
         from pyspark import TaskContext
 
         hashes, counts = WordHashes(lower=True), np.zeros(COUNTERS, np.int64)
+        done: set[int] = set()
         for batch in batches:
-            ns, nodes, profiles = [], [], []
-            for text in batch.column(1):
+            ns, nodes, profiles, sets = [], [], [], []
+            for known, text in zip(batch.column(0).is_valid(), batch.column(1)):
                 s = shingle_set(hashes(text.as_py()))
                 np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
                 ns.append(len(s))
-                nodes.append(node_of(s) if len(s) else None)
+                node = node_of(s) if len(s) else None
+                nodes.append(node)
                 profiles.append(_profile(s).astype(np.int32) if len(s) else None)
-            size = batch.num_rows
-            own = [batch.column(0), batch.column(2), ns, nodes, profiles]
-            yield _batch(schema, own + [[None] * size] * 3)
+                new = node is not None and known.as_py() and node not in done
+                sets.append(s.tobytes() if new else None)
+                if new:
+                    if len(done) >= 1 << 20:
+                        done.clear()
+                    done.add(node)
+            own = [batch.column(0), batch.column(2), ns, nodes, profiles, sets]
+            yield _batch(schema, own + [[None] * batch.num_rows] * 3)
         parts = np.split(np.minimum(counts, 2**31 - 1).astype("<i4"), SLICES)
-        none = [[None] * SLICES] * 5
+        none = [[None] * SLICES] * 6
         task = [TaskContext.get().partitionId()] * SLICES
         yield _batch(schema, [*none, task, range(SLICES), [p.tobytes() for p in parts]])
 
@@ -140,25 +148,18 @@ def _counters(parts: DataFrame) -> np.ndarray:
     return total.ravel()
 
 
-def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """Prefix shingles of all nodes: shingle, part, node, size, pos."""
+def _prefixes(first: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """Prefix shingles of all nodes: shingle, part, node, size, pos. A node that
+    several tasks wrote comes once from each of them."""
     schema = "shingle long, part int, node long, size int, pos int"
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    shared = first.sparkSession.sparkContext.broadcast(counts)
 
     def prefix(batches):
-        hashes, counts, done = WordHashes(lower=True), shared.value, set()
+        counts = shared.value
         for batch in batches:
             rows = []
-            for text in batch.column(0):
-                s = shingle_set(hashes(text.as_py()))
-                if not len(s):
-                    continue
-                node = node_of(s)
-                if node in done:  # a copy; the window would drop it as well
-                    continue
-                if len(done) >= 1 << 20:
-                    done.clear()
-                done.add(node)
+            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = np.frombuffer(raw.as_buffer(), "<u8")
                 count = counts[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 length = len(s) + (-percent * len(s)) // 100 + 1
                 first = np.lexsort((s, count))[:length]
@@ -174,7 +175,8 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
             if rows:
                 yield _batch(schema, [pa.array(np.concatenate(c)) for c in zip(*rows)])
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(giving_back(prefix), schema)
+    sets = first.where("shingles is not null").select("node", "shingles")
+    return sets.mapInArrow(giving_back(prefix), schema)
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
@@ -213,10 +215,10 @@ def _first_pairs(rows: DataFrame, percent: int, sides: tuple[str, ...]) -> DataF
 
 
 def _verified(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
+    pairs: DataFrame, nodes: DataFrame, first: DataFrame, percent: int
 ) -> DataFrame:
-    """The pairs (a, b) whose full texts reach the threshold. ``nodes``: node, doc_id
-    (a document with its text), size, profile."""
+    """The pairs (a, b) whose full sets reach the threshold. ``nodes``: node, holder
+    (a document whose row in ``first`` has its shingles), n, profile."""
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("an"),
                        F.col("profile").alias("ap"))
     two = nodes.select(F.col("node").alias("b"), F.col("n").alias("bn"),
@@ -230,7 +232,7 @@ def _verified(
     )
     if not pairs.limit(1).count():
         return pairs
-    sets = _sets_of(docs, pairs, nodes)
+    sets = _sets_of(first, pairs, nodes)
     one = sets.where("leads").select(F.col("node").alias("a"), F.col("shingles").alias("av"))
     two = sets.where("follows").select(F.col("node").alias("b"), F.col("shingles").alias("bv"))
     whole = pairs.join(two, "b").join(one, "a").select("a", "b", "av", "bv")
@@ -246,33 +248,33 @@ def _verified(
     return materialized(whole.mapInArrow(giving_back(verify), "a long, b long"))
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The shingles of each node in ``pairs``, worked out again from one document of
-    the node, and on which sides it stands there (leads: a, follows: b). Tasks drop
-    other documents by bitmaps, so that only sets to be compared are shuffled; a
-    stray one meets no pair."""
-    places = nodes.select("node", "doc_id")
+def _sets_of(first: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The shingles of each node in ``pairs`` and on which sides it stands there
+    (leads: a, follows: b). Tasks drop other rows by bitmaps, so that only sets to be
+    compared are shuffled; a stray one meets no pair."""
+    places = nodes.select("node", "holder")
     held = [
-        id_bitmap(places.join(pairs.select(F.col(c).alias("node")).distinct(), "node"), "doc_id")
+        id_bitmap(
+            places.join(pairs.select(F.col(c).alias("node")).distinct(), "node"), "node", "holder"
+        )
         for c in ("a", "b")
     ]
-    shared = docs.sparkSession.sparkContext.broadcast(held)
+    shared = first.sparkSession.sparkContext.broadcast(held)
 
     def wanted(batches):
-        hashes = WordHashes(lower=True)
         for batch in batches:
-            spots = batch.column(1).to_numpy()
+            spots = batch.column(2).to_numpy()
             sides = [in_bitmap(h, spots) for h in shared.value]
-            at = np.flatnonzero(sides[0] | sides[1])
-            sets = [shingle_set(hashes(t.as_py())) for t in batch.column(0).take(pa.array(at))]
+            at = pa.array(np.flatnonzero(sides[0] | sides[1]))
+            columns = [batch.column(0), batch.column(1), *map(pa.array, sides)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary()),
-                 *(pa.array(side[at]) for side in sides)],
-                names=["node", "shingles", "leads", "follows"],
+                [c.take(at) for c in columns], names=["node", "shingles", "leads", "follows"]
             )
 
-    rows = docs.where("doc_id is not null").select("text", id_spot("doc_id"))
+    # of the tasks that wrote a node, the one with its smallest doc_id is asked
+    rows = first.where("shingles is not null").select(
+        "node", "shingles", id_spot("node", "doc_id")
+    )
     schema = "node long, shingles binary, leads boolean, follows boolean"
     return materialized(rows.mapInArrow(giving_back(wanted), schema))
 
@@ -305,15 +307,16 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     first = materialized(_first_pass(docs))
     rows = first.where("slice is null").select("doc_id", "copy", "n", "node", "profile")
     nodes = materialized(
-        rows.where("node is not null and doc_id is not null")
+        first.where("node is not null and doc_id is not null")
         .groupBy("node")
         .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
-             F.first("n").alias("n"), F.first("profile").alias("profile"))
+             F.first("n").alias("n"), F.first("profile").alias("profile"),
+             F.min(F.when(F.col("shingles").isNotNull(), F.col("doc_id"))).alias("holder"))
     )
-    lists = materialized(_lists(_prefixes(docs, _counters(first), percent)))
+    lists = materialized(_lists(_prefixes(first, _counters(first), percent)))
 
     pairs = materialized(_first_pairs(lists, percent, ("f_", "b_")))
-    links = _verified(pairs, nodes, docs, percent)
+    links = _verified(pairs, nodes, first, percent)
     roots = components(links)
     # once more, with the largest of each list that is still open
     lists = materialized(_open_lists(lists, roots))
@@ -324,7 +327,7 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     again = lists.join(leaders, ["shingle", "part"]).where("root <> f_root")
     tried = pairs.union(pairs.select("b", "a"))
     again = materialized(_first_pairs(again, percent, ("f_",)).join(tried, ["a", "b"], "left_anti"))
-    more = _verified(again, nodes, docs, percent)
+    more = _verified(again, nodes, first, percent)
     if more.limit(1).count():
         links = links.union(more)
         roots = components(links)
@@ -349,7 +352,7 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         .join(tried, ["a", "b"], "left_anti")
     )
     rest = materialized(rest)
-    more = _verified(rest, nodes, docs, percent)
+    more = _verified(rest, nodes, first, percent)
     if more.limit(1).count():
         roots = components(links.union(more))
 
