@@ -55,6 +55,14 @@ def giving_back(body: Callable[[Iterator], Iterator]) -> Callable[[Iterator], It
     return run
 
 
+def free_shuffles(spark) -> None:
+    """Let Spark delete the shuffle files of queries that are done with: it does so
+    when the driver's objects of them are collected, which may be much later on a
+    driver with little to do. Written tables stay."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 ID_BITS = 1 << 25  # places of the filter on wanted ids: 4 MB
 
 

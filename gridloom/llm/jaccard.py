@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import components, giving_back, id_bitmap, id_spot, in_bitmap
+from gridloom.llm.common import components, free_shuffles, giving_back, id_bitmap, id_spot, in_bitmap
 from gridloom.llm.texts import WordHashes, mixed
 from gridloom.session import materialized
 
@@ -245,7 +245,10 @@ def _verified(
                 good.append(linked(*sides, percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return materialized(whole.mapInArrow(giving_back(verify), "a long, b long"))
+    found = materialized(whole.mapInArrow(giving_back(verify), "a long, b long"))
+    del sets, one, two, whole
+    free_shuffles(found.sparkSession)
+    return found
 
 
 def _sets_of(first: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -276,7 +279,7 @@ def _sets_of(first: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         "node", "shingles", id_spot("node", "doc_id")
     )
     schema = "node long, shingles binary, leads boolean, follows boolean"
-    return materialized(rows.mapInArrow(giving_back(wanted), schema))
+    return rows.mapInArrow(giving_back(wanted), schema)
 
 
 def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -315,6 +318,7 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     )
     lists = materialized(_lists(_prefixes(first, _counters(first), percent)))
 
+    free_shuffles(docs.sparkSession)
     pairs = materialized(_first_pairs(lists, percent, ("f_", "b_")))
     links = _verified(pairs, nodes, first, percent)
     roots = components(links)
@@ -352,6 +356,8 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         .join(tried, ["a", "b"], "left_anti")
     )
     rest = materialized(rest)
+    del x, y
+    free_shuffles(docs.sparkSession)
     more = _verified(rest, nodes, first, percent)
     if more.limit(1).count():
         roots = components(links.union(more))
