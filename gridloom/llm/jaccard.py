@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import components, free_shuffles, giving_back, id_bitmap, id_spot, in_bitmap
-from gridloom.llm.texts import WordHashes, mixed
+from gridloom.llm.texts import blocks, mixed
 from gridloom.session import materialized
 
 SHINGLE = 5
@@ -35,6 +35,46 @@ EARLIER = 16  # earlier shingles a row knows, so that a pair meets in few of its
 _NODE_SEED = np.uint64(0xA0761D6478BD642F)
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# A value for each byte, and an odd base whose powers keep the places of bytes apart.
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0xD1342543DE82EF95
+
+
+class Words:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of texts, A-Z lower-cased.
+    A word's hash is a polynomial of its bytes, taken from running sums over the
+    whole text, so no word becomes an object of its own."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+                factors = np.full(max(n, 1 << 16), base, np.uint64)
+                factors[0] = 1
+                setattr(self, name, np.multiply.accumulate(factors))
+        return self.up[:n], self.down
+
+    def _block(self, raw: bytes) -> np.ndarray:
+        text = np.frombuffer(raw, np.uint8)
+        edge = np.diff(_SPACE[text].view(np.int8), prepend=1, append=1)
+        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        up, down = self._powers(len(text))
+        sums = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum(_BYTE[text] * up, out=sums[1:])
+        words = (sums[ends] - sums[starts]) * down[starts]
+        return mixed(words + (ends - starts).astype(np.uint64))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.empty(0, np.uint64)
+        parts = [self._block(p.encode("utf-8", "surrogatepass").lower()) for p in blocks(text) if p]
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
 # Odd factors that keep the places of a shingle's words apart.
 _PLACES = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 2**64 - 1 for k in range(SHINGLE)], np.uint64)
 
@@ -73,38 +113,30 @@ def _profile(s: np.ndarray) -> np.ndarray:
 
 
 def _first_pass(docs: DataFrame) -> DataFrame:
-    """doc_id, copy (a hash of the text), n, node, profile of every row, and its
-    shingles, which a task writes once for all its copies of a node; and parts of the
-    counters of all shingles (task, slice, counts)."""
+    """doc_id, copy (a hash of the text), n, node, profile of every row; and parts of
+    the counters of all shingles (task, slice, counts)."""
     schema = (
-        "doc_id long, copy long, n long, node long, profile array<int>, shingles binary, "
-        "task int, slice int, counts binary"
+        "doc_id long, copy long, n long, node long, profile array<int>, task int, slice int, "
+        "counts binary"
     )
 
     def describe(batches):
         from pyspark import TaskContext
 
-        hashes, counts = WordHashes(lower=True), np.zeros(COUNTERS, np.int64)
-        done: set[int] = set()
+        hashes, counts = Words(), np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            ns, nodes, profiles, sets = [], [], [], []
-            for known, text in zip(batch.column(0).is_valid(), batch.column(1)):
+            ns, nodes, profiles = [], [], []
+            for text in batch.column(1):
                 s = shingle_set(hashes(text.as_py()))
                 np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
                 ns.append(len(s))
-                node = node_of(s) if len(s) else None
-                nodes.append(node)
+                nodes.append(node_of(s) if len(s) else None)
                 profiles.append(_profile(s).astype(np.int32) if len(s) else None)
-                new = node is not None and known.as_py() and node not in done
-                sets.append(s.tobytes() if new else None)
-                if new:
-                    if len(done) >= 1 << 20:
-                        done.clear()
-                    done.add(node)
-            own = [batch.column(0), batch.column(2), ns, nodes, profiles, sets]
-            yield _batch(schema, own + [[None] * batch.num_rows] * 3)
+            size = batch.num_rows
+            own = [batch.column(0), batch.column(2), ns, nodes, profiles]
+            yield _batch(schema, own + [[None] * size] * 3)
         parts = np.split(np.minimum(counts, 2**31 - 1).astype("<i4"), SLICES)
-        none = [[None] * SLICES] * 6
+        none = [[None] * SLICES] * 5
         task = [TaskContext.get().partitionId()] * SLICES
         yield _batch(schema, [*none, task, range(SLICES), [p.tobytes() for p in parts]])
 
@@ -148,18 +180,25 @@ def _counters(parts: DataFrame) -> np.ndarray:
     return total.ravel()
 
 
-def _prefixes(first: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """Prefix shingles of all nodes: shingle, part, node, size, pos. A node that
-    several tasks wrote comes once from each of them."""
+def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """Prefix shingles of all nodes: shingle, part, node, size, pos."""
     schema = "shingle long, part int, node long, size int, pos int"
-    shared = first.sparkSession.sparkContext.broadcast(counts)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def prefix(batches):
-        counts = shared.value
+        hashes, counts, done = Words(), shared.value, set()
         for batch in batches:
             rows = []
-            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                s = np.frombuffer(raw.as_buffer(), "<u8")
+            for text in batch.column(0):
+                s = shingle_set(hashes(text.as_py()))
+                if not len(s):
+                    continue
+                node = node_of(s)
+                if node in done:  # a copy; the window would drop it as well
+                    continue
+                if len(done) >= 1 << 20:
+                    done.clear()
+                done.add(node)
                 count = counts[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 length = len(s) + (-percent * len(s)) // 100 + 1
                 first = np.lexsort((s, count))[:length]
@@ -175,8 +214,7 @@ def _prefixes(first: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
             if rows:
                 yield _batch(schema, [pa.array(np.concatenate(c)) for c in zip(*rows)])
 
-    sets = first.where("shingles is not null").select("node", "shingles")
-    return sets.mapInArrow(giving_back(prefix), schema)
+    return docs.where("doc_id is not null").select("text").mapInArrow(giving_back(prefix), schema)
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
@@ -215,10 +253,10 @@ def _first_pairs(rows: DataFrame, percent: int, sides: tuple[str, ...]) -> DataF
 
 
 def _verified(
-    pairs: DataFrame, nodes: DataFrame, first: DataFrame, percent: int
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
 ) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. ``nodes``: node, holder
-    (a document whose row in ``first`` has its shingles), n, profile."""
+    """The pairs (a, b) whose full texts reach the threshold. ``nodes``: node, doc_id
+    (a document with its text), size, profile."""
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("an"),
                        F.col("profile").alias("ap"))
     two = nodes.select(F.col("node").alias("b"), F.col("n").alias("bn"),
@@ -232,7 +270,7 @@ def _verified(
     )
     if not pairs.limit(1).count():
         return pairs
-    sets = _sets_of(first, pairs, nodes)
+    sets = _sets_of(docs, pairs, nodes)
     one = sets.where("leads").select(F.col("node").alias("a"), F.col("shingles").alias("av"))
     two = sets.where("follows").select(F.col("node").alias("b"), F.col("shingles").alias("bv"))
     whole = pairs.join(two, "b").join(one, "a").select("a", "b", "av", "bv")
@@ -251,35 +289,35 @@ def _verified(
     return found
 
 
-def _sets_of(first: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The shingles of each node in ``pairs`` and on which sides it stands there
-    (leads: a, follows: b). Tasks drop other rows by bitmaps, so that only sets to be
-    compared are shuffled; a stray one meets no pair."""
-    places = nodes.select("node", "holder")
+def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The shingles of each node in ``pairs``, worked out again from one document of
+    the node, and on which sides it stands there (leads: a, follows: b). Tasks drop
+    other documents by bitmaps, so that only sets to be compared are shuffled; a
+    stray one meets no pair."""
+    places = nodes.select("node", "doc_id")
     held = [
-        id_bitmap(
-            places.join(pairs.select(F.col(c).alias("node")).distinct(), "node"), "node", "holder"
-        )
+        id_bitmap(places.join(pairs.select(F.col(c).alias("node")).distinct(), "node"), "doc_id")
         for c in ("a", "b")
     ]
-    shared = first.sparkSession.sparkContext.broadcast(held)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def wanted(batches):
+        hashes = Words()
         for batch in batches:
-            spots = batch.column(2).to_numpy()
+            spots = batch.column(1).to_numpy()
             sides = [in_bitmap(h, spots) for h in shared.value]
-            at = pa.array(np.flatnonzero(sides[0] | sides[1]))
-            columns = [batch.column(0), batch.column(1), *map(pa.array, sides)]
+            at = np.flatnonzero(sides[0] | sides[1])
+            sets = [shingle_set(hashes(t.as_py())) for t in batch.column(0).take(pa.array(at))]
             yield pa.RecordBatch.from_arrays(
-                [c.take(at) for c in columns], names=["node", "shingles", "leads", "follows"]
+                [pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary()),
+                 *(pa.array(side[at]) for side in sides)],
+                names=["node", "shingles", "leads", "follows"],
             )
 
-    # of the tasks that wrote a node, the one with its smallest doc_id is asked
-    rows = first.where("shingles is not null").select(
-        "node", "shingles", id_spot("node", "doc_id")
-    )
+    rows = docs.where("doc_id is not null").select("text", id_spot("doc_id"))
     schema = "node long, shingles binary, leads boolean, follows boolean"
-    return rows.mapInArrow(giving_back(wanted), schema)
+    return materialized(rows.mapInArrow(giving_back(wanted), schema))
 
 
 def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -310,17 +348,16 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     first = materialized(_first_pass(docs))
     rows = first.where("slice is null").select("doc_id", "copy", "n", "node", "profile")
     nodes = materialized(
-        first.where("node is not null and doc_id is not null")
+        rows.where("node is not null and doc_id is not null")
         .groupBy("node")
         .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
-             F.first("n").alias("n"), F.first("profile").alias("profile"),
-             F.min(F.when(F.col("shingles").isNotNull(), F.col("doc_id"))).alias("holder"))
+             F.first("n").alias("n"), F.first("profile").alias("profile"))
     )
-    lists = materialized(_lists(_prefixes(first, _counters(first), percent)))
+    lists = materialized(_lists(_prefixes(docs, _counters(first), percent)))
 
     free_shuffles(docs.sparkSession)
     pairs = materialized(_first_pairs(lists, percent, ("f_", "b_")))
-    links = _verified(pairs, nodes, first, percent)
+    links = _verified(pairs, nodes, docs, percent)
     roots = components(links)
     # once more, with the largest of each list that is still open
     lists = materialized(_open_lists(lists, roots))
@@ -331,7 +368,7 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     again = lists.join(leaders, ["shingle", "part"]).where("root <> f_root")
     tried = pairs.union(pairs.select("b", "a"))
     again = materialized(_first_pairs(again, percent, ("f_",)).join(tried, ["a", "b"], "left_anti"))
-    more = _verified(again, nodes, first, percent)
+    more = _verified(again, nodes, docs, percent)
     if more.limit(1).count():
         links = links.union(more)
         roots = components(links)
@@ -358,7 +395,7 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     rest = materialized(rest)
     del x, y
     free_shuffles(docs.sparkSession)
-    more = _verified(rest, nodes, first, percent)
+    more = _verified(rest, nodes, docs, percent)
     if more.limit(1).count():
         roots = components(links.union(more))
 

@@ -132,6 +132,24 @@ def test_no_text_is_lost_and_no_copy_stays(spark):
     assert len(kept) == 2 and b in {r["text"] for r in kept}
 
 
+def test_words_are_hashed_wherever_they_stand(monkeypatch):
+    hashes = jaccard.Words()
+    rng = random.Random(4)
+    known = {}
+    for _ in range(200):
+        text = "".join(rng.choice("aAbé日 \t\n\x0b\x1c ") for _ in range(rng.randrange(60)))
+        words = SPACE.findall(fold(text))
+        found = hashes(text).tolist()
+        assert len(found) == len(words)
+        for word, value in zip(words, found):
+            assert known.setdefault(word, value) == value
+    assert len(set(known.values())) == len(known) > 300
+    long = sentence(rng, 300_000)  # several blocks
+    one_by_one = [known.setdefault(w, hashes(w)[0]) for w in long.split(" ")[::1000]]
+    assert hashes(long)[::1000].tolist() == one_by_one
+    assert not len(hashes(None)) and not len(hashes(" \t"))
+
+
 def test_jaccard_without_the_first_comparisons(spark, monkeypatch):
     """Lists split into parts: what leaders do not settle, the last pass does."""
     monkeypatch.setattr(jaccard, "LIST_ROWS", 2)
