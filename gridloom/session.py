@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+CELL_BATCH = 65_536  # cells of one Arrow batch while a job packs them
+
 
 def build_session(app: str = "gridloom", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -26,18 +28,21 @@ def build_session(app: str = "gridloom", master: str | None = None, **conf) -> S
 
 @contextmanager
 def rows_only_batches(spark: SparkSession):
-    """Bound Arrow batches by rows alone while a job packs cells.
+    """Bound Arrow batches by rows alone while a job packs cells, by more of them.
 
     The byte bound is tested after each row, which costs more than sending a
     cell of a few bytes. Rows that carry payloads need it, so it is put back.
     """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(2**31 - 1) + "b")
+    wanted = {"maxBytesPerBatch": str(2**31 - 1) + "b", "maxRecordsPerBatch": str(CELL_BATCH)}
+    wanted = {f"spark.sql.execution.arrow.{key}": value for key, value in wanted.items()}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
