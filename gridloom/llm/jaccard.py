@@ -4,8 +4,9 @@ Texts of one shingle set are one node. All shingles share one order, rarest
 first, by counts over all documents; nodes that reach the threshold must meet in
 the first fifth of their ordered shingles, their prefixes. Prefix shingles are
 joined by a sorted window: each node is compared with the first nodes of the
-lists it is in and the nodes before it, those it shares most lists with. Length, positional and suffix filters drop
-candidates, and each pair is verified once on its full sets. Links found so far
+lists it is in and the nodes before it, those it shares most lists with. Length,
+positional and suffix filters and bitmaps of the sets drop candidates, and each
+pair left is verified once on its full sets. Links found so far
 are closed to components; only where a list still holds several components are
 the pairs between them enumerated, so a group of near copies costs a few
 comparisons a node, and no link between components is missed.
@@ -112,6 +113,23 @@ def _profile(s: np.ndarray) -> np.ndarray:
     return np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=PROFILE)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """A bitmap of 4 to 8 bits a shingle, packed: which places the shingles hash to."""
+    bits = max(256, 1 << (4 * len(s)).bit_length())
+    held = np.zeros(bits, bool)
+    held[(s & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little")
+
+
+def _sketches_agree(x: np.ndarray, y: np.ndarray, nx: int, ny: int, percent: int) -> bool:
+    """Whether sets of these sketches may reach the threshold: a place that only one
+    side has stands for a shingle, at least, that only this side has."""
+    least = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(v.reshape(-1, least)) for v in (x, y))
+    shared = min(nx - int(np.bitwise_count(x & ~y).sum()), ny - int(np.bitwise_count(y & ~x).sum()))
+    return (100 + percent) * shared >= percent * (nx + ny)
+
+
 def _first_pass(docs: DataFrame) -> DataFrame:
     """doc_id, copy (a hash of the text), n, node, profile of every row; and parts of
     the counters of all shingles (task, slice, counts)."""
@@ -255,8 +273,9 @@ def _first_pairs(rows: DataFrame, percent: int, sides: tuple[str, ...]) -> DataF
 def _verified(
     pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
 ) -> DataFrame:
-    """The pairs (a, b) whose full texts reach the threshold. ``nodes``: node, doc_id
-    (a document with its text), size, profile."""
+    """The pairs (a, b) whose full sets reach the threshold. ``nodes``: node, doc_id
+    (a document with its text), size, profile. Profiles are compared first, then
+    sketches of the sets, then the sets; the first two drop no pair that links."""
     one = nodes.select(F.col("node").alias("a"), F.col("n").alias("an"),
                        F.col("profile").alias("ap"))
     two = nodes.select(F.col("node").alias("b"), F.col("n").alias("bn"),
@@ -268,30 +287,42 @@ def _verified(
         .where(f"{100 + percent} * ({shared}) >= {percent} * (an + bn)")
         .select("a", "b")
     )
-    if not pairs.limit(1).count():
-        return pairs
-    sets = _sets_of(docs, pairs, nodes)
-    one = sets.where("leads").select(F.col("node").alias("a"), F.col("shingles").alias("av"))
-    two = sets.where("follows").select(F.col("node").alias("b"), F.col("shingles").alias("bv"))
-    whole = pairs.join(two, "b").join(one, "a").select("a", "b", "av", "bv")
-
-    def verify(batches):
+    # most pairs end at their sketches, so that few whole sets are shuffled
+    for form, test in ((sketch, _sketches_agree), (np.asarray, linked)):
+        if not pairs.limit(1).count():
+            return pairs
+        sets = _sets_of(docs, pairs, nodes, form)
+        one = sets.where("leads").select(F.col("node").alias("a"), F.col("form").alias("av"),
+                                         F.col("size").alias("an"))
+        two = sets.where("follows").select(F.col("node").alias("b"), F.col("form").alias("bv"),
+                                           F.col("size").alias("bn"))
+        whole = pairs.join(two, "b").join(one, "a").select("a", "b", "av", "bv", "an", "bn")
+        pairs = materialized(whole.mapInArrow(giving_back(_agreeing(test, percent)), "a long, b long"))
+        del sets, one, two, whole
+        free_shuffles(pairs.sparkSession)
+    return pairs
+
+
+def _agreeing(test, percent: int):
+    def agreeing(batches):
         for batch in batches:
             good = []
-            for av, bv in zip(batch.column(2), batch.column(3)):
-                sides = (np.frombuffer(v.as_buffer(), "<u8") for v in (av, bv))
-                good.append(linked(*sides, percent))
+            for av, bv, an, bn in zip(*(batch.column(k) for k in range(2, 6))):
+                one, two = (
+                    np.frombuffer(v.as_buffer(), "<u8" if test is linked else np.uint8)
+                    for v in (av, bv)
+                )
+                sizes = () if test is linked else (an.as_py(), bn.as_py())
+                good.append(test(one, two, *sizes, percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    found = materialized(whole.mapInArrow(giving_back(verify), "a long, b long"))
-    del sets, one, two, whole
-    free_shuffles(found.sparkSession)
-    return found
+    return agreeing
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The shingles of each node in ``pairs``, worked out again from one document of
-    the node, and on which sides it stands there (leads: a, follows: b). Tasks drop
+def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, form) -> DataFrame:
+    """The shingles of each node in ``pairs`` in a form (whole, or a sketch), worked
+    out again from one document of the node, their number, and on which sides the
+    node stands there (leads: a, follows: b). Tasks drop
     other documents by bitmaps, so that only sets to be compared are shuffled; a
     stray one meets no pair."""
     places = nodes.select("node", "doc_id")
@@ -310,13 +341,14 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             sets = [shingle_set(hashes(t.as_py())) for t in batch.column(0).take(pa.array(at))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary()),
+                 pa.array([len(s) for s in sets], pa.int32()),
+                 pa.array([form(s).tobytes() for s in sets], pa.binary()),
                  *(pa.array(side[at]) for side in sides)],
-                names=["node", "shingles", "leads", "follows"],
+                names=["node", "size", "form", "leads", "follows"],
             )
 
     rows = docs.where("doc_id is not null").select("text", id_spot("doc_id"))
-    schema = "node long, shingles binary, leads boolean, follows boolean"
+    schema = "node long, size int, form binary, leads boolean, follows boolean"
     return materialized(rows.mapInArrow(giving_back(wanted), schema))
 
 

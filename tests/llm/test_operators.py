@@ -150,6 +150,22 @@ def test_words_are_hashed_wherever_they_stand(monkeypatch):
     assert not len(hashes(None)) and not len(hashes(" \t"))
 
 
+def test_sketches_drop_no_pair_that_links():
+    rng = np.random.default_rng(5)
+    dropped = 0
+    for n in (1, 3, 40, 300, 5000):
+        pool = rng.integers(0, 1 << 64, 2 * n, dtype=np.uint64)
+        for cut in range(0, n + 1, max(1, n // 12)):
+            a, b = np.unique(pool[:n]), np.unique(pool[cut : cut + n + cut // 3])
+            for x, y in ((a, b), (b, a)):
+                agree = jaccard._sketches_agree(
+                    jaccard.sketch(x), jaccard.sketch(y), len(x), len(y), jaccard.PERCENT
+                )
+                assert agree or not jaccard.linked(x, y)
+                dropped += not agree
+    assert dropped > 50
+
+
 def test_jaccard_without_the_first_comparisons(spark, monkeypatch):
     """Lists split into parts: what leaders do not settle, the last pass does."""
     monkeypatch.setattr(jaccard, "LIST_ROWS", 2)
