@@ -236,18 +236,21 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
-    """Length and positional filter of two prefix rows with one shingle."""
+    """Length and positional filter of two prefix rows with one shingle: what both
+    sides still have from here on must do. Nodes that link pass it in the list of the
+    first shingle they share, before which they share none."""
     return (
         f"100 * least({x}size, {y}size) >= {percent} * greatest({x}size, {y}size) and "
-        f"{100 + percent} * (least({x}pos, {y}pos) + "
-        f"least({x}size - {x}pos, {y}size - {y}pos)) >= {percent} * ({x}size + {y}size)"
+        f"{100 + percent} * least({x}size - {x}pos, {y}size - {y}pos) "
+        f">= {percent} * ({x}size + {y}size)"
     )
 
 
 def _lists(prefixes: DataFrame) -> DataFrame:
     """Prefix rows that share their shingle with another node, with the first row
-    of the list, its leader (f_), and the row before (b_)."""
-    near = Window.partitionBy("shingle", "part").orderBy("size", "node")
+    of the list, its leader (f_), and the row before (b_). Nodes that have this
+    shingle early, so few that are rarer, come first: they may share the most."""
+    near = Window.partitionBy("shingle", "part").orderBy("pos", "size", "node")
     whole = near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     columns = {f"f_{c}": F.first(c).over(whole) for c in ("node", "size", "pos")}
     columns |= {f"b_{c}": F.lag(c).over(near) for c in ("node", "size", "pos")}
@@ -391,20 +394,7 @@ def _membership(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     pairs = materialized(_first_pairs(lists, percent, ("f_", "b_")))
     links = _verified(pairs, nodes, docs, percent)
     roots = components(links)
-    # once more, with the largest of each list that is still open
-    lists = materialized(_open_lists(lists, roots))
-    last = F.max(F.struct("size", "node", "pos", "root"))
-    leaders = lists.groupBy("shingle", "part").agg(last.alias("f")).selectExpr(
-        "shingle", "part", "f.size as f_size", "f.node as f_node", "f.pos as f_pos", "f.root as f_root"
-    )
-    again = lists.join(leaders, ["shingle", "part"]).where("root <> f_root")
     tried = pairs.union(pairs.select("b", "a"))
-    again = materialized(_first_pairs(again, percent, ("f_",)).join(tried, ["a", "b"], "left_anti"))
-    more = _verified(again, nodes, docs, percent)
-    if more.limit(1).count():
-        links = links.union(more)
-        roots = components(links)
-    tried = tried.union(again).union(again.select("b", "a"))
 
     # what those comparisons did not settle: lists with more than one component
     open_rows = materialized(_with_earlier(_open_lists(lists, roots)))
