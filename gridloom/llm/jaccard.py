@@ -17,11 +17,12 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import components, free_shuffles, giving_back, id_bitmap, id_spot, in_bitmap
-from gridloom.llm.texts import blocks, mixed
+from gridloom.llm.texts import LONG_WORD, blocks, mixed
 from gridloom.session import materialized
 
 SHINGLE = 5
@@ -46,7 +47,8 @@ _BASE = 0xD1342543DE82EF95
 class Words:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of texts, A-Z lower-cased.
     A word's hash is a polynomial of its bytes, taken from running sums over the
-    whole text, so no word becomes an object of its own."""
+    whole text, so no word becomes an object of its own; but a long word does: with
+    length, polynomials modulo 2^64 of different words come to be equal."""
 
     def __init__(self):
         self.up = self.down = np.ones(1, np.uint64)
@@ -67,7 +69,10 @@ class Words:
         sums = np.zeros(len(text) + 1, np.uint64)
         np.cumsum(_BYTE[text] * up, out=sums[1:])
         words = (sums[ends] - sums[starts]) * down[starts]
-        return mixed(words + (ends - starts).astype(np.uint64))
+        words = mixed(words + (ends - starts).astype(np.uint64))
+        for k in np.flatnonzero(ends - starts > LONG_WORD):
+            words[k] = xxhash.xxh3_64_intdigest(text[starts[k] : ends[k]])
+        return words
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
@@ -76,8 +81,9 @@ class Words:
         return np.concatenate(parts) if len(parts) > 1 else parts[0]
 
 
-# Odd factors that keep the places of a shingle's words apart.
-_PLACES = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 2**64 - 1 for k in range(SHINGLE)], np.uint64)
+# Odd factors that keep the places of a shingle's words apart. No sum of some of them
+# is a sum of others, so words that repeat in a shingle do not hide their places.
+_PLACES = mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def shingle_set(h: np.ndarray) -> np.ndarray:

@@ -150,6 +150,29 @@ def test_words_are_hashed_wherever_they_stand(monkeypatch):
     assert not len(hashes(None)) and not len(hashes(" \t"))
 
 
+def test_shingles_of_few_words_are_told_apart(spark):
+    """Words that repeat inside of a shingle, at other places of equal weight."""
+    rng, hashes = random.Random(9), jaccard.Words()
+    rows = [(0, "a b x b a"), (1, "b a x a b"), (2, "a a a x b"), (3, "b b b x a")]
+    for i in range(4, 70):
+        letters = rng.choice(["ab", "abc", "aB\x0bc"])
+        rows.append((i, " ".join(rng.choices(letters, k=rng.randrange(4, 60)))))
+    rows += [(70 + k, rows[4 + k][1] + " a") for k in range(20)]
+    want = brute_jaccard(rows)
+    assert [len(jaccard.shingle_set(hashes(t))) for _, t in rows] == [n for _, n, _ in want]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard.jaccard_components(docs).collect())
+    assert got == sorted(want)
+
+
+def test_long_words_are_told_apart():
+    one, two = "a", "b"
+    for _ in range(11):  # words whose difference, as a polynomial, is 0 modulo 2^64
+        one, two = one + two, two + one
+    found = jaccard.Words()(f"{one} {two} {one}")
+    assert found[0] == found[2] != found[1]
+
+
 def test_sketches_drop_no_pair_that_links():
     rng = np.random.default_rng(5)
     dropped = 0
