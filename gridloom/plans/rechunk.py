@@ -1,5 +1,7 @@
 """Rechunk and compress every file of a work list, one output per input."""
 
+from math import ceil
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from gridloom.sources.store import read_chunks
 
 BY = ("dataset", "file")
 _ATTRIBUTES = "_attributes"
+# Files a task writes one after another where their bytes do not matter.
+TASK_FILES = 100
 
 
 def _expected(arrays, sizes: DataFrame) -> DataFrame:
@@ -108,7 +112,10 @@ def rechunk(
         results = file_results(work, _data_only(chunks, arrays), expected, ledger)
     if attributes is not None:
         kept = strip_global_attrs(attributes).join(good, list(BY), "semi")
-        replace_files(kept, f"{out.rstrip('/')}/{_ATTRIBUTES}", BY)
+        # a few rows a file: by their bytes alone, one task would write all files
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(partitions, ceil(sizes.count() / TASK_FILES))
+        replace_files(kept.repartition(tasks, *BY), f"{out.rstrip('/')}/{_ATTRIBUTES}", BY)
     fills = {}
     for given in arrays:
         fills |= fills_of(given.variables, fill if not given.coordinate else

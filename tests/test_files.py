@@ -11,7 +11,7 @@ from gridloom.model import Grid
 from gridloom.operators.reports import compare_storage, flag_count, flagged_first, storage_totals
 from gridloom.operators.selecting import select_day, strip_global_attrs
 from gridloom.plans.publish import publish, stage
-from gridloom.plans.rechunk import BY, rechunk
+from gridloom.plans.rechunk import BY, file_attributes, rechunk
 from gridloom.plans.store import many_files_store, store_name
 from gridloom.sinks.objects import copy_files, write_objects
 from gridloom.sinks.publish import verify_copy
@@ -351,3 +351,18 @@ def test_nothing_is_lost_on_the_way(spark):
         concat(cells, offsets, "time").collect()
     with pytest.raises(Exception, match="no label"):
         label_positions(cells, "label", "time").collect()
+
+
+def test_attributes_of_many_files_have_many_writers(spark, folder, monkeypatch):
+    monkeypatch.setattr("gridloom.plans.rechunk.TASK_FILES", 2)
+    cells = [(f"a/{k}.nc", 0, 0, float(k)) for k in range(30)]
+    given = [("ecmwf", f, "values", "units", f) for f, *_ in cells]
+    attributes = spark.createDataFrame(
+        given, "dataset string, file string, scope string, key string, value string"
+    ).coalesce(1)
+    out = folder("r")
+    rechunk(*prepared(spark, cells), GRID, {"v": "float64"}, 7, out, attributes=attributes)
+    found = file_attributes(spark, out)
+    assert sorted(r["file"] for r in found.where("file = value").collect()) == sorted(f for f, *_ in cells)
+    writers = {os.path.basename(f)[:10] for f in found.inputFiles()}
+    assert len(writers) > 4
