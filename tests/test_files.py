@@ -17,6 +17,7 @@ from gridloom.sinks.objects import copy_files, write_objects
 from gridloom.sinks.publish import verify_copy
 from gridloom.sinks.results import RunFailed, fail_fast, run_summary
 from gridloom.sources.cells import concat, file_offsets, label_positions
+from gridloom.sources.digest import file_digests
 from gridloom.sources.manifest import (
     in_order,
     include,
@@ -366,3 +367,25 @@ def test_attributes_of_many_files_have_many_writers(spark, folder, monkeypatch):
     assert sorted(r["file"] for r in found.where("file = value").collect()) == sorted(f for f, *_ in cells)
     writers = {os.path.basename(f)[:10] for f in found.inputFiles()}
     assert len(writers) > 4
+
+
+def test_digests_list_files_once(spark, folder):
+    os.makedirs(folder("d"))
+    for k in range(5):
+        with open(f"{folder('d')}/{k}.nc", "w") as file:
+            file.write("x" * (k + 1))
+    listed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            listed.add(batch.num_rows)
+            yield batch
+
+    manifest = scan_files(spark, folder("d")).drop("modified")
+    manifest = manifest.mapInArrow(count, manifest.schema)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    rows = file_digests(manifest, block=2).orderBy("length").collect()
+    assert [r["length"] for r in rows] == [1, 2, 3, 4, 5]
+    assert len({r["digest"] for r in rows}) == 5 and not any(r["unread"] for r in rows)
+    assert listed.value == 5
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
