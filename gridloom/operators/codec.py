@@ -84,12 +84,22 @@ def _value_types(cells: DataFrame, variables: dict[str, str]) -> dict[str, str]:
     return {v: _VALUE_TYPES[kinds[v]] for v in variables}
 
 
-def _cutter(column, order: np.ndarray, starts: list[int], ends: list[int]) -> pa.Array:
+def _cut(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """One binary for each run of fixed values, which follow each other from the
+    first value on: the bytes as they lie, since a run can be as short as one cell
+    and an object for each takes many times its size."""
+    offsets = (np.append(starts, len(values)) * values.itemsize).astype("<i4")
+    content = np.ascontiguousarray(values).view(np.uint8)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(content)]
+    return pa.Array.from_buffers(pa.binary(), len(starts), buffers)
+
+
+def _cutter(column, order: np.ndarray, starts: np.ndarray) -> pa.Array:
     """Values in ``order``, one binary for each run: their bytes, or for text the
     length of each and then the content."""
     if not pa.types.is_string(column.type) and not pa.types.is_large_string(column.type):
-        values = column.to_numpy()[order]
-        return pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())
+        return _cut(column.to_numpy()[order], starts)
+    starts, ends = starts.tolist(), [*starts[1:].tolist(), len(order)]
     texts = column.cast(pa.large_string()).combine_chunks().take(pa.array(order))
     offsets = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
     content = memoryview(texts.buffers()[2] or b"")
@@ -121,24 +131,19 @@ def _gather(by, box_elements: int, variables, limit):
         again[starts] = False
         twice = np.logical_or.reduceat(again, starts)
         starts, order = starts - np.cumsum(again)[starts], order[~again]
-        ends = [*starts[1:].tolist(), len(order)]
-        first, starts = pa.array(order[starts]), starts.tolist()
-        cell = cell[order]
+        first, cell = pa.array(order[starts]), cell[order]
         number = cell[starts] // box_elements
         pos = (cell % box_elements).astype("<i4")
-
-        def cut(values):
-            return pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())
-
         out = {name: table.column(name).take(first) for name in by}
-        out |= {"_box": pa.array(number), "_pos": cut(pos), "_twice": pa.array(twice)}
+        out |= {"_box": pa.array(number), "_pos": _cut(pos, starts), "_twice": pa.array(twice)}
+        every = pa.repeat(pa.scalar(b"", pa.binary()), len(starts))
         for v in variables:
             column, valid = table.column(v), None
             if column.null_count:
                 valid = pc.is_valid(column).to_numpy()[order]
                 column = _without_nulls(column)
-            out[v] = _cutter(column, order, starts, ends)
-            out[f"_ok_{v}"] = cut(valid) if valid is not None else pa.array([b""] * len(starts))
+            out[v] = _cutter(column, order, starts)
+            out[f"_ok_{v}"] = _cut(valid, starts) if valid is not None else every
         yield from pa.table(out).combine_chunks().to_batches(max_chunksize=1024)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """Packing and unpacking: exact round trips against NumPy."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -277,6 +278,29 @@ def test_repeats_are_not_sent_on(spark):
     assert len(pieces) == 1 and len(pieces[0]["_pos"]) == 2 * 4 and pieces[0]["_twice"]
 
 
+def test_scattered_cells_take_no_object_each():
+    """Every cell in a box of its own: the pieces are cut from the bytes as they lie."""
+    n = 100_000
+    cell = np.random.default_rng(0).permutation(n) * 4 + 1
+    v = pa.array(np.where(np.arange(n) % 7, cell / 2, 0), mask=np.arange(n) % 7 == 0)
+    day = pa.array(cell.astype("datetime64[D]"))
+    batch = pa.record_batch({"_cell": pa.array(cell), "v": v, "day": day})
+    gather = _gather((), 4, ["v", "day"], n)
+    tracemalloc.start()
+    pieces = pa.Table.from_batches(list(gather(iter([batch]))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces["_box"].to_pylist() == list(range(n))
+    assert set(pieces["_pos"].to_pylist()) == {np.int32(1).tobytes()}
+    order = np.argsort(cell)
+    held = np.frombuffer(b"".join(pieces["_ok_v"].to_pylist()), bool)
+    assert (held == (order % 7 > 0)).all() and not any(pieces["_ok_day"].to_pylist())
+    values = np.frombuffer(b"".join(pieces["v"].to_pylist()), "f8")
+    assert (values[held] == cell[order][held] / 2).all()
+    assert (np.frombuffer(b"".join(pieces["day"].to_pylist()), "i8") == cell[order]).all()
+    assert peak < 100 * n
+
+
 def test_payload_is_plain_zlib_of_shuffled_bytes():
     block = np.arange(6, dtype="<i2").reshape(2, 3)
     payload = blocks.encode(block, "zlib", 9, True)
