@@ -7,6 +7,7 @@ import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +89,21 @@ def in_bitmap(held: np.ndarray, spots: np.ndarray) -> np.ndarray:
     return (held[spots >> 3] >> (spots & 7)) & 1 == 1
 
 
+def likely_among(keys: DataFrame, *columns: Column) -> Column:
+    """Whether a row whose key is ``columns`` may be among ``keys`` (its columns, in
+    that order): true for all that are, and for few others. Rows that cannot be need
+    no join, so that only the others are shuffled, texts and all."""
+    spark, known = keys.sparkSession, keys.select(*[F.col(c).cast("string") for c in keys.columns])
+    shared = spark.sparkContext.broadcast(id_bitmap(known, *keys.columns))
+
+    @F.pandas_udf("boolean")
+    def among(spots: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(shared.value, spots.to_numpy()))
+
+    # as text, so that types of ids that compare as equal are one
+    return among(id_spot(*[c.cast("string") for c in columns]))
+
+
 def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """doc_id and text of the rows whose doc_id may be among ``ids`` (column
     doc_id): all that are, and few others. Meant before a join that shuffles

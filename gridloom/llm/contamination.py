@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import fold, words
+from gridloom.llm.common import fold, likely_among, words
 from gridloom.session import materialized
 
 MASKS = ("1111", "1101011", "110010101")
@@ -138,5 +138,8 @@ def _met(positions: DataFrame, seeds: DataFrame, window: int) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns, whose document shares no passage."""
     bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_doc_id")).distinct()
+    bad = materialized(bad)
+    likely = likely_among(bad, docs["doc_id"])
     # <=> keeps a null id comparable; the anti join returns columns of docs only
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_doc_id"]), "left_anti")
+    same = docs["doc_id"].eqNullSafe(bad["bad_doc_id"])
+    return docs.where(~likely).unionByName(docs.where(likely).join(bad, same, "left_anti"))

@@ -21,7 +21,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import components, free_shuffles, giving_back, id_bitmap, id_spot, in_bitmap
+from gridloom.llm.common import (
+    components,
+    free_shuffles,
+    giving_back,
+    id_bitmap,
+    id_spot,
+    in_bitmap,
+    likely_among,
+)
 from gridloom.llm.texts import LONG_WORD, blocks, mixed
 from gridloom.session import materialized
 
@@ -482,22 +490,26 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .select(F.col("doc_id").alias("_gone"), F.col("copy").alias("_copy"))
         .distinct()
     )
-    same = (docs["doc_id"] == gone["_gone"]) & (_copy_of(docs) == gone["_copy"])
-    kept = docs.join(gone, same, "left_anti")
     twice = materialized(
         judged.where("doc_id = first_id and copy = first_copy")
         .groupBy(F.col("doc_id").alias("_twice"), F.col("copy").alias("_copy"))
         .count()
         .where("count > 1")
     )
-    if not twice.limit(1).count():
-        return kept
-    same = (kept["doc_id"] == twice["_twice"]) & (_copy_of(kept) == twice["_copy"])
-    number = F.row_number().over(Window.partitionBy("doc_id", _copy_of(kept)).orderBy("doc_id"))
-    place = next(n for n in ("_place", "_place_") if n not in docs.columns)
-    one = kept.join(twice, same, "left_semi").withColumn(place, number)
-    one = one.where(F.col(place) == 1).drop(place)
-    return kept.join(twice, same, "left_anti").unionByName(one)
+    # the texts of most rows, which neither table names, are not shuffled
+    named = gone.union(twice.select("_twice", "_copy"))
+    likely = likely_among(named, docs["doc_id"], _copy_of(docs))
+    near = docs.where(likely)
+    same = (near["doc_id"] == gone["_gone"]) & (_copy_of(near) == gone["_copy"])
+    near = near.join(gone, same, "left_anti")
+    if twice.limit(1).count():
+        same = (near["doc_id"] == twice["_twice"]) & (_copy_of(near) == twice["_copy"])
+        number = F.row_number().over(Window.partitionBy("doc_id", _copy_of(near)).orderBy("doc_id"))
+        place = next(n for n in ("_place", "_place_") if n not in docs.columns)
+        one = near.join(twice, same, "left_semi").withColumn(place, number)
+        one = one.where(F.col(place) == 1).drop(place)
+        near = near.join(twice, same, "left_anti").unionByName(one)
+    return docs.where(~likely).unionByName(near)
 
 
 def _copy_of(docs: DataFrame):

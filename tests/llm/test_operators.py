@@ -23,7 +23,7 @@ from gridloom.llm import (
     toxicity,
     urls,
 )
-from gridloom.llm.common import components
+from gridloom.llm.common import components, likely_among
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -217,6 +217,18 @@ def test_jaccard_links_nodes_alone_in_their_parts(spark, monkeypatch):
     assert got == sorted(brute_jaccard(rows))
 
 
+def test_rows_that_no_key_names_are_not_joined(spark):
+    ids = [(k if k else None, "t") for k in range(1000)]
+    docs = spark.createDataFrame(ids, "doc_id int, text string")
+    keys = spark.createDataFrame([(5,), (999,), (None,)], "bad long")
+    likely = docs.where(likely_among(keys, docs["doc_id"]))
+    found = {r["doc_id"] for r in likely.collect()}
+    assert {5, 999, None} <= found and len(found) < 10
+    two = spark.createDataFrame([(5, 7)], "a long, b long")
+    pair = docs.where(likely_among(two, docs["doc_id"], F.lit(7)))
+    assert {5} <= {r["doc_id"] for r in pair.collect()} and pair.count() < 10
+
+
 def brute_repeats(rows):
     first = {}
     for i, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
