@@ -7,7 +7,6 @@ import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,16 +66,21 @@ def free_shuffles(spark) -> None:
 ID_BITS = 1 << 25  # places of the filter on wanted ids: 4 MB
 
 
-def id_bitmap(keys: DataFrame, *columns: str) -> np.ndarray:
-    """A bitmap of fixed size of the hashes of ``columns``: a filter that lets all
-    wanted keys through and few others. When it fills up, it only drops fewer."""
-    bits = (
+def id_bits(keys: DataFrame, *columns: str) -> DataFrame:
+    """bucket and bits, 4 KB of the bitmap of the hashes of ``columns``: at most 1024
+    rows, none for buckets without a key."""
+    return (
         keys.select(id_spot(*columns).alias("spot"))
         .groupBy(F.expr("spot div 32768").alias("bucket"))
         .agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("bits"))
     )
+
+
+def id_bitmap(keys: DataFrame, *columns: str) -> np.ndarray:
+    """A bitmap of fixed size of the hashes of ``columns``: a filter that lets all
+    wanted keys through and few others. When it fills up, it only drops fewer."""
     held = np.zeros((ID_BITS // 32768, 4096), np.uint8)
-    for row in bits.toLocalIterator():
+    for row in id_bits(keys, *columns).toLocalIterator():
         held[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
     return held.ravel()
 
@@ -92,16 +96,19 @@ def in_bitmap(held: np.ndarray, spots: np.ndarray) -> np.ndarray:
 def likely_among(keys: DataFrame, *columns: Column) -> Column:
     """Whether a row whose key is ``columns`` may be among ``keys`` (its columns, in
     that order): true for all that are, and for few others. Rows that cannot be need
-    no join, so that only the others are shuffled, texts and all."""
-    spark, known = keys.sparkSession, keys.select(*[F.col(c).cast("string") for c in keys.columns])
-    shared = spark.sparkContext.broadcast(id_bitmap(known, *keys.columns))
-
-    @F.pandas_udf("boolean")
-    def among(spots: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(shared.value, spots.to_numpy()))
-
+    no join, so that only the others are shuffled, texts and all. SQL functions only:
+    the bitmap, 4 MB at most, is a scalar subquery."""
     # as text, so that types of ids that compare as equal are one
-    return among(id_spot(*[c.cast("string") for c in columns]))
+    known = keys.select(*[F.col(c).cast("string") for c in keys.columns])
+    held = id_bits(known, *keys.columns).agg(
+        F.map_from_entries(F.collect_list(F.struct("bucket", "bits"))).alias("held")
+    )
+    spot = id_spot(*[c.cast("string") for c in columns])
+    bits = F.element_at(materialized(held).scalar(), F.shiftright(spot, 15))
+    byte = F.substring(bits, F.shiftright(spot.bitwiseAND(32767), 3).cast("int") + 1, 1)
+    byte = F.conv(F.hex(byte), 16, 10).cast("int")
+    bit = F.bit_get(byte, spot.bitwiseAND(7).cast("int"))
+    return F.coalesce(bit == 1, F.lit(False))
 
 
 def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridloom.llm import (
+    common,
     contamination,
     jaccard,
     langid,
@@ -24,6 +25,7 @@ from gridloom.llm import (
     urls,
 )
 from gridloom.llm.common import components, likely_among
+from gridloom.session import materialized
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -354,6 +356,32 @@ def test_contamination_tolerates_substitutions(spark, odd, empty):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_decontamination_runs_no_python(spark, monkeypatch):
+    """Neither what is written on the way nor the result has a Python step in its plan."""
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return materialized(df)
+
+    for module in (contamination, common):
+        monkeypatch.setattr(module, "materialized", noted)
+    text = sentence(random.Random(10), 30)
+    rows = [(1, text), (1, "other"), (2, "a b"), (2, "a b"), (None, "c"), (None, None), (3, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    kept = contamination.without_contaminated(docs, bench)
+    plans.append(kept._jdf.queryExecution().toString())
+    assert {tuple(r) for r in kept.collect()} == {(2, "a b"), (None, "c"), (None, None)}
+    assert kept.count() == 4
+    # a contaminated text without an id takes all rows without one along
+    unnamed = spark.createDataFrame([*rows, (None, text)], "doc_id long, text string")
+    kept = contamination.without_contaminated(unnamed, bench)
+    assert [tuple(r) for r in kept.collect()] == [(2, "a b"), (2, "a b")]
+    plans.append(kept._jdf.queryExecution().toString())
+    assert len(plans) > 8 and not [p for p in plans if re.search("Python|Pandas|Arrow", p)]
+
+
 def test_contamination_beyond_the_broadcast_bound(spark, monkeypatch):
     text = sentence(random.Random(9), 30)
     docs = spark.createDataFrame([(1, "a " + text)], "doc_id long, text string")
