@@ -66,12 +66,12 @@ def free_shuffles(spark) -> None:
 ID_BITS = 1 << 25  # places of the filter on wanted ids: 4 MB
 
 
-def id_bits(keys: DataFrame, *columns: str) -> DataFrame:
+def id_bits(keys: DataFrame, *columns: str, by: tuple[str, ...] = ()) -> DataFrame:
     """bucket and bits, 4 KB of the bitmap of the hashes of ``columns``: at most 1024
-    rows, none for buckets without a key."""
+    rows for each value of ``by``, none for buckets without a key."""
     return (
-        keys.select(id_spot(*columns).alias("spot"))
-        .groupBy(F.expr("spot div 32768").alias("bucket"))
+        keys.select(*by, id_spot(*columns).alias("spot"))
+        .groupBy(*by, F.expr("spot div 32768").alias("bucket"))
         .agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("bits"))
     )
 
@@ -79,10 +79,16 @@ def id_bits(keys: DataFrame, *columns: str) -> DataFrame:
 def id_bitmap(keys: DataFrame, *columns: str) -> np.ndarray:
     """A bitmap of fixed size of the hashes of ``columns``: a filter that lets all
     wanted keys through and few others. When it fills up, it only drops fewer."""
-    held = np.zeros((ID_BITS // 32768, 4096), np.uint8)
-    for row in id_bits(keys, *columns).toLocalIterator():
-        held[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
-    return held.ravel()
+    return id_bitmaps(keys.withColumn("side", F.lit(0)), *columns, sides=1)[0]
+
+
+def id_bitmaps(keys: DataFrame, *columns: str, sides: int) -> list[np.ndarray]:
+    """A bitmap for each value of the column ``side``, 0 to ``sides`` - 1. All parts,
+    4 MB a bitmap, come in one job; row by row, each partition would be one."""
+    held = np.zeros((sides, ID_BITS // 32768, 4096), np.uint8)
+    for row in id_bits(keys, *columns, by=("side",)).collect():
+        held[row["side"], row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
+    return [h.ravel() for h in held]
 
 
 def id_spot(*columns: str) -> Column:

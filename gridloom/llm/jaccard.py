@@ -25,7 +25,7 @@ from gridloom.llm.common import (
     components,
     free_shuffles,
     giving_back,
-    id_bitmap,
+    id_bitmaps,
     id_spot,
     in_bitmap,
     likely_among,
@@ -207,7 +207,7 @@ def _counters(parts: DataFrame) -> np.ndarray:
         if tasks == 1:
             break
     total = np.zeros((SLICES, COUNTERS // SLICES), np.int32)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # 4 MB; row by row, each partition would be a job
         total[row["slice"]] = np.frombuffer(row["counts"], "<i4")
     return total.ravel()
 
@@ -342,11 +342,9 @@ def _sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, form) -> DataF
     node stands there (leads: a, follows: b). Tasks drop
     other documents by bitmaps, so that only sets to be compared are shuffled; a
     stray one meets no pair."""
-    places = nodes.select("node", "doc_id")
-    held = [
-        id_bitmap(places.join(pairs.select(F.col(c).alias("node")).distinct(), "node"), "doc_id")
-        for c in ("a", "b")
-    ]
+    sides = F.posexplode(F.array("a", "b")).alias("side", "node")
+    places = pairs.select(sides).distinct().join(nodes.select("node", "doc_id"), "node")
+    held = id_bitmaps(places, "doc_id", sides=2)
     shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def wanted(batches):

@@ -206,6 +206,34 @@ def test_jaccard_without_the_first_comparisons(spark, monkeypatch):
     assert got == sorted(brute_jaccard(rows))
 
 
+def test_bitmaps_and_counters_come_in_few_jobs(spark):
+    rows = spark.range(4000).selectExpr("id as doc_id", "id % 2 as side")
+    blank = np.zeros(jaccard.COUNTERS // jaccard.SLICES, "<i4")
+    parts = [(t, s, (blank + s).tobytes()) for t in range(3) for s in range(jaccard.SLICES)]
+    parts = materialized(spark.createDataFrame(parts, "task int, slice int, counts binary"))
+    tasks, context = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    context.setJobGroup("bitmaps", "")
+    try:
+        one, two = common.id_bitmaps(rows, "doc_id", sides=2)
+        both = common.id_bitmap(rows, "doc_id")
+        counts = jaccard._counters(parts)
+        jobs = context.statusTracker().getJobIdsForGroup("bitmaps")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(jobs) < 32  # 64 and more for each table that is read row by row
+    assert (counts.reshape(jaccard.SLICES, -1).T == 3 * np.arange(jaccard.SLICES)).all()
+    spots = rows.select("side", common.id_spot("doc_id").alias("at")).collect()
+    for row in spots:
+        at = np.array([row["at"]])
+        assert common.in_bitmap((one, two)[row["side"]], at) and common.in_bitmap(both, at)
+    held = [np.bitwise_count(h).sum() for h in (one, two, both)]
+    assert held == [len({r["at"] for r in spots if r["side"] in s}) for s in ({0}, {1}, {0, 1})]
+
+
 def test_jaccard_links_nodes_alone_in_their_parts(spark, monkeypatch):
     """Every list holds two nodes and has two parts; half of the pairs are split."""
     monkeypatch.setattr(jaccard, "LIST_ROWS", 2)
