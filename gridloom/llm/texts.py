@@ -35,12 +35,25 @@ class Remembered(dict):
         if value is None:
             value = self.work(word)
         if len(word) <= LONG_WORD:
-            if len(self) >= self.kept:
-                self.older = dict(self)
-                self.clear()
-            self[word] = value
+            self._keep(word, value)
         return value
 
+    def _keep(self, word, value):
+        if len(self) >= self.kept:
+            self.older = dict(self)
+            self.clear()
+        self[word] = value
+
+    def lacking(self, words: list) -> list:
+        """Those of the words, each once, that would be worked out and remembered now."""
+        return [w for w in set(words).difference(self)
+                if w not in self.older and len(w) <= LONG_WORD]
+
+    def learn(self, words: list, values: list[bytes]) -> None:
+        """Remember what has been worked out for many words at once."""
+        for word, value in zip(words, values, strict=True):
+            self._keep(word, value)
+
     def joined(self, words: list) -> bytes:
         return b"".join(map(self.__getitem__, words))
 

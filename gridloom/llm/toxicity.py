@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import struct
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -55,15 +56,23 @@ def token_words(text: str) -> list[str]:
     return _TOKEN.findall(text)
 
 
+_HASHES = f"<{1 + len(BEGINNINGS)}I"
+
+
 def _hashes(word: str) -> bytes:
     """32-bit hashes of the word in lower case and, for longer words, of its
     beginnings."""
     word = word.lower()
-    names = ["w" + word] + [f"p{word[:n]}" if n < len(word) else "" for n in BEGINNINGS]
-    return struct.pack(
-        f"<{len(names)}I",
-        *(xxhash.xxh32_intdigest(x.encode("utf-8", "replace")) if x else ABSENT for x in names),
-    )
+    whole = word.encode("utf-8", "replace")
+    size, digest = len(word), xxhash.xxh32_intdigest
+    if len(whole) == size:  # a byte a letter
+        begins = [digest(b"p" + whole[:n]) if n < size else ABSENT for n in BEGINNINGS]
+    else:
+        begins = [
+            digest(b"p" + word[:n].encode("utf-8", "replace")) if n < size else ABSENT
+            for n in BEGINNINGS
+        ]
+    return struct.pack(_HASHES, digest(b"w" + whole), *begins)
 
 
 def _messages(emission: np.ndarray, first: np.ndarray, transition, start):
@@ -128,19 +137,32 @@ class Tagger:
         self.known = Remembered(self._emission)
 
     def _emission(self, word: str) -> bytes:
-        own, features = np.frombuffer(_hashes(word), "<u4"), self.model.features
+        return self._emissions([word])[0]
+
+    def _emissions(self, words: list[str]) -> list[bytes]:
+        own = np.frombuffer(b"".join(map(_hashes, words)), "<u4").reshape(len(words), -1)
+        features = self.model.features
         at = np.minimum(np.searchsorted(features, own), len(features) - 1)
-        return struct.pack("<f", self.model.emission[at][features[at] == own].sum())
+        each = np.where(features[at] == own, self.model.emission[at], np.float32(0))
+        raw = each.sum(axis=1, dtype="<f4").tobytes()
+        return [raw[k : k + 4] for k in range(0, len(raw), 4)]
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         found, held, size = [], [], 0
         for text in texts:
-            held.append(np.frombuffer(self.known.joined(token_words(text)) if text else b"", "<f4"))
+            held.append(token_words(text) if text else [])
             size += len(held[-1])
             if size >= TOKENS:
-                found += self._marginals(held)
+                found += self._marginals(self._looked_up(held))
                 held, size = [], 0
-        return found + self._marginals(held)
+        return found + self._marginals(self._looked_up(held))
+
+    def _looked_up(self, held: list[list[str]]) -> list[np.ndarray]:
+        """Emissions of texts; words not met lately are looked up in the model together."""
+        new = self.known.lacking(list(chain.from_iterable(held)))
+        if new:
+            self.known.learn(new, self._emissions(new))
+        return [np.frombuffer(self.known.joined(words), "<f4") for words in held]
 
     def _marginals(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
         ends = np.cumsum([len(e) for e in emissions])

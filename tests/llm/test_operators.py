@@ -713,6 +713,37 @@ def test_spans_beside_letters_whose_lower_case_is_longer():
     assert [text[s["start"] : s["end"]] for s in spans] == ["GRUMBLE", "grumble"]
 
 
+def test_new_words_are_looked_up_in_the_model_together(monkeypatch):
+    def plain(word):
+        word = word.lower()
+        names = ["w" + word] + [f"p{word[:n]}" for n in toxicity.BEGINNINGS if n < len(word)]
+        return [toxicity.xxhash.xxh32_intdigest(x.encode("utf-8", "replace")) for x in names]
+
+    rng = random.Random(8)
+    words = [*sentence(rng, 3000).split(), *sentence(rng, 300, "äßéİ日本語").split()]
+    words += ["İSTANBUL", "x" * 65, "y" * 300, "Grumbling", "ab\ud800cdefg"]
+    for word in words:
+        own = np.frombuffer(toxicity._hashes(word), "<u4")
+        assert [h for h in own if h != toxicity.ABSENT] == plain(word)
+    words = words[:-1]  # half a letter is no token
+    weights = {h: np.float32(rng.gauss(0, 1)) for w in words[::2] for h in plain(w)}
+    names = np.array(sorted(weights), "<u4")
+    model = toxicity.Model(
+        names, np.array([weights[h] for h in names], "f4"), np.ones((2, 2)), np.ones(2), np.zeros(3)
+    )
+    tagger, seen, asked, search = toxicity.Tagger(model), [], [], np.searchsorted
+    tagger.known.kept = 500  # words are forgotten and worked out again
+    monkeypatch.setattr(tagger, "_marginals", lambda held: seen.extend(held) or held)
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **b: asked.append(1) or search(*a, **b))
+    tagger([" ".join(words[k : k + 50]) for k in range(0, 1500, 50)] + [None, ""])
+    tagger.known.kept = 1 << 19
+    asked.clear()
+    tagger([" ".join(words[k : k + 50]) for k in range(1500, len(words), 50)])
+    assert len(asked) <= 3  # the two long words are not remembered
+    want = [[sum((weights.get(h, np.float32(0)) for h in plain(w)), np.float32(0)) for w in words]]
+    assert np.array_equal(np.concatenate(seen), np.concatenate(want).astype("f4"))
+
+
 def test_chain_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     model = toxicity.Model(
