@@ -1,20 +1,37 @@
 """A training corpus from raw documents, in stages.
 
 Every stage takes (spark, docs, sf_dir) and returns the documents it keeps; the
-last one packs them. What a stage returns is written before the next one reads it.
+last one packs them. What a stage returns is written before the next one reads it:
+by the stage itself, in small batches, where its last step runs in Python.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import contamination, jaccard, packing, surrogates, toxicity
 from gridloom.llm.common import table
 from gridloom.llm.queries import surrogate_key
-from gridloom.session import materialized
+from gridloom.session import materialized, small_batches
+
+
+def written(stage):
+    """The stage with its result written while Arrow batches are small, so that its
+    workers' memory does not depend on how many rows Spark sends at once."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with small_batches(spark):
+            return materialized(stage(spark, docs, sf_dir))
+
+    run_stage.written = True
+    return run_stage
 
 
+@written
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
@@ -22,7 +39,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
-    return jaccard.one_of_each(docs)
+    with small_batches(spark):  # of its own jobs; its last step is a join
+        return jaccard.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +48,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return contamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@written
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gets surrogates; n_chars follows the text."""
     out = surrogates.pseudonymized(docs, surrogate_key(spark)).select(*docs.columns)
@@ -39,6 +58,7 @@ def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return out.withColumn("n_chars", size)
 
 
+@written
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of the remaining documents."""
     return packing.pack_documents(docs)
@@ -59,5 +79,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialized(stage(spark, docs, sf_dir))
+        docs = stage(spark, docs, sf_dir)
+        if not getattr(stage, "written", False):
+            docs = materialized(docs)
     return docs

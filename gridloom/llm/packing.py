@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import giving_back
-from gridloom.llm.texts import Remembered, blocks, space_words
+from gridloom.llm.texts import KEPT_WORDS, Remembered, blocks, space_words
 
 CAPACITY = 4096
 POOL_TOKENS = 1 << 21  # waiting tokens at which a task packs
@@ -158,8 +158,10 @@ _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 # Fixed value: the splitter of the vocabulary, for the characters of _PLAIN.
 _PARTS = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]"
-    "|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+"
+    "|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9 \t\n\r]+"
 )
+# Something else than _PLAIN and the white space that words are split at.
+_ODD = re.compile("[^!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff \t\n\r]")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -172,7 +174,9 @@ def _byte_letters() -> dict[int, int]:
 def token_encoder(path: str):
     """Text to token ids (little-endian unsigned 32 bits), equal to encoding the
     whole text: the vocabulary's splitter never joins across white space, so
-    every distinct word is encoded once, and plain words part by part."""
+    every distinct word is encoded once, and plain words part by part. Plain texts
+    are split to parts at once: their words, of which there are many more, are not
+    remembered."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -184,15 +188,21 @@ def token_encoder(path: str):
             part = part.encode().decode("latin-1").translate(letters)
         return array("I", [t.id for t in merge(part)]).tobytes()
 
-    parts = Remembered(part_ids)
+    parts = Remembered(part_ids, KEPT_WORDS // 4)
 
     def word_ids(word: str) -> bytes:
         if _PLAIN.fullmatch(word) and "<|" not in word:  # special tokens are left alone
             return parts.joined(_PARTS.findall(word.lower()))
         return array("I", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    known = Remembered(word_ids)
-    return lambda text: b"".join(known.joined(space_words(part)) for part in blocks(text))
+    known = Remembered(word_ids, KEPT_WORDS // 4)  # of texts that are not plain
+
+    def block_ids(block: str) -> bytes:
+        if "<|" in block or _ODD.search(block):
+            return known.joined(space_words(block))
+        return parts.joined(_PARTS.findall(block.lower()))
+
+    return lambda text: b"".join(map(block_ids, blocks(text)))
 
 
 def pack_documents(

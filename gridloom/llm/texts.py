@@ -35,14 +35,15 @@ class Remembered(dict):
         if value is None:
             value = self.work(word)
         if len(word) <= LONG_WORD:
-            self._keep(word, value)
+            if len(self) >= self.kept:
+                self._age()
+            self[word] = value
         return value
 
-    def _keep(self, word, value):
-        if len(self) >= self.kept:
-            self.older = dict(self)
-            self.clear()
-        self[word] = value
+    def _age(self):
+        self.older = None  # given up before the copy: two lots at once, not three
+        self.older = dict(self)
+        self.clear()
 
     def lacking(self, words: list) -> list:
         """Those of the words, each once, that would be worked out and remembered now."""
@@ -52,7 +53,9 @@ class Remembered(dict):
     def learn(self, words: list, values: list[bytes]) -> None:
         """Remember what has been worked out for many words at once."""
         for word, value in zip(words, values, strict=True):
-            self._keep(word, value)
+            if len(self) >= self.kept:
+                self._age()
+            self[word] = value
 
     def joined(self, words: list) -> bytes:
         return b"".join(map(self.__getitem__, words))

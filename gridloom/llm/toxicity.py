@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import giving_back, small_side
 from gridloom.llm.langid import fold_of
-from gridloom.llm.texts import Remembered
+from gridloom.llm.texts import KEPT_WORDS, Remembered
 
 BEGINNINGS = (4, 5, 6)  # letters of a longer word that are features of their own
 ABSENT = 0xFFFFFFFF
@@ -134,7 +134,7 @@ class Tagger:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known = Remembered(self._emission)
+        self.known = Remembered(self._emission, KEPT_WORDS // 4)  # looked up many at a time
 
     def _emission(self, word: str) -> bytes:
         return self._emissions([word])[0]
@@ -185,7 +185,7 @@ def _sigmoid(x):
 
 
 def _fit(texts: list[str], toxic: np.ndarray) -> Model:
-    known, width = Remembered(_hashes), 1 + len(BEGINNINGS)
+    known, width = Remembered(_hashes, KEPT_WORDS // 4), 1 + len(BEGINNINGS)
     # all that is kept of a document's tokens: their hashes
     docs = [np.frombuffer(known.joined(token_words(t)), "<u4").reshape(-1, width) for t in texts]
     counted = []

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -343,6 +344,32 @@ def test_packing_round_trip(spark, odd, empty):
     assert packing.pack_documents(odd).count() >= odd.count()
 
 
+def test_encoder_equals_the_vocabulary_on_plain_and_odd_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, encode = Tokenizer.from_file(path), packing.token_encoder(path)
+    rng = random.Random(11)
+    pieces = ["it's", "'", "''S", "s", "!'ll", "don't", "'re", "x", "42", "<", "|", "<|endoftext|>",
+              "ÀÉ", "ß", "×", "日本", "$$$,", "’s", "A1b2", " ", "  ", "\t", "\r\n", "\n", "\x0b", "\xa0"]
+    for _ in range(1500):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 12)))
+        want = np.array(own.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encode(text) == want, text
+
+
+def test_encoder_does_not_hold_every_distinct_word():
+    rng = random.Random(12)
+    parts = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(300)]
+    encode = packing.token_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    tracemalloc.start()
+    try:
+        for a in parts:
+            encode(" ".join(f"{a}-{b}" for b in parts))  # 90,000 different words
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert held < 2_000_000
+
+
 def test_best_fill_is_the_best_sum():
     rng = random.Random(4)
     for _ in range(200):

@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline's stages."""
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -33,3 +34,25 @@ def test_stages_keep_the_columns_and_lose_only_what_they_should(spark):
     assert counts[-1] > 0.6 * counts[0] and counts[3] == counts[4]
     packed = docs.selectExpr("count(distinct doc_id)").first()[0]
     assert packed == counts[-1]
+
+
+@pytest.mark.parametrize("operator", ["toxicity.without_toxic", "packing.pack_documents"])
+def test_stages_send_texts_in_small_batches(spark, monkeypatch, operator):
+    # 6000 rows of 4000 bytes: one Arrow batch of 24 MB by Spark's bounds
+    docs = spark.range(0, 6000, 1, 1).selectExpr("id as doc_id", "repeat('word', 1000) as text")
+
+    def sizes(docs, *_):
+        def size(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+        return docs.mapInArrow(size, "bytes long")
+
+    module, name = operator.split(".")
+    monkeypatch.setattr(getattr(corpus_pipeline, module), name, sizes)
+    stage = {"toxicity": corpus_pipeline.toxicity_stage, "packing": corpus_pipeline.packing_stage}[module]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    found = [r["bytes"] for r in stage(spark, docs, SF).collect()]
+    assert sum(found) > 24_000_000 and max(found) < 5_000_000
+    assert spark.conf.get(key) == before
