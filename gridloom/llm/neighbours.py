@@ -13,21 +13,25 @@ vectors of a label are compared with each other in blocks.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import components
+from gridloom.llm.common import components, giving_back
 from gridloom.session import materialized
 
 THRESHOLD = 0.98
 NEIGHBOURS = 10
 TREES, LEAF, LEAF_ROWS = 4, 64, 256  # leaves hold about LEAF rows and are split at LEAF_ROWS
 ROUNDS = 2
-BLOCK = 256  # rows of a block of a component or of the audit
+BLOCK = 256  # rows of a block of a component (up to eight times as many) or of the audit
 AUDIT_EVERY, RECALL, ATTEMPTS = 50, 0.95, 4
+GROUP_ROWS = 16_384  # rows of small groups that a task looks at together
+GROUP_SIMS = 1 << 18  # similarities that it holds at once
 _EDGE = "src long, dst long, sim double, joined boolean"
 
 
@@ -47,14 +51,16 @@ def _vectors(rows: DataFrame) -> DataFrame:
 
     def unit(batches):
         for batch in batches:
-            vecs = []
-            for v in batch.column(2):
-                x = np.asarray(v.as_py(), float)
-                x = x / np.abs(x).max()  # keeps squares finite
-                vecs.append(x / np.linalg.norm(x))
+            lengths = np.diff(batch.column(2).offsets.to_numpy())
+            flat = np.empty(lengths.sum())
+            for _, rows, x in _by_length(batch.column(2)):
+                x = x / np.abs(x).max(axis=1, keepdims=True)  # keeps squares finite
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                flat[np.repeat(np.isin(np.arange(len(lengths)), rows), lengths)] = x.ravel()
+            offsets = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(v) for v in vecs], pa.int32()),
-                 pa.array(vecs, pa.list_(pa.float64())), batch.column(3), batch.column(4)],
+                [batch.column(0), batch.column(1), pa.array(lengths.astype(np.int32)),
+                 pa.ListArray.from_arrays(offsets, pa.array(flat)), batch.column(3), batch.column(4)],
                 names=["node", "label", "dim", "vec", "copies", "asked"],
             )
 
@@ -69,12 +75,23 @@ def _node():
     return F.xxhash64("label", "embedding").alias("node")
 
 
+def _by_length(vecs: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Every length of the vectors of a list column: its rows, and them as a matrix."""
+    lengths = np.diff(vecs.offsets.to_numpy())
+    flat = vecs.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+    for dim in np.unique(lengths).tolist():
+        own = lengths == dim
+        x = flat if own.all() else flat[np.repeat(own, lengths)]
+        yield dim, np.flatnonzero(own), x.reshape(-1, dim)
+
+
 def _roots(near: np.ndarray) -> np.ndarray:
-    """The first row of every row's component of a small group."""
-    root = np.arange(len(near))
+    """The first row of every row's component, in each of many small groups."""
+    rows = near.shape[1]
+    root = np.broadcast_to(np.arange(rows), near.shape[:2])
     while True:
-        low = np.minimum(root, np.where(near, root[None, :], len(near)).min(axis=1))
-        low = low[low]
+        low = np.minimum(root, np.where(near, root[:, None, :], rows).min(axis=2))
+        low = np.take_along_axis(low, low, axis=1)
         if (low == root).all():
             return root
         root = low
@@ -83,35 +100,123 @@ def _roots(near: np.ndarray) -> np.ndarray:
 def _joins(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """What holds the components of a group together."""
     x, ids = np.stack(pdf["vec"].to_numpy()), pdf["node"].to_numpy()
-    return _ties(ids, _roots(x @ x.T >= threshold), threshold)
-
-
-def _ties(ids: np.ndarray, root: np.ndarray, threshold: float) -> pd.DataFrame:
+    root = _roots((x @ x.T >= threshold)[None])[0]
     tied = np.flatnonzero(root != np.arange(len(root)))
     return pd.DataFrame({"src": ids[root[tied]], "dst": ids[tied], "sim": threshold, "joined": True})
 
 
-def _meet(pdf: pd.DataFrame, keep: int, threshold: float) -> pd.DataFrame:
-    """The nearest rows of every row of a small group, and the nearest outside its
-    own component there; then (joined) what holds the group's components
-    together, at most one row for each of its rows."""
-    x = np.stack(pdf["vec"].to_numpy())
-    sims = x @ x.T
-    np.fill_diagonal(sims, -2)
-    k = min(keep, len(x) - 1)
-    if k < 1:
-        return pd.DataFrame({"src": [], "dst": [], "sim": [], "joined": []})
-    ids, root = pdf["node"].to_numpy(), _roots(sims >= threshold)
-    own = np.flatnonzero(np.bincount(root, minlength=len(x))[root] > 1)
-    outside = np.where(root[own, None] == root[None, :], -2, sims[own])
-    found = []
-    for rows, some in ((np.arange(len(x)), sims), (own, outside)):
-        at = np.argpartition(-some, k - 1, axis=1)[:, :k]
-        sim = np.take_along_axis(some, at, axis=1).ravel()
-        pairs = pd.DataFrame({"src": ids[np.repeat(rows, k)], "dst": ids[at.ravel()], "sim": sim})
-        found.append(pairs[sim > -2].assign(joined=False))
-    found.append(_ties(ids, root, threshold))
-    return pd.concat([f for f in found if len(f)])
+def _meet(
+    ids: np.ndarray, x: np.ndarray, there: np.ndarray, worst: np.ndarray, keep: int, threshold: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """Many small groups of one size at once (group, row, entry), padded with rows that
+    are not ``there``: the nearest rows of every row of a group, and the nearest outside
+    its own component there, as far as they are nearer than its ``worst``; then (joined)
+    what holds the group's components together, at most one row for each of its rows."""
+    groups, rows = there.shape
+    sims = x @ x.transpose(0, 2, 1)
+    sims[np.broadcast_to(~there[:, None, :], sims.shape)] = -2
+    sims[:, np.arange(rows), np.arange(rows)] = -2
+    near = sims >= threshold
+    near &= there[:, :, None]
+    root = np.tile(np.arange(rows), (groups, 1))
+    some = np.flatnonzero(near.any(axis=(1, 2)))
+    if len(some):
+        root[some] = _roots(near[some])
+    group, row = np.nonzero(there)
+    yield from _nearest(ids, group, row, sims[group, row], worst, keep)
+    sizes = np.zeros((groups, rows), np.int64)
+    np.add.at(sizes, (group, root[group, row]), 1)
+    own = there & (np.take_along_axis(sizes, root, axis=1) > 1)
+    group, row = np.nonzero(own)
+    if len(group):
+        outside = np.where(root[group] == root[group, row][:, None], -2, sims[group, row])
+        yield from _nearest(ids, group, row, outside, worst, keep)
+    group, row = np.nonzero(there & (root != np.arange(rows)))
+    if len(group):
+        src, dst = ids[group, root[group, row]], ids[group, row]
+        yield src, dst, np.full(len(src), float(threshold)), True
+
+
+def _nearest(ids, group, row, sims, worst, keep: int):
+    """The ``keep`` nearest of each row, as far as they are nearer than its worst."""
+    k = min(keep, sims.shape[1] - 1)
+    at = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+    sim = np.take_along_axis(sims, at, axis=1)
+    each, place = np.nonzero((sim > -2) & (sim > worst[group, row][:, None]))
+    if len(each):
+        group, row = group[each], row[each]
+        yield ids[group, row], ids[group, at[each, place]], sim[each, place], False
+
+
+def _met(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """What meets inside the groups of ``keys``, which are small: node, vec, and worst,
+    where a row wants nearer ones only. Rows of a group lie together, and a task looks
+    at many groups at once."""
+    if "worst" not in rows.columns:
+        rows = rows.withColumn("worst", F.lit(-2.0))
+
+    def meet(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        nodes, worst = (table.column(c).to_numpy() for c in ("node", "worst"))
+        sizes = np.diff(np.append(starts, table.num_rows))
+        found = []
+        for _, mine, x in _by_length(table.column("vec").combine_chunks()):
+            place = np.zeros(table.num_rows, np.int64)
+            place[mine] = np.arange(len(mine))
+            own = np.isin(starts, mine) & (sizes > 1)  # the vectors of a group are of one length
+            padded = np.where(own, -(-sizes // 8) * 8, 0)
+            for wide in np.unique(padded[own]).tolist():
+                groups = np.flatnonzero(padded == wide)
+                step = max(1, GROUP_SIMS // (wide * wide))
+                for lo in range(0, len(groups), step):
+                    some = groups[lo : lo + step]
+                    there = np.arange(wide) < sizes[some][:, None]
+                    at = starts[some][:, None] + np.where(there, np.arange(wide), 0)
+                    some_x = x[place[at]]
+                    found += _meet(nodes[at], some_x, there, worst[at], NEIGHBOURS, threshold)
+        for src, dst, sim, joined in found:
+            tied = pa.array(np.full(len(src), joined))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(src), pa.array(dst), pa.array(sim), tied], names=["src", "dst", "sim", "joined"]
+            )
+
+    dealt = rows.select(*keys, "node", "vec", "worst").repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(giving_back(_in_groups(keys, meet)), _EDGE)
+
+
+def _in_groups(
+    keys: list[str], body: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """mapInArrow body over rows sorted by ``keys``: ``body`` gets about GROUP_ROWS rows
+    of whole groups, and where each group starts."""
+
+    def starts_of(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for key in keys:
+            codes = table.column(key).combine_chunks().dictionary_encode().indices.to_numpy()
+            new[1:] |= codes[1:] != codes[:-1]
+        return np.flatnonzero(new)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < GROUP_ROWS:
+                continue
+            table = pa.Table.from_batches(held)
+            starts = starts_of(table)
+            if len(starts) > 1:  # the last group may go on
+                yield from body(table.slice(0, starts[-1]), starts[:-1])
+                table = table.slice(starts[-1])
+            held, rows = table.to_batches(), table.num_rows
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from body(table, starts_of(table))
+
+    return run
 
 
 def _from_trees(vectors: DataFrame, seed: int, threshold: float) -> DataFrame:
@@ -123,21 +228,20 @@ def _from_trees(vectors: DataFrame, seed: int, threshold: float) -> DataFrame:
     def place(batches):
         planes: dict = {}
         for batch in batches:
-            node, vec, depth = (batch.column(k) for k in (0, 1, 2))
-            leaf, tree = [], []
-            for v, d in zip(vec, depth.to_pylist()):
-                v = np.asarray(v.as_py())
+            depth = batch.column(2).to_numpy()
+            leaf = np.zeros((batch.num_rows, TREES), np.int64)
+            for dim, rows, x in _by_length(batch.column(1)):
+                cut = np.arange(62) < depth[rows][:, None]
                 for t in range(TREES):
-                    key = (len(v), t)
-                    if key not in planes:
-                        rng = np.random.default_rng([seed, t, len(v)])
-                        planes[key] = rng.standard_normal((62, len(v)))
-                    leaf.append(int(((planes[key][:d] @ v) > 0) @ (1 << np.arange(d))) if d else 0)
-                    tree.append(t)
+                    if (dim, t) not in planes:
+                        rng = np.random.default_rng([seed, t, dim])
+                        planes[dim, t] = rng.standard_normal((62, dim))
+                    leaf[rows, t] = ((x @ planes[dim, t].T > 0) & cut) @ (1 << np.arange(62))
             take = pa.array(np.repeat(np.arange(batch.num_rows), TREES))
+            tree = np.tile(np.arange(TREES, dtype=np.int32), batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k).take(take) for k in (0, 1, 3, 4)),
-                 pa.array(tree, pa.int32()), pa.array(leaf, pa.int64())],
+                 pa.array(tree), pa.array(leaf.ravel())],
                 names=["node", "vec", "label", "dim", "tree", "leaf"],
             )
 
@@ -149,9 +253,7 @@ def _from_trees(vectors: DataFrame, seed: int, threshold: float) -> DataFrame:
     counted = placed.groupBy(*leaves).agg(F.count("*").alias("rows"))
     part = F.expr(f"pmod(xxhash64(node, tree, {seed}), cast(ceil(rows / {LEAF_ROWS}) as bigint))")
     parted = placed.join(counted, leaves).withColumn("part", part)
-    return parted.groupBy(*leaves, "part").applyInPandas(
-        lambda pdf: _meet(pdf, NEIGHBOURS, threshold), _EDGE
-    )
+    return _met(parted, [*leaves, "part"], threshold)
 
 
 def _top(edges: DataFrame, roots: DataFrame) -> DataFrame:
@@ -189,13 +291,7 @@ def _refined(graph: DataFrame, vectors: DataFrame, threshold: float) -> DataFram
         F.expr(f"if(count_if(out) < {NEIGHBOURS}, -2D, min(sim))").alias("worst")
     )
     met = members.join(vectors.select("node", "vec").join(worst, "node"), "node")
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _meet(pdf, NEIGHBOURS, threshold)
-        worst = dict(zip(pdf["node"], pdf["worst"]))
-        return found[found["joined"].astype(bool) | (found["sim"] > found["src"].map(worst))]
-
-    return met.groupBy("pivot").applyInPandas(meet, _EDGE)
+    return _met(met, ["pivot"], threshold)
 
 
 def _grown(roots: DataFrame | None, met: DataFrame) -> tuple[DataFrame, bool]:
@@ -218,7 +314,9 @@ def _links_in_components(
     """node and linked: rows other than its copies within the threshold, counted
     by comparing blocks of each component. Only counts leave a comparison."""
     rows = vectors.join(roots, "node").select("node", "root", "vec", "copies")
-    sizes = roots.groupBy("root").agg(F.expr(f"cast(ceil(count(*) / {BLOCK}) as int)").alias("blocks"))
+    # a vector is copied once for each block: larger blocks where a component is large
+    size = f"greatest({BLOCK}, least({8 * BLOCK}, count(*) / 16))"
+    sizes = roots.groupBy("root").agg(F.expr(f"cast(ceil(count(*) / {size}) as int)").alias("blocks"))
     blocked = rows.join(sizes, "root").withColumn("own", F.expr("pmod(xxhash64(node), blocks)"))
     pairs = blocked.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr(
         "root", "least(own, other) as i", "greatest(own, other) as j", "own", "node", "vec", "copies"

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -507,6 +508,76 @@ def test_near_vectors_of_full_lists_join(spark):
     assert {(r["n_links"], r["component_id"]) for r in got} == {(39, 0)}
 
 
+def test_neighbourhoods_meet_many_at_a_time(spark, monkeypatch):
+    """One round against plain Python, over vectors of two lengths; no call for each group."""
+    rng = np.random.default_rng(7)
+    x = {k: rng.normal(size=3 + 2 * (k % 2)) for k in range(400)}
+    for k in range(0, 400, 20):  # some near ones, of both lengths
+        x[k + 4], x[k + 6], x[k + 5] = x[k] + 1e-3, x[k] - 1e-3, x[k + 1] * 1.01 + 1e-3
+    x = {k: v / np.linalg.norm(v) for k, v in x.items()}
+    graph = {(k, (k + step) % 400) for k in range(400) for step in (2, 4, 6, 8 + 2 * int(rng.integers(0, 190)))}
+    graph = {(a, b, float(x[a] @ x[b]), bool(a % 3)) for a, b in graph if a != b}
+    monkeypatch.setattr(neighbours, "NEIGHBOURS", 3)
+    vectors = spark.createDataFrame(
+        [(k, [float(c) for c in v]) for k, v in x.items()], "node long, vec array<double>"
+    )
+    edges = spark.createDataFrame(sorted(graph), "src long, dst long, sim double, out boolean")
+    found = neighbours._refined(edges, vectors, 0.98)
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    got = found.collect()
+
+    best = {(r["dst"], r["src"]) for r in neighbours._best_of(edges, "dst", "src").collect()}
+    worst, groups, want, ties = {}, {}, set(), set()
+    for a in x:
+        own = [(sim, out) for src, _, sim, out in graph if src == a]
+        worst[a] = -2 if sum(out for _, out in own) < 3 else min(sim for sim, _ in own)
+    for a, b in {(a, b) for a, b, *_ in graph} | best | {(a, a) for a in x}:
+        groups.setdefault(a, set()).add(b)
+    for members in groups.values():
+        sims = {(a, b): float(x[a] @ x[b]) for a in members for b in members if a != b}
+        root = {a: a for a in members}
+        for _ in members:
+            for (a, b), sim in sims.items():
+                if sim >= 0.98:
+                    root[a] = root[b] = min(root[a], root[b])
+        ties |= {(a, root[a]) for a in members if root[a] != a}
+        for a in members:
+            others = [b for b in members if b != a]
+            outside = [b for b in others if root[b] != root[a]]
+            for some in (others, outside if len(outside) < len(others) else []):
+                some = sorted(some, key=lambda b: -sims[a, b])[:3]
+                want |= {(a, b) for b in some if sims[a, b] > worst[a]}
+    assert {(r["src"], r["dst"]) for r in got if not r["joined"]} == want
+    assert all(abs(r["sim"] - x[r["src"]] @ x[r["dst"]]) < 1e-12 for r in got if not r["joined"])
+    assert roots_of(x, {(r["src"], r["dst"]) for r in got if r["joined"]}) == roots_of(x, ties) != {a: a for a in x}
+
+
+def roots_of(nodes, pairs):
+    root = {a: a for a in nodes}
+    for _ in nodes:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def test_groups_stay_whole_across_batches(monkeypatch):
+    monkeypatch.setattr(neighbours, "GROUP_ROWS", 50)
+    keys = np.repeat(np.arange(60), np.arange(60) % 7 + 1)
+    whole = pa.table({"label": np.where(keys < 30, "a", "b"), "leaf": keys % 30, "at": np.arange(len(keys))})
+    seen, calls = [], 0
+
+    def body(table, starts):
+        nonlocal calls
+        calls += 1
+        parts = np.split(table.column("at").to_numpy(), starts[1:])
+        seen.extend(p.tolist() for p in parts)
+        yield from ()
+
+    run = neighbours._in_groups(["label", "leaf"], body)
+    assert list(run(iter(whole.to_batches(max_chunksize=13)))) == []
+    assert seen == [np.flatnonzero(keys == k).tolist() for k in range(60)] and 1 < calls < 10
+
+
 def test_pairs_lost_beside_a_large_group_are_found(spark, monkeypatch):
     """Searches that never meet a pair: the large group does not make up for it."""
     rng = np.random.default_rng(4)
