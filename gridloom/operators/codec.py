@@ -4,7 +4,7 @@ Packing has one shuffle, also for variables over different dims. Map tasks first
 gather the cells of a box they have seen into compact binary pieces (an int32
 position and the values of each variable), so what is shuffled and sorted is a few
 rows per box instead of one row per cell. A group is one box of a bounded number of
-elements of one set of arrays.
+elements of one set of arrays, or several small ones.
 """
 
 from collections.abc import Iterator
@@ -28,6 +28,9 @@ MAX_BOX_ELEMENTS = 8 * 1024 * 1024
 # Dense bytes one task packs and writes: a larger shard or file gets several
 # writers. Less data is spread over the shuffle partitions, down to the smaller.
 WRITER_BYTES = (32 * 1024 * 1024, 256 * 1024 * 1024)
+# Elements of small boxes that are packed in one call: each call costs more than
+# such a box.
+BUNDLE_ELEMENTS = 256 * 1024
 # Cells gathered in a map task before its pieces are sent on.
 GATHER_ROWS = 1_000_000
 # Cells per Arrow batch when boxes are expanded again.
@@ -227,6 +230,19 @@ def _dense(table, var: str, held: str, dtype: str, box, inside, fill):
     return blocks.scatter(box, inside, dtype, fill, pieces)
 
 
+def _each_box(table: pa.Table) -> Iterator[pa.Table]:
+    """The pieces of each box, in one table of several."""
+    box = table.column("_box").to_numpy()
+    if (box == box[0]).all():
+        yield table
+        return
+    order = np.argsort(box, kind="stable")
+    starts = np.flatnonzero(np.diff(box[order], prepend=-1)).tolist()
+    table = table.take(pa.array(order)).combine_chunks()
+    for start, end in zip(starts, [*starts[1:], len(box)]):
+        yield table.slice(start, end - start)
+
+
 def _place(table: pa.Table, by, dims) -> dict:
     names = [*by, *(f"o_{d}" for d in dims), *(f"n_{d}" for d in dims)]
     return {c: table.column(c)[0].as_py() for c in names}
@@ -243,10 +259,16 @@ def _inside(place: dict, dims) -> tuple[slice, ...]:
 
 
 def _pack(by, parts, every_dim, codec, level, shuffle, drop_empty, strict):
-    """Grouped-map body: the pieces of one box to one row per variable."""
+    """Grouped-map body: the pieces of a few boxes to one row per box and variable."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
+        rows = []
+        for table in _each_box(pa.Table.from_batches(list(batches))):
+            rows += pack_box(table)
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    def pack_box(table: pa.Table) -> list[dict]:
         part = parts[table.column("_part")[0].as_py()]
         grid, dims = part["grid"], part["grid"].dims
         place = _place(table, by, dims) | {"shard": table.column("shard")[0].as_py()}
@@ -281,8 +303,7 @@ def _pack(by, parts, every_dim, codec, level, shuffle, drop_empty, strict):
                     raise
                 row |= {"n_cells": 0, "n_present": 0, "error": str(exc)}
             rows.append(row)
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        return rows
 
     whole = pa.int64()
     schema = pa.schema(
@@ -444,6 +465,7 @@ def encode_arrays(
         some = _gathered(cells, box, given.variables, by, sizes, files, not drop_empty)
         some = some.selectExpr("*", f"{_shard_label(given.grid)} AS shard", f"{k} AS _part")
         some = some.selectExpr("*", f"pmod(hash(_box), {writers}) AS _writer")
+        some = some.selectExpr("*", f"_box div {max(1, BUNDLE_ELEMENTS // box.elements)}L AS _bundle")
         pieces = some if pieces is None else pieces.unionByName(some, allowMissingColumns=True)
         parts.append(
             {
@@ -457,7 +479,7 @@ def encode_arrays(
     place = [*by, "_part", "shard", "_writer"]
     packed = (
         pieces.repartition(tasks, *place)
-        .groupBy(*place, "_box")
+        .groupBy(*place, "_bundle")
         .applyInArrow(
             _pack(by, parts, dims, codec, level, shuffle, drop_empty, strict),
             chunk_schema([(name, "string") for name in by], dims),

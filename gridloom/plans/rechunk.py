@@ -13,17 +13,18 @@ from gridloom.operators.boxes import Boxes
 from gridloom.operators.codec import MAX_BOX_ELEMENTS, encode_arrays, every_dim, fills_of
 from gridloom.operators.selecting import strip_global_attrs
 from gridloom.plans.store import coordinate
-from gridloom.session import materialized, scratch_folder
-from gridloom.sinks.chunks import replace_files
-from gridloom.sinks.commits import describe, put_set_record
+from gridloom.session import few_listers, materialized
+from gridloom.sinks.chunks import KEPT, packed, replace_files
+from gridloom.sinks.commits import describe, file_system, forget_folder, put_set_record, set_record
 from gridloom.sinks.results import RunFailed, file_results
 from gridloom.sources.ledger import counted
 from gridloom.sources.store import read_chunks
 
 BY = ("dataset", "file")
 _ATTRIBUTES = "_attributes"
-# Files a task writes one after another where their bytes do not matter.
-TASK_FILES = 100
+_DESCRIBED = "scope string, key string, value string, dataset string, file string"
+# Files whose attributes, a few rows each, one task writes.
+TASK_FILES = 10_000
 
 
 def _expected(arrays, sizes: DataFrame) -> DataFrame:
@@ -96,35 +97,55 @@ def rechunk(
         if lost is not None:
             raise RunFailed(f"{lost['file']} was not read: {lost['error'] or 'no such input'}")
         try:
-            replace_files(encoded, out, BY)
+            replace_files(packed(encoded), out, BY)
         except PySparkException as exc:
             raise RunFailed(str(exc)) from exc
         good = sizes.select(*BY)
         written = read_chunks(spark, out, dims, BY).join(good, list(BY), "semi")
         results = file_results(work, _data_only(written, arrays), expected, ledger)
     else:
-        staged = replace_files(encoded, scratch_folder(spark, "staged"), BY)
-        chunks = read_chunks(spark, staged, dims, BY)
+        chunks = packed(encoded)
         bad = chunks.filter(F.col("error").isNotNull()).select(*BY).union(unread).distinct()
         bad = broadcast_within(materialized(bad))
         replace_files(chunks.join(bad, list(BY), "left_anti"), out, BY)
         good = sizes.select(*BY).join(bad, list(BY), "left_anti")
         results = file_results(work, _data_only(chunks, arrays), expected, ledger)
+    record = {"by": list(BY), "attributes": (set_record(spark, out) or {}).get("attributes", [])}
     if attributes is not None:
         kept = strip_global_attrs(attributes).join(good, list(BY), "semi")
-        # a few rows a file: by their bytes alone, one task would write all files
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        tasks = max(partitions, ceil(sizes.count() / TASK_FILES))
-        replace_files(kept.repartition(tasks, *BY), f"{out.rstrip('/')}/{_ATTRIBUTES}", BY)
+        record["attributes"] = _describe(spark, out, kept, record["attributes"], sizes.count())
     fills = {}
     for given in arrays:
         fills |= fills_of(given.variables, fill if not given.coordinate else
                           {v: "0" for v, d in given.variables.items() if d[0] in "iub"})
     entries = describe(arrays, fills, level=level, max_box_elements=MAX_BOX_ELEMENTS, **RECHUNK_CODEC)
-    put_set_record(spark, out, {"by": list(BY), "variables": entries})
+    put_set_record(spark, out, record | {"variables": entries})
+    if len(old := record["attributes"][:-KEPT]):
+        forget_folder(spark, f"{out.rstrip('/')}/{_attributes_folder(old[-1])}")
     return results
 
 
+def _attributes_folder(number: int) -> str:
+    return f"{_ATTRIBUTES}-{number:08d}"
+
+
+def _describe(spark, out: str, given: DataFrame, numbers: list[int], files: int) -> list[int]:
+    """Write the attributes of all files below ``out`` as one table: those ``given``,
+    and for files that these do not name the ones they had. A folder for each file
+    would cost more than all of its attributes. Readers see the table once the set's
+    record names its number, which is last of those returned."""
+    given = materialized(given.select(*[c.split(" ")[0] for c in _DESCRIBED.split(", ")]))
+    system, make = file_system(spark, out)
+    if numbers or system.exists(make(_attributes_at(spark, out))):
+        before = file_attributes(spark, out)
+        given = given.unionByName(before.join(given.select(*BY).distinct(), list(BY), "left_anti"))
+        files = max(files, before.select(*BY).distinct().count())
+    number = max(numbers, default=0) + 1
+    table = given.repartition(max(1, ceil(files / TASK_FILES)), *BY)
+    table.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{_attributes_folder(number)}")
+    return [*numbers, number]
+
+
 def _whole(sizes: DataFrame, grid: Grid) -> dict[str, int]:
     """A coordinate of a dim that is not chunked is one chunk; a dim of open size
     always is chunked."""
@@ -141,7 +162,13 @@ def _data_only(chunks: DataFrame, arrays) -> DataFrame:
     return chunks.withColumn("n_cells", cells.cast("bigint"))
 
 
+def _attributes_at(spark, out: str) -> str:
+    """The newest table of attributes, or the folder that held one for each file."""
+    numbers = (set_record(spark, out) or {}).get("attributes")
+    return f"{out.rstrip('/')}/{_attributes_folder(numbers[-1]) if numbers else _ATTRIBUTES}"
+
+
 def file_attributes(spark, out: str) -> DataFrame:
     """Attributes of the files below ``out`` as rechunking left them."""
-    schema = "scope string, key string, value string, dataset string, file string"
-    return spark.read.schema(schema).parquet(f"{out.rstrip('/')}/{_ATTRIBUTES}")
+    with few_listers(spark):
+        return spark.read.schema(_DESCRIBED).parquet(_attributes_at(spark, out))

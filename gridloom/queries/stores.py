@@ -373,7 +373,7 @@ def rechunk_attrs(spark, sf):
         I.day_files(spark, sf).withColumn("dataset", F.lit("ecmwf")), days, _work(days),
         _file_grid(spark, sf), {"v": "float64"}, 7, f"{out}/ecmwf", attributes=attributes,
     )
-    cells = I.station_files(spark, sf)
+    cells = materialized(I.station_files(spark, sf))  # read for sizes, ledger and chunks
     sizes = materialized(
         cells.groupBy(*BY).agg(
             *[(F.max(f"{d}_i") + 1).alias(f"size_{d}") for d in I.STATION_DIMS]

@@ -74,6 +74,19 @@ def cheap_opens(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def few_listers(spark: SparkSession):
+    """List many folders in each task: by Spark's default a task lists one, up to 10000
+    of them, and starting it takes longer."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme and host that Spark would read it from."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,10 +1,19 @@
 """Write chunk tables."""
 
+import uuid
+from collections.abc import Iterator
+from itertools import count
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.session import rows_only_batches
+from gridloom.session import materialized, qualified, rows_only_batches, scratch_folder
 from gridloom.sinks import commits
+from gridloom.sinks.objects import open_path
 
 # A chunk row can be tens of megabytes: check sizes per row, and do not
 # compress payloads a second time.
@@ -18,13 +27,20 @@ _LAYOUT = {
 KEPT = 2  # versions of a store that stay: the current one and the one before
 
 
-def _write(chunks: DataFrame, path: str, scope: str, by: tuple[str, ...]) -> str:
+def _write(chunks: DataFrame, path: str, scope: str, by: tuple[str, ...] = ()) -> str:
     writer = chunks.write.mode("overwrite").options(**_LAYOUT)
     with rows_only_batches(chunks.sparkSession):
         writer.option("partitionOverwriteMode", scope).partitionBy(*by).parquet(path)
     return path
 
 
+def packed(chunks: DataFrame) -> DataFrame:
+    """``chunks`` packed once, as a table in the shared folder with many files of the
+    array in each of its own."""
+    folder = _write(chunks, scratch_folder(chunks.sparkSession, "packed"), "static")
+    return chunks.sparkSession.read.schema(chunks.schema).parquet(folder)
+
+
 def _folder(path: str, prefix: str, number: int) -> str:
     return f"{path.rstrip('/')}/{prefix}{number:08d}"
 
@@ -97,6 +113,115 @@ def store_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def replace_files(chunks: DataFrame, path: str, by: tuple[str, ...] = ("file",)) -> str:
-    """Replace only the files present in ``chunks``, once the job has succeeded;
-    a failed job leaves every earlier output as it was."""
-    return _write(chunks, path, "dynamic", by)
+    """Replace only the files present in ``chunks``, a written table, once the job has
+    succeeded; a failed job leaves every earlier output as it was.
+
+    A file is a folder, named as Spark's ``partitionBy`` names it. In a local or mounted
+    folder the tasks write its rows themselves, under a hidden name first: for each file
+    that Spark writes there, Hadoop starts four programs to set permissions, which takes
+    longer than all else.
+    """
+    spark = chunks.sparkSession
+    base = qualified(spark, path).rstrip("/")
+    if not base.startswith("file:"):
+        return _write(chunks, path, "dynamic", by)
+    files, make = commits.file_system(spark, path)
+    files.mkdirs(make(path))
+    hidden = f"{base}/.staged-{uuid.uuid4().hex}"
+    keys = ", ".join(f"`{name}` string" for name in by)
+    try:
+        # what a failed attempt wrote is in no row, and stays behind
+        written = materialized(
+            chunks.sortWithinPartitions(*by).mapInArrow(_staging(hidden, by), f"{keys}, _name string")
+        )
+        parts = written.groupBy(*by).agg(F.collect_list("_name").alias("_names"))
+        materialized(parts.mapInArrow(_placing(hidden, base, by), "_files bigint"))
+    finally:
+        files.delete(make(hidden), True)
+    return path
+
+
+def _staging(hidden: str, by: tuple[str, ...]):
+    """mapInArrow body over rows sorted by ``by``: a Parquet file for each value."""
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = open_path(hidden)
+        fs.create_dir(folder, recursive=True)
+        attempt, numbers = uuid.uuid4().hex, count()
+        held, writer = None, None
+        try:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                done = []
+                rows = batch.drop_columns(list(by))
+                for start, end in _spans([batch.column(c) for c in by]):
+                    key = tuple(batch.column(c)[start].as_py() for c in by)
+                    if writer is None or key != held:
+                        if writer is not None:
+                            writer.close()
+                        held, name = key, f"part-{attempt}-{next(numbers):06d}.parquet"
+                        writer = _writer(fs, f"{folder}/{name}", rows.schema)
+                        done.append((*key, name))
+                    writer.write_batch(rows.slice(start, end - start))
+                columns = zip(*done) if done else [[]] * (len(by) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.string()) for c in columns], names=[*by, "_name"]
+                )
+        finally:
+            if writer is not None:
+                writer.close()
+
+    return stage
+
+
+def _spans(columns: list[pa.Array]) -> list[tuple[int, int]]:
+    """Where runs of equal values of all columns begin and end."""
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = True
+    for column in columns:
+        codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    starts = np.flatnonzero(new).tolist()
+    return list(zip(starts, [*starts[1:], len(new)]))
+
+
+def _writer(fs, path: str, schema: pa.Schema) -> pq.ParquetWriter:
+    plain = [f.name for f in schema if not pa.types.is_binary(f.type)]
+    flat = [name for name in plain if not pa.types.is_list(schema.field(name).type)]
+    return pq.ParquetWriter(
+        path, schema, filesystem=fs, compression="none", use_dictionary=plain, write_statistics=flat
+    )
+
+
+def _placing(hidden: str, base: str, by: tuple[str, ...]):
+    """mapInArrow body: move what was written for each file into its folder, in place of
+    what is there. Safe to repeat."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = open_path(base)
+        staged = open_path(hidden)[1]
+        for batch in batches:
+            for *key, names in zip(*(batch.column(c).to_pylist() for c in range(len(by) + 1))):
+                folder = "/".join([root, *(f"{n}={_escaped(v)}" for n, v in zip(by, key))])
+                fs.create_dir(folder, recursive=True)
+                there = {f.base_name: f for f in fs.get_file_info(pafs.FileSelector(folder))}
+                for name, info in there.items():
+                    if name not in names:
+                        (fs.delete_dir if info.type == pafs.FileType.Directory else fs.delete_file)(info.path)
+                for name in names:
+                    if name not in there:
+                        fs.move(f"{staged}/{name}", f"{folder}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["_files"])
+
+    return place
+
+
+_UNSAFE = {chr(c) for c in range(1, 32)} | set("\"#%'*/:=?\\\x7f{[]^")
+
+
+def _escaped(value: str | None) -> str:
+    """A value in the name of a folder, as Spark's ``partitionBy`` writes it."""
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if c in _UNSAFE else c for c in value)

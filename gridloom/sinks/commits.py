@@ -119,6 +119,11 @@ def set_record(spark, path: str) -> dict | None:
     return json.loads(_text(spark, at)) if files.exists(make(at)) else None
 
 
+def forget_folder(spark, path: str) -> None:
+    files, make = file_system(spark, path)
+    files.delete(make(path), True)
+
+
 def describe(
     arrays: list[Arrays], fills: dict, codec: str, level: int, shuffle: bool, max_box_elements: int
 ) -> list[dict]:

@@ -21,6 +21,7 @@ from gridloom.operators.codec import (
     decode_chunks,
     spark_type,
 )
+from gridloom.session import few_listers
 from gridloom.sinks import commits
 from gridloom.sinks.chunks import current_version, store_table
 
@@ -74,7 +75,8 @@ def read_chunks(
         dims = _dims(store_record(spark, path)["variables"])
     by = _by(spark, path) if by is None else by
     path = current_version(spark, path)
-    return spark.read.schema(chunk_schema([(n, "string") for n in by], dims)).parquet(path)
+    with few_listers(spark):
+        return spark.read.schema(chunk_schema([(n, "string") for n in by], dims)).parquet(path)
 
 
 def overlapping(chunks: DataFrame, dim: str, lo: int, hi: int) -> DataFrame:

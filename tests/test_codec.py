@@ -2,6 +2,7 @@
 
 import tracemalloc
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.errors import PySparkException
 
 from gridloom.functions import blocks
 from gridloom.model import Grid
+from gridloom.operators import codec
 from gridloom.operators.codec import _gather, decode_chunks, dense_cells, encode_chunks
 from gridloom.operators.reports import storage_stats
 from gridloom.sinks.chunks import write_store
@@ -71,6 +73,44 @@ def test_any_chunking_is_exact(spark, shape, chunk, limit, seed):
     assert np.array_equal(as_array(got, shape), np.where(keep, array, np.nan), equal_nan=True)
 
 
+def test_small_boxes_are_packed_together(spark, monkeypatch):
+    """The same rows as box by box, with slabs, several variables and errors in some boxes."""
+    rows = [(t, x, float(t + x) if t % 3 else None, t) for t in range(40) for x in range(9) if (t + x) % 4]
+    rows += [(5, 2, 1.0, 1), (7, 300, 1.0, 1)]
+    cells = spark.createDataFrame(rows, "time_i bigint, lat_i bigint, v double, n int")
+    grid = Grid(("time", "lat"), {"time": 40, "lat": 9}, {"time": 3, "lat": 4})
+    calls = spark.sparkContext.accumulator(0)
+
+    def packed(bundle):
+        monkeypatch.setattr("gridloom.operators.codec.BUNDLE_ELEMENTS", bundle)
+        monkeypatch.setattr(codec, "_pack", counted(codec._pack, calls))
+        found = encode_chunks(
+            cells.union(cells.where("time_i = 8")), grid, {"v": "float64", "n": "int16"},
+            max_box_elements=6, strict=False, fill={"n": -1},
+        )
+        found = sorted((tuple(r) for r in found.collect()), key=repr)
+        monkeypatch.undo()
+        return found, calls.value
+
+    alone, every = packed(1)
+    together, all_calls = packed(60)
+    assert alone == together and len(alone) > 80 and sum(r[-1] is not None for r in alone) > 4
+    assert all_calls - every < every / 3
+
+
+def counted(pack, calls):
+    def made(*args):
+        body = pack(*args)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            calls.add(1)
+            return body(batches)
+
+        return run
+
+    return made
+
+
 def test_dense_cells_cover_the_array(spark):
     array = np.arange(5 * 3 * 4, dtype=float).reshape(5, 3, 4)
     keep = np.zeros(array.shape, bool)

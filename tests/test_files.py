@@ -1,6 +1,8 @@
 """Manifests, selection, results and copies on small files."""
 
+import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from gridloom.operators.selecting import select_day, strip_global_attrs
 from gridloom.plans.publish import publish, stage
 from gridloom.plans.rechunk import BY, file_attributes, rechunk
 from gridloom.plans.store import many_files_store, store_name
+from gridloom.session import few_listers
+from gridloom.sinks.chunks import replace_files
 from gridloom.sinks.objects import copy_files, write_objects
 from gridloom.sinks.publish import verify_copy
 from gridloom.sinks.results import RunFailed, fail_fast, run_summary
@@ -369,6 +373,77 @@ def test_attributes_of_many_files_have_many_writers(spark, folder, monkeypatch):
     assert len(writers) > 4
 
 
+def test_attributes_of_many_files_are_one_table(spark, folder):
+    schema = "dataset string, file string, scope string, key string, value string"
+    cells = [(f"a/{k}.nc", 0, 0, float(k)) for k in range(30)]
+    out, given = folder("r"), [("ecmwf", f, "values", "units", "old") for f, *_ in cells]
+    run = lambda rows, **more: rechunk(*prepared(spark, rows), GRID, {"v": "float64"}, 7, out, **more)
+    run(cells, attributes=spark.createDataFrame(given, schema))
+    assert len(file_attributes(spark, out).inputFiles()) < 4
+    # a later run replaces those of its own files that it has some for; others stay
+    newer = [("ecmwf", f"a/{k}.nc", "values", "units", "new") for k in (3, 5, 29)]
+    run(cells[:4] + cells[5:6], attributes=spark.createDataFrame(newer, schema))
+    run(cells[:2])
+    found = {r["file"]: r["value"] for r in file_attributes(spark, out).collect()}
+    assert found == {f: "new" if f in ("a/3.nc", "a/5.nc") else "old" for f, *_ in cells}
+    for _ in range(3):
+        run(cells[:1], attributes=spark.createDataFrame(newer, schema))
+    assert len([n for n in os.listdir(out) if n.startswith("_attributes")]) == 2
+    assert file_attributes(spark, out).count() == 30
+    # a set that has a folder for each file, as they were written before
+    held = file_attributes(spark, out).collect()
+    for name in [n for n in os.listdir(out) if n.startswith("_attributes")]:
+        shutil.rmtree(f"{out}/{name}")
+    spark.createDataFrame(held).write.partitionBy("dataset", "file").parquet(f"{out}/_attributes")
+    with open(f"{out}/_set.json") as record:
+        was = {k: v for k, v in json.load(record).items() if k != "attributes"}
+    os.remove(f"{out}/._set.json.crc") if os.path.exists(f"{out}/._set.json.crc") else None
+    with open(f"{out}/_set.json", "w") as record:
+        json.dump(was, record)
+    assert sorted(file_attributes(spark, out).collect()) == sorted(held)
+    run(cells[5:6], attributes=spark.createDataFrame(given[5:6], schema))
+    found = {r["file"]: r["value"] for r in file_attributes(spark, out).collect()}
+    assert found == {f: "new" if f == "a/3.nc" else "old" for f, *_ in cells}
+
+
+def test_files_are_folders_as_spark_names_them(spark, folder):
+    """Each file has its own folder, replaced as a whole and only by a job that succeeds;
+    Spark's writer, which takes tens of milliseconds for each, wrote none of them."""
+    names = ["plain.nc", "a/b=c%d.nc", "sp ace:*?.nc", "x{y}[z]^\\\"'#.nc", "ümläut-\t~.nc", "100%"]
+    rows = [(d, f, k, bytes([k % 7]) * k) for k in range(300) for d in ("p", "q/r") for f in names]
+    chunks = spark.createDataFrame(rows, "dataset string, file string, n int, payload binary").repartition(5)
+    mine, spark_s = replace_files(chunks, folder("m"), BY), folder("s")
+    chunks.write.partitionBy(*BY).parquet(spark_s)
+    folders = lambda top: {os.path.relpath(d, top) for d, _, files in os.walk(top) if d != top and any(f[:5] == "part-" for f in files)}
+    assert folders(mine) == folders(spark_s) and len(folders(mine)) == 12
+    assert not any(f.endswith(".crc") for _, _, files in os.walk(mine) for f in files)
+    read = lambda top: sorted(tuple(r) for r in spark.read.schema(chunks.schema).parquet(top).select(*chunks.columns).collect())
+    assert read(mine) == read(spark_s) == sorted(rows)
+    # over what Spark wrote: one file replaced, the others as they were
+    later = chunks.where("file = 'plain.nc' and n < 7").withColumn("n", F.col("n") + 1000)
+    replace_files(later, spark_s, BY)
+    want = [r for r in rows if r[1] != "plain.nc"] + [
+        (d, f, n + 1000, p) for d, f, n, p in rows if f == "plain.nc" and n < 7
+    ]
+    assert read(spark_s) == sorted(want)
+    broken = chunks.withColumn("n", F.expr("if(n = 299 and file = '100%', raise_error('broken'), 5)").cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        replace_files(broken, spark_s, BY)
+    assert read(spark_s) == sorted(want)
+    assert not any(n.startswith(".staged") for n in os.listdir(spark_s))
+    assert replace_files(chunks.limit(0), folder("e"), BY) and read(folder("e")) == []
+
+
+def test_folders_are_listed_by_few_tasks(spark, folder):
+    spark.range(60).selectExpr("cast(id as string) file", "1 n").write.partitionBy("file").parquet(folder("l"))
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    with few_listers(spark):
+        assert int(spark.conf.get(key)) <= 4 * spark.sparkContext.defaultParallelism
+        assert spark.read.parquet(folder("l")).count() == 60
+    assert spark.conf.get(key) == before
+
+
 def test_digests_list_files_once(spark, folder):
     os.makedirs(folder("d"))
     for k in range(5):
