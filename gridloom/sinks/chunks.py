@@ -134,7 +134,9 @@ def replace_files(chunks: DataFrame, path: str, by: tuple[str, ...] = ("file",))
         written = materialized(
             chunks.sortWithinPartitions(*by).mapInArrow(_staging(hidden, by), f"{keys}, _name string")
         )
-        parts = written.groupBy(*by).agg(F.collect_list("_name").alias("_names"))
+        # an empty name and none are one folder
+        folders = [F.expr(f"nullif(`{name}`, '')").alias(name) for name in by]
+        parts = written.groupBy(*folders).agg(F.collect_list("_name").alias("_names"))
         materialized(parts.mapInArrow(_placing(hidden, base, by), "_files bigint"))
     finally:
         files.delete(make(hidden), True)

@@ -432,6 +432,8 @@ def test_files_are_folders_as_spark_names_them(spark, folder):
     assert read(spark_s) == sorted(want)
     assert not any(n.startswith(".staged") for n in os.listdir(spark_s))
     assert replace_files(chunks.limit(0), folder("e"), BY) and read(folder("e")) == []
+    nameless = spark.createDataFrame([("p", None, 1, b""), ("p", "", 2, b"")], chunks.schema).repartition(2, "n")
+    assert sorted(r[2] for r in spark.read.schema(chunks.schema).parquet(replace_files(nameless, folder("n"), BY)).select(*chunks.columns).collect()) == [1, 2]
 
 
 def test_folders_are_listed_by_few_tasks(spark, folder):
